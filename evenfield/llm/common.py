@@ -25,17 +25,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df``, computed once and kept in the shared checkpoint folder, so a lost executor costs no recomputation.
-
-    The folder is the one that the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (local tests) a temporary one is made.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; one is made only where that is unset (tests)."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df``, computed once and kept in the shared folder, so a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

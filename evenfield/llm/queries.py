@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import exact_dedup
+from .exact_dedup import op10_exact_dedup
 from .quality import op6_quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [op6_quality_rules]
+    found = [op6_quality_rules, op10_exact_dedup]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_exact_dedup": exact_dedup.ORACLE_SQL}
