@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup
 from .exact_dedup import op10_exact_dedup
+from .jaccard_join import op8_jaccard_join
 from .quality import op6_quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [op6_quality_rules, op10_exact_dedup]
+    found = [op6_quality_rules, op8_jaccard_join, op10_exact_dedup]
     return {f.__name__: f for f in found}
 
 
