@@ -12,12 +12,13 @@ from .exact_dedup import op10_exact_dedup
 from .jaccard_join import op8_jaccard_join
 from .packing import op5_best_fit_packing
 from .quality import op6_quality_rules
+from .secrets import op3_secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op5_best_fit_packing, op6_quality_rules, op8_jaccard_join, op10_exact_dedup]
+    found = [op1_mix_sources, op3_secret_scan, op5_best_fit_packing, op6_quality_rules, op8_jaccard_join, op10_exact_dedup]
     return {f.__name__: f for f in found}
 
 
