@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup
+from .licenses import op2_license_scan
 from .mixing import op1_mix_sources
 from .exact_dedup import op10_exact_dedup
+from .html_extract import op4_html_extraction
 from .jaccard_join import op8_jaccard_join
 from .packing import op5_best_fit_packing
 from .quality import op6_quality_rules
@@ -18,7 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op3_secret_scan, op5_best_fit_packing, op6_quality_rules, op8_jaccard_join, op10_exact_dedup]
+    found = [op1_mix_sources, op2_license_scan, op3_secret_scan, op4_html_extraction, op5_best_fit_packing, op6_quality_rules, op8_jaccard_join, op10_exact_dedup]
     return {f.__name__: f for f in found}
 
 
