@@ -132,8 +132,8 @@ class WordBlock:
         return np.diff(sums[self.offsets])
 
 
-def text_blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first, end, bytes, offsets) of runs of texts of about ``most`` bytes; a longer text is a run of its own."""
+def text_blocks(column: pa.Array, most: int = BLOCK_BYTES, rows: int = 4096) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first, end, bytes, offsets) of runs of texts of about ``most`` bytes, ``rows`` at most; a longer text is a run of its own."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column, "")
@@ -147,7 +147,7 @@ def text_blocks(column: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int
     first = 0
     while first < n:
         end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
-        end = min(end, n)
+        end = min(end, n, first + rows)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
 

@@ -14,10 +14,12 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
   over slack) are indexed a second time over all shingles, and where that leaves thin segments too, by these
   empty subsets as well. A linked pair is missed by none of the three.
 * Equal sets share a 64-bit key from the start, so copies make no pairs. In each group of one signature, pairs with
-  its first member are verified exactly against the sets; then, only in groups that still span several components,
-  pairs of members of different components are. Components come from label contraction.
+  its most central member (that of the largest groups) are verified exactly against the sets. Then, only in groups
+  that still span several components, members of different components are compared by parity sketches, in blocks of
+  bounded size; a sketch never shows more differences than the sets have, so no link is lost, and what passes is
+  verified exactly too. Components come from label contraction.
 
-Shingles and sets are compared as 64-bit hashes. Texts are lower-cased (A-Z). A text of fewer than n words has its
+Shingles are compared as 52-bit hashes and sets as sets of these. Texts are lower-cased (A-Z). A text of fewer than n words has its
 whole word sequence as its one shingle; null or wordless text has none, and links with nothing. Rows that repeat
 a doc_id count as one document each with the same id; null doc_ids get no component id of their own (null). An empty
 table gives an empty result; extra columns don't matter.
@@ -47,6 +49,12 @@ class JaccardParams:
     filter_bits: int = 1 << 26  # of the filter for sets that occur in candidate pairs
 
 
+#: Bits of a shingle's hash, so that with the number of its text (4096 to a block) it is one 64-bit value.
+HASH_BITS = 52
+SKETCH_WORDS = 8
+#: Members of one signature that are compared with one another in a task's memory.
+GROUP_BLOCK = 4096
+
 # --------------------------------------------------------------------------- sets
 
 
@@ -64,12 +72,27 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
             whole[has] = whole[has] * np.uint64(0xA0761D6478BD642F) + block.hashes[at]
         h = np.concatenate([h, mix(whole + block.n_words[short].astype(np.uint64))])
         text = np.concatenate([text, short])
-    order = np.lexsort((h, text))
-    h, text = h[order], text[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-    h, text = h[new], text[new]
-    return h, np.searchsorted(text, np.arange(block.n_texts + 1))
+    # one sort of single values: the text's number above 52 bits of hash
+    both = np.sort((text.astype(np.uint64) << np.uint64(HASH_BITS)) | (h >> np.uint64(64 - HASH_BITS)))
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    both = both[new]
+    starts = np.arange(block.n_texts + 1, dtype=np.uint64) << np.uint64(HASH_BITS)
+    bounds = np.searchsorted(both, starts[:-1])
+    return both & np.uint64((1 << HASH_BITS) - 1), np.append(bounds, len(both))
+
+
+def parity_sketches(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """SKETCH_WORDS words of bits per set, each the parity of the shingles that fall on it.
+
+    A shingle that only one of two sets has changes one bit between them, so the number of bits in which their
+    sketches differ is at most the number of shingles in which they do.
+    """
+    out = np.zeros((len(bounds) - 1, SKETCH_WORDS), np.uint64)
+    dealt = mix(h + np.uint64(0x2545F4914F6CDD1D))
+    word = (dealt >> np.uint64(32)) % np.uint64(SKETCH_WORDS)
+    np.bitwise_xor.at(out.reshape(-1), np.repeat(np.arange(len(out)), np.diff(bounds)) * SKETCH_WORDS + word.astype(np.int64), np.uint64(1) << (dealt & np.uint64(63)))
+    return out
 
 
 def set_keys(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -193,27 +216,31 @@ def _route(h, set_of, use, part, band, doubled, single, keys, route, only, found
 
 
 def _key_rows(docs: DataFrame, params: JaccardParams) -> DataFrame:
-    """Rows of two kinds: 0 (doc_id, set key, size) and 2 (a shingle frequent in some block of texts, its count there)."""
+    """Rows of two kinds: 0 (doc_id, set key, size, sketch) and 2 (a shingle frequent in some block of texts, its count there)."""
     n = params.words
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in text_blocks(batch.column("text")):
                 h, bounds = shingle_sets(data, offsets, n)
-                ids = batch.column("doc_id").slice(lo, hi - lo)
                 m = hi - lo
-                yield _rows(np.zeros(m, np.int8), ids, set_keys(h, bounds).view(np.int64), np.diff(bounds))
+                yield _rows(np.zeros(m, np.int8), batch.column("doc_id").slice(lo, m), set_keys(h, bounds).view(np.int64), np.diff(bounds), _lists(parity_sketches(h, bounds)))
                 if len(h):
                     shingle, count = np.unique(h, return_counts=True)
                     often = count >= max(3, m // 250)
                     shingle, count = shingle[often], count[often]
-                    yield _rows(np.full(len(shingle), 2, np.int8), pa.nulls(len(shingle), pa.int64()), shingle.view(np.int64), count)
+                    none = pa.ListArray.from_arrays(np.zeros(len(shingle) + 1, np.int32), pa.array([], pa.int64()))
+                    yield _rows(np.full(len(shingle), 2, np.int8), pa.nulls(len(shingle), pa.int64()), shingle.view(np.int64), count, none)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "kind byte, doc_id long, key long, n long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "kind byte, doc_id long, key long, n long, sketch array<long>")
 
 
-def _rows(kind, ids, key, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(kind), ids, pa.array(key), pa.array(n.astype(np.int64))], ["kind", "doc_id", "key", "n"])
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], pa.array(rows.reshape(-1).view(np.int64)))
+
+
+def _rows(kind, ids, key, n, sketch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(kind), ids, pa.array(key), pa.array(n.astype(np.int64)), sketch], ["kind", "doc_id", "key", "n", "sketch"])
 
 
 class JaccardJoin:
@@ -222,19 +249,18 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, params: JaccardParams = JaccardParams()):
         self.docs, self.params, self.spark = docs, params, docs.sparkSession
         rows = cut(_key_rows(docs, params))
-        self.keys = rows.filter("kind = 0").select("doc_id", "key", "n")
+        self.rows = rows.filter("kind = 0")
+        self.keys = self.rows.select("doc_id", "key", "n")
         self.sets = self.keys.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
-        total, largest, shingles = rows.filter("kind = 0").agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
+        total, largest, shingles = self.keys.agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
         least = max(16, total // params.hot_share)
-        listed = rows.filter("kind = 2").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "key").limit(params.hot_list)
-        listed = listed.toArrow()
+        listed = rows.filter("kind = 2").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "key").limit(params.hot_list).toArrow()
         self.hot = np.sort(listed["key"].to_numpy().view(np.uint64))
         common = float(listed["n"].to_numpy().sum()) / max(1, shingles or 0)
-        self.starts = band_starts(int((largest or 0) * 100 // params.percent) + 1, params.percent)
-        edges = self.starts
+        self.starts = edges = band_starts(int((largest or 0) * 100 // params.percent) + 1, params.percent)
         bands = self.keys.filter("n > 0").groupBy(_band_of(edges).alias("band")).agg(F.count(F.lit(1)).alias("documents")).collect()
-        per_band = {r["band"]: r["documents"] for r in bands}
-        per_band = {b: per_band.get(b, 0) + per_band.get(b - 1, 0) for b in range(len(edges) - 1)}
+        own = {r["band"]: r["documents"] for r in bands}
+        per_band = {b: own.get(b, 0) + own.get(b - 1, 0) for b in range(len(edges) - 1)}
         self.schemes = {b: choose_scheme(b, edges[b], edges[b + 1] - 1, params.percent, n, common) for b, n in per_band.items() if n}
 
     def groups(self) -> DataFrame:
@@ -259,28 +285,47 @@ class JaccardJoin:
 
         rows = self.docs.select("text").mapInArrow(give, "sig long, key long")
         sorted_rows = rows.repartition(shuffle_partitions(spark), "sig").sortWithinPartitions("sig", "key")
-        return cut(sorted_rows.mapInArrow(shared_only, "sig long, key long, first long"))
+        return cut(sorted_rows.mapInArrow(shared_only, "sig long, key long"))
 
     def run(self) -> DataFrame:
         """(key, label): the component of every set that links with another, by its smallest key; labels are keys."""
         groups = self.groups()
-        stars = groups.filter("key != first").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct()
-        links = cut(self.verified(stars))
+        members = groups.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
+        weights = groups.join(members, "sig").groupBy("key").agg(F.sum("members").alias("weight"))
+        central = groups.join(weights, "key").groupBy("sig").agg(F.max(F.struct("weight", "key")).alias("top")).select("sig", F.col("top.key").alias("center"))
+        stars = groups.join(central, "sig").filter("key != center").select(F.least("key", "center").alias("a"), F.greatest("key", "center").alias("b")).distinct()
+        sets = self.members(groups.select("key").distinct())
+        links = cut(self.verified(self.near_enough(stars), sets))
         labels = components(links)
-        # groups that still span several components
-        own = groups.select("sig", "key").join(labels, "key", "left").select("sig", "key", F.coalesce("label", "key").alias("label"))
-        open_ = own.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")).filter("low != high and members > 2").select("sig")
-        rest = own.join(open_, "sig").repartition(shuffle_partitions(self.spark), "sig").sortWithinPartitions("sig", "key")
-        pairs = rest.mapInArrow(across, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
-        more = cut(self.verified(pairs))
+        # only groups that still span several components
+        own = groups.join(labels, "key", "left").select("sig", "key", F.coalesce("label", "key").alias("label"))
+        open_ = own.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")).filter("low != high and members > 2").select("sig", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("blocks"))
+        rest = own.join(open_, "sig").join(self.sketches(), "key").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rest = rest.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n", "sketch")
+        rest = rest.repartition(shuffle_partitions(self.spark), "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "key")
+        percent = self.params.percent
+        pairs = cut(rest.mapInArrow(lambda batches: across(batches, percent), "a long, b long").distinct())
+        more = cut(self.verified(pairs, sets))
         self.links = links.unionByName(more)
         return labels if more.isEmpty() else components(self.links)
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
+    def sketches(self) -> DataFrame:
+        return self.rows.filter("n > 0").select("key", "n", "sketch").dropDuplicates(["key"])
+
+    def near_enough(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose sizes and sketches leave a link possible."""
+        own = self.sketches()
+        both = pairs.join(own.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a")), "a")
+        both = both.join(own.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b")), "b")
+        percent = self.params.percent
+        both = both.filter(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
+        apart = "aggregate(zip_with(s_a, s_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+        return both.filter(f"{apart} <= (n_a + n_b) * {100 - percent} div {100 + percent}").select("a", "b")
+
+    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) that link, checked on the whole sets."""
-        pairs = cut(_within_size(pairs, self.sets, self.params.percent))
-        sets = self.members(pairs)
-        percent, slices = self.params.percent, shuffle_partitions(self.spark)
+        percent = self.params.percent
         with_b = pairs.join(sets.withColumnRenamed("key", "b"), "b").select("a", "b", F.col("shingles").alias("others"))
         both = with_b.join(sets.withColumnRenamed("key", "a"), "a").select("a", "b", "shingles", "others")
 
@@ -297,10 +342,9 @@ class JaccardJoin:
 
         return both.mapInArrow(check, "a long, b long")
 
-    def members(self, pairs: DataFrame) -> DataFrame:
-        """(key, shingles): the sets that occur in pairs. A filter of bounded size keeps most others from the shuffle."""
+    def members(self, wanted: DataFrame) -> DataFrame:
+        """(key, shingles) of the wanted sets. A filter of bounded size keeps most others from the shuffle."""
         bits, n = self.params.filter_bits, self.params.words
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
         place = F.pmod(F.col("key"), F.lit(bits))
         words = wanted.select(F.shiftright(place, 6).alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit")).selectExpr("word", "shiftleft(1L, bit) as mark")
         words = words.groupBy("word").agg(F.bit_or("mark").alias("marks")).toArrow()  # bits / 64 rows at most
@@ -339,71 +383,80 @@ def _band_of(starts: list[int]) -> "F.Column":
     return F.expr("size(filter(array(" + ",".join(f"{s}L" for s in starts) + "), s -> s <= n)) - 1")
 
 
-def _within_size(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    sizes = sets.select("key", "n")
-    both = pairs.join(sizes.select(F.col("key").alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col("key").alias("b"), F.col("n").alias("n_b")), "b")
-    return both.filter(F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")).select("a", "b")
-
-
 def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (sig, key), those of signatures with several keys, once each, with the signature's first key.
+    """Of rows sorted by (sig, key), those of signatures with several keys, once each.
 
     It holds a batch and the last row before it, however long a signature's run is.
     """
-    last_sig = last_key = first = None
-    told = False
+    last: tuple[int, int] | None = None
+    told = True  # whether the last row was given out
+
     for batch in batches:
         sig, key = batch.column("sig").to_numpy(), batch.column("key").to_numpy()
-        if not len(sig):
-            continue
         new = np.ones(len(sig), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
-        if last_sig is not None and sig[0] == last_sig and key[0] == last_key:
+        if last is not None and len(sig) and (sig[0], key[0]) == last:
             new[0] = False
         sig, key = sig[new], key[new]
         if not len(sig):
             continue
-        opens = np.ones(len(sig), bool)
-        opens[1:] = sig[1:] != sig[:-1]
-        joined = last_sig is not None and sig[0] == last_sig
-        if joined:
-            opens[0] = False
-        run = np.cumsum(opens) - (0 if joined else 1)
-        heads = np.concatenate([np.array([first] if joined else [], np.int64), key[opens]])
-        lengths = np.bincount(run, minlength=len(heads))
-        if joined:
-            lengths[0] += 1
-        keep = lengths[run] > 1
-        out_sig, out_key, out_first = [sig[keep]], [key[keep]], [heads[run[keep]]]
-        if joined and not told and lengths[0] > 1:
-            out_sig.insert(0, sig[:1]), out_key.insert(0, np.array([first])), out_first.insert(0, np.array([first]))
-            told = True
-        if opens.any():
-            told = bool(lengths[-1] > 1)
-        last_sig, last_key, first = sig[-1], key[-1], int(heads[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_sig, out_key, out_first)], ["sig", "key", "first"])
-
-
-def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (sig, key, label) sorted by sig, the pairs of members of one signature that bear different labels, in blocks."""
-    sig = key = label = np.empty(0, np.int64)
-
-    def pairs(key, label):
-        for k in range(len(key) - 1):
-            other = key[k + 1 :][label[k + 1 :] != label[k]]
-            if len(other):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[k], other)), pa.array(np.maximum(key[k], other))], ["a", "b"])
-
+        if last is not None:
+            sig, key = np.concatenate([[last[0]], sig]), np.concatenate([[last[1]], key])
+        same = sig[1:] == sig[:-1]
+        give = np.zeros(len(sig), bool)
+        give[1:] |= same
+        give[:-1] |= same
+        last_given = bool(give[-1])
+        if last is not None and told:
+            give[0] = False
+        last, told = (int(sig[-1]), int(key[-1])), last_given
+        yield pa.RecordBatch.from_arrays([pa.array(sig[give]), pa.array(key[give])], ["sig", "key"])
+
+
+def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (sig, i, j), the pairs of one (sig, i, j) and different labels that may link by size and sketch.
+
+    Rows i == j compare a block's members with one another, i < j those of block i with those of block j.
+    """
+    names = ["sig", "i", "j", "own", "key", "label", "n"]
+
+    def read(batch: pa.RecordBatch) -> list[np.ndarray]:
+        sketch = batch.column("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_WORDS)
+        return [*(batch.column(c).to_numpy() for c in names), sketch]
+
+    def pairs(held: list[np.ndarray], end: int) -> Iterator[pa.RecordBatch]:
+        sig, i, j, own, key, label, n, sketch = (x[:end] for x in held)
+        opens = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        lengths = np.diff(np.append(opens, end))
+        stop = np.repeat(opens + lengths, lengths)
+        at, step = np.arange(end), 1
+        while True:
+            at = at[at + step < stop[at]]
+            if not len(at):
+                return
+            to = at + step
+            ok = (label[at] != label[to]) & ((i[at] == j[at]) | (own[at] != own[to])) & (100 * np.minimum(n[at], n[to]) >= percent * np.maximum(n[at], n[to]))
+            a, b = at[ok], to[ok]
+            near = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1) <= (n[a] + n[b]) * (100 - percent) // (100 + percent)
+            a, b = key[a[near]], key[b[near]]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            step += 1
+
+    held: list[np.ndarray] | None = None
     for batch in batches:
-        sig, key, label = (np.concatenate([x, batch.column(c).to_numpy()]) for x, c in ((sig, "sig"), (key, "key"), (label, "label")))
-        if not len(sig):
+        if not len(batch):
             continue
-        done = np.searchsorted(sig, sig[-1])
-        cuts = np.flatnonzero(np.diff(sig[:done])) + 1
-        for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [done]])):
-            yield from pairs(key[a:b], label[a:b])
-        sig, key, label = sig[done:], key[done:], label[done:]
-    yield from pairs(key, label)
+        fresh = read(batch)
+        held = fresh if held is None else [np.concatenate(x) for x in zip(held, fresh)]
+        sig, i, j = held[:3]
+        whole = np.flatnonzero((sig != sig[-1]) | (i != i[-1]) | (j != j[-1]))
+        end = int(whole[-1]) + 1 if len(whole) else 0
+        if end:
+            yield from pairs(held, end)
+            held = [x[end:] for x in held]
+    if held is not None:
+        yield from pairs(held, len(held[0]))
 
 
 def keep_one(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
