@@ -40,6 +40,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def computed_once(rows: DataFrame, name: str, value: "F.Column", *keep: str) -> DataFrame:
+    """``keep`` columns and ``value``, which later steps read and the optimizer can't inline into them, once per use.
+
+    A one-element explode is a step that predicates on its output aren't pushed below.
+    """
+    return rows.select(*keep, F.explode(F.array(value)).alias(name))
+
+
 def whole_text(column: str = "text") -> "F.Column":
     """The text, with null counted as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, whole_text
+from .common import computed_once, read_table, whole_text
 
 # The wording of common license lines and notices.
 TEMPLATES = {
@@ -77,16 +77,16 @@ def scan(docs: DataFrame, params: LicenseParams = LicenseParams(), templates: di
     known = table.collect()  # as many rows as templates
     vocabulary = sorted({x for r in known for x in r["parts"]})
     scales = sorted({r["scale"] for r in known})
-    rows = docs.select("doc_id", words_of(whole_text()).alias("w"))
+    rows = computed_once(docs.select("doc_id", "text"), "w", words_of(whole_text()), "doc_id")
     at = F.filter(F.sequence(F.lit(0), F.size("w") - n), lambda k: shingle(F.col("w"), k, n).isin(vocabulary))
-    rows = rows.select("doc_id", "w", F.when(F.size("w") >= n, at).alias("hits")).filter(F.size("hits") > 0)
+    rows = computed_once(rows, "hits", F.when(F.size("w") >= n, at), "doc_id", "w").filter(F.size("hits") > 0)
     # windows of each scale around the hits
     steps = F.array(*(F.struct(F.lit(s).alias("scale"), F.lit(2 << s).alias("size"), F.lit(max(1, (2 << s) // 4)).alias("step")) for s in scales))
     rows = rows.select("doc_id", "w", "hits", F.explode(steps).alias("s")).select("doc_id", "w", "hits", "s.*")
     begins = "array_distinct(flatten(transform(hits, p -> transform(sequence(greatest(0, p - size + step) div step, p div step), q -> cast(q * step as int)))))"
     rows = rows.select("doc_id", "w", "scale", "size", F.explode(F.expr(begins)).alias("begin"))
     count = F.least(F.col("size"), F.size("w") - n + 1 - F.col("begin"))
-    rows = rows.select("doc_id", "scale", "begin", F.transform(F.sequence(F.lit(0), count - 1), lambda k: shingle(F.col("w"), F.col("begin") + k, n)).alias("window"))
+    rows = computed_once(rows, "window", F.transform(F.sequence(F.lit(0), count - 1), lambda k: shingle(F.col("w"), F.col("begin") + k, n)), "doc_id", "scale", "begin")
     banded = rows.select("doc_id", "scale", "begin", "window", F.explode(band_values(F.col("window"), params.bands)).alias("b"))
     keys = table.select("license", "parts", F.col("scale").alias("t_scale"), F.explode(band_values(F.col("parts"), params.bands)).alias("t"))
     held = F.broadcast(keys)  # templates x bands rows
