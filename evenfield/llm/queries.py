@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup
-from .licenses import op2_license_scan
-from .mixing import op1_mix_sources
 from .chat_format import op9_chat_format
 from .exact_dedup import op10_exact_dedup
 from .html_extract import op4_html_extraction
 from .jaccard_join import op8_jaccard_join
+from .licenses import op2_license_scan
+from .lm_score import op7_lm_score
+from .mixing import op1_mix_sources
 from .packing import op5_best_fit_packing
 from .quality import op6_quality_rules
 from .secrets import op3_secret_scan
@@ -21,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op2_license_scan, op3_secret_scan, op4_html_extraction, op5_best_fit_packing, op6_quality_rules, op8_jaccard_join, op9_chat_format, op10_exact_dedup]
+    found = [op1_mix_sources, op2_license_scan, op3_secret_scan, op4_html_extraction, op5_best_fit_packing, op6_quality_rules, op7_lm_score, op8_jaccard_join, op9_chat_format, op10_exact_dedup]
     return {f.__name__: f for f in found}
 
 
