@@ -6,8 +6,8 @@ place where the template stands. There the Jaccard index with it is above 0.19 w
 ``bands`` of one MinHash value each then collide with probability 1 - 0.81**bands, over 0.999 for 36. A retrieved
 window counts if it holds at least ``percent`` of the template's shingles, exactly.
 
-A window's least hash can equal a template's only where both hold that shingle, so windows are built only around
-shingles of some template; others cannot be retrieved, and nothing is lost. Templates are constants of this module,
+A window's least hash can equal a template's only where both hold that shingle, so windows of a scale are built only
+around shingles of its templates; others cannot be retrieved, and nothing is lost. Templates are constants of this module,
 and so is the size of the tables that are broadcast.
 
 The result has a row per document and license found in it. Null and wordless texts have none, repeated rows of a doc_id
@@ -70,6 +70,12 @@ def band_values(parts: Column, bands: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(b.alias("band"), F.array_min(F.transform(parts, lambda x: F.xxhash64(x, b))).alias("value")))
 
 
+def _step(scale: int, own: list[int], n: int) -> Column:
+    """The windows of a scale, and the hits that are shingles of its templates."""
+    near = F.filter("hits", lambda k: shingle(F.col("w"), k, n).isin(own))
+    return F.struct(F.lit(scale).alias("scale"), F.lit(2 << scale).alias("size"), F.lit(max(1, (2 << scale) // 4)).alias("step"), near.alias("near"))
+
+
 def scan(docs: DataFrame, params: LicenseParams = LicenseParams(), templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """doc_id, license, containment, first_word, last_word, n_windows of each license in a document."""
     spark, n = docs.sparkSession, params.words
@@ -80,17 +86,20 @@ def scan(docs: DataFrame, params: LicenseParams = LicenseParams(), templates: di
     rows = computed_once(docs.select("doc_id", "text"), "w", words_of(whole_text()), "doc_id")
     at = F.filter(F.sequence(F.lit(0), F.size("w") - n), lambda k: shingle(F.col("w"), k, n).isin(vocabulary))
     rows = computed_once(rows, "hits", F.when(F.size("w") >= n, at), "doc_id", "w").filter(F.size("hits") > 0)
-    # windows of each scale around the hits
-    steps = F.array(*(F.struct(F.lit(s).alias("scale"), F.lit(2 << s).alias("size"), F.lit(max(1, (2 << s) // 4)).alias("step")) for s in scales))
-    rows = rows.select("doc_id", "w", "hits", F.explode(steps).alias("s")).select("doc_id", "w", "hits", "s.*")
-    begins = "array_distinct(flatten(transform(hits, p -> transform(sequence(greatest(0, p - size + step) div step, p div step), q -> cast(q * step as int)))))"
+    # windows of each scale around the hits of its templates
+    own = {s: sorted({x for r in known if r["scale"] == s for x in r["parts"]}) for s in scales}
+    steps = F.array(*(_step(s, own[s], n) for s in scales))
+    rows = computed_once(rows, "s", F.filter(steps, lambda s: F.size(s["near"]) > 0), "doc_id", "w").select("doc_id", "w", F.explode("s").alias("s")).select("doc_id", "w", "s.*")
+    begins = "array_distinct(flatten(transform(near, p -> transform(sequence(greatest(0, p - size + step) div step, p div step), q -> cast(q * step as int)))))"
     rows = rows.select("doc_id", "w", "scale", "size", F.explode(F.expr(begins)).alias("begin"))
     count = F.least(F.col("size"), F.size("w") - n + 1 - F.col("begin"))
     rows = computed_once(rows, "window", F.transform(F.sequence(F.lit(0), count - 1), lambda k: shingle(F.col("w"), F.col("begin") + k, n)), "doc_id", "scale", "begin")
-    banded = rows.select("doc_id", "scale", "begin", "window", F.explode(band_values(F.col("window"), params.bands)).alias("b"))
     keys = table.select("license", "parts", F.col("scale").alias("t_scale"), F.explode(band_values(F.col("parts"), params.bands)).alias("t"))
-    held = F.broadcast(keys)  # templates x bands rows
-    met = banded.join(held, (F.col("scale") == F.col("t_scale")) & (F.col("b.band") == F.col("t.band")) & (F.col("b.value") == F.col("t.value")))
+    values = sorted({r["value"] for r in keys.select("t.value").distinct().collect()})  # templates x bands rows at most
+    # bands that no template has are dropped before they become rows
+    met = F.filter(band_values(F.col("window"), params.bands), lambda b: b["value"].isin(values))
+    banded = rows.select("doc_id", "scale", "begin", "window", F.explode(met).alias("b"))
+    met = banded.join(F.broadcast(keys), (F.col("scale") == F.col("t_scale")) & (F.col("b.band") == F.col("t.band")) & (F.col("b.value") == F.col("t.value")))
     # verified at once: a window met in several bands passes as often, which the sum below undoes
     shared = F.size(F.array_intersect("window", "parts"))
     good = met.withColumn("shared", shared).withColumn("n", F.size("parts")).filter(F.lit(100) * F.col("shared") >= F.lit(params.percent) * F.col("n"))
