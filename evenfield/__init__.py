@@ -1,0 +1 @@
+"""Illumination correction of large tiled 3-D microscopy volumes on Spark DataFrames, and corpus operators."""
