@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 AXES = "xyz"
 
@@ -21,7 +22,7 @@ def compose(affines: list[list[float]]) -> list[float]:
     return whole[:3].ravel().tolist()
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def inverse_affine(affine: pd.Series) -> pd.Series:
     matrices = np.zeros((len(affine), 4, 4))
     matrices[:, :3] = np.array(affine.tolist(), float).reshape(-1, 3, 4)
