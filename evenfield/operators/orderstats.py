@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
+from fractions import Fraction
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from ..model import LEVELS
 
 MIN_DEPTH = 21
+#: The deepest columns are so many times 21 planes.
+MOST_BLOCKS = 1000
 
 
 def block_size(depth: int) -> int:
@@ -23,21 +26,30 @@ def block_size_column(depth: Column) -> Column:
     return (F.floor((depth - 1) / MIN_DEPTH) * MIN_DEPTH).cast("int")
 
 
-def r7_position(n: int, q: Decimal | float) -> tuple[int, float]:
-    """(rank from 1, weight of the next rank) of a quantile among n values by the R-7 rule, exactly rounded once."""
-    q = Decimal(str(q))
-    place = float(n * q + (1 - q))
+def r7_position(n: int, q: float) -> tuple[int, float]:
+    """(rank from 1, weight of the next rank) of a quantile among n values by the R-7 rule: n * q + (1 - q), rounded once."""
+    place = float(n * Fraction(q) + Fraction(1.0 - q))
     rank = min(max(int(place), 1), max(n - 1, 1))
     return rank, min(max(place - rank, 0.0), 1.0)
 
 
-def r7_quantile(sorted_values: Column, n: Column, percent: int) -> Column:
-    """The R-7 quantile of an ascending array of ``n`` values."""
-    place = (n * percent + (100 - percent)) / 100
-    rank = F.greatest(F.least(F.floor(place), n - 1), F.lit(1)).cast("int")
-    weight = F.least(F.greatest(place - rank, F.lit(0.0)), F.lit(1.0))
-    low, high = F.get(sorted_values, rank - 1), F.get(sorted_values, F.least(rank, n - 1).cast("int"))
-    return low + weight * (high - low)
+@lru_cache(maxsize=1)
+def _positions() -> list[tuple[int, list[int], list[float]]]:
+    found = [(n, [r7_position(n, q / 100) for q in LEVELS]) for n in range(MIN_DEPTH, MIN_DEPTH * MOST_BLOCKS + 1, MIN_DEPTH)]
+    return [(n, [r for r, _ in places], [w for _, w in places]) for n, places in found]
+
+
+def with_quantiles(rows: DataFrame) -> DataFrame:
+    """rows (with value) and qs, the 21 quantiles (1 - w) * low + w * high of each value array.
+
+    Ranks and weights are the same for all arrays of a length; lengths are multiples of 21, and the table that is
+    broadcast has a row for each up to MOST_BLOCKS of them.
+    """
+    table = rows.sparkSession.createDataFrame(_positions(), "of_size int, ranks array<int>, weights array<double>")
+    rows = rows.withColumn("sorted", F.array_sort("value")).withColumn("p", F.size("value"))
+    rows = rows.join(F.broadcast(table), F.col("p") == F.col("of_size"), "left")
+    known = F.when(F.col("of_size").isNotNull() | F.raise_error(F.format_string("columns of %d values are too deep", F.col("p"))), F.col("ranks"))
+    return rows.withColumn("ranks", known).withColumn("qs", F.expr("zip_with(ranks, weights, (r, w) -> (1 - w) * get(sorted, r - 1) + w * get(sorted, r))")).drop("sorted", "p", "of_size", "ranks", "weights")
 
 
 def camera_depth(voxels: DataFrame) -> DataFrame:
@@ -69,9 +81,7 @@ def merge(fits: DataFrame, *keys: str) -> DataFrame:
 
 def quantile_planes(merged: DataFrame, *keys: str) -> DataFrame:
     """Rows (keys, plane, v): 21 rounded quantiles of every merged column."""
-    rows = merged.withColumn("s", F.array_sort("value")).withColumn("p", F.size("value"))
-    planes = F.array(*(F.struct(F.lit(k).alias("plane"), F.rint(r7_quantile(F.col("s"), F.col("p"), q)).cast("int").alias("v")) for k, q in enumerate(LEVELS)))
-    return rows.select(*keys, F.explode(planes).alias("q")).select(*keys, "q.plane", "q.v")
+    return with_quantiles(merged).select(*keys, F.posexplode("qs").alias("plane", "q")).select(*keys, "plane", F.rint("q").cast("int").alias("v"))
 
 
 def column_stats(voxels: DataFrame) -> DataFrame:
@@ -90,9 +100,8 @@ def background_profile(fits: DataFrame, thresholds: DataFrame, stride: int = 8)
     Every ``stride``-th pixel of either axis is looked at; sums and counts are partial aggregates.
     """
     rows = fits.filter((F.col("x") % stride == 0) & (F.col("y") % stride == 0)).join(F.broadcast(thresholds.select("camera", "threshold")), "camera").filter("vmax < threshold")
-    rows = rows.withColumn("s", F.array_sort("value")).withColumn("p", F.size("value"))
-    planes = F.array(*(F.struct(F.lit(k).alias("plane"), r7_quantile(F.col("s"), F.col("p"), q).alias("q")) for k, q in enumerate(LEVELS)))
-    return rows.select("camera", F.explode(planes).alias("e")).groupBy("camera", F.col("e.plane").alias("plane")).agg(F.avg("e.q").alias("level"), F.count(F.lit(1)).alias("n_columns"))
+    rows = with_quantiles(rows).select("camera", F.posexplode("qs").alias("plane", "q"))
+    return rows.groupBy("camera", "plane").agg(F.avg("q").alias("level"), F.count(F.lit(1)).alias("n_columns"))
 
 
 def raw_stack(voxels: DataFrame) -> DataFrame:

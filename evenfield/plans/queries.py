@@ -25,7 +25,13 @@ DEPTH = "depth AS (SELECT camera, min(n) AS depth FROM (SELECT camera, setup, ma
 SIZED = "sized AS (SELECT camera, depth, CAST(floor((depth - 1) / 21) * 21 AS INT) AS p FROM depth)"
 RANKED = """ranked AS (SELECT camera, setup, y, x, p, b, row_number() OVER (PARTITION BY camera, setup, y, x, b ORDER BY v) AS k, v
   FROM (SELECT voxel.*, p, z // p AS b FROM voxel JOIN sized USING (camera) WHERE z < (depth // p) * p))"""
-MERGED = "merged AS (SELECT camera, y, x, k, avg(CAST(v AS DOUBLE)) AS value FROM ranked GROUP BY camera, y, x, k)"
+FITS = "fits AS (SELECT camera, setup, y, x, p, k, sum(v) / CAST(count(*) AS DOUBLE) AS value FROM ranked GROUP BY camera, setup, y, x, p, k)"
+# the setups' columns folded in order, as the operator does it
+MERGED = """five AS (SELECT camera, y, x, p, k, max(value) FILTER (setup % 5 = 0) AS a, max(value) FILTER (setup % 5 = 1) AS b, max(value) FILTER (setup % 5 = 2) AS c, max(value) FILTER (setup % 5 = 3) AS d, max(value) FILTER (setup % 5 = 4) AS e FROM fits GROUP BY camera, y, x, p, k),
+  two AS (SELECT *, a + CAST(0.5 AS DOUBLE) * (b - a) AS m2 FROM five), three AS (SELECT *, m2 + (CAST(1 AS DOUBLE) / 3) * (c - m2) AS m3 FROM two), four AS (SELECT *, m3 + CAST(0.25 AS DOUBLE) * (d - m3) AS m4 FROM three),
+  merged AS (SELECT camera, y, x, p, k, m4 + (CAST(1 AS DOUBLE) / 5) * (e - m4) AS value FROM four)"""
+PLACES = "places(p, plane, rank, w) AS (VALUES " + ", ".join(f"({n}, {k}, {r}, {w!r}::DOUBLE)" for n in range(21, 421, 21) for k, (r, w) in enumerate(orderstats.r7_position(n, q / 100) for q in LEVELS)) + ")"
+PLANES = "planes AS (SELECT camera, y, x, plane, CAST(round_even((1 - w) * s[rank] + w * s[rank + 1], 0) AS INT) AS v FROM (SELECT camera, y, x, p, list(value ORDER BY value) AS s FROM merged GROUP BY camera, y, x, p) JOIN places USING (p))"
 QUANTILES = "[" + ", ".join(f"{q / 100}" for q in LEVELS) + "]"
 HIST = "hist AS (SELECT setup, v, count(*) AS n FROM voxel GROUP BY setup, v)"
 OTSU = """upto AS (SELECT setup, v, CAST(sum(n) OVER w AS DOUBLE) AS w0, CAST(sum(n * v) OVER w AS DOUBLE) AS s0, CAST(sum(n) OVER t AS DOUBLE) AS w, CAST(sum(n * v) OVER t AS DOUBLE) AS s FROM hist
@@ -33,7 +39,7 @@ OTSU = """upto AS (SELECT setup, v, CAST(sum(n) OVER w AS DOUBLE) AS w0, CAST(su
   between_ AS (SELECT setup, v, CASE WHEN w0 < w THEN w0 * (w - w0) * (s0 / w0 - (s - s0) / (w - w0)) * (s0 / w0 - (s - s0) / (w - w0)) ELSE -1 END AS b FROM upto),
   otsu AS (SELECT setup, CAST(v AS DOUBLE) AS threshold FROM (SELECT setup, v, row_number() OVER (PARTITION BY setup ORDER BY b DESC, v) AS r FROM between_) WHERE r = 1)"""
 BASE = f"WITH {VIEW}"
-STATS = f"{BASE}, {DEPTH}, {SIZED}, {RANKED}, {MERGED}"
+STATS = f"{BASE}, {DEPTH}, {SIZED}, {RANKED}, {FITS}, {MERGED}, {PLACES}, {PLANES}"
 TILES = f"{BASE}, {HIST}, {OTSU}"
 
 
@@ -62,8 +68,7 @@ def camera_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderstats.camera_depth(embedding_voxels(spark, sf_dir))
 
 
-@query(f"""{STATS}, q AS (SELECT camera, y, x, quantile_cont(value, {QUANTILES}) AS qs FROM merged GROUP BY camera, y, x)
-SELECT camera, y, x, CAST(i - 1 AS INT) AS plane, CAST(round_even(qs[i], 0) AS INT) AS v FROM (SELECT camera, y, x, qs, unnest(range(1, 22)) AS i FROM q)""")
+@query(f"{STATS} SELECT camera, y, x, CAST(plane AS INT) AS plane, v FROM planes")
 def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderstats.column_stats(embedding_voxels(spark, sf_dir))
 
@@ -161,18 +166,16 @@ def emptiness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROFILE_AT = 1500.0
 
 
-@query(f"""{STATS}, fits AS (SELECT camera, setup, y, x, k, avg(CAST(v AS DOUBLE)) AS value FROM ranked WHERE x % 8 = 0 AND y % 8 = 0 GROUP BY ALL),
-  tops AS (SELECT camera, setup, y, x, max(v) AS vmax FROM voxel JOIN depth USING (camera) WHERE z < depth GROUP BY camera, setup, y, x),
-  q AS (SELECT camera, setup, y, x, quantile_cont(value, {QUANTILES}) AS qs FROM fits JOIN tops USING (camera, setup, y, x) WHERE vmax < {PROFILE_AT} GROUP BY ALL)
+@query(f"""{STATS}, tops AS (SELECT camera, setup, y, x, max(v) AS vmax FROM voxel JOIN depth USING (camera) WHERE z < depth GROUP BY camera, setup, y, x),
+  q AS (SELECT camera, setup, y, x, quantile_cont(value, {QUANTILES}) AS qs FROM fits JOIN tops USING (camera, setup, y, x) WHERE x % 8 = 0 AND y % 8 = 0 AND vmax < {PROFILE_AT} GROUP BY ALL)
 SELECT camera, CAST(i - 1 AS INT) AS plane, round(avg(qs[i]), 6) AS level, count(*) AS n_columns FROM (SELECT camera, qs, unnest(range(1, 22)) AS i FROM q) GROUP BY camera, i""")
 def background_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     voxels = embedding_voxels(spark, sf_dir)
     return rounded(orderstats.background_profile(orderstats.fit(voxels), thresholds.pooled(voxels, PROFILE_AT)))
 
 
-@query(f"""{STATS}, {COLUMNS}, {PIXELS}, {LEVEL}, q AS (SELECT camera, y, x, quantile_cont(value, {QUANTILES}) AS qs FROM merged GROUP BY camera, y, x),
-  planes AS (SELECT camera, y, x, CAST(i - 1 AS INT) AS plane, round_even(qs[i], 0) AS v FROM (SELECT camera, y, x, qs, unnest(range(1, 22)) AS i FROM q))
-SELECT camera, plane, y, x, round(CASE WHEN level IS NULL THEN v ELSE least(greatest((v - least(phi, 0.9) * level) / (1 - least(phi, 0.9)), 0), 65535) END, 6) AS v FROM planes JOIN pixels USING (camera, y, x) JOIN lev USING (camera)""")
+@query(f"""{STATS}, {COLUMNS}, {PIXELS}, {LEVEL}
+SELECT camera, CAST(plane AS INT) AS plane, y, x, round(CASE WHEN level IS NULL THEN v ELSE least(greatest((v - least(phi, 0.9) * level) / (1 - least(phi, 0.9)), 0), 65535) END, 6) AS v FROM planes JOIN pixels USING (camera, y, x) JOIN lev USING (camera)""")
 def unmix_qstack(spark: SparkSession, sf_dir: str) -> DataFrame:
     pixels = emptiness.by_pixel(_columns(spark, sf_dir))
     return rounded(unmix.unmix(orderstats.column_stats(embedding_voxels(spark, sf_dir)), pixels, emptiness.background_level(pixels)))
