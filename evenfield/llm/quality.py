@@ -34,7 +34,7 @@ FAILING_WORDS, FAILING_SHARE, WINDOW = 10, 20, 5
 class QualityParams:
     buckets: int = 1 << 16
     label_bound: int = 20_000
-    smoothing: float = 1.0
+    smoothing: float = 5.0  # counts added to both sides of a ratio: features too rare to judge by weigh nothing
     loss: float = 0.002
     neutral: int = 16  # features of ratio 0 that every document is given, so a few odd words don't decide short texts
 
@@ -127,9 +127,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qual
     trusted[counts["bucket"].to_numpy()] = counts["trusted"].to_numpy()
     if not trusted.sum():
         return QualityModel(np.zeros(n), -np.inf)
-    ratio = np.log((trusted + params.smoothing * raw / raw.sum()) / (trusted.sum() + params.smoothing)) - np.log(np.maximum(raw, 0.5) / raw.sum())
-    ratio = np.maximum(ratio, -8.0)
-    ratio[raw == 0] = 0.0
+    expected = raw * (trusted.sum() / raw.sum())
+    ratio = np.log((trusted + params.smoothing) / (expected + params.smoothing))
     scored = score_quality(docs.select("doc_id", "text").join(sample, "doc_id"), QualityModel(ratio, -np.inf), params, ("good",)).select("good", "score", "base_failed").toArrow()
     score = scored["score"].to_numpy()
     good = scored["good"].to_numpy(zero_copy_only=False).astype(bool) & ~scored["base_failed"].to_numpy(zero_copy_only=False).astype(bool)
