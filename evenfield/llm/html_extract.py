@@ -66,7 +66,7 @@ def walk(page: str) -> Iterator[tuple[str, int, list[tuple[str, int]]]]:
     stack: list[tuple[str, str, int, bool, bool]] = [("", "", 0, False, False)]
     count, links, link_chars = 0, 0, 0
     pieces: list[str] = []
-    containers: list[tuple[str, int]] = []
+    containers: list[tuple[str, int]] = [("", 0)]  # the page itself
     while at < size:
         m = match(page, at)
         at = m.end()
@@ -159,7 +159,7 @@ def blocks(page: str) -> list[tuple[str, int, list[tuple[str, int]]]]:
 
 
 #: What a container's tag is worth.
-PRIOR = {"article": 3.0, "main": 2.0, "body": 0.5, "html": 0.1}
+PRIOR = {"article": 3.0, "main": 2.0, "body": 0.5, "html": 0.1, "": 0.1}
 
 
 def best_container(found: list[tuple[str, int, list[tuple[str, int]]]]) -> tuple[str, int, float] | None:
