@@ -1,15 +1,20 @@
-"""python -m evenfield --config FILE {run PIPELINE | STAGE | set NAME=VALUE …}"""
+"""python -m evenfield --config FILE {run PIPELINE | STAGE | submit PIPELINE | set NAME=VALUE …}"""
 
 from __future__ import annotations
 
 import argparse
 import ast
+import sys
+from pathlib import Path
 
-from . import config
-from .plans import pipeline
-from .session import ship_package
+if not __package__:  # run by its path, as spark-submit does
+    sys.path[0] = str(Path(__file__).resolve().parents[1])
 
-STAGES = ("emptiness", "stats", "qstack", "basic", "int-stats", "int-aggregate", "correct", "int-apply")
+from evenfield import config
+from evenfield.plans import pipeline
+from evenfield.session import ship_package
+
+STAGES = ("emptiness", "stats", "qstack", "basic", "int-stats", "int-aggregate", "correct", "int-apply", "export")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -26,11 +31,22 @@ def parser() -> argparse.ArgumentParser:
         stage = commands.add_parser(name)
         stage.add_argument("--mode", default="intensity" if name == "int-apply" else "auto")
         stage.add_argument("--apply-basic", action="store_true")
+    submit = commands.add_parser("submit")
+    submit.add_argument("pipeline", choices=tuple(pipeline.PIPELINES))
+    submit.add_argument("--executors", type=int, default=0, help="0: as many as the cluster gives")
+    submit.add_argument("--memory", default="8g")
     put = commands.add_parser("set")
     put.add_argument("changes", nargs="+")
     return top
 
 
+def submission(config_path: str, name: str, executors: int, memory: str) -> str:
+    """The spark-submit line that runs a pipeline on a cluster; lost and slow tasks are the scheduler's."""
+    sizing = f"--num-executors {executors}" if executors else "--conf spark.dynamicAllocation.enabled=true"
+    here = Path(__file__).resolve()
+    return f"spark-submit {sizing} --executor-memory {memory} --conf spark.task.maxFailures=8 --conf spark.speculation=true {here} --config {Path(config_path).resolve()} run {name}"
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     settings = config.load(args.config)
@@ -44,6 +60,9 @@ def main(argv: list[str] | None = None) -> int:
                 changes[name] = value
         config.save(settings, args.config, **changes)
         return 0
+    if args.command == "submit":
+        print(submission(args.config, args.pipeline, args.executors, args.memory))
+        return 0
     if args.command == "run" and args.dry_run:
         print("\n".join(pipeline.plan(args.pipeline, args.start_at, args.stop_after)))
         return 0

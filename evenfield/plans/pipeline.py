@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..functions.columns import basic_corrected
 from ..operators import correct as correcting
 from ..operators import emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
 from ..sources import spimdata, stores, tiff
@@ -88,24 +89,42 @@ class Run:
         s = self.settings
         return stores.to_voxels(stores.chunks(self.spark, s.input_path, s.input_format, s.setups, level), self.cameras)
 
+    def at_level(self, level: int) -> tuple[DataFrame, tuple[int, int, int]]:
+        """The voxels of a level and its (z, y, x) factors: the stored level, or level 0 averaged in the plane by powers of two."""
+        if not level:
+            return self.voxels(), (1, 1, 1)
+        s = self.settings
+        if self._voxels is None:
+            shapes = stores.pyramid_shapes(s.input_path, s.input_format, s.setups[0])
+            if level < len(shapes):
+                return self.voxels(level), tuple(max(round(a / b), 1) for a, b in zip(shapes[0], shapes[level]))
+        return levels.downsample(self.voxels(), 1, 2**level, 2**level), (1, 2**level, 2**level)
+
+    def coarse_level(self) -> int:
+        """The level that emptiness is measured at: the coarsest stored one whose frame is wide enough."""
+        s = self.settings
+        return 0 if self._voxels is not None else levels.coarsest_level(stores.pyramid_shapes(s.input_path, s.input_format, s.setups[0]))
+
     def tiles(self) -> DataFrame:
         return self._tiles if self._tiles is not None else spimdata.tiles(self.spark, self.settings.dataset_xml)
 
-    def seen(self) -> DataFrame:
-        """The voxels as the intensity stages see them: corrected by the fields if these are applied."""
+    def seen(self) -> tuple[DataFrame, tuple[int, int, int]]:
+        """The voxels as the intensity stages see them, at their level, corrected by the fields if these are applied."""
+        rows, factors = self.at_level(self.settings.stats_scale)
         if not self.apply_basic:
-            return self.voxels()
-        rows = self.voxels().join(correcting.floored(self.read("fields"), self.settings.flat_floor), ["camera", "y", "x"])
-        from ..functions.columns import basic_corrected
-
-        return rows.select("camera", "setup", "z", "y", "x", basic_corrected(F.col("v").cast("double"), F.col("flat"), F.col("dark")).alias("v"))
+            return rows, factors
+        fields = correcting.floored(self.read("fields"), self.settings.flat_floor)
+        if factors[1:] != (1, 1):
+            fields = levels.block_mean(fields, factors[1], factors[2], "flat", "dark")
+        rows = rows.join(fields, ["camera", "y", "x"])
+        return rows.select("camera", "setup", "z", "y", "x", basic_corrected(F.col("v").cast("double"), F.col("flat"), F.col("dark")).alias("v")), factors
 
     # ------------------------------------------------------------- stages
 
     def emptiness(self) -> None:
         if self.has("empty_tiles") and self.has("empty_pixels"):
             return
-        s, voxels = self.settings, self.voxels()
+        s, voxels = self.settings, self.at_level(self.coarse_level())[0]
         mode = "otsu" if s.tile_threshold == "pooled" else s.tile_threshold
         limits = self.keep("empty_threshold", thresholds.pooled(voxels, mode, s.otsu_sample_voxels))
         cols = emptiness.columns(voxels, limits, s.empty_occupancy_floor)
@@ -114,7 +133,7 @@ class Run:
         self.keep("background", emptiness.background_level(pixels, s.background_percentile))
 
     def stats(self) -> None:
-        fits = self.keep("column_fits", orderstats.fit(self.voxels()))
+        fits = self.keep("column_fits", orderstats.fit(self.at_level(self.settings.basic_stats_level)[0]))
         merged = orderstats.merge(fits, "camera", "y", "x")
         self.keep("column_stats", orderstats.quantile_planes(merged, "camera", "y", "x"))
         self.keep("column_extrema", merged.select("camera", "y", "x", "vmin", "vmax", "n"))
@@ -125,22 +144,37 @@ class Run:
         planes = self.read("column_stats")
         if self.settings.basic_unmix_empty:
             profile = self.read("background_profile") if self.has("background_profile") else self.read("background")
-            stack = unmix.unmix(planes, self.read("empty_pixels"), profile)
+            stack = unmix.unmix(planes, self._in_frame(self.read("empty_pixels"), planes), profile)
         else:
             stack = planes.select("camera", "plane", "y", "x", F.col("v").cast("double").alias("v"))
-        shallow = orderstats.raw_stack(self.voxels().join(F.broadcast(unmix.shallow_cameras(self.voxels())), "camera", "left_semi"))
+        voxels = self.at_level(self.settings.basic_stats_level)[0]
+        shallow = orderstats.raw_stack(voxels.join(F.broadcast(unmix.shallow_cameras(voxels)), "camera", "left_semi"))  # a row per camera
         self.keep("qstack", stack.unionByName(shallow.withColumn("v", F.col("v").cast("double"))))
 
+    def _in_frame(self, pixels: DataFrame, planes: DataFrame) -> DataFrame:
+        """The empty part of each pixel, resized from the frame it was measured in to that of the planes."""
+        frame = lambda rows: tuple(rows.agg(F.max("y") + 1, F.max("x") + 1).first())
+        own, wanted = frame(pixels), frame(planes)
+        return pixels if own == wanted else levels.resize(pixels.select("camera", "y", "x", "phi"), own, wanted, "phi")
+
     def basic(self) -> None:
         s, measured = self.settings, None
         if s.basic.override_darkfield is True:
             measured = self.read("background").agg(F.avg("level")).first()[0]
-        fields = self.keep("fields", flatfield.fit_cameras(self.read("qstack"), s.basic.params(measured), s.basic.autotune))
+        factors = self.at_level(s.basic_stats_level)[1]
+        fields = flatfield.fit_cameras(self.read("qstack"), s.basic.params(measured), s.basic.autotune)
+        if factors[1:] != (1, 1):  # fitted on a coarse level: brought to the full frame
+            fields = self.keep("fields_coarse", fields)
+            full = tuple(self.voxels().agg(F.max("y") + 1, F.max("x") + 1).first())
+            own = tuple(fields.agg(F.max("y") + 1, F.max("x") + 1).first())
+            flat, dark = (levels.resize(fields.select("camera", "y", "x", c), own, full, c) for c in ("flat", "dark"))
+            fields = flat.join(dark, ["camera", "y", "x"])
+        fields = self.keep("fields", fields)
         if self.has("background"):
             self.keep("dark_check", flatfield.collapsed_dark(fields, self.read("background")))
 
     def int_stats(self) -> None:
-        s, voxels = self.settings, self.seen()
+        s, voxels = self.settings, self.seen()[0]
         found = self.keep("thresholds", thresholds.catalogue(thresholds.histogram(voxels, "setup"), "setup"))
         if s.tile_threshold == "pooled":
             own = self.cameras.join(self.read("empty_threshold"), "camera").select("setup", "threshold")
@@ -160,11 +194,12 @@ class Run:
         found = self.keep("pairs", pairs.usable_pairs(geometry.overlap_pairs(boxes), usable))
         floor = "tile" if s.gain_floor == "threshold" else s.gain_floor
         floors = pairs.floors(stats.select("setup", "threshold").join(self.read("thresholds"), "setup"), floor)
-        sides = [geometry.pixel_ranges(found, self.tiles(), side) for side in "ab"]
+        voxels, factors = self.seen()
+        sides = [geometry.pixel_ranges(found, self.tiles(), side, factors[::-1]) for side in "ab"]
         measure = pairs.intersection if s.gain_estimator == "intersection" else pairs.independent
-        measured = self.keep("pair_medians", pairs.gated(measure(self.seen(), *sides, floors), s.min_overlap_foreground, s.min_overlap_fraction))
+        measured = self.keep("pair_medians", pairs.gated(measure(voxels, *sides, floors), s.min_overlap_foreground, s.min_overlap_fraction))
         if s.gain_estimator == "intersection":
-            self.keep("pair_drift", pairs.drift(self.seen(), *sides, floors))
+            self.keep("pair_drift", pairs.drift(voxels, *sides, floors))
         groups = self.cameras.select("setup", F.col("camera" if s.gain_grouping == "camera" else "setup").alias("grp"))
         solved = self.keep("gains", gains.solve(pairs.constraints(measured), groups, s.penalty))
         self.keep("gain_summary", gains.camera_summary(solved, self.cameras))
@@ -231,9 +266,36 @@ class Run:
 
         chunked.foreachPartition(sink)
 
+    def export(self, folder: str) -> None:
+        """The small results as files: each camera's fields and empty part as TIFF planes, gains and targets as JSON."""
+        import numpy as np
+
+        names = {"flat": ("fields", "Flat-field"), "dark": ("fields", "Dark-field"), "phi": ("empty_pixels", "Empty-fraction")}
+        for value, (table, name) in names.items():
+            if not self.has(table):
+                continue
+            for camera in range(len(self.settings.cameras)):  # a camera's plane at a time
+                rows = self.read(table).filter(F.col("camera") == camera).select("y", "x", value).toPandas()
+                if len(rows):
+                    plane = np.zeros((rows["y"].max() + 1, rows["x"].max() + 1), np.float32)
+                    plane[rows["y"], rows["x"]] = rows[value]
+                    tiff.write_plane(f"{folder}/camera{camera + 1}/{name}.tif", plane)
+        if self.has("qstack"):
+            for camera in range(len(self.settings.cameras)):
+                rows = self.read("qstack").filter(F.col("camera") == camera).toPandas()
+                if len(rows):
+                    stack = np.zeros([rows[c].max() + 1 for c in ("plane", "y", "x")], np.uint16)
+                    stack[rows["plane"], rows["y"], rows["x"]] = np.rint(rows["v"])
+                    tiff.write(f"{folder}/camera{camera + 1}/qstack.tif", list(stack))
+        if self.has("targets"):
+            rows = self.read("targets").toPandas()  # a row per setup
+            stores.write_json(f"{folder}/intensity_target.json", {"apply_basic": self.apply_basic, "setups": {str(r["setup"]): {k: (None if v != v else v) for k, v in r.items()} for r in rows.to_dict("records")}, "limits": self.settings.limits.__dict__})
+
     def stage(self, name: str, mode: str) -> None:
         if name == "correct":
             self.correct(mode)
+        elif name == "export":
+            self.export(self.settings.results_root)
         else:
             getattr(self, name.replace("-", "_"))()
 

@@ -51,7 +51,7 @@ def test_translations_are_taken_over(tmp_path):
 
 def test_whole_pipeline(spark, tmp_path):
     settings = config.Settings(results_root=str(tmp_path / "results"), output_path=str(tmp_path / "out"), output_format="zarr3", setup_ids=((0, 1), (2, 3)), chunk_size=(8, 8, 8), shard_size=(8, 8, 16),
-                               tile_threshold="li", min_overlap_foreground=16, basic=config.Fitting(autotune=False, max_iterations=30, max_reweighting_iterations=2))
+                               stats_scale=0, tile_threshold="li", min_overlap_foreground=16, basic=config.Fitting(autotune=False, max_iterations=30, max_reweighting_iterations=2))
     source = {"voxels": lambda: voxels(spark), "tiles": geometry(spark)}
     assert pipeline.run(spark, settings, "both", **source) == list(pipeline.PIPELINES["both"])
     now = pipeline.Run(spark, settings, True, **source)
@@ -71,6 +71,22 @@ def test_whole_pipeline(spark, tmp_path):
     assert len(list((tmp_path / "tiff").glob("*.ome.tif"))) == 4
 
 
+def test_coarse_levels_and_exports(spark, tmp_path):
+    from evenfield.sources import tiff
+
+    fit = config.Fitting(autotune=False, max_iterations=10, max_reweighting_iterations=1)
+    settings = config.Settings(results_root=str(tmp_path), setup_ids=((0, 1), (2, 3)), stats_scale=1, basic_stats_level=1, basic_unmix_empty=True, tile_threshold="pooled", min_overlap_foreground=4, gain_grouping="tile", gain_estimator="independent", basic=fit)
+    source = {"voxels": lambda: voxels(spark), "tiles": geometry(spark)}
+    pipeline.run(spark, settings, "both", None, "int-aggregate", **source)
+    now = pipeline.Run(spark, settings, True, **source)
+    assert now.read("fields").count() == 2 * 64 and now.read("fields_coarse").count() == 2 * 16
+    assert now.read("tile_stats").first()["n_voxels"] == 24 * 16
+    now.stage("export", "auto")
+    flat = tiff.read_plane(tmp_path / "camera1/Flat-field.tif", (8, 8))
+    assert flat.shape == (8, 8) and len(tiff.read(tmp_path / "camera2/qstack.tif")[0]) == 21
+    assert (tmp_path / "intensity_target.json").exists()
+
+
 def test_plans_and_modes():
     assert pipeline.plan("basic", "qstack", "basic") == ["qstack", "basic"]
     for wrong in (("none",), ("basic", "correct", "stats"), ("basic", "int-stats")):
@@ -102,6 +118,8 @@ def test_command_line(tmp_path, capsys):
     path.write_text('[BigFlatFieldIlluminator]\nresults_root = "r"\n')
     assert cli.main(["--config", str(path), "run", "both", "--start-at", "basic", "--dry-run"]) == 0
     assert capsys.readouterr().out.split() == ["basic", "int-stats", "int-aggregate", "correct"]
+    cli.main(["--config", str(path), "submit", "both", "--executors", "4"])
+    assert "--num-executors 4" in capsys.readouterr().out
     cli.main(["--config", str(path), "set", "tile_threshold=500", "gain_grouping=tile"])
     assert config.load(path).tile_threshold == 500
 
