@@ -30,6 +30,10 @@ from pyspark.sql import functions as F
 from .common import cut, read_table, shuffle_partitions, whole_text
 
 
+#: Parts that a source's stream is counted in; with at most cycle / 4 sources this bounds what is broadcast.
+MOST_SALTS = 1024
+
+
 @dataclass(frozen=True)
 class MixParams:
     block_chars: int = 1 << 16
@@ -134,7 +138,7 @@ def _plan(docs: DataFrame, params: MixParams, salts: int):
 
 def placed(docs: DataFrame, params: MixParams = MixParams()) -> tuple[DataFrame, int]:
     """``docs`` with __block, __phase, __release, __deadline and __slot, and the number of slots."""
-    salts = 4 * shuffle_partitions(docs.sparkSession)
+    salts = min(4 * shuffle_partitions(docs.sparkSession), MOST_SALTS)
     before, table, slots = _plan(docs, params, salts)
     own = _streams(docs, params, salts)
     # (source, salt) totals and the schedule are bounded by sources x salts and sources x phases
