@@ -22,6 +22,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +55,21 @@ class HtmlParams:
     salts: int = 16
 
 
+#: First parts of class names that tell of a page's layout, not of what the element is.
+LAYOUT = frozenset("has no with without is show hide content main page site".split())
+#: Names that only count alone: with another part they stand for an article's own head.
+ALONE = frozenset("header masthead skip widget toolbar signup login notice notices".split())
+
+
+@lru_cache(maxsize=4096)
+def is_boilerplate(name: str) -> bool:
+    """Whether a class, id or role is a word for boilerplate, or begins or ends with one."""
+    if name in BOILERPLATE:
+        return True
+    parts = name.split("-")
+    return len(parts) > 1 and parts[0] not in LAYOUT and any(p in BOILERPLATE and p not in ALONE for p in (parts[0], parts[-1]))
+
+
 def _attribute(pattern: re.Pattern, attrs: str) -> str:
     return " ".join(a or b or c for a, b, c in pattern.findall(attrs)).lower()
 
@@ -131,7 +147,7 @@ def walk(page: str) -> Iterator[tuple[str, int, list[tuple[str, int]]]]:
             if classes:
                 marked = tag + "." + ".".join(sorted({re.sub(r"\d+", "", c) for c in classes.split()}))
             if not dropped and tag not in ("html", "body", "article", "main"):
-                dropped = any(c in BOILERPLATE for c in _attribute(CLASS, attrs).replace("_", "-").split())
+                dropped = any(map(is_boilerplate, _attribute(CLASS, attrs).replace("_", "-").split()))
             if " hidden" in attrs.lower() and re.search(r"\shidden(?:[\s=/]|$)", attrs.lower()):
                 dropped = True
         if tag == "header" and not any(x[0] in ("article", "main") for x in stack):

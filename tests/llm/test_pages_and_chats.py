@@ -44,6 +44,16 @@ def test_null_empty_cut_and_repeated_pages(spark, most):
     assert html_extract.extract(pages(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "post-comments", "share-buttons", "related", "cookie-notice"])
+def test_names_of_boilerplate(name):
+    assert html_extract.is_boilerplate(name)
+
+
+@pytest.mark.parametrize("name", ["post", "has-sidebar", "no-comments", "entry-header", "advice", "commentary", "content-ad"])
+def test_names_of_content(name):
+    assert not html_extract.is_boilerplate(name)
+
+
 def test_deep_markup_ends(spark):
     deep = "<html><body><article>" + "<div><p><span>" * 400 + "core" + "</span></p></div>" * 400 + "</article></body></html>"
     assert html_extract.main_text(deep, None) == "core"
