@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions.columns import basic_corrected
 from ..operators import correct as correcting
-from ..operators import emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
+from ..operators import blocks, emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
 from ..sources import spimdata, stores, tiff
 from . import flatfield
 
@@ -89,6 +89,13 @@ class Run:
         s = self.settings
         return stores.to_voxels(stores.chunks(self.spark, s.input_path, s.input_format, s.setups, level), self.cameras)
 
+    def chunks(self, level: int = 0) -> DataFrame | None:
+        """The stored chunks of a level, where voxels come from a store of whole levels; bulk stages work on these."""
+        s = self.settings
+        if self._voxels is not None or level >= len(stores.pyramid_shapes(s.input_path, s.input_format, s.setups[0])):
+            return None
+        return stores.chunks(self.spark, s.input_path, s.input_format, s.setups, level)
+
     def at_level(self, level: int) -> tuple[DataFrame, tuple[int, int, int]]:
         """The voxels of a level and its (z, y, x) factors: the stored level, or level 0 averaged in the plane by powers of two."""
         if not level:
@@ -133,7 +140,10 @@ class Run:
         self.keep("background", emptiness.background_level(pixels, s.background_percentile))
 
     def stats(self) -> None:
-        fits = self.keep("column_fits", orderstats.fit(self.at_level(self.settings.basic_stats_level)[0]))
+        level = self.settings.basic_stats_level
+        stored = self.chunks(level)
+        fits = blocks.fit(stored, self.cameras) if stored is not None else orderstats.fit(self.at_level(level)[0])
+        fits = self.keep("column_fits", fits)
         merged = orderstats.merge(fits, "camera", "y", "x")
         self.keep("column_stats", orderstats.quantile_planes(merged, "camera", "y", "x"))
         self.keep("column_extrema", merged.select("camera", "y", "x", "vmin", "vmax", "n"))
@@ -175,7 +185,9 @@ class Run:
 
     def int_stats(self) -> None:
         s, voxels = self.settings, self.seen()[0]
-        found = self.keep("thresholds", thresholds.catalogue(thresholds.histogram(voxels, "setup"), "setup"))
+        stored = None if self.apply_basic else self.chunks(s.stats_scale)
+        counts = blocks.histogram(stored) if stored is not None else thresholds.histogram(voxels, "setup")
+        found = self.keep("thresholds", thresholds.catalogue(counts, "setup"))
         if s.tile_threshold == "pooled":
             own = self.cameras.join(self.read("empty_threshold"), "camera").select("setup", "threshold")
         elif isinstance(s.tile_threshold, str):
@@ -218,7 +230,10 @@ class Run:
 
     def correct(self, mode: str = "auto") -> None:
         """The corrected voxels, written to the settings' output store with its pyramid, or as a table without one."""
-        s, rows = self.settings, self.corrected(mode)
+        s = self.settings
+        if s.output_path and s.out_format != "tiff" and self.chunks() is not None and self._correct_chunks(mode):
+            return
+        rows = self.corrected(mode)
         if not s.output_path:
             self.keep("corrected", rows)
             return
@@ -241,6 +256,31 @@ class Run:
         for k, found in shapes.items():
             stores.write_group(s.output_path, s.out_format, k, [tuple(max(round(a / b), 1) for a, b in zip(found[0], v)) for v in found])
 
+    def _correct_chunks(self, mode: str) -> bool:
+        """Store to store without long rows: possible where the stored files hold whole output chunks and shards.
+
+        The corrected chunks of level 0 are kept as a table, which the levels are averaged from.
+        """
+        s = self.settings
+        found = {k: stores.layout(s.input_path, s.input_format, k) for k in s.setups}
+        sizes = {f.zyx(f.chunk) for f in found.values()}
+        chunk, shard = s.chunk_size[::-1], s.shard_size[::-1]
+        shapes = {k: stores.pyramid_shapes(s.input_path, s.input_format, k) for k in s.setups}
+        factors = {tuple(tuple(max(round(a / b), 1) for a, b in zip(v[0], x)) for x in v) for v in shapes.values()}
+        fits = len(sizes) == 1 and len(factors) == 1 and all(c % own == 0 for c, own in zip(chunk, next(iter(sizes))))
+        if not fits or any(own % f for three in next(iter(factors)) for f, own in zip(three, next(iter(sizes)))):
+            return False
+        mode = resolve_mode(mode, self.has("fields"), self.has("targets"))
+        fields = self.read("fields") if mode != "intensity" else None
+        tiles = correcting.rescaling(self.read("targets"), s.max_gain_scale) if mode != "basic" else None
+        rows = self.keep("corrected_chunks", blocks.correct(self.chunks(), self.cameras, fields, tiles, next(iter(sizes))[1:]))
+        for level, three in enumerate(next(iter(factors))):
+            small = blocks.downsample(rows, *three, level) if level else rows
+            stores.write(small, s.output_path, s.out_format, {k: v[level] for k, v in shapes.items()}, chunk, shard, level)
+        for k in s.setups:
+            stores.write_group(s.output_path, s.out_format, k, list(next(iter(factors))))
+        return True
+
     def _write_tiffs(self, rows: DataFrame, sizes: dict[int, tuple[int, int, int]]) -> None:
         import numpy as np
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import basic_corrected, library_corrected, shrink
 from ..model import LEVELS, embedding_voxels, tiles_in_a_row
 from ..operators import correct as correcting
-from ..operators import emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
+from ..operators import blocks, emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
+from ..sources import stores
 from . import flatfield
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -419,6 +420,39 @@ def tile_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(pairs.floors(found, "li"))
 
 
+#: Chunks (z, y, x) that the block queries cut the voxel view into.
+BLOCK = (8, 4, 4)
+
+
+def _chunks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    voxels = embedding_voxels(spark, sf_dir)
+    return stores.to_chunks(voxels, BLOCK), voxels.select("camera", "setup").distinct()
+
+
+@query(_SQL["column_stats"])
+def block_column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = orderstats.merge(blocks.fit(*_chunks(spark, sf_dir)), "camera", "y", "x")
+    return orderstats.quantile_planes(merged, "camera", "y", "x")
+
+
+@query(_SQL["threshold_catalogue"])
+def block_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(thresholds.catalogue(blocks.histogram(_chunks(spark, sf_dir)[0]), "setup"))
+
+
+@query(_SQL["correct_both"])
+def block_correct_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks, cameras = _chunks(spark, sf_dir)
+    found = blocks.correct(chunks, cameras, known_fields(embedding_voxels(spark, sf_dir)), correcting.rescaling(_targets(spark, sf_dir)), BLOCK[1:])
+    return stores.to_voxels(found, cameras)
+
+
+@query(f"{BASE} SELECT camera, setup, CAST(z // 2 AS INT) AS z, CAST(y // 2 AS INT) AS y, CAST(x // 2 AS INT) AS x, CAST(round_even(avg(v), 0) AS INT) AS v FROM voxel GROUP BY camera, setup, z // 2, y // 2, x // 2")
+def block_pyramid_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks, cameras = _chunks(spark, sf_dir)
+    return stores.to_voxels(blocks.downsample(chunks, 2, 2, 2, 1), cameras)
+
+
 @query()
 def basic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatfield.fit_cameras(orderstats.column_stats(embedding_voxels(spark, sf_dir)))

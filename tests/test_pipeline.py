@@ -87,6 +87,30 @@ def test_coarse_levels_and_exports(spark, tmp_path):
     assert (tmp_path / "intensity_target.json").exists()
 
 
+def test_from_store_to_store(spark, tmp_path):
+    """The chunk path, with a pyramid, gives what the long path gives; chunks that don't fit take the long path."""
+    from evenfield.operators import levels
+
+    source = voxels(spark)
+    shapes = {s: (24, 8, 8) for s in range(4)}
+    stores.write(stores.to_chunks(source, (8, 4, 4)), str(tmp_path / "in"), "n5", shapes, (8, 4, 4), (8, 4, 4))
+    small = levels.downsample(source, 2, 2, 2)
+    stores.write(stores.to_chunks(small, (8, 4, 4), 1), str(tmp_path / "in"), "n5", {s: (12, 4, 4) for s in shapes}, (8, 4, 4), (8, 4, 4), 1)
+    expected = None
+    for name, chunk in (("same", (4, 4, 8)), ("other", (3, 4, 8))):
+        settings = config.Settings(results_root=str(tmp_path / "results"), input_path=str(tmp_path / "in"), input_format="n5", output_path=str(tmp_path / name), output_format="zarr3_zyx", setup_ids=((0, 1), (2, 3)), chunk_size=chunk, shard_size=(2 * chunk[0], 8, 16), stats_scale=0, min_overlap_foreground=16, basic=config.Fitting(autotune=False, max_iterations=20, max_reweighting_iterations=1))
+        now = pipeline.Run(spark, settings, False, tiles=geometry(spark))
+        if expected is None:
+            for stage in ("emptiness", "stats", "qstack", "basic", "int-stats", "int-aggregate"):
+                now.stage(stage, "auto")
+            expected = now.corrected("both")
+        now.correct("both")
+        assert now.has("corrected_chunks") and now.has("corrected") == (name == "other")
+        for level, rows in ((0, expected), (1, levels.downsample(expected, 2, 2, 2))):
+            found = stores.to_voxels(stores.chunks(spark, str(tmp_path / name), "zarr3_zyx", [0, 1, 2, 3], level), now.cameras)
+            assert found.select(rows.columns).exceptAll(rows).count() == 0
+
+
 def test_plans_and_modes():
     assert pipeline.plan("basic", "qstack", "basic") == ["qstack", "basic"]
     for wrong in (("none",), ("basic", "correct", "stats"), ("basic", "int-stats")):
