@@ -468,3 +468,16 @@ def keep_one(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFr
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return JaccardJoin(read_table(spark, sf_dir, "documents")).classes()
+
+
+#: DuckDB SQL of op8_jaccard_join: all pairs that share a shingle, and the closure of their links.
+ORACLE_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+  g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS s FROM w),
+  n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+  p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+  l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+  e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+  r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
+SELECT doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""

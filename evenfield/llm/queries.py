@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, jaccard_join
 from .chat_format import op9_chat_format
 from .exact_dedup import op10_exact_dedup
 from .html_extract import op4_html_extraction
@@ -27,4 +27,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op8_jaccard_join": jaccard_join.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
