@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -35,8 +36,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df``, computed once and kept in the shared folder, so a lost executor costs no recomputation."""
+    """``df``, computed once and kept in the shared folder, so a lost executor costs no recomputation.
+
+    Before it runs, the driver drops its handles of earlier steps: their shuffle files are deleted only then, and would
+    otherwise lie on the executors' disks beside this step's.
+    """
     shared_folder(df.sparkSession)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.checkpoint(eager=True)
 
 
