@@ -177,7 +177,9 @@ def pack(docs: DataFrame, params: PackParams = PackParams()) -> DataFrame:
     counts = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
     runs, _ = plan(counts, params.capacity)
     table = spark.createDataFrame([(r.length, r.first, r.first + r.n, r.sequence, r.each, r.offset) for r in runs], "length long, low long, high long, sequence long, each long, at long")
-    before = parts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("length", "salt", "before")
+    before = parts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # computed keys, so that this table's partitioning by length alone isn't taken for the pieces too
+    before = before.select(F.abs("length").alias("length"), F.abs("salt").alias("salt"), "before")
     numbered = rows.withColumn("own", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1)
     numbered = numbered.join(before, ["length", "salt"]).withColumn("number", F.col("before") + F.col("own"))
     # the runs' number depends on the capacity alone
