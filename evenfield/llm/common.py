@@ -47,6 +47,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_or_not(rows: DataFrame, most: int = 500_000) -> DataFrame:
+    """``rows`` written out, and marked for broadcast only if they were found to be at most ``most``; else joined by shuffle."""
+    rows = cut(rows)
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def computed_once(rows: DataFrame, name: str, value: "F.Column", *keep: str) -> DataFrame:
     """``keep`` columns and ``value``, which later steps read and the optimizer can't inline into them, once per use.
 

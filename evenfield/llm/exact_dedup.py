@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, shared_folder, whole_text
+from .common import read_table, shared_folder, small_or_not, whole_text
 
 #: A run of white space that isn't just one space.
 RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -122,7 +122,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     index = DigestIndex(docs)
     fates = index.result().groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__fate")).agg(F.max("kept").alias("__stays"), F.count(F.lit(1)).alias("__times"))
-    fates = fates.filter("not __stays or __times > 1")
+    fates = small_or_not(fates.filter("not __stays or __times > 1"))
     marked = docs.select("*", index.digest(normalised(whole_text())).alias("__digest"))
     own = marked.join(fates, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__fate")), "left").filter("__stays is null or __stays")
     again = own.filter("__times > 1")

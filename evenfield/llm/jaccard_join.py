@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .common import WordBlock, cut, mix, read_table, shuffle_partitions, text_blocks
+from .common import WordBlock, cut, mix, read_table, shuffle_partitions, small_or_not, text_blocks
 from .exact_dedup import join_hot
 
 
@@ -463,7 +463,7 @@ def keep_one(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFr
     """The rows of ``docs`` that stay: of each component the document of smallest doc_id."""
     found = JaccardJoin(docs, params).classes()
     gone = found.filter("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return docs.join(small_or_not(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
