@@ -11,8 +11,12 @@ from .operators.tilestats import Limits
 from .plans.flatfield import FitParams
 from .sources.stores import FORMATS
 
-#: The table of the settings, the older name that is still read, and the sub-table of the fit.
-TABLE, LEGACY, FIT = "illumination", "BigFlatFieldIlluminator", "basic"
+#: The table of the settings (without it, the first table that has a results_root) and the sub-table of the fit.
+TABLE, FIT = "illumination", "basic"
+# Other names of settings, and those of job schedulers and file layouts that mean nothing here.
+OTHER_NAMES = {"input_intensity_path": "input_path", "output_intensity_path": "output_path"}
+IGNORED = frozenset("chunks_per_job max_concurrent_cores output_stem error_stem setups_per_row qstacks_dir z_batch input_basic_path output_basic_path tiff_slab_planes".split())
+IGNORED_STARTS = ("lsf_", "n_cores_")
 
 
 @dataclass(frozen=True)
@@ -119,7 +123,8 @@ class Settings:
 
 
 def from_tables(tables: dict) -> Settings:
-    own = dict(tables.get(TABLE) or tables.get(LEGACY) or {})
+    found = tables.get(TABLE) or next((t for t in tables.values() if isinstance(t, dict) and "results_root" in t), {})
+    own = {OTHER_NAMES.get(k, k): v for k, v in found.items() if k not in IGNORED and not k.startswith(IGNORED_STARTS)}
     fit = dict(own.pop(FIT, {}))
     if "format" in own:
         raise ValueError("format is named input_format (and output_format)")

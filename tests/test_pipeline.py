@@ -139,13 +139,13 @@ def test_settings(tmp_path):
 
 def test_command_line(tmp_path, capsys):
     path = tmp_path / "i.toml"
-    path.write_text('[BigFlatFieldIlluminator]\nresults_root = "r"\n')
+    path.write_text('[anything]\nresults_root = "r"\ninput_intensity_path = "in"\nlsf_project = "p"\n')
     assert cli.main(["--config", str(path), "run", "both", "--start-at", "basic", "--dry-run"]) == 0
     assert capsys.readouterr().out.split() == ["basic", "int-stats", "int-aggregate", "correct"]
     cli.main(["--config", str(path), "submit", "both", "--executors", "4"])
     assert "--num-executors 4" in capsys.readouterr().out
     cli.main(["--config", str(path), "set", "tile_threshold=500", "gain_grouping=tile"])
-    assert config.load(path).tile_threshold == 500
+    assert config.load(path).tile_threshold == 500 and config.load(path).input_path == "in"
 
 
 def test_tiles_that_arrive_add_up(spark, tmp_path):
