@@ -434,6 +434,23 @@ def test_base_scores_match_brute_force_and_model_learns(spark):
     assert lm_score.score_texts(empty, params).count() == 0
 
 
+def test_model_learns_from_every_teaching_position(spark):
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 50_257, n).astype("<u2") for n in [0, 1, 3, 23, 24, 25, 1535, 1536, 5000, *rng.integers(0, 60, 300)]]
+    table = spark.createDataFrame([(0, k, k % 4 == 3, t.tobytes()) for k, t in enumerate(texts)], "kind int, row long, held boolean, ids binary")
+    params = lm_score.LmParams(shard_windows=100)
+    classes = lm_score.make_classes(np.arange(params.size + 1.0), params)
+    pieces = [bytes(r["piece"]) for r in lm_score.training_pieces(table, params).collect()]
+    inputs, of, counted = lm_score.piece_windows(pieces, classes, params)
+    pairs = collections.Counter(zip(inputs[counted].tolist(), of[counted].tolist()))
+    expected = collections.Counter()
+    for k, t in enumerate(texts):
+        if k % 4 != 3:
+            before = [lm_score.input_count(params) - 1, *classes.input[t].tolist()]
+            expected.update(zip(before, classes.of[np.append(t, params.size).astype(int)].tolist()))
+    assert pairs == expected
+
+
 def test_model_prefers_text_in_order():
     from evenfield.llm import attention
 
