@@ -451,6 +451,19 @@ def test_model_learns_from_every_teaching_position(spark):
     assert pairs == expected
 
 
+def test_classes_and_context_of_the_model():
+    params = lm_score.LmParams()
+    assert params.classes >= 128 and params.single >= 112
+    from evenfield.llm import attention
+
+    text, begin = attention.windows(np.array([200]), params.window, params.stride)
+    context = np.zeros(200, int)
+    for b in begin:
+        new = np.arange(b + (params.window - params.stride if b else 0), min(b + params.window, 200))
+        context[new] = new - b
+    assert (context[params.window // 2 :] >= params.window // 2).all()  # half a window before every id that has as much
+
+
 def test_model_prefers_text_in_order():
     from evenfield.llm import attention
 
