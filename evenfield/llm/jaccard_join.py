@@ -13,11 +13,12 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
   documents, however many share a passage. Sets that keep little besides hot shingles (thin segments of weight
   over slack) are indexed a second time over all shingles, and where that leaves thin segments too, by these
   empty subsets as well. A linked pair is missed by none of the three.
-* Equal sets share a 64-bit key from the start, so copies make no pairs. In each group of one signature, pairs with
-  its most central member (that of the largest groups) are verified exactly against the sets. Then, only in groups
-  that still span several components, members of different components are compared by parity sketches, in blocks of
-  bounded size; a sketch never shows more differences than the sets have, so no link is lost, and what passes is
-  verified exactly too. Components come from label contraction.
+* Equal sets share a 64-bit key from the start, so copies make no pairs. The members of each group of one signature are
+  compared by parity sketches, in blocks of bounded size; a sketch never shows more differences than the sets have, so
+  no link is lost, and what passes is verified exactly against the sets: these are all links between different sets.
+  Groups of the same members are compared once. Components come from label contraction of the links.
+* Where only components are asked for (``keep_one``), pairs with each group's most central member (that of the largest
+  groups) are verified first, and then only members that are still in different components are compared.
 
 Shingles are compared as 52-bit hashes and sets as sets of these. Texts are lower-cased (A-Z). A text of fewer than n words has its
 whole word sequence as its one shingle; null or wordless text has none, and links with nothing. Rows that repeat
@@ -244,7 +245,7 @@ def _rows(kind, ids, key, n, sketch) -> pa.RecordBatch:
 
 
 class JaccardJoin:
-    """The join of one table; ``links`` and ``classes`` are its results."""
+    """The join of one table; ``every_link`` and ``classes`` are its results."""
 
     def __init__(self, docs: DataFrame, params: JaccardParams = JaccardParams()):
         self.docs, self.params, self.spark = docs, params, docs.sparkSession
@@ -287,8 +288,33 @@ class JaccardJoin:
         sorted_rows = rows.repartition(shuffle_partitions(spark), "sig").sortWithinPartitions("sig", "key")
         return cut(sorted_rows.mapInArrow(shared_only, "sig long, key long"))
 
+    def every_link(self) -> DataFrame:
+        """(a, b), a < b: the keys of all pairs of different sets that link."""
+        groups = self.groups()
+        # a group's members are told by two 64-bit sums of their hashes
+        told = groups.groupBy("sig").agg(F.count(F.lit(1)).alias("members"), F.min("key").alias("a"), F.max("key").alias("b"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
+        told = cut(told.groupBy("members", "a", "b", "x", "y").agg(F.min("sig").alias("sig")))
+        twos = self.near_enough(told.filter("members = 2").select("a", "b"))
+        larger = told.filter("members > 2").select("sig", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("blocks"))
+        pairs = self.compared(groups.join(larger, "sig").withColumn("label", F.col("key")))
+        pairs = cut(twos.unionByName(pairs).distinct())
+        sets = self.members(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+        return cut(self.verified(pairs, sets))
+
+    def compared(self, rows: DataFrame) -> DataFrame:
+        """The pairs of different labels in a group of (sig, blocks, key, label) that may link by size and sketch, once for each block."""
+        rest = rows.join(self.sketches(), "key").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rest = rest.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n", "sketch")
+        rest = rest.repartition(shuffle_partitions(self.spark), "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "key")
+        percent = self.params.percent
+        return rest.mapInArrow(lambda batches: across(batches, percent), "a long, b long")
+
     def run(self) -> DataFrame:
-        """(key, label): the component of every set that links with another, by its smallest key; labels are keys."""
+        """(key, label): the component of every set that links with another, by its smallest key; labels are keys.
+
+        It finds as many links as components need, not all.
+        """
         groups = self.groups()
         members = groups.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
         weights = groups.join(members, "sig").groupBy("key").agg(F.sum("members").alias("weight"))
@@ -300,15 +326,9 @@ class JaccardJoin:
         # only groups that still span several components
         own = groups.join(labels, "key", "left").select("sig", "key", F.coalesce("label", "key").alias("label"))
         open_ = own.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")).filter("low != high and members > 2").select("sig", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("blocks"))
-        rest = own.join(open_, "sig").join(self.sketches(), "key").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rest = rest.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n", "sketch")
-        rest = rest.repartition(shuffle_partitions(self.spark), "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "key")
-        percent = self.params.percent
-        pairs = cut(rest.mapInArrow(lambda batches: across(batches, percent), "a long, b long").distinct())
+        pairs = cut(self.compared(own.join(open_, "sig")).distinct())
         more = cut(self.verified(pairs, sets))
-        self.links = links.unionByName(more)
-        return labels if more.isEmpty() else components(self.links)
+        return labels if more.isEmpty() else components(links.unionByName(more))
 
     def sketches(self) -> DataFrame:
         return self.rows.filter("n > 0").select("key", "n", "sketch").dropDuplicates(["key"])
@@ -369,14 +389,22 @@ class JaccardJoin:
         found = self.docs.select("text").mapInArrow(pick, "key long, shingles binary").join(wanted, "key", "left_semi")
         return cut(found.dropDuplicates(["key"]))
 
-    def classes(self) -> DataFrame:
-        """doc_id, n_shingles, component_id of every document."""
-        labels = self.run()
+    def classes(self, every: bool = True, counted: bool = False) -> DataFrame:
+        """doc_id, n_shingles, component_id of every document, from all links or as many as components need.
+
+        ``counted`` adds n_links, with how many other sets a document's own links.
+        """
+        links = self.every_link() if every or counted else None
+        labels = self.run() if links is None else components(links)
         merged = self.sets.join(labels, "key", "left").select("key", "copies", "first_id", F.coalesce("label", "key").alias("label"))
         lowest = merged.groupBy("label").agg(F.min("first_id").alias("lowest"), F.sum("copies").alias("size")).filter("size > 1")
         found = merged.join(lowest, "label").select("key", F.col("lowest").alias("component"), F.col("copies").alias("times"))
+        if counted:
+            degrees = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("degree"))
+            found = found.join(degrees, "key", "left")
         rows = join_hot(self.keys, cut(found), "key", "times")
-        return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        columns = ["doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")]
+        return rows.select(*columns, *([F.coalesce("degree", F.lit(0)).alias("n_links")] if counted else []))
 
 
 def _band_of(starts: list[int]) -> "F.Column":
@@ -461,7 +489,7 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 def keep_one(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document of smallest doc_id."""
-    found = JaccardJoin(docs, params).classes()
+    found = JaccardJoin(docs, params).classes(every=False)
     gone = found.filter("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(small_or_not(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
 

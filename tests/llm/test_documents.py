@@ -195,6 +195,23 @@ def test_drifting_copies_and_shared_passages(spark, seed):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
 
 
+def test_every_link_inside_a_component_is_counted(spark):
+    rng = random.Random(11)
+    base = prose(rng, 120).split()
+    rows = [(0, " ".join(base)), (900, prose(rng, 50)), (901, None)]
+    for k in range(1, 25):
+        words = list(base)
+        for _ in range(rng.randint(1, 3)):
+            words[rng.randrange(len(words))] = "w" + str(rng.randrange(10**6))
+        rows += [(k, " ".join(words)), (100 + k, " ".join(words))]
+    sets = {k: shingles(t) for k, t in rows}
+    different = set(sets.values())
+    linked = lambda a, b: a != b and bool(a & b) and 100 * len(a & b) >= 85 * len(a | b)
+    found = jaccard_join.JaccardJoin(frame(spark, rows)).classes(counted=True).collect()
+    assert {r["doc_id"]: r["n_links"] for r in found} == {k: sum(linked(x, y) for y in different) for k, x in sets.items()}
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(rows)
+
+
 @pytest.mark.parametrize("size", [5, 12, 13, 40, 90, 300])
 def test_linked_sets_always_share_a_signature(size):
     rng = np.random.default_rng(size)
