@@ -10,7 +10,8 @@ block away from its share of the slots.
 With fractions of ``cycle`` the schedule repeats after ``cycle`` slots, so only one cycle is simulated, whatever the
 data; where a block runs follows from its number by arithmetic. When a source has no block left, the next phase
 starts with the weights of the others in proportion: all documents are placed, none is dropped or repeated. Phases
-and cycles depend on the number of sources only, which may be at most ``cycle / 4``.
+and cycles depend on the number of sources only. More than ``cycle / 4`` sources get a longer cycle: the next power of
+two that is at least four times their number.
 
 Without ``weights`` each source's share of the characters, to the power ``temperature``, is its target. Sources that
 weights don't name get ``1 / cycle`` each. Null sources form one source of their own; null texts are empty. Repeated
@@ -20,7 +21,8 @@ rows take a place each. An empty table gives no rows. Extra columns are left alo
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass, field
+from collections import defaultdict
+from dataclasses import dataclass, field, replace
 from fractions import Fraction
 
 import numpy as np
@@ -30,8 +32,9 @@ from pyspark.sql import functions as F
 from .common import cut, read_table, shuffle_partitions, whole_text
 
 
-#: Parts that a source's stream is counted in; with at most cycle / 4 sources this bounds what is broadcast.
+#: Parts that a source's stream is counted in, and the most totals of such parts that are broadcast.
 MOST_SALTS = 1024
+MOST_TOTALS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -46,27 +49,32 @@ def quotas(weights: list[float], cycle: int) -> list[int]:
     """Whole slots per cycle by largest remainders, one at least."""
     if len(weights) * 4 > cycle:
         raise ValueError(f"{len(weights)} sources need a cycle of at least {4 * len(weights)} slots")
-    total = sum(weights)
-    exact = [Fraction(w).limit_denominator(10**9) / Fraction(total).limit_denominator(10**9) * cycle for w in weights]
+    total = cycle / Fraction(sum(weights)).limit_denominator(10**9)
+    exact = [Fraction(w).limit_denominator(10**9) * total for w in weights]
     given = [max(1, int(x)) for x in exact]
     by_need = sorted(range(len(weights)), key=lambda k: (given[k] - exact[k], k))
     while sum(given) < cycle:
         for k in by_need[: cycle - sum(given)]:
             given[k] += 1
-    while sum(given) > cycle:
-        k = max(range(len(given)), key=lambda k: (given[k] - exact[k] if given[k] > 1 else -cycle, given[k]))
+    over = sum(given) - cycle
+    most = [(exact[k] - given[k], -given[k], k) for k in range(len(given)) if given[k] > 1] if over > 0 else []
+    heapq.heapify(most)
+    for _ in range(over):
+        k = heapq.heappop(most)[2]
         given[k] -= 1
+        if given[k] > 1:
+            heapq.heappush(most, (exact[k] - given[k], -given[k], k))
     return given
 
 
-def pfair_cycle(given: list[int], cycle: int) -> np.ndarray:
-    """The source of each slot of one cycle, earliest deadline first among released blocks."""
-    released: list[list[int]] = [[] for _ in range(cycle + 1)]
-    for k in range(len(given)):
-        released[0].append(k)
+def pfair_cycle(given: list[int], cycle: int, left: list[int] | None = None) -> np.ndarray:
+    """The source of each slot of one cycle, earliest deadline first among released blocks; no further than to where the
+    first source has run the blocks it has ``left``."""
+    released: dict[int, list[int]] = defaultdict(list)
+    released[0] = list(range(len(given)))
     done, ready, out = [0] * len(given), [], np.empty(cycle, np.int64)
     for slot in range(cycle):
-        for k in released[slot]:
+        for k in released.pop(slot, ()):
             j = done[k] + 1
             heapq.heappush(ready, (-(-j * cycle // given[k]), k))
         deadline, k = heapq.heappop(ready)
@@ -74,6 +82,8 @@ def pfair_cycle(given: list[int], cycle: int) -> np.ndarray:
             raise AssertionError("a deadline was missed")
         out[slot] = k
         done[k] += 1
+        if left is not None and done[k] == left[k]:
+            return out[: slot + 1]
         if done[k] < given[k]:
             released[max(slot + 1, done[k] * cycle // given[k])].append(k)
     return out
@@ -81,12 +91,15 @@ def pfair_cycle(given: list[int], cycle: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Phase:
-    """Slots first .. first + slots - 1: cycles in which source k holds the slots places[k]; it has run before[k] blocks by then."""
+    """Slots first .. first + slots - 1: cycles in which source k holds the quota[k] slots places[k] (those that the phase
+    reaches); it has run before[k] blocks by then. Sources that don't run in the phase aren't named."""
 
     first: int
     slots: int
     before: dict[int, int]
     places: dict[int, np.ndarray]
+    quota: dict[int, int]
+    after: dict[int, int]
 
 
 def phases(blocks: list[int], weights: list[float], cycle: int) -> list[Phase]:
@@ -96,15 +109,20 @@ def phases(blocks: list[int], weights: list[float], cycle: int) -> list[Phase]:
     while left:
         names = sorted(left)
         given = quotas([weights[k] for k in names], cycle)
-        order = pfair_cycle(given, cycle)
-        places = {k: np.flatnonzero(order == i) for i, k in enumerate(names)}
+        order = pfair_cycle(given, cycle, [left[k] for k in names])
+        ran = np.argsort(order, kind="stable")
+        opens = np.flatnonzero(np.diff(order[ran], prepend=-1))
+        places = {names[order[x[0]]]: x for x in np.split(ran, opens[1:])}
+        quota = {names[i]: given[i] for i in order[ran[opens]].tolist()}
         # the first source to run its last block ends the phase
-        end = min((left[k] - 1) // len(places[k]) * cycle + int(places[k][(left[k] - 1) % len(places[k])]) + 1 for k in names)
-        out.append(Phase(start, end, dict(run), places))
-        for k in names:
-            took = end // cycle * len(places[k]) + int(np.searchsorted(places[k], end % cycle))
+        whole = len(order) == cycle
+        end = min((left[k] - 1) // quota[k] * cycle + int(places[k][(left[k] - 1) % quota[k]]) + 1 for k in names) if whole else len(order)
+        before = {k: run[k] for k in places}
+        for k in places:
+            took = end // cycle * quota[k] + int(np.searchsorted(places[k], end % cycle))
             left[k] -= took
             run[k] += took
+        out.append(Phase(start, end, before, places, quota, {k: run[k] for k in places}))
         left = {k: n for k, n in left.items() if n}
         start += end
     return out
@@ -119,37 +137,39 @@ def _streams(docs: DataFrame, params: MixParams, salts: int) -> DataFrame:
 
 
 def _plan(docs: DataFrame, params: MixParams, salts: int):
-    """(totals of each source and salt with what comes before, the schedule's tables)."""
+    """(totals of each source and salt with what comes before, the schedule's table, its slots, its cycle, the sources)."""
     spark = docs.sparkSession
     small = docs.select(F.coalesce(F.col("source"), F.lit("\0null")).alias("src"), F.greatest(F.length(whole_text()), F.lit(1)).cast("long").alias("chars"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
     parts = cut(small.groupBy("src", "salt").agg(F.sum("chars").alias("chars")))
     before = parts.withColumn("outer", F.coalesce(F.sum("chars").over(Window.partitionBy("src").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     totals = sorted((r["src"], r["chars"]) for r in parts.groupBy("src").agg(F.sum("chars").alias("chars")).collect())
+    params = replace(params, cycle=max(params.cycle, 1 << (4 * max(1, len(totals)) - 1).bit_length()))
     if params.weights:
         least = 1 / params.cycle
         weights = [max(params.weights.get(s, 0.0), 0.0) or least for s, _ in totals]
     else:
         weights = [float(c) ** params.temperature for _, c in totals]
     found = phases([-(-c // params.block_chars) for _, c in totals], weights, params.cycle)
-    rows = [(s, p, ph.before[k], (ph.before[k] + ph.slots // params.cycle * len(ph.places[k]) + int(np.searchsorted(ph.places[k], ph.slots % params.cycle))), ph.first, [int(x) for x in ph.places[k]], len(ph.places[k])) for p, ph in enumerate(found) for k, (s, _) in enumerate(totals) if k in ph.places]
+    rows = [(totals[k][0], p, ph.before[k], ph.after[k], ph.first, at.tolist(), ph.quota[k]) for p, ph in enumerate(found) for k, at in ph.places.items()]
     table = spark.createDataFrame(rows, "sched_src string, phase int, from_block long, to_block long, first_slot long, places array<int>, quota int")
-    return before, table, sum(ph.slots for ph in found)
+    return before, table, sum(ph.slots for ph in found), params.cycle, len(totals)
 
 
 def placed(docs: DataFrame, params: MixParams = MixParams()) -> tuple[DataFrame, int]:
     """``docs`` with __block, __phase, __release, __deadline and __slot, and the number of slots."""
     salts = min(4 * shuffle_partitions(docs.sparkSession), MOST_SALTS)
-    before, table, slots = _plan(docs, params, salts)
+    before, table, slots, cycle, sources = _plan(docs, params, salts)
     own = _streams(docs, params, salts)
-    # (source, salt) totals and the schedule are bounded by sources x salts and sources x phases
-    own = own.join(F.broadcast(before.select(F.col("src").alias("__bsrc"), F.col("salt").alias("__bsalt"), F.col("outer").alias("__outer"))), (F.col("__src") == F.col("__bsrc")) & (F.col("__salt") == F.col("__bsalt")))
+    # (source, salt) totals are at most sources x salts; the schedule has a row per source and phase in which it runs
+    before = before.select(F.col("src").alias("__bsrc"), F.col("salt").alias("__bsalt"), F.col("outer").alias("__outer"))
+    own = own.join(F.broadcast(before) if sources * salts <= MOST_TOTALS else before, (F.col("__src") == F.col("__bsrc")) & (F.col("__salt") == F.col("__bsalt")))
     own = own.withColumn("__start", F.col("__outer") + F.col("__inner")).withColumn("__block", F.floor(F.col("__start") / F.lit(params.block_chars)).cast("long"))
     held = table.select(*(F.col(c).alias(f"__{c}") for c in table.columns))
     own = own.join(F.broadcast(held), (F.col("__src") == F.col("__sched_src")) & (F.col("__block") >= F.col("__from_block")) & (F.col("__block") < F.col("__to_block")))
     k = F.col("__block") - F.col("__from_block")
-    slot = F.col("__first_slot") + F.floor(k / F.col("__quota")) * params.cycle + F.expr("element_at(__places, cast(pmod(__block - __from_block, __quota) as int) + 1)")
-    release = F.col("__first_slot") + F.floor(k * params.cycle / F.col("__quota"))
-    deadline = F.col("__first_slot") + F.ceil((k + 1) * params.cycle / F.col("__quota"))
+    slot = F.col("__first_slot") + F.floor(k / F.col("__quota")) * cycle + F.expr("element_at(__places, cast(pmod(__block - __from_block, __quota) as int) + 1)")
+    release = F.col("__first_slot") + F.floor(k * cycle / F.col("__quota"))
+    deadline = F.col("__first_slot") + F.ceil((k + 1) * cycle / F.col("__quota"))
     return own.withColumn("__slot", slot.cast("long")).withColumn("__release", release.cast("long")).withColumn("__deadline", deadline.cast("long")), slots
 
 

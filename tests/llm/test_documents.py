@@ -296,6 +296,17 @@ def test_all_documents_are_placed_within_their_windows(spark, corpus):
     assert mixed.columns == docs.columns and mixed.exceptAll(docs).count() == 0 and mixed.count() == docs.count()
 
 
+def test_more_sources_than_a_cycle_has_room_for(spark):
+    rows = [(k, f"host{k % 40}", "x" * (30 + k % 50)) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    params = mixing.MixParams(block_chars=100, cycle=64)
+    found = mixing.schedule(docs, params).toPandas()
+    assert sorted(found["doc_id"]) == list(range(400))
+    assert ((found["release"] <= found["slot"]) & (found["slot"] < found["deadline"])).all()
+    assert found.groupby("slot")["source"].nunique().max() == 1
+    assert mixing.mix(docs, params).count() == 400
+
+
 def test_mixing_weights_ties_and_nothing(spark, corpus):
     docs = frame(spark, corpus)
     assert mixing.schedule(docs, mixing.MixParams(weights={"s0": 3.0, "s1": 1.0})).count() == len(corpus)
