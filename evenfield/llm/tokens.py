@@ -2,7 +2,8 @@
 
 Ordinary texts go through tiktoken with the same vocabulary as ranks, which gives the same ids several times as fast;
 texts with characters on which the two pattern engines might differ (control characters, and all beyond Latin
-letters and common punctuation) go through tokenizers itself. Strings of special tokens count as ordinary text.
+letters and common punctuation) go through tokenizers itself, and so do texts that hold the string of a special token,
+which tokenizers takes for that token.
 """
 
 from __future__ import annotations
@@ -17,12 +18,12 @@ PLAIN = re.compile("[\t\n\x20-\x7eÀ-ſ]*")
 LONG_RUN = re.compile(r"\s{5000}")
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(json_path: str, ranks_path: str | None):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(json_path)
-    exact.encode_special_tokens = True
+    special = re.compile("|".join(re.escape(t.content) for t in exact.get_added_tokens_decoder().values()) or "(?!)")
 
     def slow(text: str) -> list[int]:
         return exact.encode(text, add_special_tokens=False).ids
@@ -37,7 +38,7 @@ def encoder(json_path: str, ranks_path: str | None):
     quick = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> list[int]:
-        if PLAIN.fullmatch(text) and not LONG_RUN.search(text):
+        if PLAIN.fullmatch(text) and not LONG_RUN.search(text) and not special.search(text):
             return quick.encode_ordinary(text)
         return slow(text)
 

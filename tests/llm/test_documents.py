@@ -347,8 +347,8 @@ def test_packed_ids_are_the_tokenizers(spark, corpus):
     import public_tokenizers
 
     exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    exact.encode_special_tokens = True
-    odd = [(2000, "a<|endoftext|>b"), (2001, "漢字 and  spaces\x1c\x85"), (2002, "    indented\r\n\ttabs  "), (2003, "'s 12³ ½ ＡＢ")]
+    assert 50256 in exact.encode("a<|endoftext|>b", add_special_tokens=False).ids
+    odd = [(2000, "a<|endoftext|>b"), (2004, "<|endoftext|>" * 3), (2005, "<|endoftext"), (2001, "漢字 and  spaces\x1c\x85"), (2002, "    indented\r\n\ttabs  "), (2003, "'s 12³ ½ ＡＢ")]
     rows = corpus + odd
     texts = collections.defaultdict(list)
     for k, t in rows:
