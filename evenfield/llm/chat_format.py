@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, whole_text
+from .common import map_batches, read_table, whole_text
 
 
 class GrammarError(ValueError):
@@ -149,7 +149,7 @@ def format_conversations(rows: DataFrame, template: Template = Template()) -> Da
             yield pa.RecordBatch.from_arrays([batch.column("conv_id"), pa.array([x.text for x in made], pa.string()), spans], ["conv_id", "formatted", "spans"])
 
     kind = dict(rows.dtypes)["conv_id"]
-    return conversations(rows).mapInArrow(make, f"conv_id {kind}, formatted string, spans array<struct<start: long, end: long>>")
+    return map_batches(conversations(rows), make, f"conv_id {kind}, formatted string, spans array<struct<start: long, end: long>>")
 
 
 def digests(formatted: DataFrame, template: Template = Template()) -> DataFrame:
@@ -168,7 +168,7 @@ def digests(formatted: DataFrame, template: Template = Template()) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *(pa.array(x, k) for x, k in zip(out, kinds))], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
     kind = dict(formatted.dtypes)["conv_id"]
-    return formatted.mapInArrow(read, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_batches(formatted, read, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def _sha(text: str) -> str:

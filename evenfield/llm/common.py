@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +17,10 @@ from pyspark.sql import functions as F
 
 #: A word is a longest run of characters other than these.
 WORD_SEPARATORS = b"\x20\x09\x0a\x0b\x0c\x0d"
-#: Bytes of text that the vectorised kernels hold at a time.
-BLOCK_BYTES = 1 << 20
+#: Bytes of text that the vectorised kernels hold at a time; their arrays take some 50 times as much.
+BLOCK_BYTES = 1 << 18
+#: Bytes of a batch on its way between Spark and a Python task; a longer row is a batch of its own.
+BATCH_BYTES = 1 << 22
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +52,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` in batches bounded by bytes, whatever the length of texts; a task's free memory goes back at its end,
+    as workers live on from task to task."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return df.mapInArrow(run, schema)
+
+
 def small_or_not(rows: DataFrame, most: int = 500_000) -> DataFrame:
     """``rows`` written out, and marked for broadcast only if they were found to be at most ``most``; else joined by shuffle."""
     rows = cut(rows)
@@ -81,38 +100,51 @@ def _mix(h: np.ndarray) -> np.ndarray:
 mix = _mix
 _BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0xD6E8FEB86659FD93
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(WORD_SEPARATORS)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        n = max(n, BLOCK_BYTES + 1)
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            table = np.full(n, base, np.uint64)
-            table[0] = 1
-            _powers[k] = np.multiply.accumulate(table)
-    return _powers[0], _powers[1]
+@lru_cache(maxsize=1)
+def _power_tables() -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the base and of its inverse, for ranges of BLOCK_BYTES at most."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        table = np.full(BLOCK_BYTES + 1, base, np.uint64)
+        table[0] = 1
+        out.append(np.multiply.accumulate(table))
+    return out[0], out[1]
+
+
+def _long_sum(part: np.ndarray) -> np.uint64:
+    """The sum that ``hash_ranges`` makes of a range, in pieces of BLOCK_BYTES."""
+    up, total = _power_tables()[0], 0
+    for at in range(0, len(part), BLOCK_BYTES):
+        piece = part[at : at + BLOCK_BYTES]
+        total += int((_BYTE[piece] * up[: len(piece)]).sum(dtype=np.uint64)) * pow(_BASE, at, 1 << 64)
+    return np.uint64(total & ((1 << 64) - 1))
 
 
 def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each ascending byte range of ``data``; equal bytes give equal hashes."""
-    out = np.empty(len(starts), np.uint64)
+    """A 64-bit hash of each ascending byte range of ``data``; equal bytes give equal hashes. Memory depends on BLOCK_BYTES only."""
+    up, down = _power_tables()
+    sums_of = np.empty(len(starts), np.uint64)
     k = 0
     while k < len(starts):
         base = starts[k]
+        if ends[k] - base > BLOCK_BYTES:
+            sums_of[k] = _long_sum(data[base : ends[k]])
+            k += 1
+            continue
         stop = max(k + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, "right")))
-        last = int(ends[k:stop].max())
-        up, down = _power_tables(last - base + 1)
+        last = int(ends[stop - 1])
         sums = np.zeros(last - base + 1, np.uint64)
         np.cumsum(_BYTE[data[base:last]] * up[: last - base], out=sums[1:])
         s, e = starts[k:stop] - base, ends[k:stop] - base
-        out[k:stop] = _mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        sums_of[k:stop] = (sums[e] - sums[s]) * down[s]
         k = stop
-    return out
+    return _mix(sums_of + (ends - starts).astype(np.uint64))
 
 
 class WordBlock:
@@ -148,9 +180,11 @@ class WordBlock:
 
     def per_text(self, flags: np.ndarray) -> np.ndarray:
         """Number of flagged bytes of each text."""
-        sums = np.zeros(len(flags) + 1, np.int64)
-        np.cumsum(flags, out=sums[1:])
-        return np.diff(sums[self.offsets])
+        held = np.diff(self.offsets) > 0
+        out = np.zeros(self.n_texts, np.int64)
+        if held.any():
+            out[held] = np.add.reduceat(flags, self.offsets[:-1][held], dtype=np.int64)
+        return out
 
 
 def text_blocks(column: pa.Array, most: int = BLOCK_BYTES, rows: int = 4096) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

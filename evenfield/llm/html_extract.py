@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read_table
+from .common import cut, map_batches, read_table
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'">]|"[^"]*"|'[^']*')*)>|<[/!?][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)|([^<]+|<)""", re.S)
 CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -221,7 +221,7 @@ def votes(pages: DataFrame) -> DataFrame:
                     sums[host, best[0]] = sums.get((host, best[0]), 0.0) + math.log1p(best[2])
             yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in sums], pa.string()), pa.array([p for _, p in sums], pa.string()), pa.array(sums.values(), pa.float64())], ["host", "path", "weight"])
 
-    return pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(vote, "host string, path string, weight double")
+    return map_batches(pages.select(host_of(F.col("url")).alias("host"), "html"), vote, "host string, path string, weight double")
 
 
 def winners(pages: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def extract(pages: DataFrame, params: HtmlParams = HtmlParams()) -> DataFrame:
             texts = [main_text(page.as_py() or "", path.as_py()) for page, path in zip(batch.column("html"), batch.column("path"))]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return rows.select("page_id", "url", "html", "path").mapInArrow(read, f"page_id {types['page_id']}, url string, text string, n_chars long")
+    return map_batches(rows.select("page_id", "url", "html", "path"), read, f"page_id {types['page_id']}, url string, text string, n_chars long")
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .common import WordBlock, cut, mix, read_table, shuffle_partitions, small_or_not, text_blocks
+from .common import WordBlock, cut, map_batches, mix, read_table, shuffle_partitions, small_or_not, text_blocks
 from .exact_dedup import join_hot
 
 
@@ -53,6 +53,8 @@ class JaccardParams:
 #: Bits of a shingle's hash, so that with the number of its text (4096 to a block) it is one 64-bit value.
 HASH_BITS = 52
 SKETCH_WORDS = 8
+#: Bytes of text among which a shingle must be frequent to be counted as maybe hot.
+HOT_BLOCK = 1 << 20
 #: Members of one signature that are compared with one another in a task's memory.
 GROUP_BLOCK = 4096
 
@@ -222,7 +224,7 @@ def _key_rows(docs: DataFrame, params: JaccardParams) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in text_blocks(batch.column("text")):
+            for lo, hi, data, offsets in text_blocks(batch.column("text"), most=HOT_BLOCK):
                 h, bounds = shingle_sets(data, offsets, n)
                 m = hi - lo
                 yield _rows(np.zeros(m, np.int8), batch.column("doc_id").slice(lo, m), set_keys(h, bounds).view(np.int64), np.diff(bounds), _lists(parity_sketches(h, bounds)))
@@ -233,7 +235,7 @@ def _key_rows(docs: DataFrame, params: JaccardParams) -> DataFrame:
                     none = pa.ListArray.from_arrays(np.zeros(len(shingle) + 1, np.int32), pa.array([], pa.int64()))
                     yield _rows(np.full(len(shingle), 2, np.int8), pa.nulls(len(shingle), pa.int64()), shingle.view(np.int64), count, none)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "kind byte, doc_id long, key long, n long, sketch array<long>")
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), scan, "kind byte, doc_id long, key long, n long, sketch array<long>")
 
 
 def _lists(rows: np.ndarray) -> pa.Array:
@@ -284,9 +286,11 @@ class JaccardJoin:
                     for a in range(0, len(sig), 100_000):
                         yield pa.RecordBatch.from_arrays([pa.array(sig[a : a + 100_000].view(np.int64)), pa.array(key[a : a + 100_000].view(np.int64))], ["sig", "key"])
 
-        rows = self.docs.select("text").mapInArrow(give, "sig long, key long")
+        rows = map_batches(self.docs.select("text"), give, "sig long, key long")
         sorted_rows = rows.repartition(shuffle_partitions(spark), "sig").sortWithinPartitions("sig", "key")
-        return cut(sorted_rows.mapInArrow(shared_only, "sig long, key long"))
+        found = cut(map_batches(sorted_rows, shared_only, "sig long, key long"))
+        hot.destroy()
+        return found
 
     def every_link(self) -> DataFrame:
         """(a, b), a < b: the keys of all pairs of different sets that link."""
@@ -308,7 +312,7 @@ class JaccardJoin:
         rest = rest.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n", "sketch")
         rest = rest.repartition(shuffle_partitions(self.spark), "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "key")
         percent = self.params.percent
-        return rest.mapInArrow(lambda batches: across(batches, percent), "a long, b long")
+        return map_batches(rest, lambda batches: across(batches, percent), "a long, b long")
 
     def run(self) -> DataFrame:
         """(key, label): the component of every set that links with another, by its smallest key; labels are keys.
@@ -360,7 +364,7 @@ class JaccardJoin:
                     good[k] = 100 * shared >= percent * (len(x) + len(y) - shared)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
 
-        return both.mapInArrow(check, "a long, b long")
+        return map_batches(both, check, "a long, b long")
 
     def members(self, wanted: DataFrame) -> DataFrame:
         """(key, shingles) of the wanted sets. A filter of bounded size keeps most others from the shuffle."""
@@ -386,8 +390,10 @@ class JaccardJoin:
                     if maybe:
                         yield pa.RecordBatch.from_arrays([pa.array(keys[maybe].view(np.int64)), pa.array([h[bounds[k] : bounds[k + 1]].tobytes() for k in maybe], pa.binary())], ["key", "shingles"])
 
-        found = self.docs.select("text").mapInArrow(pick, "key long, shingles binary").join(wanted, "key", "left_semi")
-        return cut(found.dropDuplicates(["key"]))
+        found = map_batches(self.docs.select("text"), pick, "key long, shingles binary").join(wanted, "key", "left_semi")
+        found = cut(found.dropDuplicates(["key"]))
+        held.destroy()
+        return found
 
     def classes(self, every: bool = True, counted: bool = False) -> DataFrame:
         """doc_id, n_shingles, component_id of every document, from all links or as many as components need.

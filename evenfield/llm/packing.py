@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, read_table, shuffle_partitions
+from .common import cut, map_batches, read_table, shuffle_partitions
 from .tokens import encoder, vocabulary_paths
 
 
@@ -165,7 +165,7 @@ def tokenised(docs: DataFrame, params: PackParams) -> DataFrame:
             rows = pa.array(out[0], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), pa.array(out[1], pa.int32()), *(pa.array(x, pa.int64()) for x in out[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(pieces, f"doc_id {dict(docs.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long")
+    return map_batches(docs.select("doc_id", "text"), pieces, f"doc_id {dict(docs.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(docs: DataFrame, params: PackParams = PackParams()) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordBlock, hash_ranges, mix, read_table, repeated, text_blocks
+from .common import WordBlock, hash_ranges, map_batches, mix, read_table, repeated, text_blocks
 
 SYMBOLS = b"#*$%&|<>"
 _SYMBOL = np.zeros(256, bool)
@@ -68,9 +68,7 @@ def base_counts(block: WordBlock) -> dict[str, np.ndarray]:
     new = np.ones(len(text), bool)
     new[1:] = text[1:] != text[:-1]
     starts[new] = offsets[text[new]]
-    words = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(block.in_word, out=words[1:])
-    held = words[ends] > words[starts]
+    held = np.searchsorted(block.starts, ends) > np.searchsorted(block.starts, starts)  # lines with a word
     starts, ends, text = starts[held], ends[held], text[held]
     key = mix(hash_ranges(data, starts, ends) + mix(text.astype(np.uint64)))
     order = np.argsort(key)
@@ -121,7 +119,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qual
         k = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(raw[k]), pa.array(trusted[k])], ["bucket", "raw", "trusted"])
 
-    counts = tagged.mapInArrow(count, "bucket long, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toArrow()
+    counts = map_batches(tagged, count, "bucket long, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toArrow()
     raw, trusted = np.zeros(n), np.zeros(n)
     raw[counts["bucket"].to_numpy()] = counts["raw"].to_numpy()
     trusted[counts["bucket"].to_numpy()] = counts["trusted"].to_numpy()
@@ -148,15 +146,13 @@ def fit_threshold(good: np.ndarray, bad: np.ndarray, loss: float) -> float:
 
 def score_quality(docs: DataFrame, model: QualityModel, params: QualityParams = QualityParams(), keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: ``keep`` columns, doc_id, the base counts, score, base_failed and kept."""
-    held = docs.sparkSession.sparkContext.broadcast(model.ratio)
-    threshold = model.threshold
+    ratio, threshold = model.ratio, model.threshold  # half a megabyte, sent with the tasks and dropped with them
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     kept = ["doc_id", *keep]
     types = dict(docs.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", " + ", ".join(f"{c} long" for c in names) + ", score double, base_failed boolean, kept boolean"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = held.value
         for batch in batches:
             for lo, hi, data, offsets in text_blocks(batch.column("text")):
                 block = WordBlock(data, offsets)
@@ -165,16 +161,14 @@ def score_quality(docs: DataFrame, model: QualityModel, params: QualityParams =
                 own = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*(own.column(c) for c in kept), *(pa.array(found[c].astype(np.int64)) for c in names), pa.array(value), pa.array(failed), pa.array(~failed & (value >= threshold))], [*kept, *names, "score", "base_failed", "kept"])
 
-    return docs.select(*kept, "text").mapInArrow(score, schema)
+    return map_batches(docs.select(*kept, "text"), score, schema)
 
 
 def filter_quality(docs: DataFrame, model: QualityModel, params: QualityParams = QualityParams()) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
-    held = docs.sparkSession.sparkContext.broadcast(model.ratio)
-    threshold = model.threshold
+    ratio, threshold = model.ratio, model.threshold
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = held.value
         for batch in batches:
             for lo, hi, data, offsets in text_blocks(batch.column("text")):
                 block = WordBlock(data, offsets)
@@ -182,7 +176,7 @@ def filter_quality(docs: DataFrame, model: QualityModel, params: QualityParams =
                 if ok.any():
                     yield batch.slice(lo, hi - lo).filter(pa.array(ok))
 
-    return docs.mapInArrow(passing, docs.schema)
+    return map_batches(docs, passing, docs.schema)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
