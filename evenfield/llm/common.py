@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -12,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a longest run of characters other than these.
@@ -32,10 +33,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; one is made only where that is unset (tests)."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; one is made only where that is unset and the master is local."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
@@ -66,13 +69,29 @@ def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterat
     return df.mapInArrow(run, schema)
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, so that whatever they are called they don't clash with those that work is done in."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+
+
+def from_row(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that ``as_row`` took."""
+    return df.select(*(F.col("row").getField(c).alias(c) for c in columns))
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of the shared store that no later step reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_or_not(rows: DataFrame, most: int = 500_000) -> DataFrame:
     """``rows`` written out, and marked for broadcast only if they were found to be at most ``most``; else joined by shuffle."""
     rows = cut(rows)
     return F.broadcast(rows) if rows.count() <= most else rows
 
 
-def computed_once(rows: DataFrame, name: str, value: "F.Column", *keep: str) -> DataFrame:
+def computed_once(rows: DataFrame, name: str, value: Column, *keep: str) -> DataFrame:
     """``keep`` columns and ``value``, which later steps read and the optimizer can't inline into them, once per use.
 
     A one-element explode is a step that predicates on its output aren't pushed below.
@@ -80,7 +99,7 @@ def computed_once(rows: DataFrame, name: str, value: "F.Column", *keep: str) ->
     return rows.select(*keep, F.explode(F.array(value)).alias(name))
 
 
-def whole_text(column: str = "text") -> "F.Column":
+def whole_text(column: str = "text") -> Column:
     """The text, with null counted as empty."""
     return F.coalesce(F.col(column), F.lit(""))
 

@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, shared_folder, small_or_not, whole_text
+from .common import as_row, from_row, read_table, shared_folder, small_or_not, whole_text
 
 #: A run of white space that isn't just one space.
 RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -121,14 +121,14 @@ def join_hot(rows: DataFrame, found: DataFrame, key: str, size: str) -> DataFram
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     index = DigestIndex(docs)
-    fates = index.result().groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__fate")).agg(F.max("kept").alias("__stays"), F.count(F.lit(1)).alias("__times"))
-    fates = small_or_not(fates.filter("not __stays or __times > 1"))
-    marked = docs.select("*", index.digest(normalised(whole_text())).alias("__digest"))
-    own = marked.join(fates, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__fate")), "left").filter("__stays is null or __stays")
-    again = own.filter("__times > 1")
-    if not fates.filter("__times > 1").isEmpty():  # repeated rows: one of each doc_id and text
-        own = own.filter("__times is null or __times = 1").unionByName(again.dropDuplicates(["__id", "__digest"]))
-    return own.select(*docs.columns)
+    fates = index.result().groupBy(F.col("doc_id").alias("id"), F.col("digest").alias("fate")).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("times"))
+    fates = small_or_not(fates.filter("not stays or times > 1"))
+    marked = docs.select(as_row(docs), F.col("doc_id").alias("own_id"), index.digest(normalised(whole_text())).alias("own_digest"))
+    own = marked.join(fates, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_digest") == F.col("fate")), "left").filter("stays is null or stays")
+    again = own.filter("times > 1")
+    if not fates.filter("times > 1").isEmpty():  # repeated rows: one of each doc_id and text
+        own = own.filter("times is null or times = 1").unionByName(again.dropDuplicates(["id", "fate"]))
+    return from_row(own, docs.columns)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ characters (a document belongs to the block in which it begins; every document c
 slot of the schedule takes one block. Target weights become fractions q / cycle; block j of a source is released at
 floor((j - 1) / w) and due at ceil(j / w), and in each slot the released block of the earliest deadline runs (ties:
 by the name of the source). Weights sum to 1, so every deadline is met, and after any slot a source is less than one
-block away from its share of the slots.
+block away from its share of the slots. The bound is on slots: a document longer than a block leaves slots of its source
+without a document of their own.
 
 With fractions of ``cycle`` the schedule repeats after ``cycle`` slots, so only one cycle is simulated, whatever the
 data; where a block runs follows from its number by arithmetic. When a source has no block left, the next phase
@@ -14,8 +15,9 @@ and cycles depend on the number of sources only. More than ``cycle / 4`` sources
 two that is at least four times their number.
 
 Without ``weights`` each source's share of the characters, to the power ``temperature``, is its target. Sources that
-weights don't name get ``1 / cycle`` each. Null sources form one source of their own; null texts are empty. Repeated
-rows take a place each. An empty table gives no rows. Extra columns are left alone by ``mix`` and dropped by ``schedule``.
+weights don't name, or name with 0, get ``1 / cycle`` each, as every document is placed. Null sources form one source of their own; null texts are empty. Repeated
+rows take a place each. An empty table gives no rows. Extra columns, whatever their names, are left alone by
+``mix`` and dropped by ``schedule``.
 """
 
 from __future__ import annotations
@@ -26,14 +28,13 @@ from dataclasses import dataclass, field, replace
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, read_table, shuffle_partitions, whole_text
+from .common import as_row, cut, from_row, read_table, shuffle_partitions, whole_text
 
 
-#: Parts that a source's stream is counted in, and the most totals of such parts that are broadcast.
-MOST_SALTS = 1024
+#: The most numbers of a table of totals or slots that is broadcast.
 MOST_TOTALS = 1 << 20
 
 
@@ -128,21 +129,17 @@ def phases(blocks: list[int], weights: list[float], cycle: int) -> list[Phase]:
     return out
 
 
-def _streams(docs: DataFrame, params: MixParams, salts: int) -> DataFrame:
-    """docs with src, chars, salt and before: the characters of the source's rows that come first."""
-    own = docs.withColumn("__src", F.coalesce(F.col("source"), F.lit("\0null"))).withColumn("__chars", F.greatest(F.length(whole_text()), F.lit(1)).cast("long"))
-    own = own.withColumn("__h", F.xxhash64("doc_id")).withColumn("__salt", F.pmod(F.col("__h"), F.lit(salts)).cast("int"))
-    w = Window.partitionBy("__src", "__salt").orderBy("__h", "doc_id", "__chars").rowsBetween(Window.unboundedPreceding, -1)
-    return own.withColumn("__inner", F.coalesce(F.sum("__chars").over(w), F.lit(0)))
+def _thin(docs: DataFrame, salts: int, *keep: Column) -> DataFrame:
+    """``keep`` and doc_id, source, src, chars, h and salt of every row: all that the schedule depends on."""
+    own = docs.select(*keep, "doc_id", "source", F.coalesce(F.col("source"), F.lit("\0null")).alias("src"), F.greatest(F.length(whole_text()), F.lit(1)).cast("long").alias("chars"), F.xxhash64("doc_id").alias("h"))
+    return own.withColumn("salt", F.pmod(F.col("h"), F.lit(salts)).cast("int"))
 
 
-def _plan(docs: DataFrame, params: MixParams, salts: int):
-    """(totals of each source and salt with what comes before, the schedule's table, its slots, its cycle, the sources)."""
-    spark = docs.sparkSession
-    small = docs.select(F.coalesce(F.col("source"), F.lit("\0null")).alias("src"), F.greatest(F.length(whole_text()), F.lit(1)).cast("long").alias("chars"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
-    parts = cut(small.groupBy("src", "salt").agg(F.sum("chars").alias("chars")))
+def _plan(own: DataFrame, params: MixParams):
+    """(totals of each source and salt with what comes before, the schedule's rows, its slots, its cycle, the totals' number)."""
+    parts = cut(own.groupBy("src", "salt").agg(F.sum("chars").alias("chars")))
     before = parts.withColumn("outer", F.coalesce(F.sum("chars").over(Window.partitionBy("src").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    totals = sorted((r["src"], r["chars"]) for r in parts.groupBy("src").agg(F.sum("chars").alias("chars")).collect())
+    totals = sorted((r["src"], r["chars"]) for r in parts.groupBy("src").agg(F.sum("chars").alias("chars")).collect())  # a row per source
     params = replace(params, cycle=max(params.cycle, 1 << (4 * max(1, len(totals)) - 1).bit_length()))
     if params.weights:
         least = 1 / params.cycle
@@ -151,41 +148,47 @@ def _plan(docs: DataFrame, params: MixParams, salts: int):
         weights = [float(c) ** params.temperature for _, c in totals]
     found = phases([-(-c // params.block_chars) for _, c in totals], weights, params.cycle)
     rows = [(totals[k][0], p, ph.before[k], ph.after[k], ph.first, at.tolist(), ph.quota[k]) for p, ph in enumerate(found) for k, at in ph.places.items()]
-    table = spark.createDataFrame(rows, "sched_src string, phase int, from_block long, to_block long, first_slot long, places array<int>, quota int")
-    return before, table, sum(ph.slots for ph in found), params.cycle, len(totals)
-
-
-def placed(docs: DataFrame, params: MixParams = MixParams()) -> tuple[DataFrame, int]:
-    """``docs`` with __block, __phase, __release, __deadline and __slot, and the number of slots."""
-    salts = min(4 * shuffle_partitions(docs.sparkSession), MOST_SALTS)
-    before, table, slots, cycle, sources = _plan(docs, params, salts)
-    own = _streams(docs, params, salts)
-    # (source, salt) totals are at most sources x salts; the schedule has a row per source and phase in which it runs
-    before = before.select(F.col("src").alias("__bsrc"), F.col("salt").alias("__bsalt"), F.col("outer").alias("__outer"))
-    own = own.join(F.broadcast(before) if sources * salts <= MOST_TOTALS else before, (F.col("__src") == F.col("__bsrc")) & (F.col("__salt") == F.col("__bsalt")))
-    own = own.withColumn("__start", F.col("__outer") + F.col("__inner")).withColumn("__block", F.floor(F.col("__start") / F.lit(params.block_chars)).cast("long"))
-    held = table.select(*(F.col(c).alias(f"__{c}") for c in table.columns))
-    own = own.join(F.broadcast(held), (F.col("__src") == F.col("__sched_src")) & (F.col("__block") >= F.col("__from_block")) & (F.col("__block") < F.col("__to_block")))
-    k = F.col("__block") - F.col("__from_block")
-    slot = F.col("__first_slot") + F.floor(k / F.col("__quota")) * cycle + F.expr("element_at(__places, cast(pmod(__block - __from_block, __quota) as int) + 1)")
-    release = F.col("__first_slot") + F.floor(k * cycle / F.col("__quota"))
-    deadline = F.col("__first_slot") + F.ceil((k + 1) * cycle / F.col("__quota"))
-    return own.withColumn("__slot", slot.cast("long")).withColumn("__release", release.cast("long")).withColumn("__deadline", deadline.cast("long")), slots
+    return before, rows, sum(ph.slots for ph in found), params.cycle, parts.count()
+
+
+def placed(docs: DataFrame, params: MixParams, *keep: Column) -> tuple[DataFrame, int]:
+    """``keep``, doc_id, source, chars, start, block, phase, release, deadline and slot of every row, and the number of slots."""
+    spark = docs.sparkSession
+    salts = 4 * shuffle_partitions(spark)  # parts that a source's stream is sorted and counted in
+    before, rows, slots, cycle, parts = _plan(_thin(docs, salts), params)
+    own = _thin(docs, salts, *keep)
+    w = Window.partitionBy("src", "salt").orderBy("h", "doc_id", "chars").rowsBetween(Window.unboundedPreceding, -1)
+    own = own.withColumn("inner", F.coalesce(F.sum("chars").over(w), F.lit(0)))
+    own = own.join(_small(before.drop("chars"), parts), ["src", "salt"]).withColumn("start", F.col("outer") + F.col("inner")).withColumn("block", F.floor(F.col("start") / F.lit(params.block_chars)).cast("long"))
+    # a row per source and phase in which it runs
+    table = spark.createDataFrame(rows, "src string, phase int, from_block long, to_block long, first_slot long, places array<int>, quota int")
+    own = own.join(_small(table, sum(len(r[5]) for r in rows)), (own["src"] == table["src"]) & (own["block"] >= table["from_block"]) & (own["block"] < table["to_block"]))
+    k = F.col("block") - F.col("from_block")
+    slot = F.col("first_slot") + F.floor(k / F.col("quota")) * cycle + F.expr("element_at(places, cast(pmod(block - from_block, quota) as int) + 1)")
+    release = F.col("first_slot") + F.floor(k * cycle / F.col("quota"))
+    deadline = F.col("first_slot") + F.ceil((k + 1) * cycle / F.col("quota"))
+    return own.withColumn("slot", slot.cast("long")).withColumn("release", release.cast("long")).withColumn("deadline", deadline.cast("long")), slots
+
+
+def _small(table: DataFrame, numbers: int) -> DataFrame:
+    """Marked for broadcast while it holds at most MOST_TOTALS numbers; else joined by shuffle, where skewed parts are split."""
+    return F.broadcast(table) if numbers <= MOST_TOTALS else table.hint("merge")
 
 
 def schedule(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """One row per document: its block of its source, the block's window and slot, and the place within the block."""
-    own, _ = placed(docs.select("doc_id", "source", "text"), params)
-    return own.select("doc_id", "source", F.col("__chars").alias("n_chars"), F.col("__phase").alias("phase"), F.col("__block").alias("block"), F.col("__release").alias("release"), F.col("__deadline").alias("deadline"), F.col("__slot").alias("slot"), (F.col("__start") - F.col("__block") * params.block_chars).alias("start_in_block"))
+    own, _ = placed(docs, params)
+    return own.select("doc_id", "source", F.col("chars").alias("n_chars"), "phase", "block", "release", "deadline", "slot", (F.col("start") - F.col("block") * params.block_chars).alias("start_in_block"))
 
 
 def mix(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """All rows and columns of ``docs`` in the order of the schedule: partitions are runs of slots, sorted by slot."""
-    own, slots = placed(docs, params)
+    own, slots = placed(docs, params, as_row(docs))
     parts = shuffle_partitions(docs.sparkSession)
     # runs of about equally many characters would need the slots' sizes; slots are about equal by design
-    part = F.least(F.floor(F.col("__slot") * parts / max(1, slots)), F.lit(parts - 1)).cast("int")
-    return own.repartitionById(parts, part).sortWithinPartitions("__slot", "__start", "doc_id").select(*(F.col(f"`{c}`") for c in docs.columns))
+    part = F.least(F.floor(F.col("slot") * parts / max(1, slots)), F.lit(parts - 1)).cast("int")
+    own = own.select("row", "slot", "start", "doc_id")
+    return from_row(own.repartitionById(parts, part).sortWithinPartitions("slot", "start", "doc_id"), docs.columns)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
