@@ -11,19 +11,22 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their sets of
   chosen by cost, from the number of its documents and the part of shingles that is hot.
 * Hot shingles (a list of bounded length) are left out of the segments at first, so a signature is held by few
   documents, however many share a passage. Sets that keep little besides hot shingles (thin segments of weight
-  over slack) are indexed a second time over all shingles, and where that leaves thin segments too, by these
-  empty subsets as well. A linked pair is missed by none of the three.
-* Equal sets share a 64-bit key from the start, so copies make no pairs. The members of each group of one signature are
-  compared by parity sketches, in blocks of bounded size; a sketch never shows more differences than the sets have, so
-  no link is lost, and what passes is verified exactly against the sets: these are all links between different sets.
-  Groups of the same members are compared once. Components come from label contraction of the links.
-* Where only components are asked for (``keep_one``), pairs with each group's most central member (that of the largest
-  groups) are verified first, and then only members that are still in different components are compared.
+  over slack) are indexed over all shingles as well. A pair whose equal segments are all thin consists of two such
+  sets, so what is thin there too (about one set in a thousand) is indexed by up to PARTITIONS independent partitions, and
+  what is thin in all of them by its empty segments. A linked pair is missed by none of these.
+* Equal sets share a key from the start, so copies make no pairs: a 64-bit sum of their hashes, of which a second such sum
+  finds and parts the sets that share it by chance. Pairs with each group's most central member (that of the largest groups) are
+  verified first, and then only members that are still in different components are compared, by parity sketches, in
+  blocks of bounded size; a sketch never shows more differences than the sets have, so no link is lost, and what
+  passes is verified exactly against the sets. Components come from label contraction of the links.
+* Links are counted inside the components, most of them by the triangle inequality (``link_counts``), so a group of near
+  copies isn't written out as pairs.
 
 Shingles are compared as 52-bit hashes and sets as sets of these. Texts are lower-cased (A-Z). A text of fewer than n words has its
-whole word sequence as its one shingle; null or wordless text has none, and links with nothing. Rows that repeat
-a doc_id count as one document each with the same id; null doc_ids get no component id of their own (null). An empty
-table gives an empty result; extra columns don't matter.
+whole word sequence as its one shingle; null or wordless text has none, and links with nothing. doc_id is an integer. Rows that repeat
+one count as a document each with the same id, and stay or go in ``keep_one`` by their own text; null doc_ids get no component id
+of their own (null), and go where their group has a doc_id. An empty table gives an empty result; extra columns, whatever
+their names, don't matter.
 """
 
 from __future__ import annotations
@@ -33,11 +36,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .common import WordBlock, cut, map_batches, mix, read_table, shuffle_partitions, small_or_not, text_blocks
+from .common import WordBlock, as_row, cut, from_row, map_batches, mix, read_table, shuffle_partitions, small_or_not, text_blocks, whole_text
 from .exact_dedup import join_hot
 
 
@@ -53,10 +56,14 @@ class JaccardParams:
 #: Bits of a shingle's hash, so that with the number of its text (4096 to a block) it is one 64-bit value.
 HASH_BITS = 52
 SKETCH_WORDS = 8
+#: Partitions of the universe over all shingles that are tried before empty segments are indexed.
+PARTITIONS = 4
 #: Bytes of text among which a shingle must be frequent to be counted as maybe hot.
 HOT_BLOCK = 1 << 20
 #: Members of one signature that are compared with one another in a task's memory.
 GROUP_BLOCK = 4096
+#: Members of a component that meet one copy of its center's set.
+MEMBERS_AT_ONCE = 4096
 
 # --------------------------------------------------------------------------- sets
 
@@ -98,13 +105,29 @@ def parity_sketches(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def set_keys(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each set (0 for an empty one)."""
-    sums = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(mix(h + np.uint64(1)), out=sums[1:])
+def set_sums(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit sums of each set's hashes (0 for an empty one): its key, and what tells sets of one key apart."""
     sizes = np.diff(bounds)
-    key = mix(sums[bounds[1:]] - sums[bounds[:-1]] + sizes.astype(np.uint64))
-    return np.where(sizes > 0, key, np.uint64(0))
+    out = []
+    for seed in (1, 0x3C6EF372FE94F82B):
+        sums = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(mix(h + np.uint64(seed)), out=sums[1:])
+        out.append(np.where(sizes > 0, mix(sums[bounds[1:]] - sums[bounds[:-1]] + sizes.astype(np.uint64)), np.uint64(0)))
+    return out[0], out[1]
+
+
+def set_keys(h: np.ndarray, bounds: np.ndarray, parted: frozenset[tuple[int, int]] = frozenset()) -> np.ndarray:
+    """A key of each set; ``parted`` are the (key, check) of sets whose key another set has too."""
+    key, check = set_sums(h, bounds)
+    if parted:
+        for k in np.flatnonzero(np.isin(key, np.array([x for x, _ in parted], np.uint64))):
+            if (int(key[k]), int(check[k])) in parted:
+                key[k] = parted_key(key[k], check[k])
+    return key
+
+
+def parted_key(key: np.uint64, check: np.uint64) -> np.uint64:
+    return mix(np.array([key ^ (check << np.uint64(1))], np.uint64))[0]
 
 
 # --------------------------------------------------------------------------- bands and weights
@@ -174,10 +197,15 @@ def signatures(h: np.ndarray, bounds: np.ndarray, keys: np.ndarray, hot: np.ndar
         thin = _route(h, set_of, use, ~is_hot, band, doubled, single, keys, 0, None, found)
         rest = use & (thin > slack)
         if rest.any():
-            thin = _route(h, set_of, rest, np.ones(len(h), bool), band, doubled, single, keys, 1, None, found)
-            empty = rest & (thin > slack)
-            if empty.any():
-                _route(h, set_of, empty, np.ones(len(h), bool), band, doubled, single, keys, 2, "thin", found)
+            every = np.ones(len(h), bool)
+            # sets that only share thin segments are both thin, so they meet in the next partition of the universe
+            for route in range(1, PARTITIONS + 1):
+                thin = _route(h, set_of, rest, every, band, doubled, single, keys, route, None, found)
+                rest = rest & (thin > slack)
+                if not rest.any():
+                    break
+            else:
+                _route(h, set_of, rest, every, band, doubled, single, keys, PARTITIONS, "thin", found)
     if not found:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
@@ -191,7 +219,7 @@ def _route(h, set_of, use, part, band, doubled, single, keys, route, only, found
     at = np.flatnonzero(use[set_of] & part)
     owner, token = set_of[at], h[at]
     with np.errstate(over="ignore"):
-        dealt = mix(token ^ np.uint64(0x5851F42D4C957F2D))
+        dealt = mix(token ^ (np.uint64(0x5851F42D4C957F2D) * np.uint64(2 * max(route, 1) - 1)))
         unit = ((dealt >> np.uint64(32)) * units[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
         segment = np.where(unit < 2 * doubled[owner], unit // 2, unit - doubled[owner])
         place = base[owner] + segment
@@ -200,7 +228,7 @@ def _route(h, set_of, use, part, band, doubled, single, keys, route, only, found
         np.add.at(sums, place, value)
         holder = np.repeat(np.arange(len(use)), counts)
         number = np.arange(base[-1]) - base[holder]
-        salt = mix((band[holder].astype(np.uint64) << np.uint64(40)) + (number.astype(np.uint64) << np.uint64(2)) + np.uint64(2 if route == 2 else route))
+        salt = mix((band[holder].astype(np.uint64) << np.uint64(40)) + (number.astype(np.uint64) << np.uint64(2)) + (np.uint64(PARTITIONS + 1 if only else route) << np.uint64(56)))
         weight = np.where(number < doubled[holder], 2, 1)
         thin = np.bincount(holder, np.where(held <= weight - 1, weight, 0), minlength=len(use))
         if only == "thin":
@@ -219,7 +247,7 @@ def _route(h, set_of, use, part, band, doubled, single, keys, route, only, found
 
 
 def _key_rows(docs: DataFrame, params: JaccardParams) -> DataFrame:
-    """Rows of two kinds: 0 (doc_id, set key, size, sketch) and 2 (a shingle frequent in some block of texts, its count there)."""
+    """Rows of two kinds: 0 (doc_id, the text's hash, set key and check, size, sketch) and 2 (a shingle frequent in some block of texts, its count there)."""
     n = params.words
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,33 +255,39 @@ def _key_rows(docs: DataFrame, params: JaccardParams) -> DataFrame:
             for lo, hi, data, offsets in text_blocks(batch.column("text"), most=HOT_BLOCK):
                 h, bounds = shingle_sets(data, offsets, n)
                 m = hi - lo
-                yield _rows(np.zeros(m, np.int8), batch.column("doc_id").slice(lo, m), set_keys(h, bounds).view(np.int64), np.diff(bounds), _lists(parity_sketches(h, bounds)))
+                key, told = set_sums(h, bounds)
+                yield _rows(np.zeros(m, np.int8), batch.column("doc_id").slice(lo, m), batch.column("text_hash").slice(lo, m), key.view(np.int64), told.view(np.int64), np.diff(bounds), _lists(parity_sketches(h, bounds)))
                 if len(h):
                     shingle, count = np.unique(h, return_counts=True)
                     often = count >= max(3, m // 250)
                     shingle, count = shingle[often], count[often]
-                    none = pa.ListArray.from_arrays(np.zeros(len(shingle) + 1, np.int32), pa.array([], pa.int64()))
-                    yield _rows(np.full(len(shingle), 2, np.int8), pa.nulls(len(shingle), pa.int64()), shingle.view(np.int64), count, none)
+                    none, null = pa.ListArray.from_arrays(np.zeros(len(shingle) + 1, np.int32), pa.array([], pa.int64())), pa.nulls(len(shingle), pa.int64())
+                    yield _rows(np.full(len(shingle), 2, np.int8), null, null, shingle.view(np.int64), np.zeros(len(shingle), np.int64), count, none)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
+    return map_batches(rows, scan, "kind byte, doc_id long, text_hash long, key long, told long, n long, sketch array<long>")
+
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), scan, "kind byte, doc_id long, key long, n long, sketch array<long>")
+def text_hash() -> Column:
+    return F.xxhash64(whole_text())
 
 
 def _lists(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], pa.array(rows.reshape(-1).view(np.int64)))
 
 
-def _rows(kind, ids, key, n, sketch) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(kind), ids, pa.array(key), pa.array(n.astype(np.int64)), sketch], ["kind", "doc_id", "key", "n", "sketch"])
+def _rows(kind, ids, text_hash, key, told, n, sketch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(kind), ids, text_hash, pa.array(key), pa.array(told), pa.array(n.astype(np.int64)), sketch], ["kind", "doc_id", "text_hash", "key", "told", "n", "sketch"])
 
 
 class JaccardJoin:
-    """The join of one table; ``every_link`` and ``classes`` are its results."""
+    """The join of one table; ``classes`` is its result."""
 
     def __init__(self, docs: DataFrame, params: JaccardParams = JaccardParams()):
         self.docs, self.params, self.spark = docs, params, docs.sparkSession
         rows = cut(_key_rows(docs, params))
-        self.rows = rows.filter("kind = 0")
-        self.keys = self.rows.select("doc_id", "key", "n")
+        self.rows, self.parted = self.tell_apart(rows.filter("kind = 0"))
+        self.keys = self.rows.select("doc_id", "text_hash", "key", "n")
         self.sets = self.keys.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
         total, largest, shingles = self.keys.agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
         least = max(16, total // params.hot_share)
@@ -266,17 +300,30 @@ class JaccardJoin:
         per_band = {b: own.get(b, 0) + own.get(b - 1, 0) for b in range(len(edges) - 1)}
         self.schemes = {b: choose_scheme(b, edges[b], edges[b + 1] - 1, params.percent, n, common) for b, n in per_band.items() if n}
 
+    def tell_apart(self, rows: DataFrame) -> tuple[DataFrame, frozenset[tuple[int, int]]]:
+        """``rows`` in which different sets have different keys, and the (key, check) of sets that got another one.
+
+        Two sets have one 64-bit key with a chance of 1 in 2**64, so hardly any are found, however many sets there are.
+        """
+        several = rows.filter("n > 0").groupBy("key").agg(F.min("told").alias("low"), F.max("told").alias("high")).filter("low != high")
+        others = rows.join(F.broadcast(several), "key").filter("told != low").select("key", "told").distinct().collect()  # see above
+        word = lambda x: np.array([x], np.int64).view(np.uint64)[0]
+        for r in others:
+            own = int(np.array([parted_key(word(r["key"]), word(r["told"]))]).view(np.int64)[0])
+            rows = rows.withColumn("key", F.when((F.col("key") == r["key"]) & (F.col("told") == r["told"]), F.lit(own)).otherwise(F.col("key")))
+        return rows, frozenset((int(word(r["key"])), int(word(r["told"]))) for r in others)
+
     def groups(self) -> DataFrame:
         """(sig, key): the members of every signature that several sets hold."""
         spark, n = self.spark, self.params.words
-        hot, starts, schemes = spark.sparkContext.broadcast(self.hot), self.starts, self.schemes
+        hot, starts, schemes, parted = spark.sparkContext.broadcast(self.hot), self.starts, self.schemes, self.parted
 
         def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for batch in batches:
                 for _, _, data, offsets in text_blocks(batch.column("text")):
                     h, bounds = shingle_sets(data, offsets, n)
-                    keys = set_keys(h, bounds)
+                    keys = set_keys(h, bounds, parted)
                     fresh = np.array([not (k in seen or seen.add(k)) for k in keys.tolist()], bool)
                     if len(seen) > 200_000:
                         seen.clear()
@@ -292,48 +339,85 @@ class JaccardJoin:
         hot.destroy()
         return found
 
-    def every_link(self) -> DataFrame:
-        """(a, b), a < b: the keys of all pairs of different sets that link."""
-        groups = self.groups()
-        # a group's members are told by two 64-bit sums of their hashes
-        told = groups.groupBy("sig").agg(F.count(F.lit(1)).alias("members"), F.min("key").alias("a"), F.max("key").alias("b"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
-        told = cut(told.groupBy("members", "a", "b", "x", "y").agg(F.min("sig").alias("sig")))
-        twos = self.near_enough(told.filter("members = 2").select("a", "b"))
-        larger = told.filter("members > 2").select("sig", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("blocks"))
-        pairs = self.compared(groups.join(larger, "sig").withColumn("label", F.col("key")))
-        pairs = cut(twos.unionByName(pairs).distinct())
-        sets = self.members(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-        return cut(self.verified(pairs, sets))
-
-    def compared(self, rows: DataFrame) -> DataFrame:
-        """The pairs of different labels in a group of (sig, blocks, key, label) that may link by size and sketch, once for each block."""
+    def compared(self, rows: DataFrame, inside: bool = False) -> DataFrame:
+        """The pairs in a group of (sig, blocks, key, label, e, d) that may link by size and sketch, once for each block: those of
+        different labels, or ``inside`` a component those of one label of which e and d don't tell."""
         rest = rows.join(self.sketches(), "key").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rest = rest.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n", "sketch")
+        rest = rest.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "label", "n", "e", "d", "sketch")
         rest = rest.repartition(shuffle_partitions(self.spark), "sig", "i", "j").sortWithinPartitions("sig", "i", "j", "key")
         percent = self.params.percent
-        return map_batches(rest, lambda batches: across(batches, percent), "a long, b long")
+        return map_batches(rest, lambda batches: across(batches, percent, inside), "a long, b long")
 
     def run(self) -> DataFrame:
         """(key, label): the component of every set that links with another, by its smallest key; labels are keys.
 
-        It finds as many links as components need, not all.
+        It verifies as many pairs as components need; ``link_counts`` does the rest.
         """
-        groups = self.groups()
+        self.held_groups = groups = self.groups()
         members = groups.groupBy("sig").agg(F.count(F.lit(1)).alias("members"))
         weights = groups.join(members, "sig").groupBy("key").agg(F.sum("members").alias("weight"))
         central = groups.join(weights, "key").groupBy("sig").agg(F.max(F.struct("weight", "key")).alias("top")).select("sig", F.col("top.key").alias("center"))
         stars = groups.join(central, "sig").filter("key != center").select(F.least("key", "center").alias("a"), F.greatest("key", "center").alias("b")).distinct()
-        sets = self.members(groups.select("key").distinct())
-        links = cut(self.verified(self.near_enough(stars), sets))
+        self.held_sets = sets = self.members(groups.select("key").distinct())
+        self.links = links = cut(self.verified(self.near_enough(stars), sets))
         labels = components(links)
         # only groups that still span several components
         own = groups.join(labels, "key", "left").select("sig", "key", F.coalesce("label", "key").alias("label"))
         open_ = own.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")).filter("low != high and members > 2").select("sig", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("blocks"))
-        pairs = cut(self.compared(own.join(open_, "sig")).distinct())
+        pairs = cut(self.compared(own.join(open_, "sig").withColumns({"e": F.lit(0).cast("long"), "d": F.lit(0).cast("long")})).distinct())
         more = cut(self.verified(pairs, sets))
         return labels if more.isEmpty() else components(links.unionByName(more))
 
+    def link_counts(self, labels: DataFrame) -> DataFrame:
+        """(key, n_links): how many documents of other sets a set of a component links with.
+
+        Sets a, b of n_a and n_b shingles link where they differ in s of them and (100 + percent) s <= (100 - percent) (n_a + n_b). Of
+        each component's most linked set c every member's distance d is taken; s <= d_a + d_b, so with
+        e = (100 + percent) d - (100 - percent) n all pairs of e_a + e_b <= 0 link, and are counted by sums over e without
+        being looked at. The others are compared where they share a signature, by s >= |d_a - d_b|, by sketch, and exactly.
+        """
+        percent = self.params.percent
+        own = labels.join(self.sets.select("key", "n", "copies"), "key")
+        degrees = self.links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("degree"))
+        centers = cut(labels.join(degrees, "key", "left").groupBy("label").agg(F.max_by("key", F.struct(F.coalesce("degree", F.lit(0)), F.col("key"))).alias("center"), F.count(F.lit(1)).alias("members")))
+        members = cut(self.distances(join_hot(own, centers, "label", "members"), centers).withColumn("e", F.lit(100 + percent) * F.col("d") - F.lit(100 - percent) * F.col("n")))
+        # certain links: the copies of all members up to -e, without the set's own
+        points = members.select("label", F.col("e").alias("v"), "copies", F.lit(0).alias("asked")).unionByName(members.select("label", (-F.col("e")).alias("v"), F.lit(0).cast("long").alias("copies"), F.lit(1).alias("asked")))
+        sums = points.groupBy("label", "v").agg(F.sum("copies").alias("copies"), F.sum("asked").alias("asked"))
+        up_to = sums.select(F.struct("label", "v").alias("place"), F.sum("copies").over(Window.partitionBy("label").orderBy("v")).alias("up_to"), "asked").filter("asked > 0")
+        certain = join_hot(members.withColumn("place", F.struct(F.col("label"), (-F.col("e")).alias("v"))), cut(up_to), "place", "asked")
+        certain = certain.select("key", (F.col("up_to") - F.when(F.col("e") <= 0, F.col("copies")).otherwise(F.lit(0))).alias("n_links"))
+        # the others
+        most = cut(members.groupBy("label").agg(F.max("e").alias("most"), F.count(F.lit(1)).alias("members")))
+        unsure = cut(join_hot(members, most, "label", "members").filter("e + most > 0").select("key", "label", "e", "d"))
+        groups = self.held_groups.join(unsure, "key").withColumn("sig", F.xxhash64("sig", "label"))
+        several = groups.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("sig", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("blocks"))
+        pairs = cut(self.compared(groups.join(several, "sig"), inside=True).distinct())
+        links = cut(self.verified(pairs, self.held_sets))
+        copies = self.sets.select("key", "copies")
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        found = both.join(copies.withColumnRenamed("key", "b"), "b").select(F.col("a").alias("key"), F.col("copies").alias("n_links"))
+        return certain.unionByName(found).groupBy("key").agg(F.sum("n_links").alias("n_links"))
+
+    def distances(self, own: DataFrame, centers: DataFrame) -> DataFrame:
+        """Members (key, label, n, copies, center, members) with d, in how many shingles they differ from their component's center.
+
+        A center's set is repeated for every MEMBERS_AT_ONCE members, so that those of a large component don't meet in one task.
+        """
+        parts = F.ceil(F.col("members") / MEMBERS_AT_ONCE).cast("int")
+        left = own.join(self.held_sets, "key").withColumn("part", F.pmod(F.xxhash64("key"), parts).cast("int"))
+        right = centers.join(self.held_sets.select(F.col("key").alias("center"), F.col("shingles").alias("others")), "center")
+        right = right.select("label", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "others")
+        both = left.select("key", "label", "n", "copies", "part", "shingles").join(right, ["label", "part"]).select("key", "label", "n", "copies", "shingles", "others")
+
+        def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                d = [len(x) + len(y) - 2 * common(x, y) for x, y in set_pairs(batch)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "label", "n", "copies")), pa.array(d, pa.int64())], ["key", "label", "n", "copies", "d"])
+
+        return map_batches(both, measure, "key long, label long, n long, copies long, d long")
+
     def sketches(self) -> DataFrame:
         return self.rows.filter("n > 0").select("key", "n", "sketch").dropDuplicates(["key"])
 
@@ -356,11 +440,8 @@ class JaccardJoin:
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 good = np.zeros(len(batch), bool)
-                for k, (x, y) in enumerate(zip(batch.column("shingles"), batch.column("others"))):
-                    x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                    if len(x) > len(y):
-                        x, y = y, x
-                    shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                for k, (x, y) in enumerate(set_pairs(batch)):
+                    shared = common(x, y)
                     good[k] = 100 * shared >= percent * (len(x) + len(y) - shared)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
 
@@ -374,14 +455,14 @@ class JaccardJoin:
         words = words.groupBy("word").agg(F.bit_or("mark").alias("marks")).toArrow()  # bits / 64 rows at most
         table = np.zeros(bits // 64, np.uint64)
         table[words["word"].to_numpy()] = words["marks"].to_numpy().view(np.uint64)
-        held = self.spark.sparkContext.broadcast(table)
+        held, parted = self.spark.sparkContext.broadcast(table), self.parted
 
         def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
             for batch in batches:
                 for _, _, data, offsets in text_blocks(batch.column("text")):
                     h, bounds = shingle_sets(data, offsets, n)
-                    keys = set_keys(h, bounds)
+                    keys = set_keys(h, bounds, parted)
                     at = keys & np.uint64(bits - 1)
                     maybe = np.flatnonzero(((held.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)) == 1)
                     maybe = [k for k in maybe if bounds[k + 1] > bounds[k] and not (keys[k] in seen or seen.add(keys[k]))]
@@ -395,25 +476,32 @@ class JaccardJoin:
         held.destroy()
         return found
 
-    def classes(self, every: bool = True, counted: bool = False) -> DataFrame:
-        """doc_id, n_shingles, component_id of every document, from all links or as many as components need.
-
-        ``counted`` adds n_links, with how many other sets a document's own links.
-        """
-        links = self.every_link() if every or counted else None
-        labels = self.run() if links is None else components(links)
+    def classes(self, counted: bool = False) -> DataFrame:
+        """doc_id, text_hash, n_shingles, component_id of every document, and with ``counted`` n_links: how many other documents it links with."""
+        labels = self.run()
         merged = self.sets.join(labels, "key", "left").select("key", "copies", "first_id", F.coalesce("label", "key").alias("label"))
         lowest = merged.groupBy("label").agg(F.min("first_id").alias("lowest"), F.sum("copies").alias("size")).filter("size > 1")
         found = merged.join(lowest, "label").select("key", F.col("lowest").alias("component"), F.col("copies").alias("times"))
         if counted:
-            degrees = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("degree"))
-            found = found.join(degrees, "key", "left")
+            found = found.join(self.link_counts(labels), "key", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("times") - 1)
         rows = join_hot(self.keys, cut(found), "key", "times")
-        columns = ["doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")]
-        return rows.select(*columns, *([F.coalesce("degree", F.lit(0)).alias("n_links")] if counted else []))
+        columns = ["doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")]
+        return rows.select(*columns, *([F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if counted else []))
+
+
+def set_pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for x, y in zip(batch.column("shingles"), batch.column("others")):
+        yield np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+
+
+def common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many shingles two sets share."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
-def _band_of(starts: list[int]) -> "F.Column":
+def _band_of(starts: list[int]) -> Column:
     return F.expr("size(filter(array(" + ",".join(f"{s}L" for s in starts) + "), s -> s <= n)) - 1")
 
 
@@ -447,19 +535,20 @@ def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(sig[give]), pa.array(key[give])], ["sig", "key"])
 
 
-def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (sig, i, j), the pairs of one (sig, i, j) and different labels that may link by size and sketch.
+def across(batches: Iterator[pa.RecordBatch], percent: int, inside: bool = False) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (sig, i, j), the pairs of one (sig, i, j) and different labels that may link by size and sketch; or, ``inside``
+    components, of one label and neither sure to link nor sure not to by their distances from the center.
 
     Rows i == j compare a block's members with one another, i < j those of block i with those of block j.
     """
-    names = ["sig", "i", "j", "own", "key", "label", "n"]
+    names = ["sig", "i", "j", "own", "key", "label", "n", "e", "d"]
 
     def read(batch: pa.RecordBatch) -> list[np.ndarray]:
         sketch = batch.column("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_WORDS)
         return [*(batch.column(c).to_numpy() for c in names), sketch]
 
     def pairs(held: list[np.ndarray], end: int) -> Iterator[pa.RecordBatch]:
-        sig, i, j, own, key, label, n, sketch = (x[:end] for x in held)
+        sig, i, j, own, key, label, n, e, d, sketch = (x[:end] for x in held)
         opens = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
         lengths = np.diff(np.append(opens, end))
         stop = np.repeat(opens + lengths, lengths)
@@ -469,7 +558,11 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
             if not len(at):
                 return
             to = at + step
-            ok = (label[at] != label[to]) & ((i[at] == j[at]) | (own[at] != own[to])) & (100 * np.minimum(n[at], n[to]) >= percent * np.maximum(n[at], n[to]))
+            if inside:
+                ok = (label[at] == label[to]) & (e[at] + e[to] > 0) & ((100 + percent) * np.abs(d[at] - d[to]) <= (100 - percent) * (n[at] + n[to]))
+            else:
+                ok = label[at] != label[to]
+            ok &= ((i[at] == j[at]) | (own[at] != own[to])) & (100 * np.minimum(n[at], n[to]) >= percent * np.maximum(n[at], n[to]))
             a, b = at[ok], to[ok]
             near = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1) <= (n[a] + n[b]) * (100 - percent) // (100 + percent)
             a, b = key[a[near]], key[b[near]]
@@ -494,14 +587,15 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 
 def keep_one(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document of smallest doc_id."""
-    found = JaccardJoin(docs, params).classes(every=False)
-    gone = found.filter("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(small_or_not(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: of each component the documents of its smallest doc_id."""
+    found = JaccardJoin(docs, params).classes()
+    gone = found.filter("component_id is not null and (doc_id is null or component_id != doc_id)").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    own = docs.select(as_row(docs), F.col("doc_id").cast("long").alias("own_id"), text_hash().alias("own_hash"))
+    return from_row(own.join(small_or_not(gone), F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_hash") == F.col("gone_hash")), "left_anti"), docs.columns)
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return JaccardJoin(read_table(spark, sf_dir, "documents")).classes()
+    return JaccardJoin(read_table(spark, sf_dir, "documents")).classes(counted=True).drop("text_hash")
 
 
 #: DuckDB SQL of op8_jaccard_join: all pairs that share a shingle, and the closure of their links.
@@ -512,6 +606,8 @@ WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,
   p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
   l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
   e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+  k AS (SELECT a AS doc_id, count(*) AS n_links FROM e GROUP BY a),
   r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
-SELECT doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+SELECT doc_id, coalesce(max(n.n), 0) AS n_shingles, min(other) AS component_id, coalesce(max(k.n_links), 0) AS n_links
+FROM r LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id) GROUP BY doc_id
 """

@@ -177,6 +177,52 @@ def test_jaccard_join_matches_brute_force(spark, corpus):
     assert {r["doc_id"] for r in kept.collect() if r["doc_id"] is not None} == {k for k, (_, c) in expected.items() if k == c}
 
 
+def clashing(docs, names):
+    return docs.withColumns({c: F.lit(f"{c} of the caller") for c in names if c not in docs.columns})
+
+
+#: What the operators call their own columns, and older names.
+INNER = (
+    "row id own_id digest own_digest fate stays times gone_id gone_hash own_hash text_hash key n label src chars h salt inner outer start block phase from_block to_block first_slot "
+    "places quota slot release deadline sched_src __slot __chars __h __gone __stays __digest __quota good score kept base_failed value word bit marks sequence length low high"
+).split()
+
+
+@pytest.mark.parametrize("name", ["mix", "keep_first", "keep_one", "filter_quality", "pack", "score_quality"])
+def test_columns_of_the_caller_come_back_as_they_were(spark, name):
+    rng = random.Random(5)
+    rows = [(k, prose(rng, 40)) for k in range(12)] + [(20, None)]
+    docs = clashing(frame(spark, rows + [(3, rows[3][1]), (30, rows[4][1])]), INNER)
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(6)], "doc_id long, quality int, toxic int")
+    model = lambda: quality.fit_quality(docs, labels)
+    call = {"mix": mixing.mix, "keep_first": exact_dedup.keep_first, "keep_one": jaccard_join.keep_one, "filter_quality": lambda d: quality.filter_quality(d, model()), "pack": packing.pack, "score_quality": lambda d: quality.score_quality(d, model())}[name]
+    found = call(docs).collect()
+    assert found
+    if name in ("mix", "keep_first", "keep_one", "filter_quality"):
+        assert list(found[0].asDict()) == docs.columns
+        own = set(docs.collect())
+        assert all(r in own for r in found)
+
+
+def brute_links(sets):
+    linked = lambda a, b: bool(a & b) and 100 * len(a & b) >= 85 * len(a | b)
+    return {k: sum(linked(x, y) for j, y in sets.items() if j != k) for k, x in sets.items()}
+
+
+def test_sets_of_one_key_are_told_apart(spark, monkeypatch):
+    sums = jaccard_join.set_sums
+    h, bounds = np.arange(1, 11, dtype=np.uint64), np.array([0, 3, 6, 10])
+    _, told = sums(h, bounds)
+    monkeypatch.setattr(jaccard_join, "set_sums", lambda h, bounds: (np.array([5, 5, 6], np.uint64), told))
+    keys = jaccard_join.set_keys(h, bounds, frozenset({(5, int(told[1]))}))
+    assert keys[0] == 5 and keys[2] == 6 and keys[1] == jaccard_join.parted_key(np.uint64(5), told[1])
+    rows = spark.createDataFrame([(1, 5, 7, 3), (2, 5, 8, 3), (3, 5, 7, 3), (4, 6, 9, 4), (5, 0, 0, 0)], "doc_id long, key long, told long, n long")
+    apart, parted = jaccard_join.JaccardJoin.tell_apart(None, rows)
+    assert parted == {(5, 8)}
+    found = {r["doc_id"]: r["key"] for r in apart.collect()}
+    assert found[1] == found[3] == 5 and found[4] == 6 and found[2] not in (5, 6, 0)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_drifting_copies_and_shared_passages(spark, seed):
     """Copies of copies at all distances around the limit, with a passage that every document holds."""
@@ -191,8 +237,9 @@ def test_drifting_copies_and_shared_passages(spark, seed):
                 words[rng.randrange(len(words))] = "w" + str(rng.randrange(10**6))
             rows.append((len(rows), " ".join(words) + (" " + passage if rng.random() < 0.7 else "")))
     expected = brute_components(rows)
-    found = jaccard_join.JaccardJoin(frame(spark, rows)).classes().collect()
+    found = jaccard_join.JaccardJoin(frame(spark, rows)).classes(counted=True).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
+    assert {r["doc_id"]: r["n_links"] for r in found} == brute_links({k: shingles(t) for k, t in rows})
 
 
 def test_every_link_inside_a_component_is_counted(spark):
@@ -205,10 +252,8 @@ def test_every_link_inside_a_component_is_counted(spark):
             words[rng.randrange(len(words))] = "w" + str(rng.randrange(10**6))
         rows += [(k, " ".join(words)), (100 + k, " ".join(words))]
     sets = {k: shingles(t) for k, t in rows}
-    different = set(sets.values())
-    linked = lambda a, b: a != b and bool(a & b) and 100 * len(a & b) >= 85 * len(a | b)
     found = jaccard_join.JaccardJoin(frame(spark, rows)).classes(counted=True).collect()
-    assert {r["doc_id"]: r["n_links"] for r in found} == {k: sum(linked(x, y) for y in different) for k, x in sets.items()}
+    assert {r["doc_id"]: r["n_links"] for r in found} == brute_links(sets)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_components(rows)
 
 
@@ -267,7 +312,7 @@ def test_components_of_chains_and_stars(spark):
 def test_join_of_nothing(spark):
     assert jaccard_join.JaccardJoin(frame(spark, [(1, "a")]).limit(0)).classes().count() == 0
     found = jaccard_join.JaccardJoin(frame(spark, [(1, None), (2, ""), (3, " ")])).classes().collect()
-    assert sorted(tuple(r) for r in found) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
 
 
 # --------------------------------------------------------------------------- mixing
