@@ -41,7 +41,7 @@ IDENTIFIERS = (
 
 @dataclass(frozen=True)
 class SecretParams:
-    least: int = 20
+    least: int = 14
     threshold: float = 16.0
     sample_documents: int = 2000
     made: int = 3000
@@ -57,28 +57,48 @@ def found(text: Column, pattern: str) -> tuple[Column, Column]:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
 
+SPANS = "array<struct<start:int,kind:int,end:int>>"
+#: Elements of a list that a step works on at a time, so that its cost grows with the list's length, not with its square.
+CHUNK = 512
+
+
+def none(kind: str) -> Column:
+    return F.array().cast(kind)
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def placed(kind: int, matches: Column, gaps: Column) -> Column:
     """array<struct<start, kind, end>> of matches, given the text between them."""
-    start = F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,kind:int,end:int>>").alias("out"))
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    return bound(F.struct(matches.alias("m"), gaps.alias("g")), lambda x: _placed(kind, x["m"], x["g"]))
+
 
+def _placed(kind: int, matches: Column, gaps: Column) -> Column:
     def step(state: Column, k: Column) -> Column:
         begin = state["at"] + F.length(F.get(gaps, k))
         end = begin + F.length(F.get(matches, k))
         span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(F.coalesce(state["out"], empty), F.array(span)).alias("out"))
+        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    numbers = F.sequence(F.lit(0), F.size(matches) - 1)
-    return F.when(F.size(matches) > 0, F.aggregate(numbers, start, step)["out"]).otherwise(empty)
+    def chunk(state: Column, q: Column) -> Column:
+        own = F.sequence(q * CHUNK, F.least(q * CHUNK + CHUNK, F.size(matches)) - 1)
+        some = F.aggregate(own, F.struct(state["at"].alias("at"), none(SPANS).alias("out")), step)
+        return bound(some, lambda x: F.struct(x["at"].alias("at"), F.concat(state["out"], F.array(x["out"])).alias("out")))
+
+    chunks = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / CHUNK).cast("int"))
+    start = F.struct(F.lit(0).alias("at"), none(f"array<{SPANS}>").alias("out"))
+    return F.when(F.size(matches) > 0, F.flatten(F.aggregate(chunks, start, chunk)["out"])).otherwise(none(SPANS))
 
 
 def base_spans(text: Column) -> Column:
-    """Base spans sorted by start, then kind."""
+    """Base spans sorted by start, then kind; one pass tells the texts that have none."""
     assign, around = found(text, ASSIGN)
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
-    spans = placed(0, assign, around)
-    spans = F.when(F.size(assign) > 0, F.filter(spans, lambda s, k: F.length(F.get(values, k)) >= 6)).otherwise(spans)
-    return F.array_sort(F.concat(spans, placed(1, *found(text, ACCESS)), placed(2, *found(text, HEX))))
+    spans = bound(values, lambda v: F.filter(placed(0, assign, around), lambda s, k: F.length(F.get(v, k)) >= 6))
+    return F.when(F.rlike(text, F.lit(f"{ASSIGN}|{ACCESS}|{HEX}")), F.array_sort(F.concat(spans, placed(1, *found(text, ACCESS)), placed(2, *found(text, HEX))))).otherwise(none(SPANS))
 
 
 def labelled_samples(docs: DataFrame, params: SecretParams) -> DataFrame:
@@ -99,9 +119,9 @@ def labelled_samples(docs: DataFrame, params: SecretParams) -> DataFrame:
 def fit(samples: DataFrame, params: SecretParams) -> np.ndarray:
     """log P(next | character) under the random model less that under the ordinary one, SIZE by SIZE."""
     runs = samples.groupBy("run", "secret").agg(F.sum("times").alias("times")).filter(F.length("run") > 1)
-    pairs = runs.select("secret", "times", "run", F.explode(F.sequence(F.lit(1), F.length("run") - 1)).alias("k"))
-    code = lambda k: F.ascii(F.substr("run", k, F.lit(1))) - FIRST
-    counts = pairs.groupBy("secret", code(F.col("k")).alias("a"), code(F.col("k") + 1).alias("b")).agg(F.sum("times").alias("n")).collect()  # 2 * SIZE**2 rows at most
+    codes = runs.select("secret", "times", F.explode(pieces(F.col("run"))).alias("piece")).select("secret", "times", codes_of(F.col("piece")).alias("c")).filter(F.size("c") > 1)
+    pairs = codes.select("secret", "times", "c", F.explode(F.sequence(F.lit(1), F.size("c") - 1)).alias("k"))
+    counts = pairs.groupBy("secret", F.get("c", F.col("k") - 1).alias("a"), F.get("c", "k").alias("b")).agg(F.sum("times").alias("n")).collect()  # 2 * SIZE**2 rows at most
     table = np.full((2, SIZE, SIZE), params.smoothing)
     for r in counts:
         if 0 <= r["a"] < SIZE and 0 <= r["b"] < SIZE:
@@ -110,16 +130,39 @@ def fit(samples: DataFrame, params: SecretParams) -> np.ndarray:
     return share[1] - share[0]
 
 
+def pieces(run: Column) -> Column:
+    """A run in pieces of at most 1024 characters and the one that follows: every pair of neighbours is in one piece."""
+    return F.regexp_extract_all(run, F.lit("(?=(.{1,1025})).{1,1024}"), F.lit(1))
+
+
+def codes_of(piece: Column) -> Column:
+    """The characters' numbers from FIRST on."""
+    return F.transform(F.split(piece, ""), lambda c: F.ascii(c) - FIRST)
+
+
 def log_ratio(run: Column, ratio: np.ndarray) -> Column:
-    """The log-likelihood ratio of a run."""
+    """The log-likelihood ratio of a run; its cost grows with the run's length."""
     table = F.split(F.lit(",".join(f"{x:.4f}" for x in ratio.ravel())), ",").cast("array<double>")
-    first = F.struct(F.ascii(F.substr(run, F.lit(1), F.lit(1))).alias("last"), F.lit(0.0).alias("sum"))
 
-    def step(state: Column, k: Column) -> Column:
-        now = F.ascii(F.substr(run, k, F.lit(1)))
-        return F.struct(now.alias("last"), (state["sum"] + F.get(table, (state["last"] - FIRST) * SIZE + now - FIRST)).alias("sum"))
+    def of_piece(piece: Column) -> Column:
+        pair = lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: F.get(table, a * SIZE + b))
+        return F.aggregate(bound(codes_of(piece), pair), F.lit(0.0), lambda x, y: x + y)
+
+    return F.when(F.length(run) < 2, F.lit(0.0)).otherwise(F.aggregate(F.transform(pieces(run), of_piece), F.lit(0.0), lambda x, y: x + y))
+
+
+def outside(spans: Column, base: Column) -> Column:
+    """The spans that overlap none of the base spans; both are sorted."""
+
+    def chunk(q: Column) -> Column:
+        return bound(F.slice(spans, q * CHUNK + 1, F.lit(CHUNK)), inner)
+
+    def inner(own: Column) -> Column:
+        near = F.filter(base, lambda b: (b["start"] < F.element_at(own, -1)["end"]) & (F.get(own, F.lit(0))["start"] < b["end"]))
+        return bound(near, lambda n: F.filter(own, lambda s: ~F.exists(n, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
 
-    return F.aggregate(F.sequence(F.lit(2), F.length(run)), first, step)["sum"]
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / CHUNK).cast("int")), chunk)
+    return F.when((F.size(spans) > 0) & (F.size(base) > 0), F.flatten(chunks)).otherwise(spans)
 
 
 def scan(docs: DataFrame, ratio: np.ndarray, params: SecretParams = SecretParams()) -> DataFrame:
@@ -127,11 +170,11 @@ def scan(docs: DataFrame, ratio: np.ndarray, params: SecretParams = SecretParams
     rows = docs.select("doc_id", whole_text().alias("text"))
     rows = rows.select("doc_id", base_spans(F.col("text")).alias("base"), *(c.alias(n) for n, c in zip(("runs", "around"), found(F.col("text"), RUN + f"{{{params.least},}}"))))
     flags = F.transform("runs", lambda r: log_ratio(r, ratio) >= params.threshold)
-    rows = rows.select("doc_id", "base", "runs", "around", F.when(F.size("runs") > 0, flags).otherwise(F.array().cast("array<boolean>")).alias("flags"))
+    rows = rows.select("doc_id", "base", "runs", "around", F.when(F.size("runs") > 0, flags).otherwise(none("array<boolean>")).alias("flags"))
     spans = placed(3, F.col("runs"), F.col("around"))
-    rows = rows.select("doc_id", "base", F.when(F.exists("flags", lambda x: x), F.filter(spans, lambda s, k: F.get("flags", k))).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias("random"))
-    added = F.filter("random", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return rows.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("all"))
+    rows = rows.select("doc_id", "base", F.when(F.exists("flags", lambda x: x), F.filter(spans, lambda s, k: F.get("flags", k))).otherwise(none(SPANS)).alias("random"))
+    rows = rows.select("doc_id", "base", outside(F.col("random"), F.col("base")).alias("added"))
+    return rows.select("doc_id", "base", F.when(F.size("added") > 0, F.array_sort(F.concat("base", "added"))).otherwise(F.col("base")).alias("all"))
 
 
 def told(spans: str) -> Column:
