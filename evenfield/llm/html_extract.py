@@ -8,7 +8,8 @@ container where it has none at that path.
 
 Text is made of blocks. Character references are decoded, white space inside a block becomes one space, blocks are
 trimmed, empty ones go, and the rest are joined by one line feed in page order. Scripts, styles, markup, comments,
-navigation, page headers and footers, asides, forms, adverts, notices and reader comments are left out.
+navigation, page headers and footers, asides, forms, adverts, notices and reader comments are left out. Names of classes count
+for elements that hold blocks only, and doubtful ones (share, related ...) only where the element is mostly links.
 
 The paths of all hosts are broadcast only while there are at most ``broadcast_hosts``; beyond that they are joined by
 host and salt, so that no host's pages meet in one task. Null html is empty and gives empty text; a null url is a host
@@ -33,20 +34,28 @@ from .common import cut, map_batches, read_table
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'">]|"[^"]*"|'[^']*')*)>|<[/!?][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)|([^<]+|<)""", re.S)
 CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 CLASS_ONLY = re.compile(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-RAW = frozenset("script style title textarea noscript template iframe svg math object canvas audio video xmp noframes".split())
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?|["']""")
+#: Elements whose content is text up to their end tag, whatever it looks like.
+RAW = frozenset("script style title textarea xmp iframe noframes".split())
+#: Elements that stand for something else than text; one that is never closed is passed over as if it weren't there.
+FALLBACK = frozenset("noscript template svg object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset("html body article main section div td th center table tbody tr".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote figure figcaption address details summary hr header footer nav aside form fieldset thead tfoot caption menu dialog hgroup".split())
-DROPPED = RAW | frozenset("head nav aside footer form button select option dialog menu label fieldset input".split())
+DROPPED = RAW | FALLBACK | frozenset("head nav aside footer button select option datalist dialog".split())
+#: Elements that a name of boilerplate tells of; words, paragraphs, headings and items of an article may have any name.
+NAMED = frozenset("div section ul ol dl table details center".split())
 _P = frozenset({"p"})
 SAME_CLOSES = {"li": _P | {"li"}, "dt": _P | {"dt", "dd"}, "dd": _P | {"dt", "dd"}, "tr": _P | {"tr", "td", "th"}, "td": _P | {"td", "th"}, "th": _P | {"td", "th"}}
 BOILERPLATE = frozenset(
-    "ad ads advert advertisement advertisements adverts adbox banner sponsor sponsored promo promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs "
-    "footer header masthead cookie cookies consent notice notices popup modal overlay newsletter subscribe signup login share sharing social related recommended "
-    "comments comment comment-list disqus respond replies pagination pager toolbar widget skip".split()
+    "ad ads advert advertisement advertisements adverts adbox banner sponsor sponsored sidebar menu nav navbar navigation breadcrumb breadcrumbs "
+    "footer header masthead cookie cookies consent notice notices popup modal overlay newsletter subscribe "
+    "comments comment comment-list disqus respond replies pagination pager".split()
 )
+#: Names that an article's own parts have too: such an element goes if at least half of its text is links.
+DOUBTFUL = frozenset("promo promotion social share sharing related recommended widget toolbar skip signup login".split())
 
-_ENDS = {tag: re.compile(f"</{tag}", re.I) for tag in RAW}
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW | FALLBACK}
 
 
 @dataclass(frozen=True)
@@ -58,37 +67,69 @@ class HtmlParams:
 #: First parts of class names that tell of a page's layout, not of what the element is.
 LAYOUT = frozenset("has no with without is show hide content main page site".split())
 #: Names that only count alone: with another part they stand for an article's own head.
-ALONE = frozenset("header masthead skip widget toolbar signup login notice notices".split())
+ALONE = frozenset("header masthead notice notices skip widget toolbar signup login".split())
 
 
 @lru_cache(maxsize=4096)
-def is_boilerplate(name: str) -> bool:
+def is_boilerplate(name: str, words: frozenset[str] = BOILERPLATE) -> bool:
     """Whether a class, id or role is a word for boilerplate, or begins or ends with one."""
-    if name in BOILERPLATE:
+    if name in words:
         return True
     parts = name.split("-")
-    return len(parts) > 1 and parts[0] not in LAYOUT and any(p in BOILERPLATE and p not in ALONE for p in (parts[0], parts[-1]))
+    return len(parts) > 1 and parts[0] not in LAYOUT and any(p in words and p not in ALONE for p in (parts[0], parts[-1]))
 
 
 def _attribute(pattern: re.Pattern, attrs: str) -> str:
     return " ".join(a or b or c for a, b, c in pattern.findall(attrs)).lower()
 
 
-def walk(page: str) -> Iterator[tuple[str, int, list[tuple[str, int]]]]:
-    """(raw text, characters in links, open containers) of each block outside dropped elements; containers are (path, element number)."""
+@dataclass(frozen=True)
+class Block:
+    text: str
+    links: int  # characters in links
+    containers: list[tuple[str, int]]  # the open ones: (path, element number)
+    doubts: tuple[int, ...]  # numbers of the open forms and of open elements with a doubtful name, forms as -number
+
+
+@dataclass(frozen=True, slots=True)
+class Open:
+    tag: str
+    path: str
+    dropped: bool
+    holds: bool
+    doubts: tuple[int, ...]
+
+
+def walk(page: str) -> Iterator[Block]:
+    """Raw blocks outside dropped elements."""
     at, size = 0, len(page)
     match = TOKEN.match
-    # open elements: (tag, path, number, dropped, is_container)
-    stack: list[tuple[str, str, int, bool, bool]] = [("", "", 0, False, False)]
+    stack = [Open("", "", False, False, ())]
     count, links, link_chars = 0, 0, 0
     pieces: list[str] = []
     containers: list[tuple[str, int]] = [("", 0)]  # the page itself
+    ends: dict[str, int] = {}  # where the next end tag of a fallback element begins
+
+    def block() -> Block:
+        nonlocal pieces, link_chars
+        out = Block("".join(pieces), link_chars, containers, stack[-1].doubts)
+        pieces, link_chars = [], 0
+        return out
+
+    def close(k: int) -> None:
+        nonlocal links, containers
+        links -= sum(x.tag == "a" for x in stack[k:])
+        gone = sum(x.holds for x in stack[k:])
+        if gone:
+            containers = containers[:-gone]
+        del stack[k:]
+
     while at < size:
         m = match(page, at)
         at = m.end()
         text = m[4]
         if text is not None:
-            if not stack[-1][3]:
+            if not stack[-1].dropped:
                 pieces.append(text)
                 if links:
                     link_chars += len(text)
@@ -101,77 +142,88 @@ def walk(page: str) -> Iterator[tuple[str, int, list[tuple[str, int]]]]:
             if tag == "br":
                 pieces.append(" ")
             elif tag == "hr" and pieces:
-                yield "".join(pieces), link_chars, containers
-                pieces, link_chars = [], 0
+                yield block()
             continue
         if tag in BLOCKS and pieces:
-            yield "".join(pieces), link_chars, containers
-            pieces, link_chars = [], 0
+            yield block()
         if m[1]:
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    links -= sum(x[0] == "a" for x in stack[k:])
-                    gone = sum(x[4] for x in stack[k:])
-                    if gone:
-                        containers = containers[:-gone]
-                    del stack[k:]
+                if stack[k].tag == tag:
+                    close(k)
                     break
             continue
         if tag in RAW:
             end = _ENDS[tag].search(page, at)
-            if end:
-                close = page.find(">", end.end())
-                at = close + 1 if close >= 0 else size
-            else:
-                at = size
+            stop = page.find(">", end.end()) if end else -1
+            at = stop + 1 if stop >= 0 else size
             continue
+        if tag in FALLBACK:
+            if ends.get(tag, 0) <= at:
+                end = _ENDS[tag].search(page, at)
+                ends[tag] = end.start() + 1 if end else size + 1
+            if ends[tag] > size:
+                continue
         if tag in BLOCKS:
-            ends = SAME_CLOSES.get(tag, _P)
+            ended = SAME_CLOSES.get(tag, _P)
             while True:  # a block ends an open paragraph, and an item the item before it, with what is open in them
                 k = len(stack) - 1
-                while k and stack[k][0] not in BLOCKS:
+                while k and stack[k].tag not in BLOCKS:
                     k -= 1
-                if not k or stack[k][0] not in ends:
+                if not k or stack[k].tag not in ended:
                     break
-                links -= sum(x[0] == "a" for x in stack[k:])
-                gone = sum(x[4] for x in stack[k:])
-                if gone:
-                    containers = containers[:-gone]
-                del stack[k:]
+                close(k)
         attrs = m[3]
         marked = tag
         top = stack[-1]
-        dropped = top[3] or tag in DROPPED
+        dropped = top.dropped or tag in DROPPED
+        doubts = top.doubts
+        count += 1
+        if tag == "form":
+            doubts = (*doubts, -count)
         if attrs and attrs != "/":
             classes = _attribute(CLASS_ONLY, attrs)
             if classes:
                 marked = tag + "." + ".".join(sorted({re.sub(r"\d+", "", c) for c in classes.split()}))
-            if not dropped and tag not in ("html", "body", "article", "main"):
-                dropped = any(map(is_boilerplate, _attribute(CLASS, attrs).replace("_", "-").split()))
-            if " hidden" in attrs.lower() and re.search(r"\shidden(?:[\s=/]|$)", attrs.lower()):
-                dropped = True
-        if tag == "header" and not any(x[0] in ("article", "main") for x in stack):
+            if not dropped and tag in NAMED:
+                names = _attribute(CLASS, attrs).replace("_", "-").split()
+                dropped = any(map(is_boilerplate, names))
+                if any(is_boilerplate(n, DOUBTFUL) for n in names):
+                    doubts = (*doubts, count)
+            if not dropped and "hidden" in attrs.lower():
+                dropped = any(x[1] and x[1].lower() == "hidden" for x in ATTRIBUTE.finditer(attrs))
+        if tag == "header" and not any(x.tag in ("article", "main") for x in stack):
             dropped = True
-        count += 1
         holds = tag in CONTAINERS
-        path = f"{top[1]}>{marked}"
-        stack.append((tag, path, count, dropped, holds))
+        path = f"{top.path}>{marked}"
+        stack.append(Open(tag, path, dropped, holds, doubts))
         if tag == "a":
             links += 1
         if holds:
             containers = [*containers, (path, count)]
     if pieces:
-        yield "".join(pieces), link_chars, containers
+        yield block()
 
 
 def blocks(page: str) -> list[tuple[str, int, list[tuple[str, int]]]]:
-    """(text, link characters, containers) of each block that has text."""
-    out = []
-    for text, link_chars, containers in walk(page):
-        text = " ".join((html_lib.unescape(text) if "&" in text else text).split())
+    """(text, link characters, containers) of each block that has text and stays.
+
+    A form goes unless most of the page's text is in it: pages made by servers often are one form. An element with a doubtful
+    name goes if at least half of its text is links.
+    """
+    found = []
+    held: dict[int, list[int]] = {}  # of each doubted element: characters, and those in links
+    total = 0
+    for b in walk(page):
+        text = " ".join((html_lib.unescape(b.text) if "&" in b.text else b.text).split())
         if text:
-            out.append((text, link_chars, containers))
-    return out
+            found.append((text, b))
+            total += len(text)
+            for d in b.doubts:
+                sums = held.setdefault(d, [0, 0])
+                sums[0] += len(text)
+                sums[1] += min(b.links, len(text))
+    gone = {d for d, (chars, in_links) in held.items() if (2 * chars <= total if d < 0 else 2 * in_links >= chars)}
+    return [(t, b.links, b.containers) for t, b in found if gone.isdisjoint(b.doubts)]
 
 
 #: What a container's tag is worth.

@@ -44,11 +44,64 @@ def test_null_empty_cut_and_repeated_pages(spark, most):
     assert html_extract.extract(pages(spark, rows).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["ad", "ad-slot", "post-comments", "share-buttons", "related", "cookie-notice"])
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "post-comments", "cookie-notice"])
 def test_names_of_boilerplate(name):
     assert html_extract.is_boilerplate(name)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><div title="the hidden life"><p>Kept.</p></div><p>More.</p></article>', "Kept.\nMore."),
+        ("<article><div hidden><p>No.</p></div><div data-x='a' HIDDEN=1><p>No.</p></div><p>More.</p></article>", "More."),
+        ("<body><form action=/x><article><h1>Title</h1><p>" + "Long text of it. " * 9 + "</p><button>Go</button></article></form></body>", "Title\n" + ("Long text of it. " * 9).strip()),
+        ("<article><p>" + "Long text of it. " * 9 + "</p><form><p>Your name</p><label>Name</label><input></form></article>", ("Long text of it. " * 9).strip()),
+        ("<article><p>One.</p><noscript><p>Two.</p><p>Three.</p></article>", "One.\nTwo.\nThree."),
+        ("<article><p>One.</p><noscript><p>Two.</p></noscript><svg><text>x</text></svg><p>Three.</p></article>", "One.\nThree."),
+        ("<article><p>One.</p><object><p>Two.<video><p>Three.</article>", "One.\nTwo.\nThree."),
+        ('<article><h2 class="social">On society</h2><p class="notice">A notice.</p><div class="related"><p>A related thought of the author.</p></div></article>', "On society\nA notice.\nA related thought of the author."),
+        ('<article><p>Body of the text.</p><div class="related"><ul><li><a href=1>One more</a><li><a href=2>Another</a></ul></div></article>', "Body of the text."),
+        ("<article><p>By <math><mi>x</mi><mo>=</mo><mn>2</mn></math> so.</p><menu><li>An item</menu><p><label>Lab</label></p></article>", "By x=2 so.\nAn item\nLab"),
+        ('<article><p>Text.</p><div class="comments"><p>First!</p></div></article>', "Text."),
+    ],
+)
+def test_what_stays_in_an_article_and_what_goes(page, text):
+    assert html_extract.main_text(page, None) == text
+
+
+def test_made_pages_against_their_parts(spark):
+    """Pages put together from parts of which it is known whether they belong to the article."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice(["ti", "on", "er", "és", "an"]) for _ in range(rng.randint(1, 4)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    rows, expected = [], {}
+    for k in range(60):
+        inside, told = [], []
+        for _ in range(rng.randint(3, 9)):
+            t = line(rng.randint(4, 40))
+            kind = rng.choice(["p", "h2", "li", "pre", "bold", "entity", "comment", "ad", "script", "form", "share"])
+            if kind in ("comment", "ad", "script", "form", "share"):
+                inside.append({"comment": f"<!-- <p>{t}</p> -->", "ad": f'<div class="ad-box"><p>{t}</p></div>', "script": f"<script>'<p>{t}</p>'</script>", "form": "<form><p>Sign up</p><input><button>Go</button></form>", "share": '<div class="share"><a href=1>mail</a> <a href=2>post</a></div>'}[kind])
+                continue
+            inside.append({"p": f"<p>{t}", "h2": f"<h2 class=related>{t}</h2>", "li": f"<ul><li>{t}</ul>", "pre": f"<pre>{t}\n  x</pre>", "bold": f"<p><b>{t}</b>&nbsp;&amp; x</p>", "entity": f"<p>&lt;{t}&#62;</p>"}[kind])
+            told.append({"pre": f"{t} x", "bold": f"{t} & x", "entity": f"<{t}>"}.get(kind, t))
+        core = line(60)
+        page = f"<html><head><title>{line(3)}</title></head><body><nav><a href=/>Home</a></nav><header><p>{line(30)}</p></header><div id=c{k}><article><p>{core}</p>{''.join(inside)}</article></div><aside><p>{line(50)}</p></aside><footer>{line(9)}</footer></body></html>"
+        rows.append((k, f"http://h{k % 3}.example/{k}", page))
+        expected[k] = "\n".join([core, *told])
+    found = html_extract.extract(pages(spark, rows)).collect()
+    assert {r["page_id"]: r["text"] for r in found} == expected
+
+
+def test_long_pages_take_time_in_proportion():
+    import time
+
+    began = time.time()
+    for page in ("<p>" + "word " * 1_000_000, "<noscript>" * 100_000, "<div hidden x='" * 50_000, "<article>" + "<p>a<svg>" * 100_000):
+        html_extract.main_text(page, None)
+    assert time.time() - began < 60
+
+
 @pytest.mark.parametrize("name", ["post", "has-sidebar", "no-comments", "entry-header", "advice", "commentary", "content-ad"])
 def test_names_of_content(name):
     assert not html_extract.is_boilerplate(name)
