@@ -519,7 +519,7 @@ def test_base_scores_match_brute_force_and_model_learns(spark):
         if zlib.crc32(str(k).encode()) % 5 != 1:
             counts.update(w)
     n, v = sum(counts.values()), len(counts)
-    params = lm_score.LmParams(sample_documents=40, train_every=1, rounds=2)
+    params = lm_score.LmParams(sample_documents=40, shard_windows=100)
     found = lm_score.score_texts(frame(spark, rows), params).toPandas()
     assert len(found) == len(rows) and (found["train_tokens"] == n).all()
     by = {(r.doc_id, r.n_tokens): r for r in found.itertuples()}
@@ -599,6 +599,72 @@ def test_every_id_is_scored_once():
     assert all((x == 1).all() for x in seen)
 
 
+def test_scores_equal_a_plain_reading_of_the_model(spark):
+    """Every id of every text by itself: its window found by search, attention written out, the class times the pair's share."""
+    from evenfield.llm import attention
+
+    rng = np.random.default_rng(4)
+    params = lm_score.LmParams(size=400, single=20, classes=37, inputs=60, before=30, width=8, window=12, stride=6)
+    texts = [rng.zipf(1.3, n).clip(1, 400).astype("<u2") - 1 for n in (0, 1, 5, 11, 12, 13, 18, 40, 77)]
+    table = spark.createDataFrame([(0, k, k, k == 3, 0, t.tobytes(), b"") for k, t in enumerate(texts)], "kind int, row long, doc_id long, held boolean, n_words int, ids binary, frequent binary")
+    counts = np.bincount(np.concatenate(texts), minlength=401).astype(float)
+    classes = lm_score.make_classes(counts, params)
+    model = {k: x * (5 if k != "sub_bias" else 1) for k, x in attention.initial(lm_score.input_count(params), params.classes, params.width, params.window).items()}
+    pairs = lm_score.count_pairs(table, classes, params)
+    seen = collections.Counter()
+    for k, t in enumerate(texts):
+        if k != 3:
+            own = [*t.tolist(), 400]
+            seen.update((classes.before[a], b) for a, b in zip([400, *own], own) if classes.of[b] >= params.single)
+    assert dict(zip(pairs.key.tolist(), pairs.n.tolist())) == {a * 401 + b: n for (a, b), n in seen.items()}
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    m = {k: x.astype(float) for k, x in model.items()}
+    d = params.width
+    found = {r["row"]: r["score"] for r in lm_score.score_documents(table, model, classes, pairs, np.zeros(1), params).collect()}
+    for k, t in enumerate(texts):
+        own, total = [*t.tolist(), 400], 0.0
+        fed = [lm_score.input_count(params) - 1, *(int(classes.input[i]) for i in own[:-1])]
+        for i, b in enumerate(own):
+            begin = 0 if i < 12 else (i - 12) // 6 * 6 + 6
+            x = np.array([m["embed"][fed[j]] + m["place"][j - begin] for j in range(begin, i + 1)])
+            q, keys, values = x[-1] @ m["qkv"][:, :d], x @ m["qkv"][:, d : 2 * d], x @ m["qkv"][:, 2 * d :]
+            state = x[-1] + softmax(keys @ q / d**0.5) @ values @ m["out"]
+            c = int(classes.of[b])
+            total += np.log10(softmax(state @ m["top"] + m["top_bias"])[c // 16] * softmax(state @ m["sub"][c // 16] + m["sub_bias"][c // 16])[c % 16])
+            if c >= params.single:
+                bucket = classes.before[400 if i == 0 else own[i - 1]]
+                alike = [j for j in range(401) if classes.of[j] == c]
+                total += math.log10((seen[bucket, b] + 4.0 * 10 ** classes.share[b]) / (sum(seen[bucket, j] for j in alike) + 4.0))
+        assert found[k] == pytest.approx(total, rel=1e-4, abs=1e-3)
+
+
+def test_gradients_are_the_slopes_of_the_loss():
+    from evenfield.llm import attention
+
+    rng = np.random.default_rng(0)
+    model = {k: x * (5 if k != "sub_bias" else 1) for k, x in attention.initial(30, 20, 8, 6).items()}
+    ids, targets, counted = rng.integers(0, 30, (4, 6)), rng.integers(0, 20, (4, 6)), rng.random((4, 6)) < 0.8
+    found = {k: x.copy() for k, x in attention.gradients(model, ids, targets, counted)[1].items()}
+    for name, x in model.items():
+        for _ in range(5):
+            at = tuple(rng.integers(0, n) for n in x.shape)
+            kept, sides = x[at], []
+            for step in (1e-2, -1e-2):
+                x[at] = kept + step
+                sides.append(attention.gradients(model, ids, targets, counted)[0])
+            x[at] = kept
+            assert (sides[0] - sides[1]) / 2e-2 == pytest.approx(found[name][at], abs=2e-3)
+
+
+def test_model_beats_its_classes_alone_on_held_out_texts(spark):
+    """With what it learns from context, held-out texts are more likely than by the classes' and ids' shares alone."""
+    rng = random.Random(12)
+    rows = [(k, " ".join("alpha beta gamma delta".split()[j % 4] for j in range(rng.randint(0, 3), 60))) for k in range(200)]
+    found = lm_score.score_texts(frame(spark, rows), lm_score.LmParams(sample_documents=40, batch=16)).toPandas()
+    held = found[found["held_out"]]
+    assert len(held) > 10 and held["score"].sum() > held["base_score"].sum() / 2
+
+
 def test_classes_share_out_all_probability():
     counts = np.random.default_rng(0).integers(0, 1000, 500).astype(float)
     params = lm_score.LmParams(single=20, classes=32, inputs=100)
