@@ -33,15 +33,9 @@ class Fitting:
     working_size: int = 0
     override_darkfield: bool | float = False
 
-    def params(self, measured: float | None = None) -> FitParams:
-        """The fit's parameters; an overriding dark field is a number, or the measured background."""
-        fixed = None
-        if self.override_darkfield is True:
-            if measured is None:
-                raise ValueError("override_darkfield needs a measured background; run emptiness first, or give a number")
-            fixed = measured
-        elif self.override_darkfield is not False:
-            fixed = float(self.override_darkfield)
+    def params(self) -> FitParams:
+        """The fit's parameters; a dark field that is given as a number overrides the fitted one (measured ones: ``measured_darks``)."""
+        fixed = None if isinstance(self.override_darkfield, bool) else float(self.override_darkfield)
         return FitParams(self.lam, self.lambda_darkfield, self.estimate_darkfield, fixed, self.working_size, self.max_iterations, self.optimization_tol, self.max_reweighting_iterations, self.reweight_tol, self.epsilon)
 
 

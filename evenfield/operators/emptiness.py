@@ -11,9 +11,22 @@ def columns(voxels: DataFrame, thresholds: DataFrame, floor: float = 0.02) -> Da
 
     ``below`` is the mean of what lies under the threshold; a voxel at the threshold is neither above nor under.
     """
+    return judged(column_sums(voxels, thresholds), floor)
+
+
+SUMS = ("n", "n_above", "n_below", "sum_below")
+
+
+def column_sums(voxels: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """(camera, setup, y, x) with SUMS, which add up over parts of a column."""
     rows = voxels.join(F.broadcast(thresholds.select("camera", "threshold")), "camera")  # a row per camera
-    above = F.avg((F.col("v") > F.col("threshold")).cast("double"))
-    return rows.groupBy("camera", "setup", "y", "x").agg((above < floor).alias("is_empty"), F.avg(F.when(F.col("v") < F.col("threshold"), F.col("v").cast("double"))).alias("below"))
+    above, below = F.col("v") > F.col("threshold"), F.col("v") < F.col("threshold")
+    return rows.groupBy("camera", "setup", "y", "x").agg(F.count(F.lit(1)).alias("n"), F.sum(above.cast("long")).alias("n_above"), F.sum(below.cast("long")).alias("n_below"), F.sum(F.when(below, F.col("v").cast("double")).otherwise(0.0)).alias("sum_below"))
+
+
+def judged(sums: DataFrame, floor: float) -> DataFrame:
+    below = F.when(F.col("n_below") > 0, F.col("sum_below") / F.col("n_below"))
+    return sums.select("camera", "setup", "y", "x", (F.col("n_above") / F.col("n") < floor).alias("is_empty"), below.alias("below"))
 
 
 def by_tile(cols: DataFrame) -> DataFrame:

@@ -19,26 +19,44 @@ def grouped_constraints(found: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.groupBy("ga", "gb").agg(F.sum("u").alias("s_w"), F.sum(F.col("u") * F.col("d")).alias("s_wd"))
 
 
+def balanced(a: np.ndarray, b: np.ndarray, w: np.ndarray, wd: np.ndarray, n: int, lam: float) -> np.ndarray:
+    """The least squares of w * (g_a - g_b) - wd with lam * g**2, by conjugate gradients scaled by the diagonal."""
+    add = lambda at, x: np.bincount(at, x, minlength=n)
+    diagonal = lam + add(a, w) + add(b, w)
+    times = lambda g: diagonal * g - add(a, w * g[b]) - add(b, w * g[a])
+    rest = add(a, wd) - add(b, wd)
+    out, least = np.zeros(n), 1e-15 * np.linalg.norm(rest)
+    if not n or not least:
+        return out
+    scaled = rest / diagonal
+    way, size = scaled.copy(), rest @ scaled
+    for _ in range(20 * n + 100):
+        if np.linalg.norm(rest) <= least:
+            break
+        pushed = times(way)
+        step = size / (way @ pushed)
+        out += step * way
+        rest -= step * pushed
+        scaled = rest / diagonal
+        size, before = rest @ scaled, size
+        way = scaled + size / before * way
+        if not size:
+            break
+    return out
+
+
 def solve(found: DataFrame, groups: DataFrame, lam: float) -> DataFrame:
     """(setup, gain): minimises the weighted squares of g_a - g_b - d plus lam * g**2 over log gains g, then exp.
 
-    The normal equations are summed in Spark; only a row per pair of overlapping groups reaches the driver, whose
-    dense system is as wide as there are groups in a constraint. Groups without one have gain 1.
+    The normal equations are summed in Spark; only a row per pair of overlapping groups reaches the driver, and the system
+    that is solved there holds no more numbers than those. Groups without a constraint have gain 1.
     """
     spark = groups.sparkSession
     sums = grouped_constraints(found, groups).collect()
     names = sorted({r[k] for r in sums for k in ("ga", "gb")})
     at = {g: k for k, g in enumerate(names)}
-    left, right = np.eye(len(names)) * lam, np.zeros(len(names))
-    for r in sums:
-        a, b = at[r["ga"]], at[r["gb"]]
-        left[a, a] += r["s_w"]
-        left[b, b] += r["s_w"]
-        left[a, b] -= r["s_w"]
-        left[b, a] -= r["s_w"]
-        right[a] += r["s_wd"]
-        right[b] -= r["s_wd"]
-    logs = np.linalg.solve(left, right) if names else right
+    a, b = (np.array([at[r[k]] for r in sums], np.int64) for k in ("ga", "gb"))
+    logs = balanced(a, b, np.array([r["s_w"] for r in sums]), np.array([r["s_wd"] for r in sums]), len(names), lam)
     table = spark.createDataFrame([(int(g), float(np.exp(x))) for g, x in zip(names, logs)], "grp int, g double")
     return groups.join(F.broadcast(table), "grp", "left").select("setup", F.coalesce("g", F.lit(1.0)).alias("gain"))  # a row per group
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..model import LEVELS
 
 MIN_DEPTH = 21
-#: The deepest columns are so many times 21 planes.
+#: Ranks of columns up to so many times 21 values are taken from a table.
 MOST_BLOCKS = 1000
 
 
@@ -43,13 +43,17 @@ def with_quantiles(rows: DataFrame) -> DataFrame:
     """rows (with value) and qs, the 21 quantiles (1 - w) * low + w * high of each value array.
 
     Ranks and weights are the same for all arrays of a length; lengths are multiples of 21, and the table that is
-    broadcast has a row for each up to MOST_BLOCKS of them.
+    broadcast has a row, rounded once, for each up to MOST_BLOCKS of them. Those of longer arrays are computed where they
+    are, which may round the last bit of a weight otherwise.
     """
     table = rows.sparkSession.createDataFrame(_positions(), "of_size int, ranks array<int>, weights array<double>")
     rows = rows.withColumn("sorted", F.array_sort("value")).withColumn("p", F.size("value"))
     rows = rows.join(F.broadcast(table), F.col("p") == F.col("of_size"), "left")
-    known = F.when(F.col("of_size").isNotNull() | F.raise_error(F.format_string("columns of %d values are too deep", F.col("p"))), F.col("ranks"))
-    return rows.withColumn("ranks", known).withColumn("qs", F.expr("zip_with(ranks, weights, (r, w) -> (1 - w) * get(sorted, r - 1) + w * get(sorted, r))")).drop("sorted", "p", "of_size", "ranks", "weights")
+    parts = F.array(*(F.lit(q / 100) for q in LEVELS))
+    rank = lambda q: F.least(F.greatest((F.col("p") * q + (1 - q)).cast("int"), F.lit(1)), F.col("p") - 1)
+    weight = lambda q: F.least(F.greatest(F.col("p") * q + (1 - q) - rank(q), F.lit(0.0)), F.lit(1.0))
+    rows = rows.withColumn("ranks", F.coalesce("ranks", F.transform(parts, rank))).withColumn("weights", F.coalesce("weights", F.transform(parts, weight)))
+    return rows.withColumn("qs", F.expr("zip_with(ranks, weights, (r, w) -> (1 - w) * get(sorted, r - 1) + w * get(sorted, r))")).drop("sorted", "p", "of_size", "ranks", "weights")
 
 
 def camera_depth(voxels: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .geometry import AXES
@@ -78,7 +78,13 @@ def drift(voxels: DataFrame, ranges_a: DataFrame, ranges_b: DataFrame, threshold
     rows = matched(voxels, ranges_a, ranges_b, thresholds).filter((F.col("va") > F.col("thr")) & (F.col("vb") > F.col("thr")))
     split = rows.groupBy("a", "b").agg(F.percentile("va", F.lit(0.5)).alias("split"), F.count(F.lit(1)).alias("n"))
     rows = rows.join(F.broadcast(split), ["a", "b"]).withColumn("r", F.col("vb") / F.greatest("va", F.lit(1e-12)))  # a row per pair
-    low, high = F.when(F.col("va") <= F.col("split"), F.col("r")), F.when(F.col("va") > F.col("split"), F.col("r"))
-    found = rows.groupBy("a", "b", "n").agg(F.percentile(low, F.lit(0.5)).alias("ratio_low"), F.percentile(high, F.lit(0.5)).alias("ratio_high"), F.count(low).alias("n_low"), F.count(high).alias("n_high"))
+    # medians from counts of equal ratios, summed before a pair's meet; their order is a sort that can spill
+    half = rows.groupBy("a", "b", "n", (F.col("va") <= F.col("split")).alias("low"), "r").agg(F.count(F.lit(1)).alias("c"))
+    own = Window.partitionBy("a", "b", "low")
+    half = half.withColumn("up_to", F.sum("c").over(own.orderBy("r"))).withColumn("total", F.sum("c").over(own))
+    at = lambda rank: F.when((F.col("up_to") >= rank) & (F.col("up_to") - F.col("c") < rank), F.col("r"))
+    halves = half.groupBy("a", "b", "n", "low").agg(F.max("total").alias("total"), ((F.max(at(F.floor((F.col("total") + 1) / 2))) + F.max(at(F.floor(F.col("total") / 2) + 1))) / 2).alias("middle"))
+    of = lambda low, c: F.max(F.when(F.col("low") == low, F.col(c)))
+    found = halves.groupBy("a", "b", "n").agg(of(True, "middle").alias("ratio_low"), of(False, "middle").alias("ratio_high"), F.coalesce(of(True, "total"), F.lit(0)).alias("n_low"), F.coalesce(of(False, "total"), F.lit(0)).alias("n_high"))
     judged = (F.col("n") >= 128) & (F.col("n_low") >= 32) & (F.col("n_high") >= 32)
     return found.select("a", "b", "n", "ratio_low", "ratio_high", F.coalesce(judged & (F.col("ratio_low") > 0) & (F.abs(F.col("ratio_high") / F.col("ratio_low") - 1) > tolerance), F.lit(False)).alias("unstable"))

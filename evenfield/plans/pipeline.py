@@ -168,11 +168,10 @@ class Run:
         return pixels if own == wanted else levels.resize(pixels.select("camera", "y", "x", "phi"), own, wanted, "phi")
 
     def basic(self) -> None:
-        s, measured = self.settings, None
-        if s.basic.override_darkfield is True:
-            measured = self.read("background").agg(F.avg("level")).first()[0]
+        s = self.settings
+        darks = self.measured_darks() if s.basic.override_darkfield is True else None
         factors = self.at_level(s.basic_stats_level)[1]
-        fields = flatfield.fit_cameras(self.read("qstack"), s.basic.params(measured), s.basic.autotune)
+        fields = flatfield.fit_cameras(self.read("qstack"), s.basic.params(), s.basic.autotune, darks)
         if factors[1:] != (1, 1):  # fitted on a coarse level: brought to the full frame
             fields = self.keep("fields_coarse", fields)
             full = tuple(self.voxels().agg(F.max("y") + 1, F.max("x") + 1).first())
@@ -183,6 +182,15 @@ class Run:
         if self.has("background"):
             self.keep("dark_check", flatfield.collapsed_dark(fields, self.read("background")))
 
+    def measured_darks(self) -> dict[int, float]:
+        """Each camera's own measured background level, which overrides its dark field."""
+        levels_of = {r["camera"]: r["level"] for r in self.read("background").collect()} if self.has("background") else {}  # a row per camera
+        wanted = [r["camera"] for r in self.cameras.select("camera").distinct().collect()]
+        missing = sorted(c for c in wanted if levels_of.get(c) is None)
+        if missing:
+            raise ValueError(f"override_darkfield needs a measured background of cameras {missing}; run emptiness first, or give a number")
+        return {c: float(levels_of[c]) for c in wanted}
+
     def int_stats(self) -> None:
         s, voxels = self.settings, self.seen()[0]
         stored = None if self.apply_basic else self.chunks(s.stats_scale)

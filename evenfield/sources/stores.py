@@ -98,6 +98,21 @@ def place(root: str, fmt: str, setup: int, level: int) -> str:
     return f"{root}/{PLACES[fmt][2].format(setup=setup, level=level)}"
 
 
+def axis_order(array: dict, scales: dict, path: str) -> str:
+    """A letter for each axis, from the array's own names, else from the group's axes; names count in either case.
+
+    NGFF orders time, channel, then space; an array of five axes that has no names is taken for that.
+    """
+    rank = len(array["shape"])
+    for names in (array.get("dimension_names"), [a["name"] for a in scales.get("axes", [])]):
+        order = "".join((n or "?").lower()[:1] for n in names or [])
+        if len(order) == rank and set("zyx") <= set(order) and len(set(order)) == rank and all(n == 1 for c, n in zip(order, array["shape"]) if c not in "zyx"):
+            return order
+    if rank == 5:
+        return "tczyx"
+    raise ValueError(f"{path}: axes {array.get('dimension_names') or scales.get('axes')} aren't supported")
+
+
 def located(root: str, fmt: str, setup: int, level: int) -> tuple[str, str]:
     """(path, axis order): from a zarr 3 group's own multiscale metadata where it has some, else by the format's rule."""
     if fmt.startswith("zarr3"):
@@ -108,11 +123,7 @@ def located(root: str, fmt: str, setup: int, level: int) -> tuple[str, str]:
             meta = json.loads((path / "zarr.json").read_text())
         except (OSError, KeyError, IndexError, ValueError):
             return place(root, fmt, setup, level), PLACES[fmt][1]
-        names = meta.get("dimension_names") or [a["name"] for a in scales.get("axes", [])]
-        order = "".join(names) if len(names) == len(meta["shape"]) else ("tczyx" if len(meta["shape"]) == 5 else "".join(names))
-        if order not in ("tczyx", "zyx", "xyz"):
-            raise ValueError(f"{path}: axes {names} aren't supported")
-        return str(path), order
+        return str(path), axis_order(meta, scales, str(path))
     return place(root, fmt, setup, level), PLACES[fmt][1]
 
 

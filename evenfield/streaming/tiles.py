@@ -1,7 +1,7 @@
-"""New tiles as a stream: emptiness and histograms are sums, so each batch is added to the tables that hold them.
+"""New tiles as a stream: each batch adds sums per pixel column and histograms to the tables that hold them.
 
-A batch of a query that runs again replaces what it wrote before, since it is kept under its number; readers sum over
-batches. The voxels of a tile have to arrive in one file.
+A batch of a query that runs again replaces what it wrote before, since it is kept under its number. Readers sum over
+batches and judge then, so a tile may arrive in any number of files and batches.
 """
 
 from __future__ import annotations
@@ -14,24 +14,21 @@ from ..model import VOXEL
 from ..operators import emptiness, thresholds
 
 
-def watch(spark: SparkSession, source: str, results: str, limits: DataFrame, floor: float = 0.02) -> StreamingQuery:
+def watch(spark: SparkSession, source: str, results: str, limits: DataFrame) -> StreamingQuery:
     """Follows Parquet files of ``model.VOXEL`` in ``source``; partial sums go to ``results``."""
     arriving = spark.readStream.schema(VOXEL).parquet(source)
 
     def add(batch: DataFrame, number: int) -> None:
-        cols = emptiness.columns(batch, limits, floor)
-        seen = F.col("is_empty") & F.col("below").isNotNull()
-        pixels = cols.groupBy("camera", "y", "x").agg(F.sum(F.col("is_empty").cast("long")).alias("n_empty"), F.count(F.lit(1)).alias("n_tiles"), F.sum(F.when(seen, F.col("below")).otherwise(0.0)).alias("bg_sum"), F.sum(seen.cast("long")).alias("bg_count"))
-        pixels.write.mode("overwrite").parquet(f"{results}/pixels/batch={number}")
+        emptiness.column_sums(batch, limits).write.mode("overwrite").parquet(f"{results}/columns/batch={number}")
         thresholds.histogram(batch, "setup").write.mode("overwrite").parquet(f"{results}/histograms/batch={number}")
 
     return arriving.writeStream.foreachBatch(add).option("checkpointLocation", f"{results}/_progress").trigger(availableNow=True).start()
 
 
-def pixels(spark: SparkSession, results: str) -> DataFrame:
+def pixels(spark: SparkSession, results: str, floor: float = 0.02) -> DataFrame:
     """(camera, y, x, phi, bg_sum, bg_count) of all that has arrived."""
-    rows = spark.read.parquet(f"{results}/pixels").groupBy("camera", "y", "x").agg(*(F.sum(c).alias(c) for c in ("n_empty", "n_tiles", "bg_sum", "bg_count")))
-    return rows.select("camera", "y", "x", (F.col("n_empty") / F.col("n_tiles")).alias("phi"), "bg_sum", "bg_count")
+    rows = spark.read.parquet(f"{results}/columns").groupBy("camera", "setup", "y", "x").agg(*(F.sum(c).alias(c) for c in emptiness.SUMS))
+    return emptiness.by_pixel(emptiness.judged(rows, floor))
 
 
 def tile_thresholds(spark: SparkSession, results: str, mode: str | float = "li") -> DataFrame:

@@ -238,6 +238,33 @@ def test_correction_branches(spark):
     assert alone[3] == done(raw)
 
 
+def test_many_gains_by_conjugate_gradients():
+    rng = np.random.default_rng(3)
+    n = 400
+    a, b = rng.integers(0, n, 1500), rng.integers(0, n, 1500)
+    a, b = a[a != b], b[a != b]
+    w, d = rng.random(len(a)) + 0.1, rng.normal(size=len(a))
+    dense, right = np.eye(n) * 0.1, np.zeros(n)
+    for i, j, x, y in zip(a, b, w, d):
+        dense[[i, j], [i, j]] += x
+        dense[i, j] -= x
+        dense[j, i] -= x
+        right[i] += x * y
+        right[j] -= x * y
+    assert np.allclose(gains.balanced(a, b, w, w * d, n, 0.1), np.linalg.solve(dense, right), rtol=1e-10, atol=1e-12)
+    assert not gains.balanced(a[:0], b[:0], w[:0], d[:0], 0, 0.1).size
+
+
+def test_quantiles_of_columns_beyond_the_table(spark, monkeypatch):
+    rows = spark.createDataFrame([([float(x) for x in np.random.default_rng(k).integers(0, 65536, 21 * k)],) for k in (1, 3, 7)], "value array<double>")
+    whole = [r["qs"] for r in orderstats.with_quantiles(rows).collect()]
+    orderstats._positions.cache_clear()
+    monkeypatch.setattr(orderstats, "MOST_BLOCKS", 2)
+    some = [r["qs"] for r in orderstats.with_quantiles(rows).collect()]
+    orderstats._positions.cache_clear()
+    assert np.allclose(whole, some, rtol=1e-12)
+
+
 def test_gain_scale_is_clamped(spark):
     one = spark.createDataFrame([(0, "uniform", 0.0, 10.0, 1.0, 100.0, 50.0)], "setup int, kind string, threshold double, corrected_mean double, corrected_std double, target_mean double, target_std double")
     assert correct.rescaling(one).first()["scale"] == 8.0

@@ -153,10 +153,19 @@ def test_tiles_that_arrive_add_up(spark, tmp_path):
 
     rows = voxels(spark)
     limits = spark.createDataFrame([(0, 200.0), (1, 200.0)], "camera int, threshold double")
-    for part in (0, 1):
-        rows.filter(f"setup % 2 = {part}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    for part in (0, 1, 2):  # every tile arrives in three batches
+        rows.filter(f"(z + setup) % 3 = {part}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         streaming.watch(spark, str(tmp_path / "in"), str(tmp_path / "out"), limits).awaitTermination(120)
     found = {tuple(r) for r in streaming.pixels(spark, str(tmp_path / "out")).select("camera", "y", "x", "phi", "bg_count").collect()}
     assert found == {tuple(r) for r in emptiness.by_pixel(emptiness.columns(rows, limits)).select("camera", "y", "x", "phi", "bg_count").collect()}
     whole = thresholds.resolve(thresholds.histogram(rows, "setup"), "otsu", "setup")
     assert {tuple(r) for r in streaming.tile_thresholds(spark, str(tmp_path / "out"), "otsu").collect()} == {tuple(r) for r in whole.collect()}
+
+
+def test_each_camera_gets_its_own_measured_dark(spark):
+    from evenfield.plans import flatfield
+
+    rows = [(c, p, y, x, 100.0 * (c + 1) + 40 * p + y) for c in (0, 1) for p in range(4) for y in range(6) for x in range(5)]
+    stack = spark.createDataFrame(rows, "camera int, plane int, y int, x int, v double")
+    found = flatfield.fit_cameras(stack, flatfield.FitParams(iterations=20, rounds=1), darks={0: 30.0, 1: 75.0})
+    assert {(r["camera"], round(r["dark"], 3)) for r in found.collect()} == {(0, 30.0), (1, 75.0)}

@@ -58,6 +58,26 @@ def test_zarr3_is_found_by_its_own_metadata(tmp_path):
     assert stores.located(str(tmp_path), "zarr3", 0, 0)[1] == "zyx"
 
 
+@pytest.mark.parametrize(
+    ("array", "axes", "expected"),
+    [
+        ({"shape": [4, 5, 6], "dimension_names": ["Z", "Y", "X"]}, [], "zyx"),
+        ({"shape": [6, 5, 4]}, ["X", "y", "z"], "xyz"),
+        ({"shape": [1, 1, 4, 5, 6], "dimension_names": ["T", "C", "Z", "Y", "X"]}, [], "tczyx"),
+        ({"shape": [1, 4, 1, 5, 6], "dimension_names": ["t", "z", "c", "y", "x"]}, [], "tzcyx"),
+        ({"shape": [1, 1, 4, 5, 6]}, [], "tczyx"),
+        ({"shape": [1, 1, 4, 5, 6], "dimension_names": [None] * 5}, [], "tczyx"),
+    ],
+)
+def test_axes_by_name_in_either_case(array, axes, expected):
+    assert stores.axis_order(array, {"axes": [{"name": a} for a in axes]}, "here") == expected
+
+
+def test_axes_that_are_not_known():
+    with pytest.raises(ValueError):
+        stores.axis_order({"shape": [4, 5], "dimension_names": ["y", "x"]}, {}, "here")
+
+
 def test_crc32c_known_value():
     assert codecs.crc32c(b"123456789") == 0xE3069283
 
