@@ -16,6 +16,7 @@ count as one document, an empty table gives no rows, and extra columns don't mat
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,7 +59,10 @@ def shingle(words: Column, k: Column, n: int) -> Column:
 
 
 def template_table(spark: SparkSession, params: LicenseParams, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """(license, parts, scale): each template's distinct shingles and the exponent of its scale."""
+    """(license, parts, scale): each template's distinct shingles and the exponent of its scale; one too short for a shingle is refused."""
+    short = [k for k, body in templates.items() if len([w for w in re.split(r"[\W_]+", body) if w]) < params.words]
+    if short:
+        raise ValueError(f"templates {short} have fewer than {params.words} words")
     rows = spark.createDataFrame(sorted(templates.items()), "license string, body string").withColumn("w", words_of(F.col("body")))
     parts = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - params.words), lambda k: shingle(F.col("w"), k, params.words)))
     rows = rows.filter(F.size("w") >= params.words).select("license", parts.alias("parts"))

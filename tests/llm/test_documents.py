@@ -504,6 +504,8 @@ def test_license_scan_matches_brute_force(spark, corpus):
     assert {(r["doc_id"], r["license"]) for r in found} == expected
     assert all(r["containment"] >= 0.8 and r["last_word"] > r["first_word"] for r in found)
     assert licenses.scan(frame(spark, rows).limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        licenses.scan(frame(spark, rows), templates={"short": "MIT License"})
 
 
 # --------------------------------------------------------------------------- language model
