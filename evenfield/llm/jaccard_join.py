@@ -62,6 +62,8 @@ PARTITIONS = 4
 HOT_BLOCK = 1 << 20
 #: Members of one signature that are compared with one another in a task's memory.
 GROUP_BLOCK = 4096
+#: Members of a component among which all pairs are looked at, by sketches in blocks; in larger ones those that share a signature.
+WHOLE_COMPONENT = 1 << 18
 #: Members of a component that meet one copy of its center's set.
 MEMBERS_AT_ONCE = 4096
 
@@ -391,10 +393,17 @@ class JaccardJoin:
         # the others
         most = cut(members.groupBy("label").agg(F.max("e").alias("most"), F.count(F.lit(1)).alias("members")))
         unsure = cut(join_hot(members, most, "label", "members").filter("e + most > 0").select("key", "label", "e", "d"))
-        groups = self.held_groups.join(unsure, "key").withColumn("sig", F.xxhash64("sig", "label"))
-        several = groups.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("sig", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("blocks"))
-        pairs = cut(self.compared(groups.join(several, "sig"), inside=True).distinct())
-        links = cut(self.verified(pairs, self.held_sets))
+        of_label = unsure.groupBy("label").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+        # a component's unsure members are compared once each; those of the largest components where they share a signature, once for each
+        whole = join_hot(unsure, of_label.filter(F.col("members") <= WHOLE_COMPONENT), "label", "members").filter("members is not null").withColumn("sig", F.col("label"))
+        whole = whole.select("sig", "key", "label", "e", "d", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("blocks"))
+        pairs = self.compared(whole, inside=True)
+        large = of_label.filter(F.col("members") > WHOLE_COMPONENT).select("label")
+        if not large.isEmpty():
+            groups = self.held_groups.join(unsure.join(large, "label", "left_semi"), "key").withColumn("sig", F.xxhash64("sig", "label"))
+            several = groups.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("sig", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("blocks"))
+            pairs = pairs.unionByName(self.compared(groups.join(several, "sig"), inside=True).distinct())
+        links = cut(self.verified(cut(pairs), self.held_sets))
         copies = self.sets.select("key", "copies")
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         found = both.join(copies.withColumnRenamed("key", "b"), "b").select(F.col("a").alias("key"), F.col("copies").alias("n_links"))
