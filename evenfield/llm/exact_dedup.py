@@ -1,12 +1,16 @@
 """Exact deduplication by a log-structured merge index of text digests, in DataFrame operations only.
 
-* Flush: every task is a memtable of (digest, doc_id) rows; it sorts them by digest and writes them as one run, a
-  Parquet file with a Bloom filter on the digest, into the shared checkpoint folder.
-* Compaction: the runs are merged by digest; the smallest doc_id and the number of rows stay. Partial aggregation
-  brings a digest that a third of all rows hold down to a row per task before the shuffle.
-* Hits (digests of more than one row) receive byte verification: a bitmap of hit digests of bounded size, joined by
-  broadcast, picks the documents to read again; these are grouped by digest *and* whole normalised text, so texts of
-  equal digest and different bytes part.
+* Flush: every task is a memtable of (digest, doc_id) rows; it sorts them by digest and writes them as one run into the
+  shared checkpoint folder. Tasks of even and of odd number make two flushes.
+* Levels: the runs of each flush are merged by digest into a level, in which the smallest doc_id and the number of rows stay.
+  Partial aggregation brings a digest that a third of all rows hold down to a row per task before the shuffle.
+* Filters: each level has a bitmap of its digests. A digest that the other level's filter doesn't hold is in one level only
+  and is left where it is; compaction merges the others, of both levels, into the next one. ``skipped`` counts the former.
+* Hits (digests of more than one row) receive byte verification: a filter of the hit digests picks the documents
+  to read again; these are grouped by digest *and* whole normalised text, so texts of equal digest and different bytes part.
+
+Filters have at most FILTER_WORDS words, whatever the data, and are broadcast. Where more digests than bits come together they hold
+most, and then more is merged and read again, with the same result.
 
 Texts are equal when identical after each run of ``[\\x20\\x09-\\x0D]`` has become one space; null counts as empty, and
 nothing is trimmed. Of equal texts the smallest doc_id stays; rows that repeat a doc_id and text count each in
@@ -25,8 +29,9 @@ from .common import as_row, from_row, read_table, shared_folder, small_or_not, w
 
 #: A run of white space that isn't just one space.
 RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
-#: Words of 64 bits in the bitmap of hit digests: at most this many broadcast rows, whatever the data.
-BITMAP_WORDS = 1 << 18
+#: Words of 64 bits in a filter of digests: at most this many broadcast rows, whatever the data.
+FILTER_WORDS = 1 << 18
+FLUSHES = 2
 #: Digests that hold at least one in so many rows are joined by broadcast; there are at most as many of them.
 HOT_SHARE = 1000
 
@@ -39,6 +44,22 @@ def sha256_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
+def _slot() -> tuple[Column, Column]:
+    place = F.pmod(F.xxhash64("digest"), F.lit(FILTER_WORDS * 64))
+    return F.shiftright(place, 6).cast("int").alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit")
+
+
+def digest_filter(rows: DataFrame) -> DataFrame:
+    """(word, marks): the bits of the rows' digests, FILTER_WORDS rows at most."""
+    return rows.select(*_slot()).selectExpr("word", "shiftleft(1L, bit) as mark").groupBy("word").agg(F.bit_or("mark").alias("marks"))
+
+
+def held_by(rows: DataFrame, digests: DataFrame) -> DataFrame:
+    """``rows`` with held: whether the filter may hold their digest."""
+    marked = rows.select("*", *_slot()).join(F.broadcast(digests), "word", "left")
+    return marked.withColumn("held", F.coalesce(F.expr("(shiftrightunsigned(marks, bit) & 1L) = 1L"), F.lit(False))).drop("word", "bit", "marks")
+
+
 class DigestIndex:
     """The runs of one table and what their compaction and verification found."""
 
@@ -51,32 +72,44 @@ class DigestIndex:
         return held.select("doc_id", "text", self.digest(F.col("text")).alias("digest"))
 
     def flush(self) -> DataFrame:
-        rows = self.texts().select("digest", "doc_id", F.monotonically_increasing_id().alias("row"))
-        rows.sortWithinPartitions("digest", "doc_id").write.option("parquet.bloom.filter.enabled#digest", "true").parquet(f"{self.folder}/runs")
-        return self.spark.read.parquet(f"{self.folder}/runs")
+        rows = self.texts().select("digest", "doc_id", F.monotonically_increasing_id().alias("row"), F.pmod(F.spark_partition_id(), F.lit(FLUSHES)).alias("flush"))
+        return self._kept(rows.sortWithinPartitions("digest", "doc_id"), "runs")
+
+    def _kept(self, rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
+    def levels(self, runs: DataFrame) -> list[DataFrame]:
+        """(digest, keep_id, group_size) of each flush, its runs merged."""
+        merged = lambda n: runs.filter(F.col("flush") == n).groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        return [self._kept(merged(n), f"level-{n}") for n in range(FLUSHES)]
 
     def compact(self, runs: DataFrame) -> DataFrame:
-        merged = runs.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        merged.filter("group_size > 1").write.parquet(f"{self.folder}/hits")
-        return self.spark.read.parquet(f"{self.folder}/hits")
+        """(digest, keep_id, group_size) of digests that more than one row has."""
+        first, second = self.levels(runs)
+        probed = [held_by(first, digest_filter(second)), held_by(second, digest_filter(first))]
+        both = probed[0].filter("held").unionByName(probed[1].filter("held"))
+        met = both.groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+        alone = probed[0].filter("not held").unionByName(probed[1].filter("not held")).select("digest", "keep_id", "group_size")
+        self.spared = alone
+        return self._kept(met.unionByName(alone).filter("group_size > 1"), "hits")
+
+    def skipped(self) -> int:
+        """How many digests of the levels the filters kept out of the last compaction."""
+        return self.spared.count()
 
     def verify(self, hits: DataFrame) -> DataFrame:
         """(digest, keep_id, group_size, n_bytes, sha512) of each text, told apart by its bytes, whose digest was hit."""
-        place = F.pmod(F.xxhash64("digest"), F.lit(BITMAP_WORDS * 64))
-        word, bit = F.shiftright(place, 6).cast("int").alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit")
-        marks = hits.select(word, bit).selectExpr("word", "shiftleft(1L, bit) as mark")
-        bitmap = marks.groupBy("word").agg(F.bit_or("mark").alias("marks"))  # BITMAP_WORDS rows at most
-        again = self.texts().select("doc_id", "text", "digest", word, bit)
-        again = again.join(F.broadcast(bitmap), "word").filter("(shiftrightunsigned(marks, bit) & 1L) = 1L")
+        again = held_by(self.texts(), digest_filter(hits)).filter("held")
         texts = again.groupBy("digest", "text").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         of_text = (F.octet_length("text").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 512).alias("sha512"))
-        texts.select("digest", "keep_id", "group_size", *of_text).write.parquet(f"{self.folder}/texts")
-        return self.spark.read.parquet(f"{self.folder}/texts")
+        return self._kept(texts.select("digest", "keep_id", "group_size", *of_text), "texts")
 
     def result(self) -> DataFrame:
         """One row per document: doc_id, keep_id, group_size, kept, digest."""
         runs = self.flush()
         texts = self.verify(self.compact(runs))
+        runs = runs.drop("flush")
         parted = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
         several = texts.filter("group_size > 1").join(parted, "digest", "left_anti")
         rows = join_hot(runs, several.select("digest", "keep_id", "group_size"), "digest", "group_size")
