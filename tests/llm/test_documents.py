@@ -132,6 +132,31 @@ def test_bytes_part_texts_of_one_digest(spark):
     assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in found) == sorted((k, texts.index(t), texts.count(t), texts.index(t) == k) for k, t in enumerate(texts))
 
 
+def test_filters_spare_what_one_level_holds(spark):
+    """Digests of one flush only are merged nowhere, but for the few that the other's filter holds by chance."""
+    texts = [f"text {k}" for k in range(3000)] + [f"text {k}" for k in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    index = exact_dedup.DigestIndex(docs)
+    runs = index.flush()
+    assert {r["flush"] for r in runs.select("flush").distinct().collect()} == {0, 1}
+    levels = [{bytes(r["digest"]) for r in x.collect()} for x in index.levels(runs)]
+    index = exact_dedup.DigestIndex(docs)
+    hits = index.compact(index.flush())
+    assert {(r["keep_id"], r["group_size"]) for r in hits.collect()} == {(k, 2) for k in range(100)}
+    alone = len(levels[0] ^ levels[1])
+    assert alone - 10 <= index.skipped() <= alone
+
+
+def test_full_filters_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "FILTER_WORDS", 1)
+    texts = [f"text {k % 400}" for k in range(700)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    index = exact_dedup.DigestIndex(docs)
+    found = index.result().collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in found) == sorted((k, k % 400, 2 if k % 400 < 300 else 1, k < 400) for k in range(700))
+    assert index.skipped() < 40
+
+
 def test_dedup_of_nothing_and_of_one_large_group(spark):
     assert exact_dedup.DigestIndex(frame(spark, [(1, "a")]).limit(0)).result().count() == 0
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("one text").alias("text"), F.lit("x").alias("digest"), F.lit(1).alias("row"))
@@ -242,7 +267,12 @@ def test_drifting_copies_and_shared_passages(spark, seed):
     assert {r["doc_id"]: r["n_links"] for r in found} == brute_links({k: shingles(t) for k, t in rows})
 
 
-def test_every_link_inside_a_component_is_counted(spark):
+@pytest.mark.parametrize(("whole", "block"), [(1 << 18, 4096), (1 << 18, 4), (3, 4096), (3, 4)])
+def test_every_link_inside_a_component_is_counted(spark, monkeypatch, whole, block):
+    """By all pairs of a component and by signatures, in one block and in several."""
+    monkeypatch.setattr(jaccard_join, "WHOLE_COMPONENT", whole)
+    monkeypatch.setattr(jaccard_join, "GROUP_BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "MEMBERS_AT_ONCE", block)
     rng = random.Random(11)
     base = prose(rng, 120).split()
     rows = [(0, " ".join(base)), (900, prose(rng, 50)), (901, None)]
@@ -540,7 +570,7 @@ def test_model_learns_from_every_teaching_position(spark):
     table = spark.createDataFrame([(0, k, k % 4 == 3, t.tobytes()) for k, t in enumerate(texts)], "kind int, row long, held boolean, ids binary")
     params = lm_score.LmParams(shard_windows=100)
     classes = lm_score.make_classes(np.arange(params.size + 1.0), params)
-    pieces = [bytes(r["piece"]) for r in lm_score.training_pieces(table, params).collect()]
+    pieces = [bytes(r["piece"]) for r in lm_score.training_pieces(table, params)[0].collect()]
     inputs, of, counted = lm_score.piece_windows(pieces, classes, params)
     pairs = collections.Counter(zip(inputs[counted].tolist(), of[counted].tolist()))
     expected = collections.Counter()
