@@ -7,7 +7,6 @@ committer, and emptiness, which is dear and always the same, isn't measured agai
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from ..config import Settings
 from ..functions.columns import basic_corrected
 from ..operators import correct as correcting
 from ..operators import blocks, emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
-from ..sources import spimdata, stores, tiff
+from ..sources import files, spimdata, stores, tiff
 from . import flatfield
 
 PIPELINES = {
@@ -293,7 +292,7 @@ class Run:
         import numpy as np
 
         s, um = self.settings, {}
-        if s.dataset_xml and Path(s.dataset_xml).exists():
+        if s.dataset_xml and files.exists(s.dataset_xml):
             um = {r["setup"]: (r["um_z"], r["um_y"], r["um_x"]) for r in spimdata.setups(self.spark, s.dataset_xml).collect() if r["um_x"] is not None}
         chunked = stores.to_chunks(rows, (1, 1 << 20, 1 << 20)).repartition(len(sizes), "setup").sortWithinPartitions("setup", "z0")
 
@@ -337,7 +336,7 @@ class Run:
                     tiff.write(f"{folder}/camera{camera + 1}/qstack.tif", list(stack))
         if self.has("targets"):
             rows = self.read("targets").toPandas()  # a row per setup
-            stores.write_json(f"{folder}/intensity_target.json", {"apply_basic": self.apply_basic, "setups": {str(r["setup"]): {k: (None if v != v else v) for k, v in r.items()} for r in rows.to_dict("records")}, "limits": self.settings.limits.__dict__})
+            files.write_json(f"{folder}/intensity_target.json", {"apply_basic": self.apply_basic, "setups": {str(r["setup"]): {k: (None if v != v else v) for k, v in r.items()} for r in rows.to_dict("records")}, "limits": self.settings.limits.__dict__})
 
     def stage(self, name: str, mode: str) -> None:
         if name == "correct":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -26,6 +27,16 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors see: under ``spark.checkpoint.dir``, or on this machine where the master is local."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Gives executors this package's modules, whatever their working directory; once an application."""
     context = spark.sparkContext

@@ -8,6 +8,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
+
 SETUP = "id int, size string, voxelSize struct<unit: string, size: string>"
 REGISTRATION = "_timepoint string, _setup int, ViewTransform array<struct<_type: string, affine: string>>"
 MICROMETRES = ("um", "µm", "μm", "micrometer", "micrometre", "micron")
@@ -47,7 +49,7 @@ def tiles(spark: SparkSession, path: str) -> DataFrame:
 def sync_translations(main: str | Path, subset: str | Path, pairs: dict[int, int]) -> str:
     """The text of ``subset`` with the translations of its setups' calibrated affines taken from ``main``'s setups."""
     pattern = lambda setup: re.compile(rf'(<ViewRegistration[^>]*setup="{setup}"[^>]*>.*?<affine>)([^<]*)(</affine>.*?</ViewRegistration>)', re.S)
-    source, out = Path(main).read_text(), Path(subset).read_text()
+    source, out = files.read(main).decode(), files.read(subset).decode()
     for own, other in pairs.items():
         found = pattern(other).search(source)
         if not found:

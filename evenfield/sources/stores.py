@@ -2,18 +2,14 @@
 
 ``chunks(spark, root, format, setups, level)`` gives the rows of ``model.CHUNK``, a task per few stored chunks or shards,
 and ``write(chunk rows, …)`` writes a store: rows are dealt by shard, so a file has one writer, which a task that runs
-again replaces whole. Paths are those of a file system that executors share.
+again replaces whole.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -22,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import CHUNK
-from . import codecs
+from . import codecs, files
+from .files import write_json
 
 # The formats' metadata files, axis orders and places.
 PLACES = {
@@ -36,24 +33,6 @@ PLACES = {
 FORMATS = tuple(PLACES)
 
 
-def write_json(path: str | Path, document: dict) -> None:
-    """Whole or not at all."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    fd, name = tempfile.mkstemp(dir=path.parent, suffix=".part")
-    with os.fdopen(fd, "w") as out:
-        json.dump(document, out, indent=1)
-    os.replace(name, path)
-
-
-def _write_bytes(path: Path, data: bytes) -> None:
-    path.parent.mkdir(parents=True, exist_ok=True)
-    fd, name = tempfile.mkstemp(dir=path.parent, suffix=".part")
-    with os.fdopen(fd, "wb") as out:
-        out.write(data)
-    os.replace(name, path)
-
-
 @dataclass(frozen=True)
 class Layout:
     """One stored array: sizes are in its own axis order."""
@@ -74,11 +53,11 @@ class Layout:
     def own(self, z: int, y: int, x: int, other: int) -> tuple[int, ...]:
         return tuple({"z": z, "y": y, "x": x}.get(c, other) for c in self.order)
 
-    def file(self, number: tuple[int, ...]) -> Path:
+    def file(self, number: tuple[int, ...]) -> str:
         parts = [str(k) for k in number]
         if self.keys == "default":
-            return Path(self.path, "c", *parts)
-        return Path(self.path, ".".join(parts)) if self.keys == "dotted" else Path(self.path, *parts)
+            parts.insert(0, "c")
+        return f"{self.path}/{('.' if self.keys == 'dotted' else '/').join(parts)}"
 
     def canonical(self, block: np.ndarray) -> np.ndarray:
         """A stored block as (z, y, x)."""
@@ -116,14 +95,14 @@ def axis_order(array: dict, scales: dict, path: str) -> str:
 def located(root: str, fmt: str, setup: int, level: int) -> tuple[str, str]:
     """(path, axis order): from a zarr 3 group's own multiscale metadata where it has some, else by the format's rule."""
     if fmt.startswith("zarr3"):
-        group = Path(root, f"s{setup}-t0.zarr")
+        group = f"{root}/s{setup}-t0.zarr"
         try:
-            scales = json.loads((group / "zarr.json").read_text())["attributes"]["ome"]["multiscales"][0]
-            path = group / scales["datasets"][level]["path"]
-            meta = json.loads((path / "zarr.json").read_text())
+            scales = files.read_json(f"{group}/zarr.json")["attributes"]["ome"]["multiscales"][0]
+            path = f"{group}/{scales['datasets'][level]['path']}"
+            meta = files.read_json(f"{path}/zarr.json")
         except (OSError, KeyError, IndexError, ValueError):
             return place(root, fmt, setup, level), PLACES[fmt][1]
-        return str(path), axis_order(meta, scales, str(path))
+        return path, axis_order(meta, scales, path)
     return place(root, fmt, setup, level), PLACES[fmt][1]
 
 
@@ -131,7 +110,7 @@ def layout(root: str, fmt: str, setup: int, level: int = 0) -> Layout:
     if fmt not in PLACES:
         raise ValueError(f"format {fmt!r} is none of {FORMATS}")
     path, order = located(root, fmt, setup, level)
-    meta = json.loads(Path(path, PLACES[fmt][0]).read_text())
+    meta = files.read_json(f"{path}/{PLACES[fmt][0]}")
     if fmt == "n5":
         return Layout(path, fmt, order, tuple(meta["dimensions"]), tuple(meta["blockSize"]), None, meta.get("compression", {}).get("type", "raw"), meta["dataType"], "flat")
     if fmt == "zarr2":
@@ -159,15 +138,15 @@ def pyramid_shapes(root: str, fmt: str, setup: int) -> list[tuple[int, int, int]
     while True:
         try:
             out.append(size_zyx(root, fmt, setup, len(out)))
-        except OSError:
+        except FileNotFoundError:
             return out
 
 
 def read_block(found: Layout, number: tuple[int, ...]) -> Iterator[tuple[tuple[int, int, int], np.ndarray]]:
     """((z0, y0, x0), block) of what one stored file holds; a missing file is zeros and gives nothing."""
     try:
-        data = found.file(number).read_bytes()
-    except OSError:
+        data = files.read(found.file(number))
+    except FileNotFoundError:
         return
     dtype = found.dtype if found.dtype.startswith((">", "<")) else "<u2"
     if found.shard:
@@ -294,6 +273,8 @@ def encode(found: Layout, blocks: list[tuple[tuple[int, int, int], np.ndarray]],
 
 def write(rows: DataFrame, root: str, fmt: str, shapes: dict[int, tuple[int, int, int]], chunk=(64, 128, 128), shard=(256, 512, 512), level: int = 0) -> None:
     """Writes chunk rows as one level of a store. Chunks may not cross the stored files' borders."""
+    for s in shapes:
+        open_group(root, fmt, s)
     layouts = {s: create(root, fmt, s, shape, chunk, shard, level) for s, shape in shapes.items()}
     outer = next(iter(layouts.values())).zyx(next(iter(layouts.values())).shard or next(iter(layouts.values())).chunk)
     keyed = rows.select("*", *(F.expr(f"cast({c}0 div {n} as int)").alias(f"f{c}") for c, n in zip("zyx", outer)))
@@ -304,12 +285,25 @@ def write(rows: DataFrame, root: str, fmt: str, shapes: dict[int, tuple[int, int
         blocks = [((p.z0, p.y0, p.x0), np.frombuffer(p.data, "<u2").reshape(p.dz, p.dy, p.dx)) for p in pdf.itertuples()]
         number = found.own(int(r["fz"]), int(r["fy"]), int(r["fx"]), 0)
         data = encode(found, blocks, number)
-        _write_bytes(found.file(number), data)
+        files.write(found.file(number), data)
         return pd.DataFrame({"setup": [int(r["setup"])], "n_bytes": [len(data)]})
 
     keyed.groupBy("setup", "fz", "fy", "fx").applyInPandas(one, "setup int, n_bytes long").agg(F.sum("n_bytes")).collect()
 
 
+def open_group(root: str, fmt: str, setup: int) -> None:
+    """The bare group of a setup, so that viewers find it while it is being written; what is there already stays."""
+    if fmt == "n5":
+        nodes = {f"{root}/attributes.json": {"n5": "2.0.0"}}
+    elif fmt == "zarr2":
+        nodes = {f"{at}/.zgroup": {"zarr_format": 2} for at in (root, f"{root}/s{setup}-t0.zarr")}
+    else:
+        nodes = {f"{at}/zarr.json": {"zarr_format": 3, "node_type": "group"} for at in (root, f"{root}/s{setup}-t0.zarr")}
+    for at, node in nodes.items():
+        if not files.exists(at):
+            write_json(at, node)
+
+
 def write_group(root: str, fmt: str, setup: int, factors: list[tuple[int, int, int]]) -> None:
     """The multiscale metadata of a setup, from each level's (fz, fy, fx)."""
     if fmt == "n5":

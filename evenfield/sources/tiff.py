@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 
+from . import files
 from .codecs import compress, decompress
 
 # TIFF's numbers for compressions and sample formats.
@@ -28,9 +29,8 @@ def write(path: str | Path, planes: Iterable[np.ndarray], compression: str | Non
     """Writes planes as they come, one page each, in BigTIFF; returns how many."""
     if compression not in COMPRESSION:
         raise ValueError(f"compression {compression!r} is none of {tuple(COMPRESSION)}")
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
     count = 0
-    with open(path, "wb") as out:
+    with files.whole(path) as out:
         out.write(struct.pack("<2sHHHQ", b"II", 43, 8, 0, 0))
         link = 8  # where the place of the next page's directory is to be written
         for plane in planes:
@@ -64,7 +64,7 @@ _CODE = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 13: "
 
 def read(path: str | Path) -> tuple[list[np.ndarray], str | None]:
     """(planes, description) of a TIFF or BigTIFF with one sample a pixel, in strips; deflate, zstd or no compression."""
-    data = Path(path).read_bytes()
+    data = files.read(path)
     end = {b"II": "<", b"MM": ">"}[data[:2]]
     big = struct.unpack(end + "H", data[2:4])[0] == 43
     at = struct.unpack(end + ("Q" if big else "I"), data[8:16] if big else data[4:8])[0]

@@ -3,7 +3,7 @@ import json
 import numpy as np
 import pytest
 
-from evenfield.sources import codecs, stores, tiff
+from evenfield.sources import codecs, files, stores, tiff
 
 Z, Y, X = 20, 17, 23
 
@@ -105,3 +105,31 @@ def test_planes_are_turned_to_the_frame(tmp_path):
     assert (tiff.read_plane(tmp_path / "p.tif", (3, 4)) == plane).all()
     with pytest.raises(ValueError):
         tiff.read_plane(tmp_path / "p.tif", (5, 5))
+
+
+@pytest.mark.parametrize("fmt", ["n5", "zarr2", "zarr3"])
+def test_a_store_by_uri(spark, tmp_path, fmt):
+    source = voxels(spark, (0,)).cache()
+    root, chunk, shard = f"file://{tmp_path}/store", (4, 8, 8), (8, 16, 16)
+    stores.write(stores.to_chunks(source, chunk), root, fmt, {0: (Z, Y, X)}, chunk, shard)
+    assert stores.pyramid_shapes(root, fmt, 0) == [(Z, Y, X)]
+    assert stores.to_voxels(stores.chunks(spark, root, fmt, [0])).exceptAll(source).count() == 0
+
+
+def test_a_file_is_whole_or_absent(tmp_path):
+    with pytest.raises(RuntimeError):
+        with files.whole(f"{tmp_path}/deep/f") as out:
+            out.write(b"half")
+            raise RuntimeError
+    assert not files.exists(f"{tmp_path}/deep/f") and not list((tmp_path / "deep").iterdir())
+    files.write(f"file://{tmp_path}/deep/f", b"whole")
+    assert files.read(f"{tmp_path}/deep/f") == b"whole"
+
+
+@pytest.mark.parametrize("fmt", ["n5", "zarr2", "zarr3"])
+def test_an_open_group_stays_as_it_is(tmp_path, fmt):
+    stores.open_group(str(tmp_path), fmt, 2)
+    stores.write_group(str(tmp_path), fmt, 2, [(1, 1, 1)])
+    kept = {p: p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()}
+    stores.open_group(str(tmp_path), fmt, 2)
+    assert kept == {p: p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()}
