@@ -18,6 +18,7 @@ from ..operators import blocks, emptiness, gains, geometry, levels, orderstats,
 from ..sources import files, spimdata, stores, tiff
 from . import flatfield
 
+EMPTY_NAME = "Empty-fraction"
 PIPELINES = {
     "basic": ("emptiness", "stats", "qstack", "basic", "correct"),
     "intensity": ("emptiness", "int-stats", "int-aggregate", "correct"),
@@ -289,35 +290,16 @@ class Run:
         return True
 
     def _write_tiffs(self, rows: DataFrame, sizes: dict[int, tuple[int, int, int]]) -> None:
-        import numpy as np
-
         s, um = self.settings, {}
         if s.dataset_xml and files.exists(s.dataset_xml):
             um = {r["setup"]: (r["um_z"], r["um_y"], r["um_x"]) for r in spimdata.setups(self.spark, s.dataset_xml).collect() if r["um_x"] is not None}
-        chunked = stores.to_chunks(rows, (1, 1 << 20, 1 << 20)).repartition(len(sizes), "setup").sortWithinPartitions("setup", "z0")
-
-        def sink(part):
-            held, planes = None, []
-
-            def flush():
-                if held is not None:
-                    nz, ny, nx = sizes[held]
-                    tiff.write_tile(f"{s.output_path}/s{held}-t0.ome.tif", planes, (nz, ny, nx), um.get(held), s.tiff_compression)
-
-            for r in part:
-                if r["setup"] != held:
-                    flush()
-                    held, planes = r["setup"], []
-                planes.append(np.frombuffer(r["data"], "<u2").reshape(r["dy"], r["dx"]))
-            flush()
-
-        chunked.foreachPartition(sink)
+        tiff.write_tiles(stores.to_chunks(rows, (1, 1 << 20, 1 << 20)), s.output_path, sizes, um, s.tiff_compression)
 
     def export(self, folder: str) -> None:
         """The small results as files: each camera's fields and empty part as TIFF planes, gains and targets as JSON."""
         import numpy as np
 
-        names = {"flat": ("fields", "Flat-field"), "dark": ("fields", "Dark-field"), "phi": ("empty_pixels", "Empty-fraction")}
+        names = {v: ("fields", name) for v, name in tiff.FIELDS.items()} | {"phi": ("empty_pixels", EMPTY_NAME)}
         for value, (table, name) in names.items():
             if not self.has(table):
                 continue
@@ -338,6 +320,31 @@ class Run:
             rows = self.read("targets").toPandas()  # a row per setup
             files.write_json(f"{folder}/intensity_target.json", {"apply_basic": self.apply_basic, "setups": {str(r["setup"]): {k: (None if v != v else v) for k, v in r.items()} for r in rows.to_dict("records")}, "limits": self.settings.limits.__dict__})
 
+    def take(self, folder: str) -> list[str]:
+        """Tables from a user's own files in a folder as ``export`` lays it out: fields, empty parts and quantile stacks.
+
+        What every camera has there is taken; the names of the tables are returned. Files of some cameras only are refused.
+        """
+        cameras, taken = range(len(self.settings.cameras)), []
+
+        def paths(name: str) -> dict[int, str] | None:
+            found = {c: f"{folder}/camera{c + 1}/{name}.tif" for c in cameras}
+            there = [c for c in cameras if files.exists(found[c])]
+            if there and len(there) < len(found):
+                raise RuntimeError(f"{folder} has {name}.tif of cameras {there} only")
+            return found if there else None
+
+        if paths(tiff.FIELDS["flat"]) and paths(tiff.FIELDS["dark"]):
+            taken.append("fields")
+            self.keep("fields", tiff.fields(self.spark, folder, len(cameras)))
+        if found := paths(EMPTY_NAME):
+            taken.append("empty_pixels")
+            self.keep("empty_pixels", tiff.camera_planes(self.spark, found, "phi").drop("plane"))
+        if found := paths("qstack"):
+            taken.append("qstack")
+            self.keep("qstack", tiff.camera_planes(self.spark, found, "v"))
+        return taken
+
     def stage(self, name: str, mode: str) -> None:
         if name == "correct":
             self.correct(mode)

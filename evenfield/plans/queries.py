@@ -465,8 +465,11 @@ def autotune_lambda(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from . import store_queries  # noqa: F401  registers its own, by names of this module
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)

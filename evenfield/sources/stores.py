@@ -142,6 +142,16 @@ def pyramid_shapes(root: str, fmt: str, setup: int) -> list[tuple[int, int, int]
             return out
 
 
+def group_scales(root: str, fmt: str, setup: int) -> list[tuple[tuple[float, ...], tuple[float, ...] | None]]:
+    """((sz, sy, sx), (tz, ty, tx)) of each level by the group's own metadata; n5 has no translations."""
+    if fmt == "n5":
+        return [(tuple(float(v) for v in three[::-1]), None) for three in files.read_json(f"{root}/setup{setup}/timepoint0/attributes.json")["downsamplingFactors"]]
+    group = f"{root}/s{setup}-t0.zarr"
+    meta = files.read_json(f"{group}/.zattrs") if fmt == "zarr2" else files.read_json(f"{group}/zarr.json")["attributes"]["ome"]
+    named = ({t["type"]: tuple(t[t["type"]][-3:]) for t in d["coordinateTransformations"]} for d in meta["multiscales"][0]["datasets"])
+    return [(t["scale"], t.get("translation")) for t in named]
+
+
 def read_block(found: Layout, number: tuple[int, ...]) -> Iterator[tuple[tuple[int, int, int], np.ndarray]]:
     """((z0, y0, x0), block) of what one stored file holds; a missing file is zeros and gives nothing."""
     try:

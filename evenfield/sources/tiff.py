@@ -6,16 +6,22 @@ import struct
 import zlib
 from collections.abc import Iterable
 from html import escape
+from itertools import groupby
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
+from ..model import CHUNK
 from . import files
 from .codecs import compress, decompress
 
 # TIFF's numbers for compressions and sample formats.
 COMPRESSION = {None: 1, "deflate": 8, "zstd": 50000}
 SAMPLE = {"u": 1, "i": 2, "f": 3}
+# What a camera's fields are called in an exported folder.
+FIELDS = {"flat": "Flat-field", "dark": "Dark-field"}
 
 
 def ome_xml(shape: tuple[int, int, int], voxel_um: tuple[float, float, float] | None) -> str:
@@ -101,14 +107,72 @@ def read_plane(path: str | Path, frame: tuple[int, int] | None = None) -> np.nda
     planes, _ = read(path)
     if len(planes) != 1:
         raise ValueError(f"{path} has {len(planes)} planes, not one")
-    plane = planes[0].astype(np.float32)
+    return oriented(planes[0], frame, path)
+
+
+def oriented(plane: np.ndarray, frame: tuple[int, int] | None, path: str | Path) -> np.ndarray:
+    plane = plane.astype(np.float32)
     if frame and plane.shape != frame:
         if plane.T.shape != frame:
             raise ValueError(f"{path} is {plane.shape}, not {frame}")
-        plane = plane.T
+        plane = np.ascontiguousarray(plane.T)
     return plane
 
 
 def write_tile(path: str | Path, planes: Iterable[np.ndarray], shape: tuple[int, int, int], voxel_um=None, compression: str | None = "zstd") -> int:
     """A tile's z planes as OME-TIFF."""
     return write(path, (np.asarray(p, np.uint16) for p in planes), compression, ome_xml(shape, voxel_um))
+
+
+def tile_path(root: str, setup: int) -> str:
+    return f"{root}/s{setup}-t0.ome.tif"
+
+
+def write_tiles(planes: DataFrame, root: str, sizes: dict[int, tuple[int, int, int]], voxel_um: dict[int, tuple] | None = None, compression: str | None = "zstd") -> None:
+    """Writes chunk rows of a whole plane each as a file per setup, by one task, which holds a plane at a time."""
+    um = voxel_um or {}
+
+    def sink(rows) -> None:
+        for setup, own in groupby(rows, key=lambda r: r["setup"]):
+            write_tile(tile_path(root, setup), (np.frombuffer(r["data"], "<u2").reshape(r["dy"], r["dx"]) for r in own), sizes[setup], um.get(setup), compression)
+
+    planes.repartition(len(sizes), "setup").sortWithinPartitions("setup", "z0").foreachPartition(sink)
+
+
+def tile_planes(spark: SparkSession, root: str, setups: list[int]) -> DataFrame:
+    """Rows of ``model.CHUNK``, a plane each, of the tiles that ``write_tiles`` wrote; a task per file."""
+
+    def planes(batches):
+        for batch in batches:
+            for setup in batch.column("setup").to_pylist():
+                for z, plane in enumerate(read(tile_path(root, setup))[0]):
+                    values = [setup, 0, z, 0, 0, 1, *plane.shape]
+                    yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.int32()) for v in values), pa.array([plane.astype("<u2").tobytes()], pa.binary())], ["setup", "level", "z0", "y0", "x0", "dz", "dy", "dx", "data"])
+
+    work = spark.createDataFrame([(s,) for s in setups], "setup int").repartition(len(setups), "setup")
+    return work.mapInArrow(planes, CHUNK)
+
+
+def camera_planes(spark: SparkSession, paths: dict[int, str], value: str, frame: tuple[int, int] | None = None) -> DataFrame:
+    """(camera, plane, y, x, value) of a user's own TIFFs, one per camera: a field's one plane or a quantile stack's many.
+
+    Given the frame, planes stored the other way round are turned, and any other size is refused.
+    """
+
+    def spread(batches):
+        for batch in batches:
+            for camera, path in zip(batch.column("camera").to_pylist(), batch.column("path").to_pylist()):
+                for k, found in enumerate(read(path)[0]):
+                    plane = oriented(found, frame, path)
+                    y, x = np.indices(plane.shape, np.int32).reshape(2, -1)
+                    numbers = (np.full(y.size, n, np.int32) for n in (camera, k))
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in (*numbers, y, x)), pa.array(plane.ravel())], ["camera", "plane", "y", "x", value])
+
+    work = spark.createDataFrame(list(paths.items()), "camera int, path string").repartition(len(paths), "camera")
+    return work.mapInArrow(spread, f"camera int, plane int, y int, x int, {value} float")
+
+
+def fields(spark: SparkSession, folder: str, cameras: int, frame: tuple[int, int] | None = None) -> DataFrame:
+    """(camera, y, x, flat, dark) of the fields in a folder as ``export`` lays it out."""
+    found = {v: camera_planes(spark, {c: f"{folder}/camera{c + 1}/{name}.tif" for c in range(cameras)}, v, frame) for v, name in FIELDS.items()}
+    return found["flat"].join(found["dark"], ["camera", "plane", "y", "x"]).filter("plane = 0").drop("plane")
