@@ -61,10 +61,11 @@ def independent(voxels: DataFrame, ranges_a: DataFrame, ranges_b: DataFrame, thr
 
 
 def gated(found: DataFrame, min_foreground: int = 256, min_fraction: float = 0.001) -> DataFrame:
-    """found with reason: null for a pair to be trusted, or what it lacks."""
-    few = F.least("n_a", "n_b") < min_foreground
-    thin = (F.col("n_a") < min_fraction * F.col("n_overlap")) | (F.col("n_b") < min_fraction * F.col("n_overlap_b"))
-    return found.withColumn("reason", F.when(few, "foreground").when(thin, "fraction"))
+    """found with reason: null for a pair to be trusted, or what it lacks and how much of it there is."""
+    least = F.least("n_a", "n_b")
+    thin = lambda n, all_: F.when(F.col(n) < min_fraction * F.col(all_), F.format_string("fraction %d of %d", n, all_))
+    few = F.when(least < min_foreground, F.format_string(f"foreground %d of {min_foreground}", least))
+    return found.withColumn("reason", F.coalesce(few, thin("n_a", "n_overlap"), thin("n_b", "n_overlap_b")))
 
 
 def constraints(found: DataFrame) -> DataFrame:

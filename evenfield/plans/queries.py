@@ -221,7 +221,7 @@ INTERSECTION = """inter AS (SELECT a, b, thr, count(*) FILTER (va > thr AND vb >
 GATE, FRACTION = 8, 0.001
 
 
-@query(f"{TILES}, {MATCHED}, {INTERSECTION} SELECT a, b, thr, n_a, n_b, n_overlap, n_overlap_b, med_a, med_b, CASE WHEN least(n_a, n_b) < {GATE} THEN 'foreground' WHEN n_a < {FRACTION} * n_overlap OR n_b < {FRACTION} * n_overlap_b THEN 'fraction' END AS reason FROM inter")
+@query(f"{TILES}, {MATCHED}, {INTERSECTION} SELECT a, b, thr, n_a, n_b, n_overlap, n_overlap_b, med_a, med_b, CASE WHEN least(n_a, n_b) < {GATE} THEN 'foreground ' || least(n_a, n_b) || ' of {GATE}' WHEN n_a < {FRACTION} * n_overlap OR n_b < {FRACTION} * n_overlap_b THEN 'fraction ' || CASE WHEN n_a < {FRACTION} * n_overlap THEN n_a || ' of ' || n_overlap ELSE n_b || ' of ' || n_overlap_b END END AS reason FROM inter")
 def pair_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.gated(pairs.intersection(*_pair_inputs(spark, sf_dir)), GATE, FRACTION)
 
@@ -268,7 +268,15 @@ def camera_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gains.solve(_constraints(spark, sf_dir), _cameras(spark, sf_dir).select("setup", F.col("camera").alias("grp")), LAM))
 
 
-@query()
+# tiles in a row overlap their neighbours only: the tridiagonal system is eliminated upwards and solved downwards
+TILE_GAINS = """units AS (SELECT a AS i, w / median(w) OVER () AS u, d FROM cons), rows_ AS (SELECT s.i, 0.1 + coalesce(r.u, 0) + coalesce(l.u, 0) AS diag, coalesce(r.u, 0) AS up, coalesce(l.u, 0) AS low, coalesce(r.u * r.d, 0) - coalesce(l.u * l.d, 0) AS rhs
+    FROM (SELECT DISTINCT setup AS i FROM voxel) s LEFT JOIN units r ON r.i = s.i LEFT JOIN units l ON l.i = s.i - 1),
+  upwards AS (SELECT i, -up / diag AS c, rhs / diag AS q FROM rows_ WHERE i = 0
+    UNION ALL SELECT n.i, -n.up / (n.diag + n.low * p.c), (n.rhs + n.low * p.q) / (n.diag + n.low * p.c) FROM upwards p JOIN rows_ n ON n.i = p.i + 1),
+  downwards AS (SELECT i, q AS g FROM upwards WHERE i = (SELECT max(i) FROM rows_) UNION ALL SELECT u.i, u.q - u.c * p.g FROM downwards p JOIN upwards u ON u.i = p.i - 1)"""
+
+
+@query(f"{TILES.replace('WITH', 'WITH RECURSIVE', 1)}, {MATCHED}, {INTERSECTION}, {CONSTRAINTS}, {TILE_GAINS} SELECT i AS setup, round(exp(g), 6) AS gain FROM downwards")
 def tile_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gains.solve(_constraints(spark, sf_dir), _cameras(spark, sf_dir).select("setup", F.col("setup").alias("grp")), 0.1))
 
@@ -458,6 +466,18 @@ def basic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatfield.fit_cameras(orderstats.column_stats(embedding_voxels(spark, sf_dir)))
 
 
+@query(f"{BASE} SELECT DISTINCT camera, y, x, true AS recovered FROM voxel")
+def known_field_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stack made from known fields; whether the fit finds the flat field again, to one percent of its mean."""
+    truth = known_fields(embedding_voxels(spark, sf_dir)).select("camera", "y", "x", "flat")
+    stack = truth.select("camera", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("plane"), "y", "x", "flat")
+    stack = stack.select("camera", "plane", "y", "x", (F.col("flat") * (500 + 50 * F.col("plane"))).alias("v"))
+    found = flatfield.fit_cameras(stack, flatfield.FitParams(dark=False)).withColumnRenamed("flat", "fitted")
+    mean = truth.groupBy("camera").agg(F.avg("flat").alias("mean"))
+    rows = truth.join(F.broadcast(mean), "camera").join(found, ["camera", "y", "x"])  # a row per camera
+    return rows.select("camera", "y", "x", (F.abs(F.col("fitted") - F.col("flat") / F.col("mean")) < 0.01).alias("recovered"))
+
+
 @query()
 def autotune_lambda(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = flatfield.FitParams(iterations=60, rounds=2)
