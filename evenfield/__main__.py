@@ -1,4 +1,4 @@
-"""python -m evenfield --config FILE {run PIPELINE | STAGE | submit PIPELINE | set NAME=VALUE …}"""
+"""python -m evenfield --config FILE {run PIPELINE | STAGE | take FOLDER | submit PIPELINE | set NAME=VALUE …}"""
 
 from __future__ import annotations
 
@@ -31,6 +31,10 @@ def parser() -> argparse.ArgumentParser:
         stage = commands.add_parser(name)
         stage.add_argument("--mode", default="intensity" if name == "int-apply" else "auto")
         stage.add_argument("--apply-basic", action="store_true")
+        stage.add_argument("--camera", type=int, action="append", help="only this camera; may be given again")
+        stage.add_argument("--setup", type=int, action="append", help="only this setup, of int-stats and correct; may be given again")
+    take = commands.add_parser("take", help="fields, empty parts and stacks from TIFFs in a folder")
+    take.add_argument("folder")
     submit = commands.add_parser("submit")
     submit.add_argument("pipeline", choices=tuple(pipeline.PIPELINES))
     submit.add_argument("--executors", type=int, default=0, help="0: as many as the cluster gives")
@@ -73,8 +77,10 @@ def main(argv: list[str] | None = None) -> int:
     ship_package(spark)
     if args.command == "run":
         pipeline.run(spark, settings, args.pipeline, args.start_at, args.stop_after)
+    elif args.command == "take":
+        print("\n".join(pipeline.Run(spark, settings).take(args.folder)))
     else:
-        now = pipeline.Run(spark, settings, apply_basic=args.apply_basic)
+        now = pipeline.Run(spark, settings, apply_basic=args.apply_basic, only_cameras=args.camera, only_setups=args.setup)
         now.stage("correct" if args.command == "int-apply" else args.command, args.mode)
     return 0
 

@@ -6,6 +6,8 @@ committer, and emptiness, which is dear and always the same, isn't measured agai
 
 from __future__ import annotations
 
+import json
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,12 +59,25 @@ def resolve_mode(requested: str, has_fields: bool, has_target: bool) -> str:
 
 
 class Run:
-    """One dataset's stages. ``voxels`` gives its voxels; without it they are read from the settings' store."""
+    """One dataset's stages. ``voxels`` gives its voxels; without it they are read from the settings' store.
 
-    def __init__(self, spark: SparkSession, settings: Settings, apply_basic: bool = False, voxels: Callable[[], DataFrame] | None = None, tiles: DataFrame | None = None):
+    ``only_cameras`` and ``only_setups`` restrict a run to a part of the dataset; its rows replace those of the same part in
+    the tables, where the others stay. Single setups are for the stages that treat each by itself.
+    """
+
+    def __init__(self, spark: SparkSession, settings: Settings, apply_basic: bool = False, voxels: Callable[[], DataFrame] | None = None, tiles: DataFrame | None = None, only_cameras: list[int] | None = None, only_setups: list[int] | None = None):
         self.spark, self.settings, self.apply_basic = spark, settings, apply_basic
         self._voxels, self._tiles = voxels, tiles
         rows = [(s, c) for c, group in enumerate(settings.cameras) for s in group]
+        known = {"cameras": {c for _, c in rows}, "setups": {s for s, _ in rows}}
+        for name, asked in (("cameras", only_cameras), ("setups", only_setups)):
+            if unknown := set(asked or ()) - known[name]:
+                raise ValueError(f"{name} {sorted(unknown)} aren't in the settings")
+        self.partial, self.single = only_cameras is not None or only_setups is not None, only_setups is not None
+        rows = [(s, c) for s, c in rows if (only_cameras is None or c in only_cameras) and (only_setups is None or s in only_setups)]
+        if not rows:
+            raise ValueError("no setup is left to run on")
+        self.setups = [s for s, _ in rows]
         self.cameras = spark.createDataFrame(rows, "setup int, camera int")
 
     # ------------------------------------------------------------- tables
@@ -80,21 +95,40 @@ class Run:
         return self.spark.read.parquet(self.path(name))
 
     def keep(self, name: str, rows: DataFrame) -> DataFrame:
-        rows.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        """Writes a table and reads it again; a part's run replaces the part's rows and reads those only."""
+        key = next((k for k in ("setup", "camera") if k in rows.columns), None)
+        if not (self.partial and key and self.has(name)):
+            rows.write.mode("overwrite").parquet(self.path(name))
+            return self.spark.read.parquet(self.path(name))
+        others = self.read(name).join(F.broadcast(self.cameras.select(key).distinct()), key, "left_anti")  # a row per setup
+        aside = self.path(f"{name}-next")
+        rows.unionByName(others, allowMissingColumns=True).write.mode("overwrite").parquet(aside)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        system = path(aside).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        system.delete(path(self.path(name)), True)
+        if not system.rename(path(aside), path(self.path(name))):
+            raise RuntimeError(f"{aside} can't take the place of {self.path(name)}")
+        return self.mine(self.read(name))
+
+    def mine(self, rows: DataFrame) -> DataFrame:
+        """The rows of the part of the dataset that this run is for."""
+        if not self.partial:
+            return rows
+        key = "setup" if "setup" in rows.columns else "camera"
+        return rows.join(F.broadcast(self.cameras.select(key).distinct()), key, "left_semi")  # a row per setup
 
     def voxels(self, level: int = 0) -> DataFrame:
         if self._voxels is not None:
-            return self._voxels()
+            return self.mine(self._voxels())
         s = self.settings
-        return stores.to_voxels(stores.chunks(self.spark, s.input_path, s.input_format, s.setups, level), self.cameras)
+        return stores.to_voxels(stores.chunks(self.spark, s.input_path, s.input_format, self.setups, level), self.cameras)
 
     def chunks(self, level: int = 0) -> DataFrame | None:
         """The stored chunks of a level, where voxels come from a store of whole levels; bulk stages work on these."""
         s = self.settings
         if self._voxels is not None or level >= len(stores.pyramid_shapes(s.input_path, s.input_format, s.setups[0])):
             return None
-        return stores.chunks(self.spark, s.input_path, s.input_format, s.setups, level)
+        return stores.chunks(self.spark, s.input_path, s.input_format, self.setups, level)
 
     def at_level(self, level: int) -> tuple[DataFrame, tuple[int, int, int]]:
         """The voxels of a level and its (z, y, x) factors: the stored level, or level 0 averaged in the plane by powers of two."""
@@ -107,6 +141,18 @@ class Run:
                 return self.voxels(level), tuple(max(round(a / b), 1) for a, b in zip(shapes[0], shapes[level]))
         return levels.downsample(self.voxels(), 1, 2**level, 2**level), (1, 2**level, 2**level)
 
+    def frame(self, level: int = 0) -> tuple[int, int]:
+        """(ny, nx) of a level, from a store's metadata where there is one."""
+        s = self.settings
+        if self._voxels is None:
+            shapes = [shape[1:] for shape in stores.pyramid_shapes(s.input_path, s.input_format, self.setups[0])]
+            if level < len(shapes):
+                return shapes[level]
+            full = shapes[0]
+        else:
+            full = self.voxels().filter("z = 0").agg(F.max("y") + 1, F.max("x") + 1).first()
+        return tuple(-(-n // 2**level) for n in full)
+
     def coarse_level(self) -> int:
         """The level that emptiness is measured at: the coarsest stored one whose frame is wide enough."""
         s = self.settings
@@ -129,8 +175,11 @@ class Run:
     # ------------------------------------------------------------- stages
 
     def emptiness(self) -> None:
-        if self.has("empty_tiles") and self.has("empty_pixels"):
-            return
+        basis = self.empty_basis()
+        if not self.partial and self.has("empty_tiles") and self.has("empty_pixels"):
+            if not self.has("empty_basis") or self.read("empty_basis").first()["basis"] == basis:
+                return
+            warnings.warn("emptiness was measured with other settings; it is measured again", stacklevel=2)
         s, voxels = self.settings, self.at_level(self.coarse_level())[0]
         mode = "otsu" if s.tile_threshold == "pooled" else s.tile_threshold
         limits = self.keep("empty_threshold", thresholds.pooled(voxels, mode, s.otsu_sample_voxels))
@@ -138,9 +187,26 @@ class Run:
         self.keep("empty_tiles", emptiness.by_tile(cols))
         pixels = self.keep("empty_pixels", emptiness.by_pixel(cols))
         self.keep("background", emptiness.background_level(pixels, s.background_percentile))
+        self.keep("empty_basis", self.spark.createDataFrame([(basis,)], "basis string"))
+
+    def empty_basis(self) -> str:
+        """What the measured emptiness depends on, so that a change of it is seen."""
+        names = ("input_path", "input_format", "tile_threshold", "empty_occupancy_floor", "otsu_sample_voxels", "background_percentile")
+        return json.dumps({n: getattr(self.settings, n) for n in names} | {"cameras": self.settings.cameras})
+
+    def warn_of_sizes(self) -> None:
+        """Setups of a camera are cropped to the smallest; that is told."""
+        s = self.settings
+        if self._voxels is not None:
+            return
+        for camera, group in enumerate(s.cameras):
+            sizes = {stores.size_zyx(s.input_path, s.input_format, k, s.basic_stats_level) for k in group if k in self.setups}
+            if len(sizes) > 1:
+                warnings.warn(f"camera {camera}'s setups differ in size {sorted(sizes)}; the smallest counts", stacklevel=3)
 
     def stats(self) -> None:
         level = self.settings.basic_stats_level
+        self.warn_of_sizes()
         stored = self.chunks(level)
         fits = blocks.fit(stored, self.cameras) if stored is not None else orderstats.fit(self.at_level(level)[0])
         fits = self.keep("column_fits", fits)
@@ -151,7 +217,7 @@ class Run:
             self.keep("background_profile", orderstats.background_profile(fits, self.read("empty_threshold")))
 
     def qstack(self) -> None:
-        planes = self.read("column_stats")
+        planes = self.mine(self.read("column_stats"))
         if self.settings.basic_unmix_empty:
             profile = self.read("background_profile") if self.has("background_profile") else self.read("background")
             stack = unmix.unmix(planes, self._in_frame(self.read("empty_pixels"), planes), profile)
@@ -171,10 +237,15 @@ class Run:
         s = self.settings
         darks = self.measured_darks() if s.basic.override_darkfield is True else None
         factors = self.at_level(s.basic_stats_level)[1]
-        fields = flatfield.fit_cameras(self.read("qstack"), s.basic.params(), s.basic.autotune, darks)
+        stack, params = self.mine(self.read("qstack")), s.basic.params()
+        frame, expected = tuple(stack.agg(F.max("y") + 1, F.max("x") + 1).first()), self.frame(s.basic_stats_level)
+        if frame != expected:
+            warnings.warn(f"the stack's frame is {frame}, the data's {expected}: it may be of an earlier run", stacklevel=2)
+        lams = self.tuned(stack, params) if s.basic.autotune and not params.lam else None
+        fields = flatfield.fit_cameras(stack, params, darks=darks, lams=lams)
         if factors[1:] != (1, 1):  # fitted on a coarse level: brought to the full frame
             fields = self.keep("fields_coarse", fields)
-            full = tuple(self.voxels().agg(F.max("y") + 1, F.max("x") + 1).first())
+            full = self.frame()
             own = tuple(fields.agg(F.max("y") + 1, F.max("x") + 1).first())
             flat, dark = (levels.resize(fields.select("camera", "y", "x", c), own, full, c) for c in ("flat", "dark"))
             fields = flat.join(dark, ["camera", "y", "x"])
@@ -182,6 +253,14 @@ class Run:
         if self.has("background"):
             self.keep("dark_check", flatfield.collapsed_dark(fields, self.read("background")))
 
+    def tuned(self, stack: DataFrame, params: flatfield.FitParams) -> dict[int, float]:
+        """Each camera's tuned penalty, kept as a table; one at an edge of the grid is told, as a better one may lie beyond."""
+        found = self.keep("penalties", flatfield.tune_cameras(stack, params)).collect()  # a row per camera
+        for r in found:
+            if r["multiplier"] in (min(flatfield.FINE), max(flatfield.FINE)):
+                warnings.warn(f"camera {r['camera']}'s penalty is at the edge of the grid: {r['multiplier']:g} times the default", stacklevel=3)
+        return {r["camera"]: r["lam"] for r in found}
+
     def measured_darks(self) -> dict[int, float]:
         """Each camera's own measured background level, which overrides its dark field."""
         levels_of = {r["camera"]: r["level"] for r in self.read("background").collect()} if self.has("background") else {}  # a row per camera
@@ -270,10 +349,10 @@ class Run:
         The corrected chunks of level 0 are kept as a table, which the levels are averaged from.
         """
         s = self.settings
-        found = {k: stores.layout(s.input_path, s.input_format, k) for k in s.setups}
+        found = {k: stores.layout(s.input_path, s.input_format, k) for k in self.setups}
         sizes = {f.zyx(f.chunk) for f in found.values()}
         chunk, shard = s.chunk_size[::-1], s.shard_size[::-1]
-        shapes = {k: stores.pyramid_shapes(s.input_path, s.input_format, k) for k in s.setups}
+        shapes = {k: stores.pyramid_shapes(s.input_path, s.input_format, k) for k in self.setups}
         factors = {tuple(tuple(max(round(a / b), 1) for a, b in zip(v[0], x)) for x in v) for v in shapes.values()}
         fits = len(sizes) == 1 and len(factors) == 1 and all(c % own == 0 for c, own in zip(chunk, next(iter(sizes))))
         if not fits or any(own % f for three in next(iter(factors)) for f, own in zip(three, next(iter(sizes)))):
@@ -285,7 +364,7 @@ class Run:
         for level, three in enumerate(next(iter(factors))):
             small = blocks.downsample(rows, *three, level) if level else rows
             stores.write(small, s.output_path, s.out_format, {k: v[level] for k, v in shapes.items()}, chunk, shard, level)
-        for k in s.setups:
+        for k in self.setups:
             stores.write_group(s.output_path, s.out_format, k, list(next(iter(factors))))
         return True
 
@@ -346,6 +425,10 @@ class Run:
         return taken
 
     def stage(self, name: str, mode: str) -> None:
+        if self.single and name not in ("int-stats", "correct"):
+            raise ValueError(f"{name} takes cameras, not single setups")
+        if self.partial and name == "int-aggregate":
+            raise ValueError("int-aggregate takes the whole dataset")
         if name == "correct":
             self.correct(mode)
         elif name == "export":

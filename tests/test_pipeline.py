@@ -111,6 +111,81 @@ def test_from_store_to_store(spark, tmp_path):
             assert found.select(rows.columns).exceptAll(rows).count() == 0
 
 
+def test_a_part_of_the_dataset(spark, tmp_path):
+    fit = config.Fitting(autotune=False, max_iterations=10, max_reweighting_iterations=1)
+    settings = config.Settings(results_root=str(tmp_path), setup_ids=((0, 1), (2, 3)), stats_scale=0, tile_threshold="li", basic=fit)
+    whole = pipeline.Run(spark, settings, voxels=lambda: voxels(spark))
+    for stage in ("emptiness", "stats", "qstack", "basic", "int-stats"):
+        whole.stage(stage, "auto")
+    before = {name: whole.read(name).toPandas() for name in ("column_stats", "fields", "tile_stats")}
+    brighter = lambda: voxels(spark).selectExpr("camera", "setup", "z", "y", "x", "v + 100 as v")
+    part = pipeline.Run(spark, settings, voxels=brighter, only_cameras=[1])
+    for stage in ("stats", "qstack", "basic"):
+        part.stage(stage, "auto")
+    pipeline.Run(spark, settings, voxels=brighter, only_setups=[2]).stage("int-stats", "auto")
+    after = {name: whole.read(name).toPandas() for name in before}
+    for name, key, changed in (("column_stats", "camera", 1), ("tile_stats", "setup", 2)):
+        value = "v" if key == "camera" else "all_mean"
+        assert len(after[name]) == len(before[name])
+        for k, rows in before[name].groupby(key):
+            shift = after[name][after[name][key] == k][value].mean() - rows[value].mean()
+            assert shift == pytest.approx(100 if k == changed else 0, abs=1e-6)
+    assert len(after["fields"]) == len(before["fields"])
+    for wrong in ({"only_cameras": [7]}, {"only_setups": [9]}, {"only_cameras": [0], "only_setups": [3]}):
+        with pytest.raises(ValueError):
+            pipeline.Run(spark, settings, **wrong)
+    with pytest.raises(ValueError, match="cameras"):
+        pipeline.Run(spark, settings, only_setups=[1]).stage("stats", "auto")
+    with pytest.raises(ValueError, match="whole"):
+        part.stage("int-aggregate", "auto")
+
+
+def test_what_is_out_of_date_is_told(spark, tmp_path):
+    settings = config.Settings(results_root=str(tmp_path), setup_ids=((0, 1), (2, 3)), stats_scale=0, tile_threshold="li", basic=config.Fitting(autotune=False, max_iterations=5, max_reweighting_iterations=1))
+    now = pipeline.Run(spark, settings, voxels=lambda: voxels(spark))
+    now.stage("emptiness", "auto")
+    other = config.replace(settings, empty_occupancy_floor=0.5)
+    with pytest.warns(UserWarning, match="other settings"):
+        pipeline.Run(spark, other, voxels=lambda: voxels(spark)).stage("emptiness", "auto")
+    now.stage("stats", "auto")
+    now.stage("qstack", "auto")
+    with pytest.warns(UserWarning, match="frame"):
+        pipeline.Run(spark, settings, voxels=lambda: voxels(spark).filter("x < 6")).stage("basic", "auto")
+
+
+def test_a_penalty_at_the_edge_is_told(spark, tmp_path, monkeypatch):
+    settings = config.Settings(results_root=str(tmp_path), setup_ids=((0, 1), (2, 3)))
+    now = pipeline.Run(spark, settings, voxels=lambda: voxels(spark))
+    tuned = spark.createDataFrame([(0, 0.5, 10.0), (1, 0.5, 1.0)], "camera int, lam double, multiplier double")
+    monkeypatch.setattr(pipeline.flatfield, "tune_cameras", lambda *_: tuned)
+    with pytest.warns(UserWarning, match="camera 0") as told:
+        assert now.tuned(None, None) == {0: 0.5, 1: 0.5}
+    assert sum("edge" in str(w.message) for w in told) == 1
+
+
+def test_files_of_some_cameras_are_refused(spark, tmp_path):
+    from evenfield.sources import tiff
+
+    settings = config.Settings(results_root=str(tmp_path / "results"), setup_ids=((0, 1), (2, 3)))
+    now = pipeline.Run(spark, settings, voxels=lambda: voxels(spark))
+    assert now.take(str(tmp_path / "none")) == []
+    for name in tiff.FIELDS.values():
+        tiff.write_plane(tmp_path / f"own/camera1/{name}.tif", np.ones((8, 8)))
+    with pytest.raises(RuntimeError, match="only"):
+        now.take(str(tmp_path / "own"))
+    for name in tiff.FIELDS.values():
+        tiff.write_plane(tmp_path / f"own/camera2/{name}.tif", np.ones((8, 8)))
+    assert now.take(str(tmp_path / "own")) == ["fields"] and now.read("fields").count() == 128
+
+
+def test_names_of_the_package():
+    import evenfield
+
+    assert evenfield.Settings is config.Settings and evenfield.Run is pipeline.Run
+    with pytest.raises(AttributeError):
+        evenfield.nothing
+
+
 def test_plans_and_modes():
     assert pipeline.plan("basic", "qstack", "basic") == ["qstack", "basic"]
     for wrong in (("none",), ("basic", "correct", "stats"), ("basic", "int-stats")):
