@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join
+from . import base_columns, exact_dedup, jaccard_join
 from .chat_format import op9_chat_format
 from .exact_dedup import op10_exact_dedup
 from .html_extract import op4_html_extraction
@@ -22,9 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op2_license_scan, op3_secret_scan, op4_html_extraction, op5_best_fit_packing, op6_quality_rules, op7_lm_score, op8_jaccard_join, op9_chat_format, op10_exact_dedup]
+    found = [op1_mix_sources, op2_license_scan, op3_secret_scan, op4_html_extraction, op5_best_fit_packing, op6_quality_rules, op7_lm_score, op8_jaccard_join, op9_chat_format, op10_exact_dedup, *base_columns.QUERIES]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_jaccard_join": jaccard_join.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op8_jaccard_join": jaccard_join.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL} | base_columns.SQL
