@@ -28,10 +28,11 @@ _VALUE = "[A-Za-z0-9+/_.=-]+"
 _ASSIGN = rf"({_NAMES})[\"\x27]?\x20*[:=]\x20*[\"\x27]?({_VALUE})"
 
 # A match's text occurs for the first time after the match before it where the match itself is: the pattern would match at
-# any earlier place, too. Matches that fail still move the place where the next one is looked for.
+# any earlier place, too. Assignments that fail still move the place where the next one is looked for; the other two kinds
+# match whole runs, so their least lengths can stand in the pattern.
 SECRETS = rf"""WITH RECURSIVE {DOCS},
   m AS MATERIALIZED (SELECT r, 0 AS kind, regexp_extract_all(t, '{_ASSIGN}') AS found, regexp_extract_all(t, '{_ASSIGN}', 2) AS inner_ FROM d
-    UNION ALL SELECT r, 1, regexp_extract_all(t, 'AKIA[A-Z0-9]+') AS f, f FROM d UNION ALL SELECT r, 2, regexp_extract_all(t, '[0-9a-f]+') AS f, f FROM d),
+    UNION ALL SELECT r, 1, regexp_extract_all(t, 'AKIA[A-Z0-9]{{16,}}') AS f, f FROM d UNION ALL SELECT r, 2, regexp_extract_all(t, '[0-9a-f]{{24,}}') AS f, f FROM d),
   s AS (SELECT r, kind, 0 AS k, 0 AS start, 0 AS stop FROM m
     UNION ALL SELECT r, kind, k + 1, stop + strpos(substr(t, stop + 1), found[k + 1]) - 1, stop + strpos(substr(t, stop + 1), found[k + 1]) - 1 + length(found[k + 1]) FROM s JOIN m USING (r, kind) JOIN d USING (r) WHERE k < len(found)),
   good AS (SELECT r, kind, start, stop FROM s JOIN m USING (r, kind) WHERE k > 0 AND length(inner_[k]) >= [6, 20, 24][kind + 1])
