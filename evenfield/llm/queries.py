@@ -17,12 +17,13 @@ from .mixing import op1_mix_sources
 from .packing import op5_best_fit_packing
 from .quality import op6_quality_rules
 from .secrets import op3_secret_scan
+from .substring_dedup import op11_substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op2_license_scan, op3_secret_scan, op4_html_extraction, op5_best_fit_packing, op6_quality_rules, op7_lm_score, op8_jaccard_join, op9_chat_format, op10_exact_dedup, *base_columns.QUERIES]
+    found = [op1_mix_sources, op2_license_scan, op3_secret_scan, op4_html_extraction, op5_best_fit_packing, op6_quality_rules, op7_lm_score, op8_jaccard_join, op9_chat_format, op10_exact_dedup, op11_substring_dedup, *base_columns.QUERIES]
     return {f.__name__: f for f in found}
 
 
