@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import base_columns, exact_dedup, jaccard_join
 from .chat_format import op9_chat_format
+from .conversation_repair import op13_conversation_repair
+from .embedding_whitening import op12_embedding_whitening
 from .exact_dedup import op10_exact_dedup
 from .html_extract import op4_html_extraction
 from .jaccard_join import op8_jaccard_join
@@ -23,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op2_license_scan, op3_secret_scan, op4_html_extraction, op5_best_fit_packing, op6_quality_rules, op7_lm_score, op8_jaccard_join, op9_chat_format, op10_exact_dedup, op11_substring_dedup, *base_columns.QUERIES]
+    found = [op1_mix_sources, op2_license_scan, op3_secret_scan, op4_html_extraction, op5_best_fit_packing, op6_quality_rules, op7_lm_score, op8_jaccard_join, op9_chat_format, op10_exact_dedup, op11_substring_dedup, op12_embedding_whitening, op13_conversation_repair, *base_columns.QUERIES]
     return {f.__name__: f for f in found}
 
 
