@@ -43,15 +43,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df``, computed once and kept in the shared folder, so a lost executor costs no recomputation.
+def free_shuffles(spark: SparkSession) -> None:
+    """Has the driver drop its handles of earlier steps: their shuffle files are deleted only then, and would otherwise lie on the
+    executors' disks beside the next step's."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
-    Before it runs, the driver drops its handles of earlier steps: their shuffle files are deleted only then, and would
-    otherwise lie on the executors' disks beside this step's.
-    """
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df``, computed once and kept in the shared folder, so a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    free_shuffles(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

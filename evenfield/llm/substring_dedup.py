@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordBlock, as_row, cut, drop_folder, map_batches, mix, read_table, shared_folder, shuffle_partitions, text_blocks, whole_text
+from .common import WordBlock, as_row, cut, drop_folder, free_shuffles, map_batches, mix, read_table, shared_folder, shuffle_partitions, text_blocks, whole_text
 
 LEAST = 20
 #: Window starts whose anchors are looked for at a time.
@@ -98,6 +98,7 @@ class SubstringDedup:
         self.folder = f"{shared_folder(self.spark)}/repeats-{uuid.uuid4().hex}"
 
     def _kept(self, rows: DataFrame, name: str) -> DataFrame:
+        free_shuffles(self.spark)
         rows.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
@@ -208,10 +209,10 @@ class SubstringDedup:
         state = self._kept(state.dropDuplicates(["rank"]) if self.repeated_rows else state, "level-half")
         # repeated anchors: candidates that aren't a key's only place
         unique = F.expr("transform(filter(coalesce(told, array()), t -> t < 0), t -> ~t)")
-        marked = self.counted(state, "ka").select("rank", F.array_except("at", unique).alias("at")).filter(F.size("at") > 0)
+        drop_folder(self.spark, f"{self.folder}/anchors")
+        marked = self._kept(self.counted(state, "ka").select("rank", F.array_except("at", unique).alias("at")).filter(F.size("at") > 0), "marked")
+        drop_folder(self.spark, f"{self.folder}/level-half")
         state = self._kept(self.windows(firsts.join(marked, "rank")), f"level-{self.least}")
-        for name in ("anchors", "level-half"):
-            drop_folder(self.spark, f"{self.folder}/{name}")
         length, later, longest, read = self.least, None, [], f"level-{self.least}"
         while True:
             done = self._kept(self.settled(self.counted(state, "ka", "kb"), length), f"settled-{length}")
