@@ -9,6 +9,7 @@ their place in the plane, once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -69,18 +70,38 @@ def fit(chunks: DataFrame, cameras: DataFrame) -> DataFrame:
     return rows.groupBy("setup", "y0", "x0").applyInPandas(one, "camera int, setup int, y int, x int, value array<double>, n int, vmin int, vmax int")
 
 
-def field_blocks(fields: DataFrame, height: int, width: int) -> DataFrame:
-    """(camera, y0, x0, slope, shift): the correcting coefficients as float64 blocks of the chunks' size."""
-    keyed = coefficients(fields).withColumn("y0", F.expr(f"cast(y div {height} as int) * {height}")).withColumn("x0", F.expr(f"cast(x div {width} as int) * {width}"))
+def plane_blocks(planes: DataFrame, height: int, width: int, first: str, second: str) -> DataFrame:
+    """(camera, y0, x0, first, second): two values of each pixel as float64 blocks of the chunks' size."""
+    keyed = planes.withColumn("y0", F.expr(f"cast(y div {height} as int) * {height}")).withColumn("x0", F.expr(f"cast(x div {width} as int) * {width}"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        y, x = pdf["y"] - int(first["y0"]), pdf["x"] - int(first["x0"])
-        planes = np.zeros((2, y.max() + 1, x.max() + 1))
-        planes[0, y, x], planes[1, y, x] = pdf["slope"], pdf["shift"]
-        return pd.DataFrame({"camera": [int(first["camera"])], "y0": [int(first["y0"])], "x0": [int(first["x0"])], "slope": [planes[0].tobytes()], "shift": [planes[1].tobytes()]})
+        head = pdf.iloc[0]
+        y, x = pdf["y"] - int(head["y0"]), pdf["x"] - int(head["x0"])
+        held = np.zeros((2, y.max() + 1, x.max() + 1))
+        held[0, y, x], held[1, y, x] = pdf[first], pdf[second]
+        return pd.DataFrame({"camera": [int(head["camera"])], "y0": [int(head["y0"])], "x0": [int(head["x0"])], first: [held[0].tobytes()], second: [held[1].tobytes()]})
+
+    return keyed.groupBy("camera", "y0", "x0").applyInPandas(one, f"camera int, y0 int, x0 int, {first} binary, {second} binary")
+
+
+def field_blocks(fields: DataFrame, height: int, width: int) -> DataFrame:
+    """(camera, y0, x0, slope, shift): the correcting coefficients as blocks."""
+    return plane_blocks(coefficients(fields), height, width, "slope", "shift")
+
+
+def corrected_reals(chunks: DataFrame, cameras: DataFrame, fields: DataFrame, size: tuple[int, int] = (128, 128)) -> DataFrame:
+    """Chunk rows of (v - dark) / flat, not below zero, as float64: what statistics of corrected voxels see."""
+    rows = chunks.join(F.broadcast(cameras), "setup").join(plane_blocks(fields.select("camera", "y", "x", "flat", "dark"), *size, "flat", "dark"), ["camera", "y0", "x0"])  # a row per setup
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                (r,) = batch.slice(k, 1).to_pylist()
+                raw = _block(r).astype(np.float64)
+                flat, dark = (np.frombuffer(r[c]).reshape(raw.shape[1:]) for c in ("flat", "dark"))
+                yield _chunk_batch([r | {"data": np.maximum((raw - dark) / flat, 0).tobytes()}])
 
-    return keyed.groupBy("camera", "y0", "x0").applyInPandas(one, "camera int, y0 int, x0 int, slope binary, shift binary")
+    return rows.mapInArrow(work, CHUNK)
 
 
 def correct(chunks: DataFrame, cameras: DataFrame, fields: DataFrame | None = None, tiles: DataFrame | None = None, size: tuple[int, int] = (128, 128)) -> DataFrame:
@@ -120,6 +141,66 @@ def correct(chunks: DataFrame, cameras: DataFrame, fields: DataFrame | None = No
     return rows.mapInArrow(work, CHUNK)
 
 
+def pyramid(chunks: DataFrame, sizes: DataFrame, factors: dict[int, tuple[int, int, int]], out: tuple[int, int, int] = (64, 128, 128)) -> DataFrame:
+    """Chunk rows of all levels in ``factors`` (level: (fz, fy, fx)), cut to whole chunks of size ``out``, from one reading of level 0.
+
+    ``sizes`` is (setup, nz, ny, nx). Each input chunk is summed in the task that read it, for every level at once, into the output chunks that
+    it meets; the parts of an output chunk then meet in one shuffle, dealt by their place, and are divided by the voxels that
+    each coarse voxel has within the tile. So neither sizes nor factors need to divide anything. Parts are sums of four bytes a
+    coarse voxel, and of two where the factors are one, which only cuts chunks anew.
+    """
+    if max(int(np.prod(f)) for f in factors.values()) * 65535 >= 1 << 32:
+        raise ValueError("a coarse voxel may hold 65536 voxels at most")
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):  # a chunk at a time
+                (r,) = batch.slice(k, 1).to_pylist()
+                block, start = _block(r), (r["z0"], r["y0"], r["x0"])
+                for level, three in factors.items():
+                    sums, kind = block, "<u2"
+                    low = [s // f for s, f in zip(start, three)]
+                    if three != (1, 1, 1):
+                        sums, kind = block.astype(np.uint32), "<u4"
+                        for axis, f in enumerate(three):
+                            edges = np.arange(-(start[axis] % f), block.shape[axis], f)
+                            sums = np.add.reduceat(sums, np.maximum(edges, 0), axis)
+                    yield _parts(r["setup"], level, low, sums, kind, out)
+
+    schema = "setup int, level int, cz int, cy int, cx int, z0 int, y0 int, x0 int, dz int, dy int, dx int, data binary"
+    rows = chunks.mapInArrow(parts, schema).join(F.broadcast(sizes.select("setup", "nz", "ny", "nx")), "setup")  # a row per setup
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        level, three = int(first["level"]), factors[int(first["level"])]
+        n = [int(first[c]) for c in ("nz", "ny", "nx")]
+        start = [int(first[c]) * o for c, o in zip(("cz", "cy", "cx"), out)]
+        size = [min(o, -(-m // f) - s) for o, m, f, s in zip(out, n, three, start)]
+        total = np.zeros(size, np.uint64)
+        for r in pdf.to_dict("records"):
+            piece = np.frombuffer(r["data"], "<u2" if three == (1, 1, 1) else "<u4").reshape(r["dz"], r["dy"], r["dx"])
+            total[tuple(slice(r[c] - s, r[c] - s + d) for c, s, d in zip(("z0", "y0", "x0"), start, piece.shape))] += piece
+        for axis, (m, f) in enumerate(zip(n, three)):  # voxels within the tile, an axis at a time
+            held = np.minimum(f, m - (start[axis] + np.arange(size[axis])) * f).astype(np.float64)
+            counts = held if axis == 0 else np.multiply.outer(counts, held)
+        data = np.rint(total / counts).astype("<u2").tobytes()
+        return pd.DataFrame({"setup": [int(first["setup"])], "level": [level], "z0": [start[0]], "y0": [start[1]], "x0": [start[2]], "dz": [size[0]], "dy": [size[1]], "dx": [size[2]], "data": [data]})
+
+    return rows.groupBy("setup", "level", "cz", "cy", "cx").applyInPandas(whole, CHUNK)
+
+
+def _parts(setup: int, level: int, low: list[int], sums: np.ndarray, kind: str, out: tuple[int, int, int]) -> pa.RecordBatch:
+    """A level's sums, cut at the borders of output chunks."""
+    spans = [[(c, max(a, c * o), min(a + n, (c + 1) * o)) for c in range(a // o, (a + n - 1) // o + 1)] for a, n, o in zip(low, sums.shape, out)]
+    rows = []
+    for (cz, za, zb), (cy, ya, yb), (cx, xa, xb) in product(*spans):
+        piece = sums[za - low[0] : zb - low[0], ya - low[1] : yb - low[1], xa - low[2] : xb - low[2]]
+        rows.append((setup, level, cz, cy, cx, za, ya, xa, *piece.shape, np.ascontiguousarray(piece).astype(kind).tobytes()))
+    columns = list(zip(*rows))
+    names = ["setup", "level", "cz", "cy", "cx", "z0", "y0", "x0", *SHAPE]
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in columns[:-1]), pa.array(columns[-1], pa.binary())], [*names, "data"])
+
+
 def downsample(chunks: DataFrame, fz: int, fy: int, fx: int, level: int) -> DataFrame:
     """The next level's chunks from chunks whose beginnings the factors divide: each shrinks in its own task, nothing is shuffled."""
 

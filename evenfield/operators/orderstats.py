@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,12 +78,68 @@ def fit(voxels: DataFrame) -> DataFrame:
     return rows.select("camera", "setup", "y", "x", value.alias("value"), F.size("vals").alias("n"), F.array_min("vals").cast("int").alias("vmin"), F.array_max("vals").cast("int").alias("vmax"))
 
 
-def merge(fits: DataFrame, *keys: str) -> DataFrame:
-    """Fits of several setups as one, folded strictly in setup order so that sums round alike on every run."""
-    rows = fits.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("setup", "n", "value"))).alias("parts"), F.min("vmin").alias("vmin"), F.max("vmax").alias("vmax"))
-    fold = """aggregate(slice(parts, 2, size(parts)), struct(cast(parts[0].n as double) as n, parts[0].value as value),
-        (s, o) -> struct(s.n + o.n as n, zip_with(s.value, o.value, (a, b) -> a + (o.n / (s.n + o.n)) * (b - a)) as value))"""
-    return rows.withColumn("f", F.expr(fold)).select(*keys, F.col("f.value").alias("value"), F.col("f.n").cast("long").alias("n"), "vmin", "vmax")
+#: Pixels that are folded together are those of a square of this side, in one task.
+FOLD_SIDE = 16
+
+
+def merge(fits: DataFrame) -> DataFrame:
+    """(camera, y, x, value, n, vmin, vmax): fits of several setups as one, folded strictly in setup order, so that sums round alike on every run.
+
+    Squares of pixels are dealt to tasks and sorted by setup; a task folds one setup after the other into the square's
+    running values, so its memory is that of a square whatever the number of setups.
+    """
+    keys = ["camera", "sy", "sx"]
+    rows = fits.select("camera", F.expr(f"cast(y div {FOLD_SIDE} as int)").alias("sy"), F.expr(f"cast(x div {FOLD_SIDE} as int)").alias("sx"), "setup", "y", "x", "n", "vmin", "vmax", "value")
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "setup", "y", "x")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, held = None, _Square()
+        for batch in batches:
+            at = np.stack([batch.column(c).to_numpy() for c in (*keys, "setup")]) if len(batch) else np.empty((4, 0), int)
+            edges = np.flatnonzero(np.any(at[:, 1:] != at[:, :-1], axis=0)) + 1
+            for a, b in zip([0, *edges], [*edges, len(batch)]):
+                if a == b:
+                    continue
+                square = tuple(at[:3, a].tolist())
+                if own is not None and square != own:
+                    yield held.told(own[0])
+                    held = _Square()
+                own = square
+                held.add(batch.slice(a, b - a))
+        if own is not None:
+            yield held.told(own[0])
+
+    return rows.mapInArrow(fold, "camera int, y int, x int, value array<double>, n long, vmin int, vmax int")
+
+
+class _Square:
+    """Running values of a square's pixels."""
+
+    def __init__(self):
+        self.value: np.ndarray | None = None
+        self.n = np.zeros(FOLD_SIDE**2)
+        self.vmin, self.vmax = np.full(FOLD_SIDE**2, 1 << 31), np.full(FOLD_SIDE**2, -1)
+        self.y, self.x = np.zeros((2, FOLD_SIDE**2), np.int32)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        """Rows of one setup, in which a pixel occurs once."""
+        y, x, n = (batch.column(c).to_numpy() for c in ("y", "x", "n"))
+        at = y % FOLD_SIDE * FOLD_SIDE + x % FOLD_SIDE
+        value = batch.column("value").flatten().to_numpy().reshape(len(at), -1)
+        if self.value is None:
+            self.value = np.zeros((FOLD_SIDE**2, value.shape[1]))
+        before, total = self.value[at], self.n[at] + n
+        self.value[at] = np.where((self.n[at] == 0)[:, None], value, before + (n / total)[:, None] * (value - before))
+        self.n[at], self.y[at], self.x[at] = total, y, x
+        self.vmin[at] = np.minimum(self.vmin[at], batch.column("vmin").to_numpy())
+        self.vmax[at] = np.maximum(self.vmax[at], batch.column("vmax").to_numpy())
+
+    def told(self, camera: int) -> pa.RecordBatch:
+        k = np.flatnonzero(self.n)
+        value = self.value[k]
+        lists = pa.ListArray.from_arrays(pa.array((np.arange(len(k) + 1) * value.shape[1]).astype(np.int32)), pa.array(value.ravel()))
+        columns = [pa.array(np.full(len(k), camera, np.int32)), pa.array(self.y[k]), pa.array(self.x[k]), lists, pa.array(self.n[k].astype(np.int64)), pa.array(self.vmin[k].astype(np.int32)), pa.array(self.vmax[k].astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, ["camera", "y", "x", "value", "n", "vmin", "vmax"])
 
 
 def quantile_planes(merged: DataFrame, *keys: str) -> DataFrame:
@@ -90,11 +149,11 @@ def quantile_planes(merged: DataFrame, *keys: str) -> DataFrame:
 
 def column_stats(voxels: DataFrame) -> DataFrame:
     """The 21 planes of every camera."""
-    return quantile_planes(merge(fit(voxels), "camera", "y", "x"), "camera", "y", "x")
+    return quantile_planes(merge(fit(voxels)), "camera", "y", "x")
 
 
 def column_extrema(voxels: DataFrame) -> DataFrame:
-    merged = merge(fit(voxels), "camera", "y", "x")
+    merged = merge(fit(voxels))
     return merged.select("camera", "y", "x", F.col("vmin").alias("minimum"), F.col("vmax").alias("maximum"), "n")
 
 

@@ -32,10 +32,10 @@ def _side(voxels: DataFrame, ranges: DataFrame, side: str) -> DataFrame:
 def matched(voxels: DataFrame, ranges_a: DataFrame, ranges_b: DataFrame, thresholds: DataFrame) -> DataFrame:
     """(a, b, thr, va, vb) of voxels that both sides have at one place; thr is the larger of the two tiles' floors."""
     both = _side(voxels, ranges_a, "a").join(_side(voxels, ranges_b, "b"), ["a", "b", "dx", "dy", "dz"])
-    return _with_floor(both, thresholds).select("a", "b", "thr", "va", "vb")
+    return with_floor(both, thresholds).select("a", "b", "thr", "va", "vb")
 
 
-def _with_floor(rows: DataFrame, thresholds: DataFrame) -> DataFrame:
+def with_floor(rows: DataFrame, thresholds: DataFrame) -> DataFrame:
     thr = lambda s: F.broadcast(thresholds.select(F.col("setup").alias(s), F.col("thr").alias(f"thr_{s}")))  # noqa: E731  a row per setup
     return rows.join(thr("a"), "a").join(thr("b"), "b").withColumn("thr", F.greatest("thr_a", "thr_b"))
 
@@ -54,7 +54,7 @@ def independent(voxels: DataFrame, ranges_a: DataFrame, ranges_b: DataFrame, thr
     """The same of each tile's own voxels above the floor; nothing is matched, so no voxel join is made."""
     parts = []
     for side, ranges in (("a", ranges_a), ("b", ranges_b)):
-        rows = _with_floor(_side(voxels, ranges, side), thresholds)
+        rows = with_floor(_side(voxels, ranges, side), thresholds)
         fore = F.col(f"v{side}") > F.col("thr")
         parts.append(rows.groupBy("a", "b", "thr").agg(F.count(F.when(fore, 1)).alias(f"n_{side}"), F.count(F.lit(1)).alias("n_overlap" if side == "a" else "n_overlap_b"), F.percentile(F.when(fore, F.col(f"v{side}")), F.lit(0.5)).alias(f"med_{side}")))
     return parts[0].join(parts[1], ["a", "b", "thr"]).select("a", "b", "thr", "n_a", "n_b", "n_overlap", "n_overlap_b", "med_a", "med_b")

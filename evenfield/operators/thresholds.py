@@ -14,6 +14,24 @@ def histogram(voxels: DataFrame, *keys: str, value: str = "v") -> DataFrame:
     return voxels.groupBy(*keys, level.alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Equal bins between the least and the largest value, in which values that aren't counts are looked at.
+BINS = 256
+
+
+def binned(values: DataFrame, *keys: str, value: str = "v") -> DataFrame:
+    """(keys, v, n) of real values: centers of BINS equal bins over each key's own range, which a first pass finds.
+
+    A key of one value has that value. The last bin is closed; null and NaN don't count.
+    """
+    held = values.filter(~F.isnan(F.col(value).cast("double"))).select(*keys, F.col(value).cast("double").alias("v"))
+    ends = held.groupBy(*keys).agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    rows = held.join(F.broadcast(ends), list(keys))  # a row per key
+    number = F.least(F.floor((F.col("v") - F.col("least")) / (F.col("most") - F.col("least")) * BINS), F.lit(BINS - 1))
+    counts = rows.groupBy(*keys, "least", "most", F.when(F.col("most") > F.col("least"), number).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    center = F.col("least") + (F.col("bin") + 0.5) * ((F.col("most") - F.col("least")) / BINS)
+    return counts.select(*keys, F.coalesce(center, "least").alias("v"), "n")
+
+
 def otsu(levels: DataFrame, *keys: str) -> DataFrame:
     """(keys, otsu): the lowest level that maximises the variance between the classes v <= level and v > level."""
     part = Window.partitionBy(*keys)
@@ -41,18 +59,18 @@ def li(levels: DataFrame, *keys: str, rounds: int = 200) -> DataFrame:
     return rows.select(*keys, fixed.alias("li"))
 
 
-def catalogue(levels: DataFrame, *keys: str) -> DataFrame:
-    """Both thresholds of each key, from one histogram."""
-    return otsu(levels, *keys).join(li(levels, *keys), list(keys))
+def catalogue(levels: DataFrame, *keys: str, bins: DataFrame | None = None) -> DataFrame:
+    """Both thresholds of each key, from one histogram, or Otsu's from the ``bins`` of values that aren't counts."""
+    return otsu(levels if bins is None else bins, *keys).join(li(levels, *keys), list(keys))
 
 
-def resolve(levels: DataFrame, mode: str | float, *keys: str) -> DataFrame:
+def resolve(levels: DataFrame, mode: str | float, *keys: str, bins: DataFrame | None = None) -> DataFrame:
     """(keys, threshold) by method, or the number itself for every key."""
     if not isinstance(mode, str):
         return levels.select(*keys).distinct().withColumn("threshold", F.lit(float(mode)))
     if mode not in METHODS:
         raise ValueError(f"{mode!r} is no threshold method; there are {METHODS}, or a number")
-    found = otsu(levels, *keys) if mode == "otsu" else li(levels, *keys)
+    found = otsu(levels if bins is None else bins, *keys) if mode == "otsu" else li(levels, *keys)
     return found.withColumnRenamed(mode, "threshold")
 
 

@@ -1,7 +1,7 @@
 """The stages of illumination correction as one program: each stage's result is a table in the results folder.
 
-Stages read what earlier ones wrote, so a run can begin or stop at any of them; tables are written whole by Spark's
-committer, and emptiness, which is dear and always the same, isn't measured again if its table is there.
+Stages read what earlier ones wrote, so a run can begin or stop at any of them; tables are versioned (``tables``), and
+emptiness, which is dear and always the same, isn't measured again if its table is there.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions.columns import basic_corrected
 from ..operators import correct as correcting
-from ..operators import blocks, emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
+from ..operators import blockpairs, blocks, emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
 from ..sources import files, spimdata, stores, tiff
 from . import flatfield
+from .tables import Tables
 
 EMPTY_NAME = "Empty-fraction"
 PIPELINES = {
@@ -67,6 +68,7 @@ class Run:
 
     def __init__(self, spark: SparkSession, settings: Settings, apply_basic: bool = False, voxels: Callable[[], DataFrame] | None = None, tiles: DataFrame | None = None, only_cameras: list[int] | None = None, only_setups: list[int] | None = None):
         self.spark, self.settings, self.apply_basic = spark, settings, apply_basic
+        self.tables = Tables(spark, settings.results_root)
         self._voxels, self._tiles = voxels, tiles
         rows = [(s, c) for c, group in enumerate(settings.cameras) for s in group]
         known = {"cameras": {c for _, c in rows}, "setups": {s for s, _ in rows}}
@@ -82,33 +84,27 @@ class Run:
 
     # ------------------------------------------------------------- tables
 
-    def path(self, name: str) -> str:
-        return f"{self.settings.results_root}/{name}.parquet"
-
     def has(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return self.tables.has(name)
 
     def read(self, name: str) -> DataFrame:
         if not self.has(name):
-            raise RuntimeError(f"{self.path(name)} isn't there; run the stage that writes it first")
-        return self.spark.read.parquet(self.path(name))
+            raise RuntimeError(f"{self.tables.path(name)} isn't there; run the stage that writes it first")
+        return self.tables.read(name)
 
     def keep(self, name: str, rows: DataFrame) -> DataFrame:
         """Writes a table and reads it again; a part's run replaces the part's rows and reads those only."""
         key = next((k for k in ("setup", "camera") if k in rows.columns), None)
-        if not (self.partial and key and self.has(name)):
-            rows.write.mode("overwrite").parquet(self.path(name))
-            return self.spark.read.parquet(self.path(name))
-        others = self.read(name).join(F.broadcast(self.cameras.select(key).distinct()), key, "left_anti")  # a row per setup
-        aside = self.path(f"{name}-next")
-        rows.unionByName(others, allowMissingColumns=True).write.mode("overwrite").parquet(aside)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        system = path(aside).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        system.delete(path(self.path(name)), True)
-        if not system.rename(path(aside), path(self.path(name))):
-            raise RuntimeError(f"{aside} can't take the place of {self.path(name)}")
-        return self.mine(self.read(name))
+        if not (self.partial and key):
+            return self.tables.commit(name, lambda _: rows)
+
+        def replaced(before: DataFrame | None) -> DataFrame:
+            if before is None:
+                return rows
+            others = before.join(F.broadcast(self.cameras.select(key).distinct()), key, "left_anti")  # a row per setup
+            return rows.unionByName(others, allowMissingColumns=True)
+
+        return self.mine(self.tables.commit(name, replaced))
 
     def mine(self, rows: DataFrame) -> DataFrame:
         """The rows of the part of the dataset that this run is for."""
@@ -172,6 +168,23 @@ class Run:
         rows = rows.join(fields, ["camera", "y", "x"])
         return rows.select("camera", "setup", "z", "y", "x", basic_corrected(F.col("v").cast("double"), F.col("flat"), F.col("dark")).alias("v")), factors
 
+    def seen_chunks(self) -> tuple[DataFrame, tuple[int, int, int], str] | None:
+        """What ``seen`` gives as chunk rows, their size and kind, where voxels come from a store of chunks of one size."""
+        s = self.settings
+        rows = self.chunks(s.stats_scale)
+        sizes = {found.zyx(found.chunk) for found in (stores.layout(s.input_path, s.input_format, k, s.stats_scale) for k in self.setups)} if rows is not None else set()
+        if len(sizes) != 1:
+            return None
+        size = sizes.pop()
+        if not self.apply_basic:
+            return rows, size, "<u2"
+        shapes = stores.pyramid_shapes(s.input_path, s.input_format, s.setups[0])
+        fields = correcting.floored(self.read("fields"), s.flat_floor)
+        factors = tuple(max(round(a / b), 1) for a, b in zip(shapes[0], shapes[s.stats_scale]))
+        if factors[1:] != (1, 1):
+            fields = levels.block_mean(fields, factors[1], factors[2], "flat", "dark")
+        return blocks.corrected_reals(rows, self.cameras, fields, size[1:]), size, "<f8"
+
     # ------------------------------------------------------------- stages
 
     def emptiness(self) -> None:
@@ -210,7 +223,7 @@ class Run:
         stored = self.chunks(level)
         fits = blocks.fit(stored, self.cameras) if stored is not None else orderstats.fit(self.at_level(level)[0])
         fits = self.keep("column_fits", fits)
-        merged = orderstats.merge(fits, "camera", "y", "x")
+        merged = orderstats.merge(fits)
         self.keep("column_stats", orderstats.quantile_planes(merged, "camera", "y", "x"))
         self.keep("column_extrema", merged.select("camera", "y", "x", "vmin", "vmax", "n"))
         if self.has("empty_threshold"):
@@ -270,11 +283,30 @@ class Run:
             raise ValueError(f"override_darkfield needs a measured background of cameras {missing}; run emptiness first, or give a number")
         return {c: float(levels_of[c]) for c in wanted}
 
+    def refresh_tile_stats(self) -> list[int]:
+        """Tile statistics anew of the setups of which a stored file was added, changed or removed since the last time; the others' stay.
+
+        Files are told apart by hashes of what they hold, which are kept as a table. Returns the setups that were measured.
+        """
+        s, keys = self.settings, ["setup", "level", "file", "sha256"]
+        now = self.keep("tile_stats_files_now", stores.fingerprints(self.spark, s.input_path, s.input_format, self.setups, s.stats_scale))
+        changed = set(self.setups)
+        if self.has("tile_stats_files") and self.has("tile_stats"):
+            before = self.mine(self.read("tile_stats_files"))
+            moved = now.join(before, keys, "left_anti").select("setup").unionByName(before.join(now, keys, "left_anti").select("setup"))
+            measured = {r["setup"] for r in self.mine(self.read("tile_stats")).select("setup").distinct().collect()}  # a row per setup
+            changed = {r["setup"] for r in moved.distinct().collect()} | (set(self.setups) - measured)
+        if changed:
+            Run(self.spark, s, self.apply_basic, self._voxels, self._tiles, only_setups=sorted(changed)).int_stats()
+            self.keep("tile_stats_files", now)
+        return sorted(changed)
+
     def int_stats(self) -> None:
         s, voxels = self.settings, self.seen()[0]
         stored = None if self.apply_basic else self.chunks(s.stats_scale)
         counts = blocks.histogram(stored) if stored is not None else thresholds.histogram(voxels, "setup")
-        found = self.keep("thresholds", thresholds.catalogue(counts, "setup"))
+        bins = thresholds.binned(voxels, "setup") if self.apply_basic else None  # corrected values are no counts
+        found = self.keep("thresholds", thresholds.catalogue(counts, "setup", bins=bins))
         if s.tile_threshold == "pooled":
             own = self.cameras.join(self.read("empty_threshold"), "camera").select("setup", "threshold")
         elif isinstance(s.tile_threshold, str):
@@ -295,10 +327,16 @@ class Run:
         floors = pairs.floors(stats.select("setup", "threshold").join(self.read("thresholds"), "setup"), floor)
         voxels, factors = self.seen()
         sides = [geometry.pixel_ranges(found, self.tiles(), side, factors[::-1]) for side in "ab"]
-        measure = pairs.intersection if s.gain_estimator == "intersection" else pairs.independent
-        measured = self.keep("pair_medians", pairs.gated(measure(voxels, *sides, floors), s.min_overlap_foreground, s.min_overlap_fraction))
-        if s.gain_estimator == "intersection":
-            self.keep("pair_drift", pairs.drift(voxels, *sides, floors))
+        matched = s.gain_estimator == "intersection"
+        if (seen := self.seen_chunks()) is not None:
+            crops = (blockpairs.matched if matched else blockpairs.alone)(seen[0], *sides, floors, *seen[1:])
+            found, drift = crops.found(), crops.drift if matched else None
+        else:
+            found = (pairs.intersection if matched else pairs.independent)(voxels, *sides, floors)
+            drift = (lambda: pairs.drift(voxels, *sides, floors)) if matched else None
+        measured = self.keep("pair_medians", pairs.gated(found, s.min_overlap_foreground, s.min_overlap_fraction))
+        if drift:
+            self.keep("pair_drift", drift())
         groups = self.cameras.select("setup", F.col("camera" if s.gain_grouping == "camera" else "setup").alias("grp"))
         solved = self.keep("gains", gains.solve(pairs.constraints(measured), groups, s.penalty))
         self.keep("gain_summary", gains.camera_summary(solved, self.cameras))
@@ -318,7 +356,8 @@ class Run:
     def correct(self, mode: str = "auto") -> None:
         """The corrected voxels, written to the settings' output store with its pyramid, or as a table without one."""
         s = self.settings
-        if s.output_path and s.out_format != "tiff" and self.chunks() is not None and self._correct_chunks(mode):
+        if s.output_path and s.out_format != "tiff" and self.chunks() is not None:
+            self._correct_chunks(mode)
             return
         rows = self.corrected(mode)
         if not s.output_path:
@@ -343,30 +382,31 @@ class Run:
         for k, found in shapes.items():
             stores.write_group(s.output_path, s.out_format, k, [tuple(max(round(a / b), 1) for a, b in zip(found[0], v)) for v in found])
 
-    def _correct_chunks(self, mode: str) -> bool:
-        """Store to store without long rows: possible where the stored files hold whole output chunks and shards.
-
-        The corrected chunks of level 0 are kept as a table, which the levels are averaged from.
-        """
+    def _correct_chunks(self, mode: str) -> None:
+        """Store to store without long rows. The corrected chunks are kept as a table; all coarse levels come from one reading of it,
+        and chunks that don't fit the output's are cut anew."""
         s = self.settings
-        found = {k: stores.layout(s.input_path, s.input_format, k) for k in self.setups}
-        sizes = {f.zyx(f.chunk) for f in found.values()}
-        chunk, shard = s.chunk_size[::-1], s.shard_size[::-1]
         shapes = {k: stores.pyramid_shapes(s.input_path, s.input_format, k) for k in self.setups}
-        factors = {tuple(tuple(max(round(a / b), 1) for a, b in zip(v[0], x)) for x in v) for v in shapes.values()}
-        fits = len(sizes) == 1 and len(factors) == 1 and all(c % own == 0 for c, own in zip(chunk, next(iter(sizes))))
-        if not fits or any(own % f for three in next(iter(factors)) for f, own in zip(three, next(iter(sizes)))):
-            return False
+        sizes = self.spark.createDataFrame([(k, *map(int, v[0])) for k, v in shapes.items()], "setup int, nz int, ny int, nx int")
+        chunk, shard = s.chunk_size[::-1], s.shard_size[::-1]
+        stored = {f.zyx(f.chunk) for f in (stores.layout(s.input_path, s.input_format, k) for k in self.setups)}
+        own = stored.pop() if len(stored) == 1 else chunk
+        rows = self.chunks() if not stored else blocks.pyramid(self.chunks(), sizes, {0: (1, 1, 1)}, chunk)
         mode = resolve_mode(mode, self.has("fields"), self.has("targets"))
         fields = self.read("fields") if mode != "intensity" else None
         tiles = correcting.rescaling(self.read("targets"), s.max_gain_scale) if mode != "basic" else None
-        rows = self.keep("corrected_chunks", blocks.correct(self.chunks(), self.cameras, fields, tiles, next(iter(sizes))[1:]))
-        for level, three in enumerate(next(iter(factors))):
-            small = blocks.downsample(rows, *three, level) if level else rows
-            stores.write(small, s.output_path, s.out_format, {k: v[level] for k, v in shapes.items()}, chunk, shard, level)
-        for k in self.setups:
-            stores.write_group(s.output_path, s.out_format, k, list(next(iter(factors))))
-        return True
+        rows = self.keep("corrected_chunks", blocks.correct(rows, self.cameras, fields, tiles, own[1:]))
+        factors = {k: tuple(tuple(max(round(a / b), 1) for a, b in zip(v[0], x)) for x in v) for k, v in shapes.items()}
+        for steps in sorted(set(factors.values())):  # setups of equal factors together; most often all
+            part = [k for k in self.setups if factors[k] == steps]
+            base = rows.filter(F.col("setup").isin(part))
+            asked = {level: three for level, three in enumerate(steps) if level or any(c % o for c, o in zip(chunk, own))}
+            cut = self.keep("corrected_levels", blocks.pyramid(base, sizes, asked, chunk)) if asked else None
+            for level in range(len(steps)):
+                found = cut.filter(F.col("level") == level) if level in asked else base
+                stores.write(found, s.output_path, s.out_format, {k: shapes[k][level] for k in part}, chunk, shard, level)
+            for k in part:
+                stores.write_group(s.output_path, s.out_format, k, list(steps))
 
     def _write_tiffs(self, rows: DataFrame, sizes: dict[int, tuple[int, int, int]]) -> None:
         s, um = self.settings, {}
@@ -443,5 +483,11 @@ def run(spark: SparkSession, settings: Settings, pipeline: str = "basic", start_
     if not dry_run:
         now = Run(spark, settings, apply_basic=pipeline == "both", **source)
         for name in stages:
-            now.stage(name, pipeline)
+            try:
+                now.stage(name, pipeline)
+            except Exception as failed:
+                if name != "emptiness":
+                    raise
+                # what it measures is advice: later stages do without, or say what they lack
+                warnings.warn(f"emptiness failed and is left out: {failed}", stacklevel=2)
     return stages

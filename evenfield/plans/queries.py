@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import basic_corrected, library_corrected, shrink
-from ..model import LEVELS, embedding_voxels, tiles_in_a_row
+from ..model import LEVELS, PER_CAMERA, embedding_voxels, tiles_in_a_row
 from ..operators import correct as correcting
-from ..operators import blocks, emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
+from ..operators import blockpairs, blocks, emptiness, gains, geometry, levels, orderstats, pairs, selection, thresholds, tilestats, unmix
+from ..session import shared_folder
 from ..sources import stores
 from . import flatfield
 
@@ -187,9 +188,58 @@ OVERLAPS = """laps AS (SELECT a.setup AS a, b.setup AS b, greatest(a.min_x, b.mi
   FROM boxes a JOIN boxes b ON a.setup < b.setup AND least(a.max_x, b.max_x) > greatest(a.min_x, b.min_x) AND least(a.max_y, b.max_y) > greatest(a.min_y, b.min_y) AND least(a.max_z, b.max_z) > greatest(a.min_z, b.min_z))"""
 
 
+#: Chunks (z, y, x) that the block queries cut the voxel view into.
+BLOCK = (8, 4, 4)
+
+
+class View:
+    """What several steps of one query read, each computed once and kept in the shared folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._held = spark, sf_dir, {}
+
+    def _kept(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._held:
+            path = shared_folder(self.spark, name)
+            make().write.parquet(path)
+            self._held[name] = self.spark.read.parquet(path)
+        return self._held[name]
+
+    def voxels(self) -> DataFrame:
+        return self._kept("voxels", lambda: embedding_voxels(self.spark, self.sf_dir))
+
+    def thresholds(self) -> DataFrame:
+        return self._kept("thresholds", lambda: _tile_thresholds(self.voxels()))
+
+    def sizes(self) -> DataFrame:
+        return self._kept("tiles", lambda: tiles_in_a_row(self.voxels()))
+
+    def cameras(self) -> DataFrame:
+        return self.sizes().select(F.expr(f"cast(setup div {PER_CAMERA} as int)").alias("camera"), "setup")
+
+    def chunks(self) -> DataFrame:
+        return stores.to_chunks(self.voxels(), BLOCK)
+
+    def ranges(self) -> tuple[DataFrame, DataFrame]:
+        found = self._kept("overlaps", lambda: geometry.overlap_pairs(geometry.world_boxes(self.sizes())))
+        return tuple(geometry.pixel_ranges(found, self.sizes(), side) for side in "ab")
+
+    def constraints(self) -> DataFrame:
+        """From pairs of chunks."""
+        return self._kept("constraints", lambda: pairs.constraints(pairs.gated(_pair_chunks(self).found(), GATE, FRACTION)))
+
+    def classified(self) -> DataFrame:
+        empty = emptiness.by_tile(emptiness.columns(self.voxels(), thresholds.pooled(self.voxels(), EMPTY_AT), EMPTY_PART))
+        return tilestats.classified(tilestats.moments(self.voxels(), self.thresholds()), empty)
+
+    def targets(self) -> DataFrame:
+        solved = gains.solve(self.constraints(), self.cameras().select("setup", F.col("camera").alias("grp")), LAM)
+        return self._kept("targets", lambda: gains.targets(self.classified(), solved))
+
+
 def _overlaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    voxels = embedding_voxels(spark, sf_dir)
-    tiles = tiles_in_a_row(voxels)
+    view = View(spark, sf_dir)
+    voxels, tiles = view.voxels(), view.sizes()
     return voxels, tiles, geometry.overlap_pairs(geometry.world_boxes(tiles))
 
 
@@ -245,17 +295,9 @@ CONSTRAINTS = f"cons AS (SELECT a, b, ln(med_a) - ln(med_b) AS d, CAST(least(n_a
 LAM = 1e-6
 
 
-def _constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.constraints(pairs.gated(pairs.intersection(*_pair_inputs(spark, sf_dir)), GATE, FRACTION))
-
-
-def _cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_voxels(spark, sf_dir).select("camera", "setup").distinct()
-
-
 @query(f"{TILES}, {MATCHED}, {INTERSECTION}, {CONSTRAINTS} SELECT a, b, round(d, 6) AS d, w FROM cons")
 def pair_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_constraints(spark, sf_dir))
+    return rounded(View(spark, sf_dir).constraints())
 
 
 # two cameras: the solution in closed form, g_0 = -g_1 = D / (2 W + lam)
@@ -265,7 +307,8 @@ CAMERA_GAINS = f"""two AS (SELECT d, w / median(w) OVER () AS u FROM cons WHERE
 
 @query(f"{TILES}, {MATCHED}, {INTERSECTION}, {CONSTRAINTS}, {CAMERA_GAINS} SELECT setup, round(gain, 6) AS gain FROM gains")
 def camera_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gains.solve(_constraints(spark, sf_dir), _cameras(spark, sf_dir).select("setup", F.col("camera").alias("grp")), LAM))
+    view = View(spark, sf_dir)
+    return rounded(gains.solve(view.constraints(), view.cameras().select("setup", F.col("camera").alias("grp")), LAM))
 
 
 # tiles in a row overlap their neighbours only: the tridiagonal system is eliminated upwards and solved downwards
@@ -278,12 +321,15 @@ TILE_GAINS = """units AS (SELECT a AS i, w / median(w) OVER () AS u, d FROM cons
 
 @query(f"{TILES.replace('WITH', 'WITH RECURSIVE', 1)}, {MATCHED}, {INTERSECTION}, {CONSTRAINTS}, {TILE_GAINS} SELECT i AS setup, round(exp(g), 6) AS gain FROM downwards")
 def tile_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gains.solve(_constraints(spark, sf_dir), _cameras(spark, sf_dir).select("setup", F.col("setup").alias("grp")), 0.1))
+    view = View(spark, sf_dir)
+    return rounded(gains.solve(view.constraints(), view.cameras().select("setup", F.col("setup").alias("grp")), 0.1))
 
 
 @query(f"{TILES}, {MATCHED}, {INTERSECTION}, {CONSTRAINTS}, {CAMERA_GAINS} SELECT CAST(setup // 5 AS INT) AS camera, round(median(gain), 6) AS median_gain, round(min(gain), 6) AS min_gain, round(max(gain), 6) AS max_gain, count(*) AS n_tiles FROM gains GROUP BY 1")
 def camera_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(gains.camera_summary(camera_gains(spark, sf_dir), _cameras(spark, sf_dir)))
+    view = View(spark, sf_dir)
+    solved = gains.solve(view.constraints(), view.cameras().select("setup", F.col("camera").alias("grp")), LAM)
+    return rounded(gains.camera_summary(rounded(solved), view.cameras()))
 
 
 LIMITS = tilestats.Limits()
@@ -295,24 +341,14 @@ ALL = f"{TILES}, {MOMENTS}, {COLUMNS}, {AREAS}, {KINDS}"
 ALL_TARGETS = f"{ALL}, {MATCHED}, {INTERSECTION}, {CONSTRAINTS}, {CAMERA_GAINS}, {TARGETS}"
 
 
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    voxels = embedding_voxels(spark, sf_dir)
-    return tilestats.classified(tilestats.moments(voxels, _tile_thresholds(voxels)), emptiness.by_tile(_columns(spark, sf_dir)))
-
-
 @query(f"{ALL} SELECT setup, round(empty_area, 6) AS empty_area, kind FROM kinds")
 def classify_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_classified(spark, sf_dir).select("setup", "empty_area", "kind"))
-
-
-def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    solved = gains.solve(_constraints(spark, sf_dir), _cameras(spark, sf_dir).select("setup", F.col("camera").alias("grp")), LAM)
-    return gains.targets(_classified(spark, sf_dir), solved)
+    return rounded(View(spark, sf_dir).classified().select("setup", "empty_area", "kind"))
 
 
 @query(f"{ALL_TARGETS} SELECT setup, kind, round(gain, 6) AS gain, round(target_mean, 5) AS target_mean, round(target_std, 5) AS target_std, round(corrected_mean, 5) AS corrected_mean, round(corrected_std, 5) AS corrected_std FROM targets")
 def gain_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_targets(spark, sf_dir).select("setup", "kind", F.round("gain", 6).alias("gain"), *(F.round(c, 5).alias(c) for c in ("target_mean", "target_std", "corrected_mean", "corrected_std"))))
+    return rounded(View(spark, sf_dir).targets().select("setup", "kind", F.round("gain", 6).alias("gain"), *(F.round(c, 5).alias(c) for c in ("target_mean", "target_std", "corrected_mean", "corrected_std"))))
 
 
 # fields of a known form stand for fitted ones: their arithmetic is what the two engines compare
@@ -339,7 +375,8 @@ RESCALE = f"par AS (SELECT setup, CASE kind WHEN 'empty' THEN 'none' ELSE kind E
 
 @query(f"{ALL_TARGETS}, {RESCALE} SELECT camera, setup, z, y, x, {OUT.format(chr(10) + 'CASE WHEN mode = $$uniform$$ OR (mode = $$bimodal$$ AND v > thr) THEN (v - m) * s + t ELSE v END'.replace('$$', chr(39)))} FROM voxel JOIN par USING (setup)")
 def correct_intensity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return correcting.correct(embedding_voxels(spark, sf_dir), None, correcting.rescaling(_targets(spark, sf_dir)))
+    view = View(spark, sf_dir)
+    return correcting.correct(view.voxels(), None, correcting.rescaling(view.targets()))
 
 
 BOTH = """CASE mode WHEN 'uniform' THEN greatest(v * (slope * s) + (shift * s + (t - m * s)), t - m * s) WHEN 'bimodal' THEN CASE WHEN v * slope + shift > thr THEN (v * slope + shift) * s + (t - m * s) ELSE v * slope + shift END ELSE v * slope + shift END"""
@@ -347,8 +384,8 @@ BOTH = """CASE mode WHEN 'uniform' THEN greatest(v * (slope * s) + (shift * s +
 
 @query(f"{ALL_TARGETS}, {RESCALE}, {FIELDS}, {FLOORED} SELECT camera, setup, z, y, x, {OUT.format(BOTH)} FROM voxel JOIN par USING (setup) JOIN coef USING (camera, y, x)")
 def correct_both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    voxels = embedding_voxels(spark, sf_dir)
-    return correcting.correct(voxels, known_fields(voxels), correcting.rescaling(_targets(spark, sf_dir)))
+    view = View(spark, sf_dir)
+    return correcting.correct(view.voxels(), known_fields(view.voxels()), correcting.rescaling(view.targets()))
 
 
 @query(f"{BASE}, {FIELDS} SELECT camera, setup, z, y, x, round(greatest((v - dark) / flat, 0), 6) AS basic, round(((v - dark) / flat + 5) * 2, 6) AS library FROM voxel JOIN fields USING (camera, y, x)")
@@ -428,10 +465,6 @@ def tile_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(pairs.floors(found, "li"))
 
 
-#: Chunks (z, y, x) that the block queries cut the voxel view into.
-BLOCK = (8, 4, 4)
-
-
 def _chunks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     voxels = embedding_voxels(spark, sf_dir)
     return stores.to_chunks(voxels, BLOCK), voxels.select("camera", "setup").distinct()
@@ -439,7 +472,7 @@ def _chunks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query(_SQL["column_stats"])
 def block_column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = orderstats.merge(blocks.fit(*_chunks(spark, sf_dir)), "camera", "y", "x")
+    merged = orderstats.merge(blocks.fit(*_chunks(spark, sf_dir)))
     return orderstats.quantile_planes(merged, "camera", "y", "x")
 
 
@@ -450,9 +483,9 @@ def block_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_SQL["correct_both"])
 def block_correct_both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks, cameras = _chunks(spark, sf_dir)
-    found = blocks.correct(chunks, cameras, known_fields(embedding_voxels(spark, sf_dir)), correcting.rescaling(_targets(spark, sf_dir)), BLOCK[1:])
-    return stores.to_voxels(found, cameras)
+    view = View(spark, sf_dir)
+    found = blocks.correct(view.chunks(), view.cameras(), known_fields(view.voxels()), correcting.rescaling(view.targets()), BLOCK[1:])
+    return stores.to_voxels(found, view.cameras())
 
 
 @query(f"{BASE} SELECT camera, setup, CAST(z // 2 AS INT) AS z, CAST(y // 2 AS INT) AS y, CAST(x // 2 AS INT) AS x, CAST(round_even(avg(v), 0) AS INT) AS v FROM voxel GROUP BY camera, setup, z // 2, y // 2, x // 2")
@@ -461,27 +494,76 @@ def block_pyramid_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stores.to_voxels(blocks.downsample(chunks, 2, 2, 2, 1), cameras)
 
 
+def _pair_chunks(view: View) -> blockpairs.Crops:
+    return blockpairs.matched(view.chunks(), *view.ranges(), pairs.floors(view.thresholds()), BLOCK)
+
+
+@query(_SQL["pair_intersection"])
+def block_pair_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.gated(_pair_chunks(View(spark, sf_dir)).found(), GATE, FRACTION)
+
+
+@query(_SQL["pair_drift"])
+def block_pair_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_pair_chunks(View(spark, sf_dir)).drift())
+
+
+@query(_SQL["pair_independent"])
+def block_pair_independent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = View(spark, sf_dir)
+    return blockpairs.alone(view.chunks(), *view.ranges(), pairs.floors(view.thresholds()), BLOCK).found()
+
+
+_STEPS = {1: (1, 2, 2), 2: (3, 4, 4), 3: (5, 8, 8)}
+
+
+@query(f"{BASE} " + " UNION ALL ".join(f"SELECT camera, setup, {k} AS level, CAST(z // {fz} AS INT) AS z, CAST(y // {fy} AS INT) AS y, CAST(x // {fx} AS INT) AS x, CAST(round_even(avg(v), 0) AS INT) AS v FROM voxel GROUP BY camera, setup, z // {fz}, y // {fy}, x // {fx}" for k, (fz, fy, fx) in _STEPS.items()))
+def block_pyramid_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every level from one reading of chunks that the factors don't divide."""
+    view = View(spark, sf_dir)
+    found = blocks.pyramid(view.chunks(), view.sizes().selectExpr("setup", "size_z as nz", "size_y as ny", "size_x as nx"), _STEPS, (3, 4, 4))
+    levels_ = [stores.to_voxels(found.filter(F.col("level") == k), view.cameras()).withColumn("level", F.lit(k)) for k in _STEPS]
+    return levels_[0].unionByName(levels_[1]).unionByName(levels_[2])
+
+
+@query(f"""{BASE}, {FIELDS}, c AS (SELECT setup, greatest((v - dark) / flat, 0) AS v FROM voxel JOIN fields USING (camera, y, x)), e AS (SELECT setup, min(v) AS low, max(v) AS high FROM c GROUP BY setup),
+  hist AS (SELECT setup, low + (bin + 0.5::DOUBLE) * ((high - low) / 256) AS v, n FROM (SELECT setup, low, high, least(floor((v - low) / (high - low) * 256), 255) AS bin, count(*) AS n FROM c JOIN e USING (setup) GROUP BY 1, 2, 3, 4)), {OTSU}
+SELECT setup, round(threshold, 6) AS otsu FROM otsu""")
+def otsu_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Otsu's threshold of corrected voxels, which are no counts: 256 equal bins over each tile's range."""
+    voxels = embedding_voxels(spark, sf_dir)
+    rows = voxels.join(known_fields(voxels), ["camera", "y", "x"])
+    rows = rows.select("setup", basic_corrected(F.col("v").cast("double"), F.col("flat"), F.col("dark")).alias("v"))
+    return rounded(thresholds.otsu(thresholds.binned(rows, "setup"), "setup"))
+
+
+@query(f"{BASE}, {FIELDS} SELECT setup, count(*) AS n, round(quantile_cont(greatest((v - dark) / flat, 0), 0.05), 6) AS low FROM voxel JOIN fields USING (camera, y, x) GROUP BY setup")
+def selected_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A percentile of each tile's corrected voxels by radix selection over all tasks."""
+    voxels = embedding_voxels(spark, sf_dir)
+    rows = voxels.join(known_fields(voxels), ["camera", "y", "x"])
+    rows = rows.select("setup", basic_corrected(F.col("v").cast("double"), F.col("flat"), F.col("dark")).alias("v"))
+    return rounded(selection.percentiles(rows, ["setup"], "v", 0.05).withColumnRenamed("result", "low"))
+
+
 @query()
 def basic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatfield.fit_cameras(orderstats.column_stats(embedding_voxels(spark, sf_dir)))
 
 
-@query(f"{BASE} SELECT DISTINCT camera, y, x, true AS recovered FROM voxel")
+@query(f"{BASE}, {FIELDS} SELECT camera, y, x, round(flat / avg(flat) OVER (PARTITION BY camera), 4) AS flat, round(dark, 2) AS dark FROM fields")
 def known_field_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stack made from known fields; whether the fit finds the flat field again, to one percent of its mean."""
-    truth = known_fields(embedding_voxels(spark, sf_dir)).select("camera", "y", "x", "flat")
-    stack = truth.select("camera", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("plane"), "y", "x", "flat")
-    stack = stack.select("camera", "plane", "y", "x", (F.col("flat") * (500 + 50 * F.col("plane"))).alias("v"))
-    found = flatfield.fit_cameras(stack, flatfield.FitParams(dark=False)).withColumnRenamed("flat", "fitted")
-    mean = truth.groupBy("camera").agg(F.avg("flat").alias("mean"))
-    rows = truth.join(F.broadcast(mean), "camera").join(found, ["camera", "y", "x"])  # a row per camera
-    return rows.select("camera", "y", "x", (F.abs(F.col("fitted") - F.col("flat") / F.col("mean")) < 0.01).alias("recovered"))
+    """A stack made from known fields, flat and dark; the fit finds both again."""
+    truth = known_fields(embedding_voxels(spark, sf_dir))
+    stack = truth.select("camera", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("plane"), "y", "x", "flat", "dark")
+    stack = stack.select("camera", "plane", "y", "x", (F.col("flat") * (500 + 50 * F.col("plane")) + F.col("dark")).alias("v"))
+    found = flatfield.fit_cameras(stack)
+    return found.select("camera", "y", "x", F.round(F.col("flat").cast("double"), 4).alias("flat"), F.round(F.col("dark").cast("double"), 2).alias("dark"))
 
 
 @query()
 def autotune_lambda(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = flatfield.FitParams(iterations=60, rounds=2)
-    return flatfield.tune_cameras(orderstats.column_stats(embedding_voxels(spark, sf_dir)), params, (0.5, 2.0), (0.5, 1.0, 2.0))
+    return flatfield.tune_cameras(orderstats.column_stats(embedding_voxels(spark, sf_dir)))
 
 
 def queries() -> dict[str, Query]:

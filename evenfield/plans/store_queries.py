@@ -11,7 +11,7 @@ from ..config import Settings
 from ..model import embedding_voxels
 from ..operators import emptiness, levels, orderstats, thresholds, tilestats
 from ..session import shared_folder
-from ..sources import files, spimdata, stores, tiff
+from ..sources import files, source, spimdata, stores, tiff
 from .pipeline import Run
 from .queries import BASE, COLUMNS, EMPTY_AT, EMPTY_PART, FIELDS, LEVEL, LI, OTSU, PIXELS, STATS, known_fields, query, rounded
 
@@ -40,6 +40,38 @@ def _register_store(fmt: str) -> None:
 for _fmt in stores.FORMATS:
     _register_store(_fmt)
 
+SPARSE = f"{BASE}, sparse AS (SELECT camera, setup, z, y, x, CASE WHEN (setup + z // {CHUNK[0]} + y // {CHUNK[1]} + x // {CHUNK[2]}) % 3 = 0 OR z // {SHARD[0]} = 1 THEN 0 ELSE v END AS v FROM voxel)"
+
+
+def _sparse_store(spark: SparkSession, sf_dir: str, fmt: str) -> tuple[str, dict[int, tuple[int, int, int]], DataFrame]:
+    """A store in which chunks, and whole files, of the voxel view are left out: what isn't stored is zero."""
+    voxels, root = embedding_voxels(spark, sf_dir), shared_folder(spark, "store")
+    sizes = _sizes(voxels)
+    held = voxels.filter(f"(setup + z div {CHUNK[0]} + y div {CHUNK[1]} + x div {CHUNK[2]}) % 3 != 0 and z div {SHARD[0]} != 1")
+    stores.write(stores.to_chunks(held, CHUNK), root, fmt, sizes, CHUNK, SHARD)
+    return root, sizes, voxels.select("camera", "setup").distinct()
+
+
+def _register_sparse(fmt: str) -> None:
+    def sparse_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, sizes, cameras = _sparse_store(spark, sf_dir, fmt)
+        return stores.to_voxels(stores.chunks(spark, root, fmt, sorted(sizes)), cameras)
+
+    sparse_read.__name__ = f"store_sparse_{fmt}"
+    query(f"{SPARSE} SELECT * FROM sparse")(sparse_read)
+
+
+for _fmt in stores.FORMATS:
+    _register_sparse(_fmt)
+
+
+@query(f"{SPARSE} SELECT setup, 0 AS level, z, y, x, v FROM sparse WHERE setup >= 3 AND setup < 7 AND z >= 10 AND z < 30 AND y < 3 AND x = 5")
+def store_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box of some setups by the Spark source: filters and ranges choose arrays, files and chunks before any is opened."""
+    root, _, _ = _sparse_store(spark, sf_dir, "zarr3")
+    return source.load(spark, root, "zarr3", rows="voxels", pushdown="true", y=":3", x="5:6").filter("setup >= 3 and setup < 7 and z >= 10 and z < 30")
+
+
 _CEIL = "CAST(ceil((max({c}) + 1) / {f}) AS INT) AS n{c}"
 _LEVELS = " UNION ALL ".join(f"SELECT setup, {k} AS level, {', '.join(_CEIL.format(c=c, f=f) for c, f in zip('zyx', three))} FROM voxel GROUP BY setup" for k, three in enumerate(STEPS))
 

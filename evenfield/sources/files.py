@@ -90,3 +90,50 @@ def write_json(path: str | os.PathLike, document: dict) -> None:
 
 def read_json(path: str | os.PathLike) -> dict:
     return json.loads(read(path))
+
+
+def names(folder: str | os.PathLike) -> list[str]:
+    """What lies in a folder, by name; nothing where there is none."""
+    found, inner = located(folder)
+    return sorted(f.base_name for f in found.get_file_info(fs.FileSelector(inner, allow_not_found=True)))
+
+
+def move(source: str, target: str) -> None:
+    """A file or folder takes a place that is free."""
+    found, inner = located(source)
+    found.move(inner, located(target)[1])
+
+
+def drop(folder: str) -> None:
+    """A folder and all in it, if it is there."""
+    found, inner = located(folder)
+    if found.get_file_info(inner).type != fs.FileType.NotFound:
+        found.delete_dir(inner)
+
+
+def create_new(path: str | os.PathLike, data: bytes) -> bool:
+    """Writes a file that isn't there yet, whole; False if it is there. Of several writers one succeeds, on file systems that
+    link or that refuse to rename onto a file (local ones, hdfs); object stores that do neither take one writer at a time."""
+    found, inner = located(path)
+    aside = f"{inner}.{uuid.uuid4().hex}.part"
+    if isinstance(found, fs.LocalFileSystem):
+        os.makedirs(os.path.dirname(inner) or ".", exist_ok=True)
+        with open(aside, "xb") as out:
+            out.write(data)
+        try:
+            os.link(aside, inner)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(aside)
+        return True
+    if exists(path):
+        return False
+    with found.open_output_stream(aside) as out:
+        out.write(data)
+    try:
+        found.move(aside, inner)
+    except OSError:
+        found.delete_file(aside)
+        return False
+    return True

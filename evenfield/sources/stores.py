@@ -1,8 +1,9 @@
 """Multiscale chunk stores of uint16 volumes, read and written in the public n5, zarr 2 and zarr 3 layouts.
 
-``chunks(spark, root, format, setups, level)`` gives the rows of ``model.CHUNK``, a task per few stored chunks or shards,
+``chunks(spark, root, format, setups, level)`` gives the rows of ``model.CHUNK``, a task per run of stored chunks or shards,
 and ``write(chunk rows, …)`` writes a store: rows are dealt by shard, so a file has one writer, which a task that runs
-again replaces whole.
+again replaces whole. Both go through the Spark source and sink in ``source``. What isn't stored, whole files as well as
+chunks within a shard, is the array's fill value.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ class Layout:
     compression: str | None
     dtype: str
     keys: str  # how a chunk's file is named: default, flat or dotted
+    fill: int = 0  # what is read where nothing is stored
 
     def zyx(self, values: tuple[int, ...]) -> tuple[int, int, int]:
         return tuple(values[self.order.index(c)] for c in "zyx")
@@ -115,15 +117,16 @@ def layout(root: str, fmt: str, setup: int, level: int = 0) -> Layout:
         return Layout(path, fmt, order, tuple(meta["dimensions"]), tuple(meta["blockSize"]), None, meta.get("compression", {}).get("type", "raw"), meta["dataType"], "flat")
     if fmt == "zarr2":
         name = (meta.get("compressor") or {}).get("id")
-        return Layout(path, fmt, order, tuple(meta["shape"]), tuple(meta["chunks"]), None, name, meta["dtype"], "flat" if meta.get("dimension_separator", ".") == "/" else "dotted")
+        return Layout(path, fmt, order, tuple(meta["shape"]), tuple(meta["chunks"]), None, name, meta["dtype"], "flat" if meta.get("dimension_separator", ".") == "/" else "dotted", int(meta.get("fill_value") or 0))
+    fill = int(meta.get("fill_value") or 0)
     outer = tuple(meta["chunk_grid"]["configuration"]["chunk_shape"])
     names = [c["name"] for c in meta["codecs"]]
     if names == ["sharding_indexed"]:
         inner = meta["codecs"][0]["configuration"]
         packing = [c["name"] for c in inner["codecs"] if c["name"] != "bytes"]
-        return Layout(path, fmt, order, tuple(meta["shape"]), tuple(inner["chunk_shape"]), outer, packing[0] if packing else None, meta["data_type"], "default")
+        return Layout(path, fmt, order, tuple(meta["shape"]), tuple(inner["chunk_shape"]), outer, packing[0] if packing else None, meta["data_type"], "default", fill)
     packing = [n for n in names if n != "bytes"]
-    return Layout(path, fmt, order, tuple(meta["shape"]), outer, None, packing[0] if packing else None, meta["data_type"], "default")
+    return Layout(path, fmt, order, tuple(meta["shape"]), outer, None, packing[0] if packing else None, meta["data_type"], "default", fill)
 
 
 def size_zyx(root: str, fmt: str, setup: int, level: int = 0) -> tuple[int, int, int]:
@@ -132,6 +135,13 @@ def size_zyx(root: str, fmt: str, setup: int, level: int = 0) -> tuple[int, int,
     return found.zyx(found.shape)
 
 
+def setups(root: str, fmt: str) -> list[int]:
+    """The numbers of the setups that a store has a folder of."""
+    before, after = PLACES[fmt][2].split("/")[0].split("{setup}")
+    inner = [n[len(before) : len(n) - len(after)] for n in files.names(root) if n.startswith(before) and n.endswith(after)]
+    return sorted(int(n) for n in inner if n.isdigit())
+
+
 def pyramid_shapes(root: str, fmt: str, setup: int) -> list[tuple[int, int, int]]:
     """(nz, ny, nx) of each level until one is missing."""
     out = []
@@ -152,46 +162,59 @@ def group_scales(root: str, fmt: str, setup: int) -> list[tuple[tuple[float, ...
     return [(t["scale"], t.get("translation")) for t in named]
 
 
-def read_block(found: Layout, number: tuple[int, ...]) -> Iterator[tuple[tuple[int, int, int], np.ndarray]]:
-    """((z0, y0, x0), block) of what one stored file holds; a missing file is zeros and gives nothing."""
+#: (low, end) of the places that are asked for along z, y and x.
+Box = tuple[tuple[int, int], tuple[int, int], tuple[int, int]]
+
+
+def read_block(found: Layout, number: tuple[int, ...], box: Box | None = None) -> Iterator[tuple[tuple[int, int, int], np.ndarray]]:
+    """((z0, y0, x0), block) of every chunk that one stored file is the place of, as far as it lies in the array.
+
+    Chunks that aren't stored are blocks of the fill value. Those outside of ``box`` are neither decoded nor given.
+    """
     try:
         data = files.read(found.file(number))
     except FileNotFoundError:
-        return
+        data = None
     dtype = found.dtype if found.dtype.startswith((">", "<")) else "<u2"
     if found.shard:
         grid = tuple(s // c for s, c in zip(found.shard, found.chunk))
-        parts = zip(product(*map(range, grid)), codecs.unpack_shard(data, int(np.prod(grid))))
-        held = [(tuple(n * s + k * c for n, s, k, c in zip(number, found.shard, at, found.chunk)), np.frombuffer(codecs.decompress(b, found.compression), dtype).reshape(found.chunk)) for at, b in parts if b is not None]
-    elif found.format == "n5":
-        held = [(tuple(n * c for n, c in zip(number, found.chunk)), codecs.read_n5_block(data, found.compression))]
+        parts = codecs.unpack_shard(data, int(np.prod(grid))) if data is not None else [None] * int(np.prod(grid))
+        held = [(tuple(n * s + k * c for n, s, k, c in zip(number, found.shard, at, found.chunk)), part) for at, part in zip(product(*map(range, grid)), parts)]
     else:
-        held = [(tuple(n * c for n, c in zip(number, found.chunk)), np.frombuffer(codecs.decompress(data, found.compression), dtype).reshape(found.chunk))]
-    for start, block in held:
-        room = tuple(slice(0, max(0, s - a)) for s, a in zip(found.shape, start))
-        block = block[room]
-        if block.size:
-            yield found.zyx(start), found.canonical(block)
-
-
-def chunks(spark: SparkSession, root: str, fmt: str, setups: list[int], level: int = 0, files_per_task: int = 8) -> DataFrame:
-    """Rows of ``model.CHUNK`` of the stored chunks of these setups; only their files are opened."""
-    layouts = {s: layout(root, fmt, s, level) for s in setups}
-    rows = []
-    for s, found in layouts.items():
-        outer = found.shard or found.chunk
-        rows += [(s, list(n)) for n in product(*(range(-(-a // b)) for a, b in zip(found.shape, outer)))]
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s, n in zip(batch.column("setup").to_pylist(), batch.column("number").to_pylist()):
-                for (z, y, x), block in read_block(layouts[s], tuple(n)):
-                    data = np.ascontiguousarray(block).astype("<u2").tobytes()
-                    values = [s, level, z, y, x, *block.shape]
-                    yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.int32()) for v in values), pa.array([data], pa.binary())], ["setup", "level", "z0", "y0", "x0", "dz", "dy", "dx", "data"])
-
-    work = spark.createDataFrame(rows, "setup int, number array<int>").repartition(max(1, -(-len(rows) // files_per_task)))
-    return work.mapInArrow(read, CHUNK)
+        held = [(tuple(n * c for n, c in zip(number, found.chunk)), data)]
+    for start, part in held:
+        size = tuple(min(c, s - a) for c, s, a in zip(found.chunk, found.shape, start))
+        if min(size) <= 0:
+            continue  # a shard's chunk beyond the array
+        place_, extent = found.zyx(start), found.zyx(size)
+        if box and any(p + n <= low or p >= end for p, n, (low, end) in zip(place_, extent, box)):
+            continue
+        whole = None
+        if part is not None:
+            whole = codecs.read_n5_block(part, found.compression) if found.format == "n5" else np.frombuffer(codecs.decompress(part, found.compression), dtype).reshape(found.chunk)
+            whole = whole[tuple(map(slice, size))]
+        if whole is None or whole.shape != size:  # not stored, or only its beginning
+            block = np.full(size, found.fill, np.uint16)
+            if whole is not None:
+                block[tuple(map(slice, whole.shape))] = whole
+            whole = block
+        yield place_, found.canonical(whole)
+
+
+def chunks(spark: SparkSession, root: str, fmt: str, setups: list[int], level: int = 0, files_per_task: int | None = None, box: Box | None = None) -> DataFrame:
+    """Rows of ``model.CHUNK`` of all chunks of these setups; ``box`` leaves out the files that lie outside of it."""
+    from . import source
+
+    more = {"files_per_task": str(files_per_task)} if files_per_task else {}
+    more |= {c: f"{low}:{end}" for c, (low, end) in zip("zyx", box or ())}
+    return source.load(spark, root, fmt, setups=",".join(map(str, setups)), levels=str(level), **more)
+
+
+def fingerprints(spark: SparkSession, root: str, fmt: str, setups: list[int], level: int = 0) -> DataFrame:
+    """(setup, level, file, n_bytes, sha256) of every stored file of these setups; files that aren't there have no row."""
+    from . import source
+
+    return source.load(spark, root, fmt, setups=",".join(map(str, setups)), levels=str(level), rows="files")
 
 
 def to_voxels(rows: DataFrame, cameras: DataFrame | None = None) -> DataFrame:
@@ -228,22 +251,25 @@ def to_chunks(voxels: DataFrame, size: tuple[int, int, int], level: int = 0) ->
     return keyed.groupBy("setup", "cz", "cy", "cx").applyInPandas(one, CHUNK)
 
 
-def create(root: str, fmt: str, setup: int, shape: tuple[int, int, int], chunk: tuple[int, int, int] = (64, 128, 128), shard: tuple[int, int, int] = (256, 512, 512), level: int = 0) -> Layout:
-    """Writes an array's metadata; sizes are (z, y, x). Shards are used by zarr3, zarr3_zyx and zarr3_raw."""
+def metadata(fmt: str, shape: tuple[int, int, int], chunk: tuple[int, int, int] = (64, 128, 128), shard: tuple[int, int, int] = (256, 512, 512)) -> dict:
+    """An array's metadata; sizes are (z, y, x). Shards are used by zarr3, zarr3_zyx and zarr3_raw."""
     order = PLACES[fmt][1]
-    path = place(root, fmt, setup, level)
     named = lambda v: [int({"z": v[0], "y": v[1], "x": v[2]}.get(c, 1)) for c in order]
     shard = tuple(-(-s // c) * c for s, c in zip(shard, chunk))
     packing = [{"name": "bytes", "configuration": {"endian": "little"}}, {"name": "zstd", "configuration": {"level": 3}}]
     if fmt == "n5":
-        meta = {"dimensions": named(shape), "blockSize": named(chunk), "dataType": "uint16", "compression": {"type": "gzip"}}
-    elif fmt == "zarr2":
-        meta = {"zarr_format": 2, "shape": named(shape), "chunks": named(chunk), "dtype": ">u2", "fill_value": 0, "order": "C", "filters": None, "dimension_separator": "/", "compressor": {"id": "zstd", "level": 3}}
-    else:
-        sharded = fmt != "zarr3_unsharded"
-        inner = {"name": "sharding_indexed", "configuration": {"chunk_shape": named(chunk), "codecs": packing, "index_codecs": [packing[0], {"name": "crc32c"}], "index_location": "end"}}
-        meta = {"zarr_format": 3, "node_type": "array", "data_type": "uint16", "shape": named(shape), "fill_value": 0, "chunk_grid": {"name": "regular", "configuration": {"chunk_shape": named(shard if sharded else chunk)}},
-                "chunk_key_encoding": {"name": "default", "configuration": {"separator": "/"}}, "codecs": [inner] if sharded else packing, "dimension_names": list(order)}
+        return {"dimensions": named(shape), "blockSize": named(chunk), "dataType": "uint16", "compression": {"type": "gzip"}}
+    if fmt == "zarr2":
+        return {"zarr_format": 2, "shape": named(shape), "chunks": named(chunk), "dtype": ">u2", "fill_value": 0, "order": "C", "filters": None, "dimension_separator": "/", "compressor": {"id": "zstd", "level": 3}}
+    sharded = fmt != "zarr3_unsharded"
+    inner = {"name": "sharding_indexed", "configuration": {"chunk_shape": named(chunk), "codecs": packing, "index_codecs": [packing[0], {"name": "crc32c"}], "index_location": "end"}}
+    return {"zarr_format": 3, "node_type": "array", "data_type": "uint16", "shape": named(shape), "fill_value": 0, "chunk_grid": {"name": "regular", "configuration": {"chunk_shape": named(shard if sharded else chunk)}},
+            "chunk_key_encoding": {"name": "default", "configuration": {"separator": "/"}}, "codecs": [inner] if sharded else packing, "dimension_names": list(order)}
+
+
+def create(root: str, fmt: str, setup: int, shape: tuple[int, int, int], chunk: tuple[int, int, int] = (64, 128, 128), shard: tuple[int, int, int] = (256, 512, 512), level: int = 0) -> Layout:
+    """Writes an array's metadata; an array without files is zeros."""
+    path, meta = place(root, fmt, setup, level), metadata(fmt, shape, chunk, shard)
     write_json(f"{path}/{PLACES[fmt][0]}", meta)
     return layout_at(path, fmt, meta)
 
@@ -282,23 +308,20 @@ def encode(found: Layout, blocks: list[tuple[tuple[int, int, int], np.ndarray]],
 
 
 def write(rows: DataFrame, root: str, fmt: str, shapes: dict[int, tuple[int, int, int]], chunk=(64, 128, 128), shard=(256, 512, 512), level: int = 0) -> None:
-    """Writes chunk rows as one level of a store. Chunks may not cross the stored files' borders."""
+    """Writes chunk rows as one level of a store, which takes the place of what is there when all of it is written.
+
+    Chunks may not cross the stored files' borders. Chunks that are missing or zero aren't stored in shards.
+    """
+    from . import source
+
     for s in shapes:
         open_group(root, fmt, s)
-    layouts = {s: create(root, fmt, s, shape, chunk, shard, level) for s, shape in shapes.items()}
-    outer = next(iter(layouts.values())).zyx(next(iter(layouts.values())).shard or next(iter(layouts.values())).chunk)
+    shard = tuple(-(-s // c) * c for s, c in zip(shard, chunk))
+    outer = chunk if fmt in ("n5", "zarr2", "zarr3_unsharded") else shard
     keyed = rows.select("*", *(F.expr(f"cast({c}0 div {n} as int)").alias(f"f{c}") for c, n in zip("zyx", outer)))
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf.iloc[0]
-        found = layouts[int(r["setup"])]
-        blocks = [((p.z0, p.y0, p.x0), np.frombuffer(p.data, "<u2").reshape(p.dz, p.dy, p.dx)) for p in pdf.itertuples()]
-        number = found.own(int(r["fz"]), int(r["fy"]), int(r["fx"]), 0)
-        data = encode(found, blocks, number)
-        files.write(found.file(number), data)
-        return pd.DataFrame({"setup": [int(r["setup"])], "n_bytes": [len(data)]})
-
-    keyed.groupBy("setup", "fz", "fy", "fx").applyInPandas(one, "setup int, n_bytes long").agg(F.sum("n_bytes")).collect()
+    files_ = ["setup", "fz", "fy", "fx"]
+    dealt = keyed.repartition(*files_).sortWithinPartitions(*files_).drop("fz", "fy", "fx")
+    source.save(dealt, root, fmt, shapes, chunk, shard, level)
 
 
 def open_group(root: str, fmt: str, setup: int) -> None:
