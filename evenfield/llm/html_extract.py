@@ -83,45 +83,88 @@ def _attribute(pattern: re.Pattern, attrs: str) -> str:
     return " ".join(a or b or c for a, b, c in pattern.findall(attrs)).lower()
 
 
-@dataclass(frozen=True)
+class Place:
+    """A generalised path: an element's tag and classes below those of the ones around it."""
+
+    __slots__ = ("parent", "name", "depth", "agrees")
+
+    def __init__(self, parent: Place | None, name: str, sought: list[str]):
+        self.parent, self.name = parent, name
+        self.depth = parent.depth + 1 if parent else 0
+        #: Whether the path so far is the beginning of the sought one.
+        self.agrees = parent is None or (parent.agrees and self.depth <= len(sought) and sought[self.depth - 1] == name)
+
+    def __str__(self) -> str:
+        names, at = [], self
+        while at.parent:
+            names.append(at.name)
+            at = at.parent
+        return "".join(f">{n}" for n in reversed(names))
+
+
+class Holder:
+    """An open container: the one around it, and whether it or one around it is at the sought path."""
+
+    __slots__ = ("parent", "place", "number", "inside")
+
+    def __init__(self, parent: Holder | None, place: Place, number: int, sought: list[str]):
+        self.parent, self.place, self.number = parent, place, number
+        self.inside = (parent is not None and parent.inside) or (place.agrees and place.depth == len(sought) > 0)
+
+
+class Doubt:
+    """An open form or element with a doubtful name; its characters, and those in links, with what is in it."""
+
+    __slots__ = ("parent", "form", "chars", "in_links", "gone")
+
+    def __init__(self, parent: Doubt | None, form: bool):
+        self.parent, self.form, self.chars, self.in_links, self.gone = parent, form, 0, 0, False
+
+
+@dataclass(frozen=True, slots=True)
 class Block:
     text: str
     links: int  # characters in links
-    containers: list[tuple[str, int]]  # the open ones: (path, element number)
-    doubts: tuple[int, ...]  # numbers of the open forms and of open elements with a doubtful name, forms as -number
+    holder: Holder  # the innermost open container
+    doubt: Doubt | None  # the innermost open one
 
 
 @dataclass(frozen=True, slots=True)
 class Open:
     tag: str
-    path: str
+    place: Place
     dropped: bool
-    holds: bool
-    doubts: tuple[int, ...]
+    holder: Holder
+    doubt: Doubt | None
+    block: int  # where in the stack the nearest block is, itself included; 0 for none
+    in_article: bool
 
 
-def walk(page: str) -> Iterator[Block]:
-    """Raw blocks outside dropped elements."""
+def walk(page: str, sought: list[str], doubts: list[Doubt]) -> Iterator[Block]:
+    """Raw blocks outside dropped elements; ``doubts`` gets each doubted element, those around it first.
+
+    An open element costs a few small objects, whatever is around it, and an end tag that nothing is open for costs nothing.
+    """
     at, size = 0, len(page)
     match = TOKEN.match
-    stack = [Open("", "", False, False, ())]
+    root = Place(None, "", sought)
+    stack = [Open("", root, False, Holder(None, root, 0, sought), None, 0, False)]
     count, links, link_chars = 0, 0, 0
     pieces: list[str] = []
-    containers: list[tuple[str, int]] = [("", 0)]  # the page itself
+    is_open: dict[str, int] = {}  # how many elements of a tag are open
     ends: dict[str, int] = {}  # where the next end tag of a fallback element begins
 
     def block() -> Block:
         nonlocal pieces, link_chars
-        out = Block("".join(pieces), link_chars, containers, stack[-1].doubts)
+        out = Block("".join(pieces), link_chars, stack[-1].holder, stack[-1].doubt)
         pieces, link_chars = [], 0
         return out
 
     def close(k: int) -> None:
-        nonlocal links, containers
-        links -= sum(x.tag == "a" for x in stack[k:])
-        gone = sum(x.holds for x in stack[k:])
-        if gone:
-            containers = containers[:-gone]
+        nonlocal links
+        for x in stack[k:]:
+            is_open[x.tag] -= 1
+            links -= x.tag == "a"
         del stack[k:]
 
     while at < size:
@@ -147,10 +190,11 @@ def walk(page: str) -> Iterator[Block]:
         if tag in BLOCKS and pieces:
             yield block()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
+            if is_open.get(tag):
+                k = len(stack) - 1
+                while stack[k].tag != tag:  # all that is passed is closed
+                    k -= 1
+                close(k)
             continue
         if tag in RAW:
             end = _ENDS[tag].search(page, at)
@@ -166,9 +210,7 @@ def walk(page: str) -> Iterator[Block]:
         if tag in BLOCKS:
             ended = SAME_CLOSES.get(tag, _P)
             while True:  # a block ends an open paragraph, and an item the item before it, with what is open in them
-                k = len(stack) - 1
-                while k and stack[k].tag not in BLOCKS:
-                    k -= 1
+                k = stack[-1].block
                 if not k or stack[k].tag not in ended:
                     break
                 close(k)
@@ -176,82 +218,92 @@ def walk(page: str) -> Iterator[Block]:
         marked = tag
         top = stack[-1]
         dropped = top.dropped or tag in DROPPED
-        doubts = top.doubts
+        doubt = top.doubt
         count += 1
-        if tag == "form":
-            doubts = (*doubts, -count)
+        doubted = tag == "form"
         if attrs and attrs != "/":
             classes = _attribute(CLASS_ONLY, attrs)
             if classes:
-                marked = tag + "." + ".".join(sorted({re.sub(r"\d+", "", c) for c in classes.split()}))
+                marked = tag + "." + ".".join(sorted({re.sub(r"[\d>]+", "", c) for c in classes.split()}))
             if not dropped and tag in NAMED:
                 names = _attribute(CLASS, attrs).replace("_", "-").split()
                 dropped = any(map(is_boilerplate, names))
-                if any(is_boilerplate(n, DOUBTFUL) for n in names):
-                    doubts = (*doubts, count)
+                doubted = any(is_boilerplate(n, DOUBTFUL) for n in names)
             if not dropped and "hidden" in attrs.lower():
                 dropped = any(x[1] and x[1].lower() == "hidden" for x in ATTRIBUTE.finditer(attrs))
-        if tag == "header" and not any(x.tag in ("article", "main") for x in stack):
+        if doubted:
+            doubt = Doubt(doubt, tag == "form")
+            doubts.append(doubt)
+        if tag == "header" and not top.in_article:
             dropped = True
-        holds = tag in CONTAINERS
-        path = f"{top.path}>{marked}"
-        stack.append(Open(tag, path, dropped, holds, doubts))
-        if tag == "a":
-            links += 1
-        if holds:
-            containers = [*containers, (path, count)]
+        place = Place(top.place, marked, sought)
+        holder = Holder(top.holder, place, count, sought) if tag in CONTAINERS else top.holder
+        stack.append(Open(tag, place, dropped, holder, doubt, len(stack) if tag in BLOCKS else top.block, top.in_article or tag in ("article", "main")))
+        is_open[tag] = is_open.get(tag, 0) + 1
+        links += tag == "a"
     if pieces:
         yield block()
 
 
-def blocks(page: str) -> list[tuple[str, int, list[tuple[str, int]]]]:
-    """(text, link characters, containers) of each block that has text and stays.
+def blocks(page: str, path: str | None = None) -> list[tuple[str, int, Holder]]:
+    """(text, link characters, innermost container) of each block that has text and stays.
 
     A form goes unless most of the page's text is in it: pages made by servers often are one form. An element with a doubtful
     name goes if at least half of its text is links.
     """
-    found = []
-    held: dict[int, list[int]] = {}  # of each doubted element: characters, and those in links
-    total = 0
-    for b in walk(page):
+    found, doubts, total = [], [], 0
+    for b in walk(page, path.split(">")[1:] if path else [], doubts):
         text = " ".join((html_lib.unescape(b.text) if "&" in b.text else b.text).split())
         if text:
             found.append((text, b))
             total += len(text)
-            for d in b.doubts:
-                sums = held.setdefault(d, [0, 0])
-                sums[0] += len(text)
-                sums[1] += min(b.links, len(text))
-    gone = {d for d, (chars, in_links) in held.items() if (2 * chars <= total if d < 0 else 2 * in_links >= chars)}
-    return [(t, b.links, b.containers) for t, b in found if gone.isdisjoint(b.doubts)]
+            if b.doubt:
+                b.doubt.chars += len(text)
+                b.doubt.in_links += min(b.links, len(text))
+    for d in reversed(doubts):  # what is in an element counts for those around it
+        if d.parent:
+            d.parent.chars += d.chars
+            d.parent.in_links += d.in_links
+    for d in doubts:
+        d.gone = (d.parent is not None and d.parent.gone) or (d.chars > 0 and (2 * d.chars <= total if d.form else 2 * d.in_links >= d.chars))
+    return [(t, b.links, b.holder) for t, b in found if not (b.doubt and b.doubt.gone)]
 
 
 #: What a container's tag is worth.
 PRIOR = {"article": 3.0, "main": 2.0, "body": 0.5, "html": 0.1, "": 0.1}
 
 
-def best_container(found: list[tuple[str, int, list[tuple[str, int]]]]) -> tuple[str, int, float] | None:
-    """(path, element, score) of the container with most text of its own."""
-    scores: dict[tuple[str, int], float] = {}
-    for text, link_chars, containers in found:
+def best_container(found: list[tuple[str, int, Holder]]) -> tuple[Holder, float] | None:
+    """The container with most text of its own, and its score."""
+    scores: dict[int, float] = {}
+    holders: dict[int, Holder] = {}
+    for text, link_chars, holder in found:
         worth = max(0, len(text) - 2 * link_chars)
-        if worth and containers:
-            for part, holder in zip((1.0, 0.5), reversed(containers)):
-                scores[holder] = scores.get(holder, 0.0) + part * worth
+        for part, at in ((1.0, holder), (0.5, holder.parent)):
+            if worth and at:
+                scores[at.number] = scores.get(at.number, 0.0) + part * worth
+                holders[at.number] = at
     if not scores:
         return None
-    value = lambda x: x[1] * PRIOR.get(x[0][0].rpartition(">")[2].partition(".")[0], 1.0)
-    (path, number), _ = max(scores.items(), key=lambda x: (value(x), -x[0][1]))
-    return path, number, scores[path, number]
+    value = lambda n: scores[n] * PRIOR.get(holders[n].place.name.partition(".")[0], 1.0)
+    number = max(scores, key=lambda n: (value(n), -n))
+    return holders[number], scores[number]
 
 
 def main_text(page: str, path: str | None) -> str:
     """The text at ``path``, or in the page's own best container."""
-    found = blocks(page)
-    own = [t for t, _, containers in found if any(p == path for p, _ in containers)] if path else []
-    if not own:
-        best = best_container(found)
-        own = [t for t, _, containers in found if best and any(n == best[1] for _, n in containers)]
+    found = blocks(page, path)
+    own = [t for t, _, holder in found if holder.inside]
+    if not own and (best := best_container(found)):
+        within = {None: False}
+        for _, _, holder in found:  # whether the best container is around it; each container is looked at once
+            chain = []
+            while holder not in within:
+                chain.append(holder)
+                holder = holder.parent
+            for h in reversed(chain):
+                within[h] = h is best[0] or within[h.parent]
+        own = [t for t, _, holder in found if within[holder]]
     return "\n".join(own)
 
 
@@ -270,7 +322,8 @@ def votes(pages: DataFrame) -> DataFrame:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html")):
                 best = best_container(blocks(page.as_py() or ""))
                 if best:
-                    sums[host, best[0]] = sums.get((host, best[0]), 0.0) + math.log1p(best[2])
+                    path = str(best[0].place)
+                    sums[host, path] = sums.get((host, path), 0.0) + math.log1p(best[1])
             yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in sums], pa.string()), pa.array([p for _, p in sums], pa.string()), pa.array(sums.values(), pa.float64())], ["host", "path", "weight"])
 
     return map_batches(pages.select(host_of(F.col("url")).alias("host"), "html"), vote, "host string, path string, weight double")

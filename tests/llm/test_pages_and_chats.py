@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import time
+import tracemalloc
 
 import pytest
 
@@ -94,8 +96,6 @@ def test_made_pages_against_their_parts(spark):
 
 
 def test_long_pages_take_time_in_proportion():
-    import time
-
     began = time.time()
     for page in ("<p>" + "word " * 1_000_000, "<noscript>" * 100_000, "<div hidden x='" * 50_000, "<article>" + "<p>a<svg>" * 100_000):
         html_extract.main_text(page, None)
@@ -112,6 +112,22 @@ def test_deep_markup_ends(spark):
     assert html_extract.main_text(deep, None) == "core"
 
 
+@pytest.mark.parametrize("page", ["<div class=abcdefgh>" * 100_000, "<span>" * 100_000 + "</b>" * 100_000, "<span>" * 50_000 + "<p>x" * 50_000, "<form>a" * 50_000 + "<header>" * 50_000, "<div class=share>a <a>b</a>" * 50_000])
+def test_time_and_memory_go_with_the_length_of_a_page(page):
+    tracemalloc.start()
+    began = time.process_time()
+    html_extract.main_text(page + "core", None)
+    taken, (_, peak) = time.process_time() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 200e6 and taken < 40  # tracing costs several times the work itself
+
+
+def test_elements_within_doubted_ones_count_for_them():
+    links = "<a>" + "link " * 20 + "</a>"
+    page = f"<article><p>{'text ' * 50}</p><div class=share>in <div class=related>{links}</div></div><div class=share>{'words ' * 40}<div class=related>{links}</div></div></article>"
+    assert html_extract.main_text(page, None) == "\n".join([("text " * 50).strip(), ("words " * 40).strip()])
+
+
 BITS = ["</s>", "[INST] ", " [/INST]", "<s>", "\\", "[", "<", " ", "a", "\n", "/", "INST", "[INST", "/INST]", "é", "\\\\", "user", "s>", ""]
 
 
