@@ -9,12 +9,12 @@ goes through one shuffle by word, where its count is summed and comes back. Both
 Model: the ids of the lower-cased text in a public byte-level BPE vocabulary, and an end id. P(next) = P(class | context)
 P(id | class, id before). Ids are put into classes by their counts over all teaching documents: the most frequent ones alone,
 the others in classes of about equal mass. The class is predicted by the attention model of ``attention``. P(id | class, id before)
-comes from counts of pairs over all teaching documents, of which the ``pairs`` most frequent are kept, mixed with P(id | class);
+comes from counts of all pairs over all teaching documents, mixed with P(id | class);
 the id before counts by itself if it is one of ``before`` frequent ones, else as one of 16 ranges of rank.
 
 The attention model learns from every id and end of the teaching documents, in windows that don't overlap: pieces of
-``piece_windows`` windows are dealt to shards. One shard trains the model that all shards start from; each then trains a replica on
-its own pieces, and the replicas are averaged by what they saw. The number of shards grows with the corpus; replicas are summed on
+``piece_windows`` windows are dealt to shards. One shard trains the model that the others start from; each of these trains a replica on
+its own pieces, and the replicas are averaged by what they saw, so that every piece teaches once. The number of shards grows with the corpus; replicas are summed on
 the executors in ``sums`` parts, which is what the driver gets. Scoring runs windows that overlap by window - stride
 positions in masked batches; each id is scored once, with at least that much context.
 
@@ -51,7 +51,6 @@ class LmParams:
     classes: int = 256
     inputs: int = 4096
     before: int = 496
-    pairs: int = 2_000_000
     pair_prior: float = 4.0  # how many counts P(id | class) is worth beside those of pairs
     width: int = 24
     window: int = 24
@@ -213,14 +212,15 @@ class Pairs:
         """log10 P(id | class, id before)."""
         bucket, of = classes.before[before].astype(np.int64), classes.of[ids]
         share = 10.0 ** classes.share[ids]
-        wanted = bucket * len(classes.of) + ids
+        wanted = (bucket * len(classes.of) + ids).astype(np.int32)
         at = np.minimum(np.searchsorted(self.key, wanted), max(0, len(self.key) - 1))
         n = np.where(self.key[at] == wanted, self.n[at], 0) if len(self.key) else 0
         return np.log10((n + prior * share) / (self.total[bucket, of] + prior))
 
 
 def count_pairs(table: DataFrame, classes: Classes, params: LmParams) -> Pairs:
-    """The counts over all teaching documents; a text begins after the end id. At most ``pairs`` rows reach the driver."""
+    """The counts over all teaching documents; a text begins after the end id. Their number is bounded by buckets times ids
+    (26 million of 8 bytes), whatever the corpus, and all reach the driver."""
     size, single = params.size + 1, params.single
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,15 +233,13 @@ def count_pairs(table: DataFrame, classes: Classes, params: LmParams) -> Pairs:
             key, n = np.unique(np.concatenate(held) if held else np.empty(0, np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
 
-    rows = cut(map_batches(table.filter("kind = 0 and not held").select("ids"), count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
-    if rows.count() > params.pairs:
-        rows = rows.orderBy(F.desc("n"), "key").limit(params.pairs)
-    found = rows.toArrow()
+    rows = map_batches(table.filter("kind = 0 and not held").select("ids"), count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    found = rows.select(F.col("key").cast("int"), F.col("n").cast("float")).toArrow()
     key, n = found["key"].to_numpy(), found["n"].to_numpy()
+    del found
+    total = np.bincount(key // size * params.classes + classes.of[key % size], n, minlength=(params.before + 16) * params.classes)
     order = np.argsort(key)
-    total = np.zeros((params.before + 16, params.classes))
-    np.add.at(total, (key // size, classes.of[key % size]), n)
-    return Pairs(key[order], n[order], total)
+    return Pairs(key[order], n[order], total.reshape(-1, params.classes))
 
 
 def input_count(params: LmParams) -> int:
@@ -304,11 +302,11 @@ def piece_windows(pieces: list[bytes], classes: Classes, params: LmParams) -> tu
 
 
 def train_model(pieces: DataFrame, shards: int, classes: Classes, params: LmParams) -> dict[str, np.ndarray]:
-    """One shard's pieces train the model that every shard starts from; then each shard trains a replica on its pieces, and they are averaged."""
+    """One shard's pieces train the model that the others start from; each of these trains a replica on its pieces, and they are averaged."""
     model = attention.initial(input_count(params), params.classes, params.width, params.window)
     attention.start_from_shares(model, classes.mass)
     model = _average(pieces.filter("shard = 0").repartitionById(1, F.col("shard")), model, classes, params, 0)
-    return _average(pieces.repartitionById(shards, F.col("shard")), model, classes, params, 1)
+    return _average(pieces.filter("shard > 0").repartitionById(shards, F.col("shard")), model, classes, params, 1)
 
 
 def _average(chosen: DataFrame, model: dict[str, np.ndarray], classes: Classes, params: LmParams, number: int) -> dict[str, np.ndarray]:
