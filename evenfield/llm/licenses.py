@@ -7,8 +7,11 @@ place where the template stands. There the Jaccard index with it is above 0.19 w
 window counts if it holds at least ``percent`` of the template's shingles, exactly.
 
 A window's least hash can equal a template's only where both hold that shingle, so windows of a scale are built only
-around shingles of its templates; others cannot be retrieved, and nothing is lost. Templates are constants of this module,
-and so is the size of the tables that are broadcast.
+around shingles of its templates; others cannot be retrieved, and nothing is lost. Templates are those of this module or
+a table (license, body) of the user's own; what is broadcast is as large as they are.
+
+A text is cut into segments of at least SEGMENT words, each with the words that its last windows reach. The shingles of a segment
+are hashed once, and windows are slices of these, so work and memory go with the length of a text, however many hits it has.
 
 The result has a row per document and license found in it. Null and wordless texts have none, repeated rows of a doc_id
 count as one document, an empty table gives no rows, and extra columns don't matter.
@@ -16,13 +19,12 @@ count as one document, an empty table gives no rows, and extra columns don't mat
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import computed_once, read_table, whole_text
+from .common import computed_once, read_table, shuffle_partitions, whole_text
 
 # The wording of common license lines and notices.
 TEMPLATES = {
@@ -41,6 +43,10 @@ TEMPLATES = {
 }
 
 
+#: Words of a segment at least.
+SEGMENT = 1024
+
+
 @dataclass(frozen=True)
 class LicenseParams:
     words: int = 5
@@ -58,14 +64,15 @@ def shingle(words: Column, k: Column, n: int) -> Column:
     return F.xxhash64(*(F.get(words, k + i) for i in range(n)))
 
 
-def template_table(spark: SparkSession, params: LicenseParams, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def template_table(spark: SparkSession, params: LicenseParams, templates: dict[str, str] | DataFrame = TEMPLATES) -> DataFrame:
     """(license, parts, scale): each template's distinct shingles and the exponent of its scale; one too short for a shingle is refused."""
-    short = [k for k, body in templates.items() if len([w for w in re.split(r"[\W_]+", body) if w]) < params.words]
+    rows = templates.select("license", "body") if isinstance(templates, DataFrame) else spark.createDataFrame(sorted(templates.items()), "license string, body string")
+    rows = rows.withColumn("w", words_of(F.coalesce("body", F.lit(""))))
+    short = [r["license"] for r in rows.filter(F.size("w") < params.words).select("license").collect()]
     if short:
         raise ValueError(f"templates {short} have fewer than {params.words} words")
-    rows = spark.createDataFrame(sorted(templates.items()), "license string, body string").withColumn("w", words_of(F.col("body")))
     parts = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - params.words), lambda k: shingle(F.col("w"), k, params.words)))
-    rows = rows.filter(F.size("w") >= params.words).select("license", parts.alias("parts"))
+    rows = rows.select("license", parts.alias("parts"))
     return rows.withColumn("scale", F.ceil(F.log2(F.size("parts"))).cast("int"))
 
 
@@ -74,30 +81,39 @@ def band_values(parts: Column, bands: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.struct(b.alias("band"), F.array_min(F.transform(parts, lambda x: F.xxhash64(x, b))).alias("value")))
 
 
-def _step(scale: int, own: list[int], n: int) -> Column:
+def _step(scale: int, own: list[int]) -> Column:
     """The windows of a scale, and the hits that are shingles of its templates."""
-    near = F.filter("hits", lambda k: shingle(F.col("w"), k, n).isin(own))
+    near = F.filter("hits", lambda k: F.get(F.col("h"), k).isin(own))
     return F.struct(F.lit(scale).alias("scale"), F.lit(2 << scale).alias("size"), F.lit(max(1, (2 << scale) // 4)).alias("step"), near.alias("near"))
 
 
-def scan(docs: DataFrame, params: LicenseParams = LicenseParams(), templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def segments(docs: DataFrame, n: int, most: int) -> tuple[DataFrame, int]:
+    """(doc_id, base, h): the shingles of each segment of a text and of the ``most`` behind it, and a segment's length."""
+    length = max(SEGMENT, 1 << (most - 1).bit_length())  # a multiple of every scale's step
+    rows = computed_once(docs.select("doc_id", "text"), "w", words_of(whole_text()), "doc_id").filter(F.size("w") >= n)
+    cuts = F.transform(F.sequence(F.lit(0), F.expr(f"cast((size(w) - {n}) div {length} as int)")), lambda s: F.struct((s * length).alias("base"), F.slice(F.col("w"), s * length + 1, F.lit(length + most + n - 1)).alias("own")))
+    rows = rows.select("doc_id", F.explode(cuts).alias("s")).select("doc_id", "s.*")
+    return computed_once(rows, "h", F.transform(F.sequence(F.lit(0), F.size("own") - n), lambda k: shingle(F.col("own"), k, n)), "doc_id", "base"), length
+
+
+def scan(docs: DataFrame, params: LicenseParams = LicenseParams(), templates: dict[str, str] | DataFrame = TEMPLATES) -> DataFrame:
     """doc_id, license, containment, first_word, last_word, n_windows of each license in a document."""
     spark, n = docs.sparkSession, params.words
     table = template_table(spark, params, templates)
     known = table.collect()  # as many rows as templates
     vocabulary = sorted({x for r in known for x in r["parts"]})
     scales = sorted({r["scale"] for r in known})
-    rows = computed_once(docs.select("doc_id", "text"), "w", words_of(whole_text()), "doc_id")
-    at = F.filter(F.sequence(F.lit(0), F.size("w") - n), lambda k: shingle(F.col("w"), k, n).isin(vocabulary))
-    rows = computed_once(rows, "hits", F.when(F.size("w") >= n, at), "doc_id", "w").filter(F.size("hits") > 0)
-    # windows of each scale around the hits of its templates
+    rows, length = segments(docs, n, 2 << max(scales, default=0))
+    at = F.filter(F.sequence(F.lit(0), F.size("h") - 1), lambda k: F.get(F.col("h"), k).isin(vocabulary))
+    rows = computed_once(rows, "hits", at, "doc_id", "base", "h").filter(F.size("hits") > 0)
+    rows = rows.repartition(shuffle_partitions(spark), "doc_id", "base")  # few segments, but a text full of hits is many tasks' work
+    # windows of each scale around the hits of its templates; those that begin in the segment are its own
     own = {s: sorted({x for r in known if r["scale"] == s for x in r["parts"]}) for s in scales}
-    steps = F.array(*(_step(s, own[s], n) for s in scales))
-    rows = computed_once(rows, "s", F.filter(steps, lambda s: F.size(s["near"]) > 0), "doc_id", "w").select("doc_id", "w", F.explode("s").alias("s")).select("doc_id", "w", "s.*")
+    steps = F.array(*(_step(s, own[s]) for s in scales))
+    rows = rows.select("doc_id", "base", "h", F.explode(F.filter(steps, lambda s: F.size(s["near"]) > 0)).alias("s")).select("doc_id", "base", "h", "s.*")
     begins = "array_distinct(flatten(transform(near, p -> transform(sequence(greatest(0, p - size + step) div step, p div step), q -> cast(q * step as int)))))"
-    rows = rows.select("doc_id", "w", "scale", "size", F.explode(F.expr(begins)).alias("begin"))
-    count = F.least(F.col("size"), F.size("w") - n + 1 - F.col("begin"))
-    rows = computed_once(rows, "window", F.transform(F.sequence(F.lit(0), count - 1), lambda k: shingle(F.col("w"), F.col("begin") + k, n)), "doc_id", "scale", "begin")
+    windows = f"transform(filter({begins}, b -> b < {length}), b -> struct(base + b as begin, slice(h, b + 1, size) as window))"
+    rows = rows.select("doc_id", "scale", F.explode(F.expr(windows)).alias("x")).select("doc_id", "scale", "x.*")
     keys = table.select("license", "parts", F.col("scale").alias("t_scale"), F.explode(band_values(F.col("parts"), params.bands)).alias("t"))
     values = sorted({r["value"] for r in keys.select("t.value").distinct().collect()})  # templates x bands rows at most
     # bands that no template has are dropped before they become rows

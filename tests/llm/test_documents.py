@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -538,6 +539,30 @@ def test_license_scan_matches_brute_force(spark, corpus):
         licenses.scan(frame(spark, rows), templates={"short": "MIT License"})
 
 
+def test_license_scan_of_texts_full_of_licenses(spark):
+    """Work goes with the length of a text, and places across the borders of segments are found."""
+    line = licenses.TEMPLATES["apache-2.0-line"]
+    rng = random.Random(8)
+    rows = [(k, prose(rng, 1017 + k) + " " + licenses.TEMPLATES["mit-notice"]) for k in range(0, 40, 4)]
+    found = licenses.scan(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["license"], r["containment"]) for r in found) == [(k, "mit-notice", 1.0) for k, _ in rows]
+    tokens = lambda t: re.findall(r"[^\W_]+", t.lower())
+    assert all(r["first_word"] == len(tokens(rows[r["doc_id"] // 4][1])) - len(tokens(licenses.TEMPLATES["mit-notice"])) for r in found)
+    seconds = []
+    for size in (300_000, 1_200_000):
+        began = time.time()
+        (r,) = licenses.scan(frame(spark, [(1, f"{line}. " * (size // (len(line) + 2)))])).filter("license = 'apache-2.0-line'").collect()
+        seconds.append(time.time() - began)
+        assert r["containment"] == 1.0 and r["first_word"] == 0 and r["last_word"] == size // (len(line) + 2) * len(tokens(line)) - 1
+    assert seconds[1] < 8 * max(seconds[0], 3)
+
+
+def test_templates_from_a_table(spark):
+    table = spark.createDataFrame([("own", "use of this text is granted to all who read it", 1)], "license string, body string, more int")
+    found = licenses.scan(frame(spark, [(1, "Use of this text is granted to all who read it!"), (2, "no")]), templates=table).collect()
+    assert [(r["doc_id"], r["license"], r["containment"]) for r in found] == [(1, "own", 1.0)]
+
+
 # --------------------------------------------------------------------------- language model
 
 
