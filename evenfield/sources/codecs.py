@@ -92,3 +92,79 @@ def read_n5_block(data: bytes, compression: str) -> np.ndarray:
     shape = struct.unpack(f">{ndim}I", data[4 : 4 + 4 * ndim])
     at = 4 + 4 * ndim + (4 if mode == 1 else 0)
     return np.frombuffer(decompress(data[at:], compression), ">u2").reshape(shape, order="F")
+
+
+# TIFF's variable-length codes, most significant bit first, a bit longer one code before they would have to be.
+CLEAR, ENDED, FIRST_CODE, WIDEST = 256, 257, 258, 12
+
+
+def lzw_decode(data: bytes) -> bytes:
+    """Codes of TIFF's LZW. A loop over codes, as each may need the one before."""
+    table, out = [bytes([k]) for k in range(256)] + [b"", b""], []
+    held = bits = 0
+    width, before = 9, b""
+    for byte in data:
+        held, bits = (held << 8) | byte, bits + 8
+        if bits < width:
+            continue
+        bits -= width
+        code, held = held >> bits, held & ((1 << bits) - 1)
+        if code == ENDED:
+            break
+        if code == CLEAR:
+            del table[FIRST_CODE:]
+            width, before = 9, b""
+            continue
+        if code < len(table):
+            entry = table[code]
+        elif code == len(table) and before:
+            entry = before + before[:1]
+        else:
+            raise ValueError(f"code {code} isn't known yet")
+        out.append(entry)
+        if before:
+            table.append(before + entry[:1])
+        before = entry
+        width = min(WIDEST, (len(table) + 1).bit_length())
+    return b"".join(out)
+
+
+def lzw_encode(data: bytes) -> bytes:
+    out, held, bits = bytearray(), 0, 0
+    table: dict[bytes, int] = {}
+    width = 9
+
+    def put(code: int) -> None:
+        nonlocal held, bits
+        held, bits = (held << width) | code, bits + width
+        while bits >= 8:
+            bits -= 8
+            out.append(held >> bits)
+            held &= (1 << bits) - 1
+
+    def clear() -> None:
+        nonlocal table, width
+        put(CLEAR)
+        table, width = {bytes([k]): k for k in range(256)}, 9
+
+    clear()
+    own = b""
+    for k in range(len(data)):
+        longer = own + data[k : k + 1]
+        if longer in table:
+            own = longer
+            continue
+        put(table[own])
+        table[longer] = len(table) + 2
+        width = min(WIDEST, (len(table) + 3 - 1).bit_length())
+        if len(table) + 2 >= (1 << WIDEST) - 2:
+            clear()
+        own = data[k : k + 1]
+    if own:
+        put(table[own])
+        # the reader's table grows with this code too
+        width = min(WIDEST, (len(table) + 3).bit_length())
+    put(ENDED)
+    if bits:
+        out.append((held << (8 - bits)) & 255)
+    return bytes(out)

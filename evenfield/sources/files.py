@@ -41,6 +41,12 @@ def read(path: str | os.PathLike) -> bytes:
         return f.read()
 
 
+def opened(path: str | os.PathLike):
+    """A file to read and seek in, of which only what is read is fetched."""
+    found, inner = located(path)
+    return found.open_input_file(inner)
+
+
 def exists(path: str | os.PathLike) -> bool:
     found, inner = located(path)
     return found.get_file_info(inner).type != fs.FileType.NotFound

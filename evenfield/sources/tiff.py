@@ -1,10 +1,16 @@
-"""Planes and tiles as TIFF: float32 planes (fields, maps), and tiles as BigTIFF with OME metadata, plane by plane."""
+"""Planes and tiles as TIFF: float32 planes (fields, maps), and tiles as BigTIFF with OME metadata, plane by plane.
+
+A file is read by its index: ``segments`` reads directories alone, by byte ranges, and gives a row for each strip or tile of a page; these rows are
+dealt to tasks, which fetch and decode their own ranges. So a file may be larger than any task's memory, and one file is many tasks' work.
+Classic and BigTIFF of either byte order, one sample a pixel, strips or tiles, no compression, deflate, zstd or lzw, predictors 1 to 3.
+"""
 
 from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from html import escape
 from itertools import groupby
 from pathlib import Path
@@ -12,13 +18,16 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..model import CHUNK
+from ..session import shared_folder
 from . import files
-from .codecs import compress, decompress
+from .codecs import compress, decompress, lzw_decode, lzw_encode
 
 # TIFF's numbers for compressions and sample formats.
-COMPRESSION = {None: 1, "deflate": 8, "zstd": 50000}
+COMPRESSION = {None: 1, "lzw": 5, "deflate": 8, "zstd": 50000}
+DEFLATE_TOO = 32946
 SAMPLE = {"u": 1, "i": 2, "f": 3}
 # What a camera's fields are called in an exported folder.
 FIELDS = {"flat": "Flat-field", "dark": "Dark-field"}
@@ -41,7 +50,7 @@ def write(path: str | Path, planes: Iterable[np.ndarray], compression: str | Non
         link = 8  # where the place of the next page's directory is to be written
         for plane in planes:
             raw = np.ascontiguousarray(plane).astype(plane.dtype.newbyteorder("<")).tobytes()
-            data = zlib.compress(raw) if compression == "deflate" else compress(raw, compression)
+            data = zlib.compress(raw) if compression == "deflate" else lzw_encode(raw) if compression == "lzw" else compress(raw, compression)
             at = out.tell()
             out.write(data)
             tags = [(256, 4, plane.shape[1]), (257, 4, plane.shape[0]), (258, 3, 8 * plane.dtype.itemsize), (259, 3, COMPRESSION[compression]), (262, 3, 1), (273, 16, at), (277, 3, 1), (278, 4, plane.shape[0]), (279, 16, len(data)), (339, 3, SAMPLE[plane.dtype.kind])]
@@ -68,36 +77,142 @@ _SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 8: 2, 9: 4, 11: 4, 12: 8, 13: 4, 16
 _CODE = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q"}
 
 
+@dataclass(frozen=True)
+class Page:
+    """One directory: a plane's size and kind, and where its strips or tiles are."""
+
+    height: int
+    width: int
+    kind: str  # numpy's name, byte order included
+    compression: int
+    predictor: int
+    block: tuple[int, int]  # of a strip or tile as it is stored
+    tiled: bool
+    offsets: tuple[int, ...]
+    sizes: tuple[int, ...]
+
+    def place(self, k: int) -> tuple[int, int, int, int]:
+        """(y0, x0, height, width) of strip or tile k within the plane."""
+        across = -(-self.width // self.block[1])
+        y, x = k // across * self.block[0], k % across * self.block[1]
+        return y, x, min(self.block[0], self.height - y), min(self.block[1], self.width - x)
+
+
+def directories(path: str | Path) -> tuple[list[Page], str | None]:
+    """(pages, description): only directories are read, not the planes."""
+    pages, description = [], None
+    with files.opened(path) as f:
+
+        def piece(at: int, n: int) -> bytes:
+            f.seek(at)
+            return f.read(n)
+
+        head = piece(0, 16)
+        if head[:2] not in (b"II", b"MM"):
+            raise ValueError(f"{path} is no TIFF")
+        end = {b"II": "<", b"MM": ">"}[head[:2]]
+        big = struct.unpack(end + "H", head[2:4])[0] == 43
+        word, step, room = ("Q", 20, 8) if big else ("I", 12, 4)
+        at = struct.unpack(end + word, head[8:16] if big else head[4:8])[0]
+        while at:
+            first = 8 if big else 2
+            n = struct.unpack(end + ("Q" if big else "H"), piece(at, first))[0]
+            body = piece(at + first, n * step + room)
+            tags = {}
+            for k in range(n):
+                tag, kind, count = struct.unpack_from(end + ("HHQ" if big else "HHI"), body, k * step)
+                held = body[k * step + step - room : (k + 1) * step]
+                if _SIZE.get(kind, 1) * count > room:
+                    held = piece(struct.unpack(end + word, held)[0], _SIZE.get(kind, 1) * count)
+                tags[tag] = held[:count].rstrip(b"\0").decode(errors="replace") if kind == 2 else struct.unpack_from(f"{end}{count}{_CODE.get(kind, 'B')}", held)
+            at = struct.unpack_from(end + word, body, n * step)[0]
+            one = lambda tag, default, tags=tags: tags.get(tag, (default,))[0]
+            if one(277, 1) != 1:
+                raise ValueError(f"{path}: {one(277, 1)} samples a pixel aren't supported")
+            if one(259, 1) not in (*COMPRESSION.values(), DEFLATE_TOO):
+                raise ValueError(f"{path}: compression {one(259, 1)} isn't known")
+            tiled, height, width = 322 in tags, one(257, 0), one(256, 0)
+            block = (one(323, 0), one(322, 0)) if tiled else (min(one(278, height), height), width)
+            kind = f"{end}{ {1: 'u', 2: 'i', 3: 'f'}[one(339, 1)]}{one(258, 8) // 8}"
+            pages.append(Page(height, width, kind, one(259, 1), one(317, 1), block, tiled, tags[324 if tiled else 273], tags[325 if tiled else 279]))
+            description = description or tags.get(270)
+    return pages, description
+
+
+def decoded(data: bytes, kind: str, compression: int, predictor: int, block: tuple[int, int], size: tuple[int, int], tiled: bool) -> np.ndarray:
+    """The plane's part that one strip or tile holds."""
+    if compression != 1:
+        data = lzw_decode(data) if compression == 5 else decompress(data, "zstd") if compression == 50000 else zlib.decompress(data)
+    rows, across = (block if tiled else (size[0], block[1]))  # the last strip is shorter, tiles are whole
+    found = np.dtype(kind)
+    if predictor == 3:  # differences of bytes, most significant ones first
+        steps = np.frombuffer(data, np.uint8)[: rows * across * found.itemsize].reshape(rows, -1)
+        spread = np.cumsum(steps, axis=1, dtype=np.uint8).reshape(rows, found.itemsize, across)
+        values = np.ascontiguousarray(spread.transpose(0, 2, 1)).view(found.newbyteorder(">")).reshape(rows, across)
+    else:
+        values = np.frombuffer(data, found)[: rows * across].reshape(rows, across)
+        if predictor == 2:
+            values = np.cumsum(values, axis=1, dtype=found.newbyteorder("="))
+    return values[: size[0], : size[1]]
+
+
 def read(path: str | Path) -> tuple[list[np.ndarray], str | None]:
-    """(planes, description) of a TIFF or BigTIFF with one sample a pixel, in strips; deflate, zstd or no compression."""
-    data = files.read(path)
-    end = {b"II": "<", b"MM": ">"}[data[:2]]
-    big = struct.unpack(end + "H", data[2:4])[0] == 43
-    at = struct.unpack(end + ("Q" if big else "I"), data[8:16] if big else data[4:8])[0]
-    planes, description = [], None
-    while at:
-        n = struct.unpack_from(end + ("Q" if big else "H"), data, at)[0]
-        at += 8 if big else 2
-        tags = {}
-        for _ in range(n):
-            tag, kind, count = struct.unpack_from(end + ("HHQ" if big else "HHI"), data, at)
-            where, room = at + (12 if big else 8), 8 if big else 4
-            if _SIZE.get(kind, 1) * count > room:
-                where = struct.unpack_from(end + ("Q" if big else "I"), data, where)[0]
-            tags[tag] = data[where : where + count].rstrip(b"\0").decode(errors="replace") if kind == 2 else struct.unpack_from(f"{end}{count}{_CODE.get(kind, 'B')}", data, where)
-            at += 20 if big else 12
-        at = struct.unpack_from(end + ("Q" if big else "I"), data, at)[0]
-        kind = {1: "u", 2: "i", 3: "f"}[tags.get(339, (1,))[0]]
-        name = {v: k for k, v in COMPRESSION.items()}.get(tags.get(259, (1,))[0], "other")
-        if name == "other" and tags[259][0] != 32946:
-            raise ValueError(f"{path}: compression {tags[259][0]} isn't known")
-        strips = [data[a : a + b] for a, b in zip(tags[273], tags[279])]
-        raw = b"".join(s if name is None else decompress(s, "zstd") if name == "zstd" else zlib.decompress(s) for s in strips)
-        planes.append(np.frombuffer(raw, f"{end}{kind}{tags[258][0] // 8}").reshape(tags[257][0], tags[256][0]))
-        description = description or tags.get(270)
+    """(planes, description) of a file that fits into memory."""
+    pages, description = directories(path)
+    planes = []
+    with files.opened(path) as f:
+        for p in pages:
+            plane = np.zeros((p.height, p.width), p.kind)
+            for k, (at, n) in enumerate(zip(p.offsets, p.sizes)):
+                y, x, h, w = p.place(k)
+                f.seek(at)
+                plane[y : y + h, x : x + w] = decoded(f.read(n), p.kind, p.compression, p.predictor, p.block, (h, w), p.tiled)
+            planes.append(plane)
     return planes, description
 
 
+SEGMENT = "id int, path string, page int, offset long, n_bytes long, y0 int, x0 int, h int, w int, ny int, nx int, kind string, compression int, predictor int, bh int, bw int, tiled boolean"
+#: Bytes of strips or tiles that a task reads, about.
+TASK_BYTES = 1 << 25
+
+
+def segments(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
+    """The index of some files, by an id of each: a row for each strip or tile, from directories alone; a task per file."""
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in SEGMENT.split(", ")]
+        for batch in batches:
+            for own, path in zip(batch.column("id").to_pylist(), batch.column("path").to_pylist()):
+                for number, p in enumerate(directories(path)[0]):
+                    rows = [(own, path, number, at, n, *p.place(k), p.height, p.width, p.kind, p.compression, p.predictor, *p.block, p.tiled) for k, (at, n) in enumerate(zip(p.offsets, p.sizes))]
+                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema)
+
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in SEGMENT.split(", ")])
+    return spark.createDataFrame(list(paths.items()), "id int, path string").repartition(max(1, len(paths)), "id").mapInArrow(index, SEGMENT)
+
+
+def _spread(spark: SparkSession, paths: dict[int, str], make, schema: str) -> DataFrame:
+    """``make`` (segment, its part of the plane) of every segment, in tasks of about TASK_BYTES whatever file they lie in."""
+    rows = segments(spark, paths)
+    folder = shared_folder(spark, "segments")
+    rows.write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    total = rows.agg(F.sum("n_bytes")).first()[0] or 0
+    rows = rows.repartition(max(1, -(-total // TASK_BYTES)), "path", "page", "offset").sortWithinPartitions("path", "offset")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, f = None, None
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["path"] != at:
+                    at, f = r["path"], files.opened(r["path"])
+                f.seek(r["offset"])
+                yield make(r, decoded(f.read(r["n_bytes"]), r["kind"], r["compression"], r["predictor"], (r["bh"], r["bw"]), (r["h"], r["w"]), r["tiled"]))
+
+    return rows.mapInArrow(work, schema)
+
+
 def write_plane(path: str | Path, plane: np.ndarray) -> None:
     write(path, [np.asarray(plane, np.float32)])
 
@@ -140,17 +255,13 @@ def write_tiles(planes: DataFrame, root: str, sizes: dict[int, tuple[int, int, i
 
 
 def tile_planes(spark: SparkSession, root: str, setups: list[int]) -> DataFrame:
-    """Rows of ``model.CHUNK``, a plane each, of the tiles that ``write_tiles`` wrote; a task per file."""
+    """Rows of ``model.CHUNK``, one for each strip or tile of a plane, of the tiles that ``write_tiles`` wrote."""
 
-    def planes(batches):
-        for batch in batches:
-            for setup in batch.column("setup").to_pylist():
-                for z, plane in enumerate(read(tile_path(root, setup))[0]):
-                    values = [setup, 0, z, 0, 0, 1, *plane.shape]
-                    yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.int32()) for v in values), pa.array([plane.astype("<u2").tobytes()], pa.binary())], ["setup", "level", "z0", "y0", "x0", "dz", "dy", "dx", "data"])
+    def chunk(r: dict, part: np.ndarray) -> pa.RecordBatch:
+        values = [r["id"], 0, r["page"], r["y0"], r["x0"], 1, *part.shape]
+        return pa.RecordBatch.from_arrays([*(pa.array([v], pa.int32()) for v in values), pa.array([np.ascontiguousarray(part).astype("<u2").tobytes()], pa.binary())], ["setup", "level", "z0", "y0", "x0", "dz", "dy", "dx", "data"])
 
-    work = spark.createDataFrame([(s,) for s in setups], "setup int").repartition(len(setups), "setup")
-    return work.mapInArrow(planes, CHUNK)
+    return _spread(spark, {s: tile_path(root, s) for s in setups}, chunk, CHUNK)
 
 
 def camera_planes(spark: SparkSession, paths: dict[int, str], value: str, frame: tuple[int, int] | None = None) -> DataFrame:
@@ -159,17 +270,17 @@ def camera_planes(spark: SparkSession, paths: dict[int, str], value: str, frame:
     Given the frame, planes stored the other way round are turned, and any other size is refused.
     """
 
-    def spread(batches):
-        for batch in batches:
-            for camera, path in zip(batch.column("camera").to_pylist(), batch.column("path").to_pylist()):
-                for k, found in enumerate(read(path)[0]):
-                    plane = oriented(found, frame, path)
-                    y, x = np.indices(plane.shape, np.int32).reshape(2, -1)
-                    numbers = (np.full(y.size, n, np.int32) for n in (camera, k))
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in (*numbers, y, x)), pa.array(plane.ravel())], ["camera", "plane", "y", "x", value])
-
-    work = spark.createDataFrame(list(paths.items()), "camera int, path string").repartition(len(paths), "camera")
-    return work.mapInArrow(spread, f"camera int, plane int, y int, x int, {value} float")
+    def pixels(r: dict, part: np.ndarray) -> pa.RecordBatch:
+        y, x = np.indices(part.shape, np.int32).reshape(2, -1)
+        y, x = y + np.int32(r["y0"]), x + np.int32(r["x0"])
+        if frame and (r["ny"], r["nx"]) != frame:
+            if (r["nx"], r["ny"]) != frame:
+                raise ValueError(f"{r['path']} is {(r['ny'], r['nx'])}, not {frame}")
+            y, x = x, y
+        numbers = (np.full(y.size, n, np.int32) for n in (r["id"], r["page"]))
+        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in (*numbers, y, x)), pa.array(part.astype(np.float32).ravel())], ["camera", "plane", "y", "x", value])
+
+    return _spread(spark, paths, pixels, f"camera int, plane int, y int, x int, {value} float")
 
 
 def fields(spark: SparkSession, folder: str, cameras: int, frame: tuple[int, int] | None = None) -> DataFrame:

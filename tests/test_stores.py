@@ -2,6 +2,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from evenfield.sources import codecs, files, stores, tiff
 
@@ -91,7 +92,7 @@ def test_a_damaged_shard_index_is_refused():
         codecs.unpack_shard(bytes(data), 2)
 
 
-@pytest.mark.parametrize("compression", [None, "deflate", "zstd"])
+@pytest.mark.parametrize("compression", [None, "deflate", "zstd", "lzw"])
 def test_tiff_round_trip(tmp_path, compression):
     planes = list(volume())
     assert tiff.write_tile(tmp_path / "t.tif", planes, (Z, Y, X), (0.4, 0.2, 0.1), compression) == Z
@@ -100,6 +101,83 @@ def test_tiff_round_trip(tmp_path, compression):
     assert 'PhysicalSizeZ="0.4"' in text and 'SizeX="23"' in text
 
 
+def foreign_tiff(path, planes, end=">", tile=None, rows=None, predictor=1, compression=1, big=False):
+    """A TIFF as other programs write it: tiles or strips of some rows, a predictor, either byte order."""
+    import struct
+    import zlib
+
+    out, kind = bytearray(), planes[0].dtype
+    word, room = ("Q", 8) if big else ("I", 4)
+    out += {"<": b"II", ">": b"MM"}[end] + (struct.pack(end + "HHHQ", 43, 8, 0, 0) if big else struct.pack(end + "HI", 42, 0))
+    link = len(out) - room
+    for plane in planes:
+        ny, nx = plane.shape
+        bh, bw = tile or (rows or ny, nx)
+        offsets, sizes = [], []
+        for y in range(0, ny, bh):
+            for x in range(0, nx, bw):
+                part = plane[y : y + bh, x : x + bw]
+                if tile:
+                    part = np.pad(part, ((0, bh - part.shape[0]), (0, bw - part.shape[1])))
+                if predictor == 2:
+                    part = np.diff(part, axis=1, prepend=np.zeros((len(part), 1), kind))
+                raw = part.astype(kind.newbyteorder(end)).tobytes()
+                if predictor == 3:
+                    spread = np.frombuffer(part.astype(kind.newbyteorder(">")).tobytes(), np.uint8).reshape(len(part), -1, kind.itemsize).transpose(0, 2, 1).reshape(len(part), -1)
+                    raw = np.diff(spread, axis=1, prepend=np.zeros((len(part), 1), np.uint8)).tobytes()
+                raw = {1: bytes, 5: codecs.lzw_encode, 8: zlib.compress}[compression](raw)
+                offsets.append(len(out))
+                sizes.append(len(raw))
+                out += raw
+        lists = {}
+        for tag, values in ((324 if tile else 273, offsets), (325 if tile else 279, sizes)):
+            lists[tag] = (4, values)
+        tags = {256: (4, [nx]), 257: (4, [ny]), 258: (3, [8 * kind.itemsize]), 259: (3, [compression]), 262: (3, [1]), 317: (3, [predictor]), 339: (3, [{"u": 1, "f": 3}[kind.kind]])} | lists
+        tags |= {322: (4, [bw]), 323: (4, [bh])} if tile else {278: (4, [bh])}
+        entries = b""
+        for tag in sorted(tags):
+            code, values = tags[tag]
+            packed = struct.pack(f"{end}{len(values)}{'I' if code == 4 else 'H'}", *values)
+            if len(packed) > room:
+                at, packed = len(out), (out := out + packed) and struct.pack(end + word, len(out) - len(packed))
+            entries += struct.pack(end + ("HHQ" if big else "HHI"), tag, code, len(values)) + packed.ljust(room, b"\0")
+        struct.pack_into(end + word, out, link, len(out))
+        out += struct.pack(end + ("Q" if big else "H"), len(tags)) + entries
+        link = len(out)
+        out += bytes(room)
+    path.write_bytes(out)
+
+
+@pytest.mark.parametrize("end", ["<", ">"])
+@pytest.mark.parametrize("options", [{"rows": 4}, {"tile": (16, 16)}, {"tile": (16, 16), "predictor": 2, "compression": 5}, {"rows": 3, "predictor": 2, "compression": 8, "big": True}, {"tile": (16, 32), "predictor": 3, "compression": 8}])
+def test_tiffs_of_others(tmp_path, end, options):
+    planes = [(v / 7).astype(np.float32) if options.get("predictor") == 3 else v for v in volume()[:3]]
+    foreign_tiff(tmp_path / "f.tif", planes, end, **options)
+    found, _ = tiff.read(tmp_path / "f.tif")
+    assert len(found) == 3 and all((a == b).all() for a, b in zip(found, planes))
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Strips go to tasks by their bytes; a task sees its own ranges, and the driver and the index no plane."""
+    monkeypatch.setattr(tiff, "TASK_BYTES", 4000)
+    foreign_tiff(tmp_path / "s3-t0.ome.tif", list(volume()), rows=5)
+    rows = tiff.tile_planes(spark, str(tmp_path), [3])
+    assert rows.rdd.getNumPartitions() == 4 and rows.count() == 20 * 4
+    found = stores.to_voxels(rows).select("z", "y", "x", "v").toPandas()
+    assert (volume()[found["z"], found["y"], found["x"]] == found["v"]).all() and len(found) == Z * Y * X
+    index = tiff.segments(spark, {3: str(tmp_path / "s3-t0.ome.tif")})
+    assert index.agg(F.sum("n_bytes")).first()[0] == 2 * Z * Y * X
+
+
+def test_a_plane_in_tiles_is_turned_to_the_frame(spark, tmp_path):
+    plane = np.arange(20 * 37, dtype=np.float32).reshape(20, 37)
+    foreign_tiff(tmp_path / "p.tif", [plane.T], tile=(16, 16))
+    rows = tiff.camera_planes(spark, {0: str(tmp_path / "p.tif")}, "v", (20, 37)).toPandas()
+    assert (plane[rows["y"], rows["x"]] == rows["v"]).all() and len(rows) == plane.size
+    with pytest.raises(Exception, match="not"):
+        tiff.camera_planes(spark, {0: str(tmp_path / "p.tif")}, "v", (20, 36)).collect()
+
+
 def test_planes_are_turned_to_the_frame(tmp_path):
     plane = np.arange(12, dtype=np.float32).reshape(3, 4)
     tiff.write_plane(tmp_path / "p.tif", plane.T)
