@@ -30,4 +30,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_jaccard_join": jaccard_join.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL} | base_columns.SQL
+    return {"op8_jaccard_join": jaccard_join.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL, "op13_conversation_repair": base_columns.REPAIRS} | base_columns.SQL

@@ -7,17 +7,21 @@ import duckdb
 import pytest
 
 from evenfield.llm import base_columns
+from evenfield.llm.conversation_repair import op13_conversation_repair
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="the test tables aren't here")
 
 
-@pytest.mark.parametrize("query", base_columns.QUERIES, ids=lambda q: q.__name__)
+SQL = base_columns.SQL | {"op13_conversation_repair": base_columns.REPAIRS}
+
+
+@pytest.mark.parametrize("query", [*base_columns.QUERIES, op13_conversation_repair], ids=lambda q: q.__name__)
 def test_base_columns_equal_their_sql(spark, query):
     con = duckdb.connect()
     for f in glob.glob(f"{DATA}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
-    found, expected = query(spark, DATA).toPandas(), con.execute(base_columns.SQL[query.__name__]).fetchdf()
+    found, expected = query(spark, DATA).toPandas(), con.execute(SQL[query.__name__]).fetchdf()
     columns = sorted(found.columns)
     assert columns == sorted(expected.columns)
     told = lambda frame: sorted(tuple(format(x, ".9g") if isinstance(x, float) else str(x) for x in row) for row in frame[columns].itertuples(index=False))
