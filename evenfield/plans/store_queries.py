@@ -93,20 +93,24 @@ def store_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(every.select("format", "setup", "level", "fz", "fy", "fx"), ["format", "setup", "level"])
 
 
-_AXES = ", ".join(f"({k}, '{c}', {float(f)}, {max(f / 2 - 0.5, 0.0)})" for k, three in enumerate(STEPS) for c, f in zip("zyx", three))
+_AXES = " UNION ALL ".join(f"SELECT format, setup, level, '{c}' AS axis, f{c} AS f FROM g" for c in "zyx")
 
 
-@query(f"WITH f(format) AS (VALUES {FORMATS}), s(level, axis, scale, shift) AS (VALUES {_AXES}) SELECT format, CAST(level AS INT) AS level, axis, CAST(scale AS DOUBLE) AS scale, CASE WHEN format <> 'n5' THEN CAST(shift AS DOUBLE) END AS translation FROM f, s")
+@query(f"""{BASE}, s AS ({_LEVELS}), f(format) AS (VALUES {FORMATS}),
+  g AS (SELECT format, s.setup, s.level, {', '.join(f'greatest(round_even(o.n{c} / s.n{c}, 0), 1) AS f{c}' for c in 'zyx')} FROM f, s JOIN s o ON o.setup = s.setup AND o.level = 0), a AS ({_AXES})
+SELECT format, setup, level, axis, CAST(f AS DOUBLE) AS scale, CASE WHEN format <> 'n5' THEN CAST(greatest(f / 2 - 0.5, 0) AS DOUBLE) END AS translation FROM a""")
 def group_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scales and translations of each level, as a group's metadata holds them."""
-    rows = []
+    """Scales and translations of each setup's levels, as the groups' metadata hold them; factors follow from the tiles' sizes."""
+    sizes, rows = _sizes(embedding_voxels(spark, sf_dir)), []
     for fmt in stores.FORMATS:
         root = shared_folder(spark, "group")
-        stores.open_group(root, fmt, 0)
-        stores.write_group(root, fmt, 0, list(STEPS))
-        for k, (scale, shift) in enumerate(stores.group_scales(root, fmt, 0)):
-            rows += [(fmt, k, c, scale[i], None if shift is None else shift[i]) for i, c in enumerate("zyx")]
-    return spark.createDataFrame(rows, "format string, level int, axis string, scale double, translation double")
+        for setup, size in sizes.items():
+            shapes = [tuple(-(-n // f) for n, f in zip(size, three)) for three in STEPS]
+            stores.open_group(root, fmt, setup)
+            stores.write_group(root, fmt, setup, [tuple(max(round(a / b), 1) for a, b in zip(size, shape)) for shape in shapes])
+            for k, (scale, shift) in enumerate(stores.group_scales(root, fmt, setup)):
+                rows += [(fmt, setup, k, c, scale[i], None if shift is None else shift[i]) for i, c in enumerate("zyx")]
+    return spark.createDataFrame(rows, "format string, setup int, level int, axis string, scale double, translation double")
 
 
 @query(f"{BASE} SELECT * FROM voxel")
