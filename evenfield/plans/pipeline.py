@@ -22,6 +22,8 @@ from . import flatfield
 from .tables import Tables
 
 EMPTY_NAME = "Empty-fraction"
+# Fixed value: where older result folders have a camera's empty part.
+OLD_EMPTY = "basic_empty_fraction_camera{camera}.tif"
 PIPELINES = {
     "basic": ("emptiness", "stats", "qstack", "basic", "correct"),
     "intensity": ("emptiness", "int-stats", "int-aggregate", "correct"),
@@ -244,6 +246,10 @@ class Run:
         """The empty part of each pixel, resized from the frame it was measured in to that of the planes."""
         frame = lambda rows: tuple(rows.agg(F.max("y") + 1, F.max("x") + 1).first())
         own, wanted = frame(pixels), frame(planes)
+        if (own[0] > own[1]) != (wanted[0] > wanted[1]):  # its sizes are a level's, so only the aspect can tell
+            warnings.warn(f"the empty part's frame {own} lies across the planes' {wanted} and is turned", stacklevel=3)
+            turned = {"y": "x", "x": "y"}
+            pixels, own = pixels.select(*(F.col(c).alias(turned.get(c, c)) for c in pixels.columns)), own[::-1]
         return pixels if own == wanted else levels.resize(pixels.select("camera", "y", "x", "phi"), own, wanted, "phi")
 
     def basic(self) -> None:
@@ -448,6 +454,9 @@ class Run:
 
         def paths(name: str) -> dict[int, str] | None:
             found = {c: f"{folder}/camera{c + 1}/{name}.tif" for c in cameras}
+            if name == EMPTY_NAME:
+                old = {c: f"{folder}/{OLD_EMPTY.format(camera=c + 1)}" for c in cameras}
+                found = {c: old[c] if not files.exists(found[c]) and files.exists(old[c]) else found[c] for c in cameras}
             there = [c for c in cameras if files.exists(found[c])]
             if there and len(there) < len(found):
                 raise RuntimeError(f"{folder} has {name}.tif of cameras {there} only")

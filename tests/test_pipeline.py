@@ -293,3 +293,18 @@ def test_emptiness_that_fails_is_told_only(spark, tmp_path, monkeypatch):
     settings = config.Settings(results_root=str(tmp_path), setup_ids=((0, 1), (2, 3)), stats_scale=0)
     with pytest.warns(UserWarning, match="emptiness failed"):
         assert pipeline.run(spark, settings, "basic", stop_after="stats", voxels=lambda: voxels(spark)) == ["emptiness", "stats"]
+
+
+def test_an_empty_part_from_its_old_place_is_turned_to_the_planes(spark, tmp_path):
+    from evenfield.sources import tiff
+
+    y, x = np.indices((6, 9))
+    phi = (y / 20 + x / 40).astype(np.float32)
+    for camera in (1, 2):
+        tiff.write_plane(tmp_path / f"basic_empty_fraction_camera{camera}.tif", phi.T)
+    now = pipeline.Run(spark, config.Settings(results_root=str(tmp_path / "out"), setup_ids=((0, 1), (2, 3))), voxels=lambda: voxels(spark))
+    assert now.take(str(tmp_path)) == ["empty_pixels"]
+    planes = spark.createDataFrame([(c, 5, 8) for c in (0, 1)], "camera int, y int, x int")
+    with pytest.warns(UserWarning, match="turned"):
+        found = now._in_frame(now.read("empty_pixels"), planes).toPandas()
+    assert len(found) == 2 * phi.size and np.allclose(found["phi"], phi[found["y"], found["x"]])
