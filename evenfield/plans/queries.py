@@ -225,8 +225,8 @@ class View:
         return tuple(geometry.pixel_ranges(found, self.sizes(), side) for side in "ab")
 
     def constraints(self) -> DataFrame:
-        """From pairs of chunks."""
-        return self._kept("constraints", lambda: pairs.constraints(pairs.gated(_pair_chunks(self).found(), GATE, FRACTION)))
+        floors = pairs.floors(self.thresholds())
+        return self._kept("constraints", lambda: pairs.constraints(pairs.gated(pairs.intersection(self.voxels(), *self.ranges(), floors), GATE, FRACTION)))
 
     def classified(self) -> DataFrame:
         empty = emptiness.by_tile(emptiness.columns(self.voxels(), thresholds.pooled(self.voxels(), EMPTY_AT), EMPTY_PART))
