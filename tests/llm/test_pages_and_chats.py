@@ -46,7 +46,7 @@ def test_null_empty_cut_and_repeated_pages(spark, most):
     assert html_extract.extract(pages(spark, rows).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["ad", "ad-slot", "post-comments", "cookie-notice"])
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "ad-x71", "post-comments", "cookie-notice", "newsletter-signup", "comment-body", "sponsored-post"])
 def test_names_of_boilerplate(name):
     assert html_extract.is_boilerplate(name)
 
@@ -65,6 +65,15 @@ def test_names_of_boilerplate(name):
         ('<article><p>Body of the text.</p><div class="related"><ul><li><a href=1>One more</a><li><a href=2>Another</a></ul></div></article>', "Body of the text."),
         ("<article><p>By <math><mi>x</mi><mo>=</mo><mn>2</mn></math> so.</p><menu><li>An item</menu><p><label>Lab</label></p></article>", "By x=2 so.\nAn item\nLab"),
         ('<article><p>Text.</p><div class="comments"><p>First!</p></div></article>', "Text."),
+        ('<article><p>Text.</p><div class="banner-image"><p>A caption.</p></div></article>', "Text.\nA caption."),
+        ('<article><p>Text.</p><section id="comment-on-the-law"><p>A thought.</p></section></article>', "Text.\nA thought."),
+        ('<article><p>Text.</p><section class="ads-analysis"><p>On adverts.</p></section></article>', "Text.\nOn adverts."),
+        ('<article><p>Text.</p><table class="menu"><tr><td>Soup<td>4</table></article>', "Text.\nSoup\n4"),
+        ('<div class="menu"><p>Soup</p></div><article><p>Text.</p><table class="menu"><tr><td><a>One</a><td><a>Two</a></table></article>', "Text."),
+        ('<div class="header"><p>Site</p></div><article><div class="header"><h1>Head</h1></div><p>Text.</p></article>', "Head\nText."),
+        ("<article><p>Press <button>OK</button> now.</p><p>&nbsp;<button>Send</button></p><button>Go</button></article>", "Press OK now."),
+        ('<article><p>Text.</p><div class="share">See <a href=1>the long report of the year</a>.</div></article>', "Text.\nSee the long report of the year."),
+        ('<article><p>Text.</p><div class="share"><a href=1>Send this to a friend</a></div></article>', "Text."),
     ],
 )
 def test_what_stays_in_an_article_and_what_goes(page, text):
@@ -95,6 +104,37 @@ def test_made_pages_against_their_parts(spark):
     assert {r["page_id"]: r["text"] for r in found} == expected
 
 
+def test_blocks_that_a_host_repeats(spark):
+    """Pages of several hosts against a count of their parts by hand: what repeats goes, articles under several urls stay."""
+    rng = random.Random(4)
+    line = lambda n: " ".join("".join(rng.choice(["ti", "on", "er", "an"]) for _ in range(rng.randint(1, 5))) for _ in range(n))
+    notice = {h: line(12) for h in range(4)}
+    rows, parts = [], []
+    for k in range(120):
+        host = k % 4
+        own = [("own", line(40)), ("own", line(9))]
+        if host == 3:  # four different pages only, in many copies
+            own = [("own", f"{'page ' * 40}{(k // 4) % 4}"), ("own", "the same nine words on all of these pages")]
+        if rng.random() < (0.8, 0.3, 0.6, 0.8)[host]:
+            own.append(("note", notice[host]))
+        own += [("own", "Of."), ("doubt", "Read more"), ("doubt", line(3))][: rng.randint(1, 3)]
+        page = "".join({"own": f"<p>{t}</p>", "note": f"<p>{t}</p>", "doubt": f"<div class=related><p>{t}</p></div>"}[kind] for kind, t in own)
+        rows.append((k, f"http://h{host}.example/{k}", f"<body><article>{page}</article></body>"))
+        parts.append((host, own))
+    longest = [max((t for _, t in own), key=lambda t: (len(t), t)) for _, own in parts]
+    different = {h: {c for c, (g, _) in zip(longest, parts) if g == h} for h in range(4)}
+
+    def stays(host, kind, text):
+        on = len({c for c, (g, own) in zip(longest, parts) if g == host and any(t == text for _, t in own)})
+        return not ((kind == "doubt" or len(text.split()) >= 8) and on >= 5 and 2 * on >= len(different[host]))
+
+    expected = {k: "\n".join(t for kind, t in own if stays(host, kind, t)) for k, (host, own) in enumerate(parts)}
+    for params in (html_extract.HtmlParams(), html_extract.HtmlParams(broadcast_hosts=0)):
+        assert {r["page_id"]: r["text"] for r in html_extract.extract(pages(spark, rows), params).collect()} == expected
+    gone = [t for h, own in parts for kind, t in own if not stays(h, kind, t)]
+    assert set(gone) >= {notice[0], notice[2], "Read more"} and notice[1] not in gone and notice[3] not in gone
+
+
 def test_long_pages_take_time_in_proportion():
     began = time.time()
     for page in ("<p>" + "word " * 1_000_000, "<noscript>" * 100_000, "<div hidden x='" * 50_000, "<article>" + "<p>a<svg>" * 100_000):
@@ -102,7 +142,7 @@ def test_long_pages_take_time_in_proportion():
     assert time.time() - began < 60
 
 
-@pytest.mark.parametrize("name", ["post", "has-sidebar", "no-comments", "entry-header", "advice", "commentary", "content-ad"])
+@pytest.mark.parametrize("name", ["post", "has-sidebar", "no-comments", "entry-header", "advice", "commentary", "content-ad", "banner-image", "comment-on-the-law", "ads-analysis"])
 def test_names_of_content(name):
     assert not html_extract.is_boilerplate(name)
 
