@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 METHODS = ("otsu", "li")
@@ -74,14 +74,19 @@ def resolve(levels: DataFrame, mode: str | float, *keys: str, bins: DataFrame |
     return found.withColumnRenamed(mode, "threshold")
 
 
+def sample_step(sample_voxels: int, z_step: int, step: int) -> Column:
+    """Of (camera, nz, ny, nx), a row per setup: every how many of a setup's strided voxels are taken, so that it has its share of a camera's."""
+    share = F.greatest(F.lit(1), F.floor(F.lit(sample_voxels) / F.count(F.lit(1)).over(Window.partitionBy("camera"))))
+    taken = F.ceil(F.ceil(F.col("nz") / z_step) * F.col("ny") * F.col("nx") / step)
+    return F.greatest(F.lit(1), F.ceil(taken / share))
+
+
 def pooled(voxels: DataFrame, mode: str | float = "otsu", sample_voxels: int = 32_000_000, z_step: int = 4, step: int = 7) -> DataFrame:
     """(camera, threshold) from a strided sample: every 4th plane, every 7th voxel of these, then an even share a setup."""
     if not isinstance(mode, str):
         return voxels.select("camera").distinct().withColumn("threshold", F.lit(float(mode)))
     sizes = voxels.groupBy("camera", "setup").agg((F.max("z") + 1).alias("nz"), (F.max("y") + 1).alias("ny"), (F.max("x") + 1).alias("nx"))
-    share = F.greatest(F.lit(1), F.floor(F.lit(sample_voxels) / F.count(F.lit(1)).over(Window.partitionBy("camera"))))
-    taken = F.ceil(F.ceil(F.col("nz") / z_step) * F.col("ny") * F.col("nx") / step)
-    sizes = sizes.withColumn("keep", F.greatest(F.lit(1), F.ceil(taken / share)))
+    sizes = sizes.withColumn("keep", sample_step(sample_voxels, z_step, step))
     rows = voxels.filter(F.col("z") % z_step == 0).join(F.broadcast(sizes), ["camera", "setup"])  # a row per setup
     flat = F.expr(f"(z div {z_step}) * ny * nx + y * nx + x")
     rows = rows.withColumn("flat", flat).filter(F.col("flat") % step == 0).filter(F.expr(f"(flat div {step}) % keep = 0"))

@@ -28,6 +28,23 @@ def moments(voxels: DataFrame, thresholds: DataFrame) -> DataFrame:
         F.avg(fore).alias("mean"), F.stddev_pop(fore).alias("std"), F.avg(back).alias("bg_mean"), F.stddev_pop(back).alias("bg_std"),
         F.avg(v).alias("all_mean"), F.stddev_pop(v).alias("all_std"), F.count(fore).alias("n_foreground"), F.count(F.lit(1)).alias("n_voxels"),
     )
+    return with_separation(found)
+
+
+def moments_of_counts(levels: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """The same from the histogram (setup, v, n) that the thresholds come from, so that voxels aren't read again."""
+    rows = levels.join(F.broadcast(thresholds.select("setup", "threshold")), "setup")  # a row per setup
+    v, n = F.col("v").cast("double"), F.col("n").cast("double")
+    above = v > F.col("threshold")
+    classes = {"mean": above, "bg_mean": ~above, "all_mean": F.lit(True)}
+    means = rows.groupBy("setup", "threshold").agg(*((F.sum(F.when(c, n * v)) / F.sum(F.when(c, n))).alias(m) for m, c in classes.items()), F.sum(F.when(above, F.col("n")).otherwise(0)).alias("n_foreground"), F.sum("n").alias("n_voxels"))
+    around = rows.join(F.broadcast(means.drop("threshold")), "setup")  # a row per setup
+    off = lambda m, c: F.sqrt(F.sum(F.when(c, n * (v - F.col(m)) * (v - F.col(m)))) / F.sum(F.when(c, n))).alias(m.replace("mean", "std"))
+    return with_separation(means.join(around.groupBy("setup").agg(*(off(m, c) for m, c in classes.items())), "setup"))
+
+
+def with_separation(found: DataFrame) -> DataFrame:
+    """Moments with NaN for an empty class, and how far the classes are apart."""
     for name in ("mean", "std", "bg_mean", "bg_std"):
         found = found.withColumn(name, F.coalesce(name, F.lit(NAN)))
     return found.withColumn("separation", (F.col("mean") - F.col("bg_mean")) / (F.col("bg_std") + 1e-6))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions.columns import basic_corrected
 from ..operators import correct as correcting
-from ..operators import blockpairs, blocks, emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
+from ..operators import blockpairs, blocks, blockstats, emptiness, gains, geometry, levels, orderstats, pairs, thresholds, tilestats, unmix
 from ..sources import files, spimdata, stores, tiff
 from . import flatfield
 from .tables import Tables
@@ -195,10 +195,15 @@ class Run:
             if not self.has("empty_basis") or self.read("empty_basis").first()["basis"] == basis:
                 return
             warnings.warn("emptiness was measured with other settings; it is measured again", stacklevel=2)
-        s, voxels = self.settings, self.at_level(self.coarse_level())[0]
+        s, level = self.settings, self.coarse_level()
         mode = "otsu" if s.tile_threshold == "pooled" else s.tile_threshold
-        limits = self.keep("empty_threshold", thresholds.pooled(voxels, mode, s.otsu_sample_voxels))
-        cols = emptiness.columns(voxels, limits, s.empty_occupancy_floor)
+        if (stored := self.chunks(level)) is not None:
+            limits = self.keep("empty_threshold", blockstats.pooled(stored, self.cameras, mode, s.otsu_sample_voxels))
+            cols = emptiness.judged(blockstats.column_sums(stored, self.cameras, limits), s.empty_occupancy_floor)
+        else:
+            voxels = self.at_level(level)[0]
+            limits = self.keep("empty_threshold", thresholds.pooled(voxels, mode, s.otsu_sample_voxels))
+            cols = emptiness.columns(voxels, limits, s.empty_occupancy_floor)
         self.keep("empty_tiles", emptiness.by_tile(cols))
         pixels = self.keep("empty_pixels", emptiness.by_pixel(cols))
         self.keep("background", emptiness.background_level(pixels, s.background_percentile))
@@ -239,8 +244,19 @@ class Run:
         else:
             stack = planes.select("camera", "plane", "y", "x", F.col("v").cast("double").alias("v"))
         voxels = self.at_level(self.settings.basic_stats_level)[0]
-        shallow = orderstats.raw_stack(voxels.join(F.broadcast(unmix.shallow_cameras(voxels)), "camera", "left_semi"))  # a row per camera
-        self.keep("qstack", stack.unionByName(shallow.withColumn("v", F.col("v").cast("double"))))
+        few = [r["camera"] for r in unmix.shallow_cameras(self.last_planes(voxels)).collect()]  # a row per camera
+        if few:
+            shallow = orderstats.raw_stack(voxels.filter(F.col("camera").isin(few)))
+            stack = stack.unionByName(shallow.withColumn("v", F.col("v").cast("double")))
+        self.keep("qstack", stack)
+
+    def last_planes(self, voxels: DataFrame) -> DataFrame:
+        """(camera, setup, z) of each setup's last plane: from a store's metadata, or else from ``voxels``."""
+        s, level = self.settings, self.settings.basic_stats_level
+        if self.chunks(level) is None:
+            return voxels
+        depth = self.spark.createDataFrame([(k, stores.size_zyx(s.input_path, s.input_format, k, level)[0] - 1) for k in self.setups], "setup int, z int")
+        return self.cameras.join(depth, "setup")
 
     def _in_frame(self, pixels: DataFrame, planes: DataFrame) -> DataFrame:
         """The empty part of each pixel, resized from the frame it was measured in to that of the planes."""
@@ -308,10 +324,18 @@ class Run:
         return sorted(changed)
 
     def int_stats(self) -> None:
-        s, voxels = self.settings, self.seen()[0]
-        stored = None if self.apply_basic else self.chunks(s.stats_scale)
-        counts = blocks.histogram(stored) if stored is not None else thresholds.histogram(voxels, "setup")
-        bins = thresholds.binned(voxels, "setup") if self.apply_basic else None  # corrected values are no counts
+        s = self.settings
+        stored, kind = self.chunks(s.stats_scale), "<u2"
+        if stored is not None and self.apply_basic:
+            stored, _, kind = self.seen_chunks() or (None, None, None)
+        if stored is not None:
+            counted = self.keep("tile_counts", blockstats.counts(stored, kind))  # one reading for thresholds and, of counts, for moments
+            counts = counted.filter("not binned").select("setup", F.col("v").cast("int").alias("v"), "n")
+            bins = counted.filter("binned").drop("binned")
+        else:
+            voxels = self.seen()[0]
+            counts, bins = thresholds.histogram(voxels, "setup"), thresholds.binned(voxels, "setup") if self.apply_basic else None
+        bins = bins if self.apply_basic else None  # corrected values are no counts
         found = self.keep("thresholds", thresholds.catalogue(counts, "setup", bins=bins))
         if s.tile_threshold == "pooled":
             own = self.cameras.join(self.read("empty_threshold"), "camera").select("setup", "threshold")
@@ -319,7 +343,11 @@ class Run:
             own = found.select("setup", F.col(s.tile_threshold).alias("threshold"))
         else:
             own = self.cameras.select("setup", F.lit(float(s.tile_threshold)).alias("threshold"))
-        self.keep("tile_stats", tilestats.moments(voxels, own).withColumn("apply_basic", F.lit(self.apply_basic)))
+        if stored is None:
+            measured = tilestats.moments(voxels, own)
+        else:
+            measured = blockstats.moments(stored, own, kind) if self.apply_basic else tilestats.moments_of_counts(counts, own)
+        self.keep("tile_stats", measured.withColumn("apply_basic", F.lit(self.apply_basic)))
 
     def int_aggregate(self) -> None:
         s = self.settings

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import basic_corrected, library_corrected, shrink
 from ..model import LEVELS, PER_CAMERA, embedding_voxels, tiles_in_a_row
 from ..operators import correct as correcting
-from ..operators import blockpairs, blocks, emptiness, gains, geometry, levels, orderstats, pairs, selection, thresholds, tilestats, unmix
+from ..operators import blockpairs, blocks, blockstats, emptiness, gains, geometry, levels, orderstats, pairs, selection, thresholds, tilestats, unmix
 from ..session import shared_folder
 from ..sources import stores
 from . import flatfield
@@ -498,6 +498,38 @@ def _pair_chunks(view: View) -> blockpairs.Crops:
     return blockpairs.matched(view.chunks(), *view.ranges(), pairs.floors(view.thresholds()), BLOCK)
 
 
+@query(_SQL["tile_moments"])
+def block_tile_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds and moments from one histogram that is summed where chunks are read."""
+    counts = blockstats.counts(View(spark, sf_dir).chunks()).select("setup", F.col("v").cast("int").alias("v"), "n")
+    return rounded(tilestats.moments_of_counts(counts, thresholds.resolve(counts, "otsu", "setup")))
+
+
+@query(f"""{BASE}, {FIELDS}, c AS (SELECT setup, greatest((v - dark) / flat, 0) AS v FROM voxel JOIN fields USING (camera, y, x)), e AS (SELECT setup, min(v) AS low, max(v) AS high FROM c GROUP BY setup),
+  hist AS (SELECT setup, low + (bin + 0.5::DOUBLE) * ((high - low) / 256) AS v, n FROM (SELECT setup, low, high, least(floor((v - low) / (high - low) * 256), 255) AS bin, count(*) AS n FROM c JOIN e USING (setup) GROUP BY 1, 2, 3, 4)), {OTSU}
+SELECT setup, round(threshold, 4) AS threshold, round(avg(v) FILTER (v > threshold), 4) AS mean, round(stddev_pop(v) FILTER (v > threshold), 4) AS std, round(avg(v) FILTER (v <= threshold), 4) AS bg_mean, round(stddev_pop(v) FILTER (v <= threshold), 4) AS bg_std,
+  round(avg(v), 4) AS all_mean, round(stddev_pop(v), 4) AS all_std, count(*) FILTER (v > threshold) AS n_foreground, count(*) AS n_voxels FROM c JOIN otsu USING (setup) GROUP BY setup, threshold""")
+def block_corrected_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds and moments of corrected voxels, chunk by chunk; no voxel is a row."""
+    view = View(spark, sf_dir)
+    chunks = blocks.corrected_reals(view.chunks(), view.cameras(), known_fields(view.voxels()), BLOCK[1:])
+    own = thresholds.otsu(blockstats.counts(chunks, "<f8").filter("binned").drop("binned"), "setup").withColumnRenamed("otsu", "threshold")
+    return rounded(blockstats.moments(chunks, own), 4).drop("separation")
+
+
+@query(_SQL["pooled_threshold"])
+def block_pooled_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = View(spark, sf_dir)
+    return blockstats.pooled(view.chunks(), view.cameras())
+
+
+@query(_SQL["emptiness_frame"])
+def block_emptiness_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = View(spark, sf_dir)
+    limits = blockstats.pooled(view.chunks(), view.cameras(), EMPTY_AT)
+    return rounded(emptiness.by_pixel(emptiness.judged(blockstats.column_sums(view.chunks(), view.cameras(), limits), EMPTY_PART)))
+
+
 @query(_SQL["pair_intersection"])
 def block_pair_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.gated(_pair_chunks(View(spark, sf_dir)).found(), GATE, FRACTION)
