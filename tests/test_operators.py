@@ -194,6 +194,17 @@ def test_a_pair_of_gain_two(spark, estimator):
     assert not pairs.drift(rows, *sides, floors).first()["unstable"]
 
 
+@pytest.mark.parametrize("estimator,sides", [(pairs.intersection, 2), (pairs.independent, 2), (pairs.drift, 4)])
+def test_voxels_of_a_small_file_are_not_broadcast(spark, tmp_path, estimator, sides):
+    spark.range(1 << 12).selectExpr("cast(id % 2 as int) as setup", "cast(id as int) as z", "0 as y", "0 as x", "7 as v").write.parquet(f"{tmp_path}/voxels")
+    ranges = spark.createDataFrame([(0, 1, 0, 0, 0, 1, 1, 9)], "a int, b int, lo_x int, lo_y int, lo_z int, hi_x int, hi_y int, hi_z int")
+    found = estimator(spark.read.parquet(f"{tmp_path}/voxels"), ranges, ranges, spark.createDataFrame([(0, 5.0), (1, 5.0)], "setup int, thr double"))
+    joins = [line for line in found._jdf.queryExecution().sparkPlan().toString().split("\n") if "Join" in line]
+    of_setups = [line for line in joins if "[own#" in line]
+    assert len(of_setups) == sides and all("BroadcastHashJoin [own#" in line and "BuildRight" in line for line in of_setups)
+    assert all("SortMergeJoin" in line for line in joins if "dx#" in line.split("], [")[0] and "[own#" not in line)
+
+
 def test_a_ratio_that_moves_is_flagged(spark):
     base = np.concatenate([np.full(128, 600), np.full(128, 4000)]).reshape(4, 8, 8)
     other = np.where(base == 600, 200, 3800)
