@@ -123,6 +123,20 @@ def test_all_levels_from_one_reading(spark, size, out):
         assert rows_of(stores.to_voxels(own)) == rows_of(want)
 
 
+def test_chunks_are_cut_and_spread_many_at_a_time(spark):
+    voxels = tiles(spark, [(1500, 5, 6), (9, 10, 13)]).filter("(z + y * x) % 7 != 3").cache()
+    cut = stores.to_chunks(voxels, (2, 4, 4))
+    assert "FlatMapGroupsInPandas" not in cut._jdf.queryExecution().optimizedPlan().toString()  # a call of Python for each chunk
+    found = stores.to_voxels(cut.withColumn("level", F.col("level") + 3), None, "level")
+    assert found.filter("level != 3").count() == 0
+    held = found.select("setup", "z", "y", "x", "v")
+    want = voxels.select("setup", "z", "y", "x", "v")
+    assert want.exceptAll(held).count() == 0 and held.join(want, ["setup", "z", "y", "x"], "left_anti").filter("v != 0").count() == 0
+    assert cut.groupBy("setup", "z0", "y0", "x0").count().filter("count > 1").count() == 0
+    large = stores.to_chunks(voxels, (1 << 20, 1 << 20, 1 << 20)).collect()
+    assert sorted((r.setup, r.dz, r.dy, r.dx) for r in large) == [(0, 1500, 5, 6), (1, 9, 10, 13)]
+
+
 def test_otsu_of_real_values(spark):
     rng = np.random.default_rng(4)
     v = np.concatenate([rng.normal(10, 1, 400), rng.normal(30.5, 3, 300)])
