@@ -28,14 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from ..functions.numeric import gathered, rows_of
 from ..model import CHUNK
 from . import files, stores
 
 NAME = "evenfield"
 FILES = "setup int, level int, file string, n_bytes long, sha256 string"
 VOXELS = "setup int, level int, z int, y int, x int, v int"
-#: Tasks that a read is cut into at most, and files of a task at least.
-MOST_TASKS, FEWEST_FILES = 50_000, 8
+#: Tasks that a read is cut into at most, files of a task at least, and bytes that it holds about, where a file counts as FILE_BYTES at least.
+MOST_TASKS, FEWEST_FILES, TASK_BYTES, FILE_BYTES = 50_000, 8, 1 << 22, 1 << 14
 #: Voxel rows of a batch.
 VOXEL_ROWS = 1 << 16
 FAR = 1 << 31
@@ -129,21 +130,24 @@ class StoreReader(DataSourceReader):
                 size.append(max(0, b - a))
             if min(size) > 0:
                 boxes.append(Files(setup, level, found, tuple(low), tuple(size), 0, int(np.prod(size, dtype=object))))
-        step = self.files_per_task or max(FEWEST_FILES, -(-sum(b.end for b in boxes) // MOST_TASKS))
-        return [Files(b.setup, b.level, b.layout, b.low, b.size, k, min(k + step, b.end)) for b in boxes for k in range(0, b.end, step)]
+        fewest = max(FEWEST_FILES, -(-sum(b.end for b in boxes) // MOST_TASKS))
+        bytes_ = lambda b: max(FILE_BYTES, 2 * int(np.prod(b.layout.shard or b.layout.chunk, dtype=object)))
+        steps = [self.files_per_task or max(fewest, TASK_BYTES // bytes_(b)) for b in boxes]
+        return [Files(b.setup, b.level, b.layout, b.low, b.size, k, min(k + step, b.end)) for b, step in zip(boxes, steps) for k in range(0, b.end, step)]
 
     def read(self, partition: Files | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # nothing is left to read
             return
         box = tuple(self.box)
+        if self.rows == "chunks":
+            blocks = (b for number in partition.numbers() for b in stores.read_block(partition.layout, number, box))
+            yield from gathered(blocks, lambda b: b[1].nbytes, lambda held: _chunks(partition.setup, partition.level, held))
+            return
         for number in partition.numbers():
             if self.rows == "files":
                 yield from _file(partition, number)
                 continue
             for place, block in stores.read_block(partition.layout, number, box):
-                if not self.voxels:
-                    yield from _chunk(partition.setup, partition.level, place, block)
-                    continue
                 cut = tuple(slice(max(0, low - p), max(0, end - p)) for p, (low, end) in zip(place, self.asked))
                 place = tuple(max(p, low) for p, (low, _) in zip(place, self.asked))
                 yield from _voxels(partition.setup, partition.level, place, block[cut])
@@ -165,10 +169,10 @@ def _file(partition: Files, number: tuple[int, ...]) -> Iterator[pa.RecordBatch]
     yield pa.RecordBatch.from_arrays(columns, ["setup", "level", "file", "n_bytes", "sha256"])
 
 
-def _chunk(setup: int, level: int, place: tuple[int, int, int], block: np.ndarray) -> Iterator[pa.RecordBatch]:
-    data = np.ascontiguousarray(block).astype("<u2").tobytes()
-    values = [setup, level, *place, *block.shape]
-    yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.int32()) for v in values), pa.array([data], pa.binary())], ["setup", "level", "z0", "y0", "x0", "dz", "dy", "dx", "data"])
+def _chunks(setup: int, level: int, held: list[tuple[tuple[int, int, int], np.ndarray]]) -> pa.RecordBatch:
+    values = zip(*((setup, level, *place, *block.shape) for place, block in held))
+    data = [np.ascontiguousarray(block).astype("<u2").tobytes() for _, block in held]
+    return pa.RecordBatch.from_arrays([*(pa.array(v, pa.int32()) for v in values), pa.array(data, pa.binary())], ["setup", "level", "z0", "y0", "x0", "dz", "dy", "dx", "data"])
 
 
 def _voxels(setup: int, level: int, place: tuple[int, int, int], block: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -213,8 +217,7 @@ class StoreWriter(DataSourceArrowWriter):
             return len(data)
 
         for batch in iterator:
-            for k in range(batch.num_rows):  # a block at a time, so memory is bounded by a file
-                (r,) = batch.slice(k, 1).to_pylist()
+            for r in rows_of(batch):  # blocks of one file at a time, so memory is bounded by a file and a batch
                 setup = r["setup"]
                 if setup not in layouts:
                     if setup not in self.shapes:
