@@ -45,9 +45,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their sequences and offsets."""
+    """Pieces of all documents with their sequences and offsets; sequences follow the order that mixing gave the files."""
     ship_package(spark)
-    return pack(docs)
+    return pack(docs, in_order=True)
 
 
 STAGES: list[tuple[str, Stage]] = [("quality_rules", quality), ("exact_dedup", dedup), ("ngram_jaccard_join", near), ("source_mixing", mixing), ("best_fit_packing", packing)]

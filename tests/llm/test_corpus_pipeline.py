@@ -67,6 +67,35 @@ def test_packing_stage(stages):
     assert packed["sequence_id"].nunique() <= -(-packed["length"].sum() // 2048) + 1
 
 
+def test_packing_follows_the_mixed_order(spark, stages):
+    """Sequences open in the order of the schedule, pieces of a length lie in it, and documents that weren't mixed are packed otherwise."""
+    from evenfield.llm.mixing import schedule
+
+    slots = {r["doc_id"]: (r["slot"], r["start_in_block"]) for r in schedule(stages[3]).collect()}
+    packed = stages[5].toPandas().sort_values(["sequence_id", "offset"])
+    assert packed["sequence_id"].tolist()[0] == 0 and packed["sequence_id"].diff().max() <= 1
+    own = packed.assign(slot=[slots[d] for d in packed["doc_id"]])
+    opens = own[own["offset"] == 0]["slot"].tolist()
+    assert len(set(opens)) > 10 and opens == sorted(opens)
+    for _, group in own[own["offset"] > 0].groupby("length"):
+        assert group["slot"].tolist() == sorted(group["slot"])
+    other = dict(corpus_pipeline.STAGES)["best_fit_packing"](spark, stages[3], DATA)
+    columns = ["doc_id", "piece", "sequence_id"]
+    assert other.select(columns).exceptAll(stages[5].select(columns)).count() > 0
+    assert other.select("sequence_id").distinct().count() == packed["sequence_id"].nunique()
+
+
+def test_packing_keeps_the_order_of_rows_without_files(spark):
+    from evenfield.llm.packing import pack
+
+    rows = [(k, "word " * (30 + k % 7 * 90)) for k in range(120, 0, -1)]
+    found = pack(spark.createDataFrame(rows, "doc_id long, text string"), in_order=True).toPandas().sort_values(["sequence_id", "offset"])
+    assert len(found) == 120 and ((found.groupby("sequence_id")["length"].cumsum() - found["length"]) == found["offset"]).all()
+    opens = found[found["offset"] == 0]["doc_id"].tolist()
+    assert opens == sorted(opens, reverse=True)
+    assert pack(spark.createDataFrame([], "doc_id long, text string"), in_order=True).count() == 0
+
+
 def test_run_gives_what_the_stages_give(spark, stages):
     found = corpus_pipeline.run(spark, DATA)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
