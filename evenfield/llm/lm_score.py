@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import attention
-from .common import WordBlock, cut, map_batches, mix, read_table, shared_folder, text_blocks
+from .common import WordBlock, cut, drop_folder, free_shuffles, map_batches, mix, read_table, shared_folder, text_blocks
 from .exact_dedup import join_hot
 from .tokens import vocabulary_paths
 
@@ -392,15 +392,23 @@ def score_texts(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
     word_counts[found["key"].to_numpy()] = found["n"].to_numpy()
     # other words: counted before they are shuffled; each occurrence then gets its word's count, that of a hot word where it lies
     rare = table.filter("kind = 3").select("row", "key", "n")
-    counted = cut(rare.groupBy("key").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("occurrences")))
+    spark, folder = docs.sparkSession, f"{shared_folder(docs.sparkSession)}/lm-words-{uuid.uuid4().hex}"
+    rare.groupBy("key").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("occurrences")).write.parquet(folder)
+    counted = spark.read.parquet(folder)
     rare = join_hot(rare.select("row", "key"), counted, "key", "occurrences")
-    rare = rare.groupBy("row").agg(F.sum(F.log10(F.col("c") + 0.5)).alias("rare_sum"), F.sum((F.col("c") > 0).cast("long")).alias("rare_known"))
+    # summed now, so that the words' shuffles and counts are off the disks before the model's training needs these
+    rare = cut(rare.groupBy("row").agg(F.sum(F.log10(F.col("c") + 0.5)).alias("rare_sum"), F.sum((F.col("c") > 0).cast("long")).alias("rare_known")))
+    rare_distinct = counted.filter("c > 0").count()
+    del counted
+    drop_folder(spark, folder)
     teaching, teaching_words = table.filter("kind = 0 and not held").agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     ends = float(teaching)
     n_train = int(teaching + teaching_words)
-    distinct = counted.filter("c > 0").count() + int((word_counts > 0).sum()) + int(ends > 0)
+    distinct = rare_distinct + int((word_counts > 0).sum()) + int(ends > 0)
     classes = make_classes(counts, params)
+    free_shuffles(spark)
     model = train_model(*training_pieces(table, params), classes, params)
+    free_shuffles(spark)
     scored = score_documents(table, model, classes, count_pairs(table, classes, params), word_counts, params)
     below = float(np.log10(n_train + 0.5 * (distinct + 1)))
     end_log = float(np.log10(ends + 0.5))

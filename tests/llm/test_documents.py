@@ -722,6 +722,22 @@ def test_model_beats_its_classes_alone_on_held_out_texts(spark):
     assert len(held) > 10 and held["score"].sum() > held["base_score"].sum() / 2
 
 
+def test_words_and_training_leave_the_disks_before_the_next_step(spark, monkeypatch):
+    """The words' table and shuffles are gone when training begins, training's when pairs are counted."""
+    import os
+
+    steps = []
+    watch = lambda name, f: lambda *a, **k: (steps.append(name), f(*a, **k))[1]
+    for name in ("join_hot", "free_shuffles", "train_model", "count_pairs"):
+        monkeypatch.setattr(lm_score, name, watch(name, getattr(lm_score, name)), raising=False)
+    rng = random.Random(3)
+    params = lm_score.LmParams(sample_documents=10, shard_windows=100)
+    assert lm_score.score_texts(frame(spark, [(k, prose(rng, 50)) for k in range(60)]), params).count() == 60
+    assert steps == ["join_hot", "free_shuffles", "train_model", "free_shuffles", "count_pairs"]
+    folder = lm_score.shared_folder(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("lm-words-")]
+
+
 def test_classes_share_out_all_probability():
     counts = np.random.default_rng(0).integers(0, 1000, 500).astype(float)
     params = lm_score.LmParams(single=20, classes=32, inputs=100)
