@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import op9_chat_format
+from .common import read_table
 from .embedding_whitening import op12_embedding_whitening
-from .lm_score import op7_lm_score
+from .lm_score import score_texts
 from .quality import op6_quality_rules
 from .secrets import op3_secret_scan
 from .substring_dedup import op11_substring_dedup
@@ -79,7 +80,9 @@ _KEY = "lpad(CAST({0} AS VARCHAR), 9, '0') || {1}"
 _BEST = ", ".join(f"min_by({c}, {_KEY.format('cost', 'audit')}) AS {c}" for c in ("cost", "audit", "out"))
 REPAIRS = rf"""WITH RECURSIVE src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {CRC.replace("CAST(doc_id AS VARCHAR)", "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
   d AS (SELECT conv_id, turn, copy, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind <= 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM src, (VALUES (0), (1)) AS c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
-  o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, copy) AS k, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last, left(role, 1) AS i FROM d),
+  o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, copy) AS k, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last, left(role, 1) AS i FROM d),
   f AS MATERIALIZED (SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
     k > 1 AND lag(i) OVER (PARTITION BY conv_id ORDER BY k) || i NOT IN ('su', 'ua', 'au') AS illegal FROM o),
   ins(was, now, n, added) AS (VALUES ('', '', 0, []::VARCHAR[]), ('s', 's', 0, []), ('u', 'u', 0, []), ('a', 'a', 0, []), ('', 'u', 1, ['user:']), ('s', 'u', 1, ['user:']), ('a', 'u', 1, ['user:']), ('u', 'a', 1, ['assistant:']),
@@ -106,7 +109,7 @@ def base6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def base7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op7_lm_score(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+    return score_texts(read_table(spark, sf_dir, "documents"), with_model=False).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
 
 
 def base9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,7 +112,7 @@ def slot_table(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return slots, np.append(words, np.uint64(0))
 
 
-def read_texts(docs: DataFrame, listed: np.ndarray, params: LmParams) -> DataFrame:
+def read_texts(docs: DataFrame, listed: np.ndarray, params: LmParams, with_ids: bool = True) -> DataFrame:
     """One reading of every text, kept in the shared folder. Kinds: 0 documents, 1 counts of ids, 2 counts of listed
     words, 3 occurrences of other words (key, in n whether they teach)."""
     spark = docs.sparkSession
@@ -120,7 +120,7 @@ def read_texts(docs: DataFrame, listed: np.ndarray, params: LmParams) -> DataFra
     end = params.size
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, words = _encoder(params).encode_to_numpy, held_list.value
+        encode, words = _encoder(params).encode_to_numpy if with_ids else lambda _: np.empty(0, "<u2"), held_list.value
         slots, padded = slot_table(words)
         row = TaskContext.get().partitionId() << 33
         id_counts, word_counts = np.zeros(end + 1, np.int64), np.zeros(len(words), np.int64)
@@ -340,6 +340,24 @@ def _average(chosen: DataFrame, model: dict[str, np.ndarray], classes: Classes,
     return attention.shaped(sum(np.frombuffer(x, np.float64) for x in sums["sums"].to_pylist()) / sum(sums["seen"].to_pylist()), model)
 
 
+def _listed_sums(part: pa.RecordBatch, logs: np.ndarray, known: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Of each document's listed words the sum of logs and the number known."""
+    listed = [np.frombuffer(x, "<u2") for x in part.column("frequent").to_pylist()]
+    return pa.array([logs[x].sum() for x in listed], pa.float64()), pa.array([known[x].sum() for x in listed], pa.int64())
+
+
+def base_documents(table: DataFrame, word_counts: np.ndarray) -> DataFrame:
+    """row, doc_id, held, n_words, listed_sum, listed_known of each document: what ``score_documents`` gives, without the model's score."""
+    held = table.sparkSession.sparkContext.broadcast((np.log10(word_counts + 0.5), word_counts > 0))
+    own = ["row", "doc_id", "held", "n_words"]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), *_listed_sums(batch, *held.value)], [*own, "listed_sum", "listed_known"])
+
+    return map_batches(table.filter("kind = 0").select(*own, "frequent"), add, "row long, doc_id long, held boolean, n_words int, listed_sum double, listed_known long")
+
+
 def score_documents(table: DataFrame, model: dict[str, np.ndarray], classes: Classes, pairs: Pairs, word_counts: np.ndarray, params: LmParams) -> DataFrame:
     """row, doc_id, held, n_words, listed_sum, listed_known, score of each document."""
     held, w, first = table.sparkSession.sparkContext.broadcast((model, classes, pairs, np.log10(word_counts + 0.5), word_counts > 0)), params.window, params.window - params.stride
@@ -372,18 +390,17 @@ def score_documents(table: DataFrame, model: dict[str, np.ndarray], classes: Cla
                         found = attention.log_probabilities(m, inputs[where], of[where], skip)
                         found = np.where(real[:, skip:], found, 0).sum(axis=1, dtype=np.float64)
                         total += np.bincount(t, found, minlength=len(total)) / np.log(10)
-                listed = [np.frombuffer(x, "<u2") for x in part.column("frequent").to_pylist()]
-                sums = np.array([logs[x].sum() for x in listed])
-                knowns = np.array([known[x].sum() for x in listed], np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held"), part.column("n_words"), pa.array(sums, pa.float64()), pa.array(knowns, pa.int64()), pa.array(total)], ["row", "doc_id", "held", "n_words", "listed_sum", "listed_known", "score"])
+                sums, knowns = _listed_sums(part, logs, known)
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held"), part.column("n_words"), sums, knowns, pa.array(total)], ["row", "doc_id", "held", "n_words", "listed_sum", "listed_known", "score"])
 
     return map_batches(table.filter("kind = 0").select("row", "doc_id", "held", "n_words", "ids", "frequent"), score, "row long, doc_id long, held boolean, n_words int, listed_sum double, listed_known long, score double")
 
 
-def score_texts(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def score_texts(docs: DataFrame, params: LmParams = LmParams(), with_model: bool = True) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Without the model, which no
+    other column depends on, there is no score."""
     listed = frequent_words(docs, params)
-    table = read_texts(docs, listed, params)
+    table = read_texts(docs, listed, params, with_model)
     counts = np.zeros(params.size + 1)
     found = table.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # a row per id at most
     counts[found["key"].to_numpy()] = found["n"].to_numpy()
@@ -405,18 +422,21 @@ def score_texts(docs: DataFrame, params: LmParams = LmParams()) -> DataFrame:
     ends = float(teaching)
     n_train = int(teaching + teaching_words)
     distinct = rare_distinct + int((word_counts > 0).sum()) + int(ends > 0)
-    classes = make_classes(counts, params)
-    free_shuffles(spark)
-    model = train_model(*training_pieces(table, params), classes, params)
-    free_shuffles(spark)
-    scored = score_documents(table, model, classes, count_pairs(table, classes, params), word_counts, params)
+    if with_model:
+        classes = make_classes(counts, params)
+        free_shuffles(spark)
+        model = train_model(*training_pieces(table, params), classes, params)
+        free_shuffles(spark)
+        scored = score_documents(table, model, classes, count_pairs(table, classes, params), word_counts, params)
+    else:
+        scored = base_documents(table, word_counts)
     below = float(np.log10(n_train + 0.5 * (distinct + 1)))
     end_log = float(np.log10(ends + 0.5))
     rows = scored.join(rare.select("row", "rare_sum", "rare_known"), "row", "left")
     tokens = F.col("n_words").cast("long") + 1
     base = F.col("listed_sum") + F.coalesce("rare_sum", F.lit(0.0)) + F.lit(end_log) - tokens * F.lit(below)
     known = F.col("listed_known") + F.coalesce("rare_known", F.lit(0)) + F.lit(int(ends > 0))
-    return rows.select("doc_id", F.col("held").alias("held_out"), tokens.alias("n_tokens"), known.alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    return rows.select("doc_id", F.col("held").alias("held_out"), tokens.alias("n_tokens"), known.alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"), base.alias("base_score"), *["score"] * with_model)
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -738,6 +738,17 @@ def test_words_and_training_leave_the_disks_before_the_next_step(spark, monkeypa
     assert not [f for f in os.listdir(folder) if f.startswith("lm-words-")]
 
 
+def test_base_columns_need_no_model(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(k, prose(rng, rng.randint(0, 80))) for k in range(80)] + [(90, None)]
+    params = lm_score.LmParams(sample_documents=10, shard_windows=100)
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6)]
+    whole = sorted(map(tuple, lm_score.score_texts(frame(spark, rows), params).select(columns).collect()))
+    monkeypatch.setattr(lm_score, "train_model", None)  # a call would fail
+    monkeypatch.setattr(lm_score, "_encoder", None)
+    assert sorted(map(tuple, lm_score.score_texts(frame(spark, rows), params, with_model=False).select(columns).collect())) == whole
+
+
 def test_classes_share_out_all_probability():
     counts = np.random.default_rng(0).integers(0, 1000, 500).astype(float)
     params = lm_score.LmParams(single=20, classes=32, inputs=100)
