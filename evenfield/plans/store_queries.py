@@ -116,9 +116,11 @@ def group_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{BASE} SELECT * FROM voxel")
 def tile_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     voxels, root = embedding_voxels(spark, sf_dir), shared_folder(spark, "tiff")
-    sizes = _sizes(voxels)
+    tiles = voxels.groupBy("camera", "setup").agg(*((F.max(c) + 1).alias(c) for c in "zyx")).collect()  # a row per setup
+    sizes = {r["setup"]: (r["z"], r["y"], r["x"]) for r in tiles}
     tiff.write_tiles(stores.to_chunks(voxels, (1, 1 << 20, 1 << 20)), root, sizes)
-    return stores.to_voxels(tiff.tile_planes(spark, root, sorted(sizes)), voxels.select("camera", "setup").distinct())
+    cameras = spark.createDataFrame([(r["camera"], r["setup"]) for r in tiles], "camera int, setup int")
+    return stores.to_voxels(tiff.tile_planes(spark, root, sorted(sizes)), cameras)
 
 
 @query(f"{BASE}, {FIELDS}, t AS (SELECT unnest(range(10)) AS t) SELECT camera, CAST(t AS INT) AS y, x, round(flat, 4) AS flat, round(dark, 4) AS dark FROM t, fields WHERE fields.y = least(t, 7)")

@@ -12,7 +12,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from html import escape
-from itertools import groupby
+from itertools import groupby, islice
 from pathlib import Path
 
 import numpy as np
@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import gathered, rows_of
 from ..model import CHUNK
+from ..operators.blocks import mapped
 from ..session import shared_folder
 from . import files
 from .codecs import compress, decompress, lzw_decode, lzw_encode
@@ -40,36 +42,38 @@ def ome_xml(shape: tuple[int, int, int], voxel_um: tuple[float, float, float] |
             f'SizeX="{nx}" SizeY="{ny}" SizeZ="{nz}" SizeC="1" SizeT="1"{sizes}><TiffData/></Pixels></Image></OME>')
 
 
+def packed(plane: np.ndarray, compression: str | None) -> bytes:
+    """A plane's bytes as its page holds them."""
+    if compression not in COMPRESSION:
+        raise ValueError(f"compression {compression!r} is none of {tuple(COMPRESSION)}")
+    raw = np.ascontiguousarray(plane).astype(plane.dtype.newbyteorder("<")).tobytes()
+    return zlib.compress(raw) if compression == "deflate" else lzw_encode(raw) if compression == "lzw" else compress(raw, compression)
+
+
 def write(path: str | Path, planes: Iterable[np.ndarray], compression: str | None = None, description: str | None = None) -> int:
     """Writes planes as they come, one page each, in BigTIFF; returns how many."""
     if compression not in COMPRESSION:
         raise ValueError(f"compression {compression!r} is none of {tuple(COMPRESSION)}")
-    count = 0
+    return write_packed(path, ((p.shape, p.dtype, packed(p, compression)) for p in planes), compression, description)
+
+
+def write_packed(path: str | Path, pages: Iterable[tuple[tuple[int, int], np.dtype, bytes]], compression: str | None = None, description: str | None = None) -> int:
+    """``write`` of pages (shape, dtype, data) that are packed already. A directory names the place of the next one, so it is
+    written when the next page's data have come: the file is written from its begin to its end, without a look back."""
+    count, at, directory = 0, 16, struct.pack("<2sHHH", b"II", 43, 8, 0)  # the header ends with a link, as directories do
     with files.whole(path) as out:
-        out.write(struct.pack("<2sHHHQ", b"II", 43, 8, 0, 0))
-        link = 8  # where the place of the next page's directory is to be written
-        for plane in planes:
-            raw = np.ascontiguousarray(plane).astype(plane.dtype.newbyteorder("<")).tobytes()
-            data = zlib.compress(raw) if compression == "deflate" else lzw_encode(raw) if compression == "lzw" else compress(raw, compression)
-            at = out.tell()
-            out.write(data)
-            tags = [(256, 4, plane.shape[1]), (257, 4, plane.shape[0]), (258, 3, 8 * plane.dtype.itemsize), (259, 3, COMPRESSION[compression]), (262, 3, 1), (273, 16, at), (277, 3, 1), (278, 4, plane.shape[0]), (279, 16, len(data)), (339, 3, SAMPLE[plane.dtype.kind])]
-            text = description.encode() + b"\0" if description and not count else None
+        for shape, kind, data in pages:
+            tags = [(256, 4, 1, shape[1]), (257, 4, 1, shape[0]), (258, 3, 1, 8 * kind.itemsize), (259, 3, 1, COMPRESSION[compression]), (262, 3, 1, 1), (273, 16, 1, at), (277, 3, 1, 1), (278, 4, 1, shape[0]), (279, 16, 1, len(data)), (339, 3, 1, SAMPLE[kind.kind])]
+            text = description.encode() + b"\0" if description and not count else b""
             if text:
-                tags.append((270, 2, out.tell()))
-                out.write(text)
-            directory = out.tell()
-            out.write(struct.pack("<Q", len(tags)))
-            for tag, kind, value in sorted(tags):
-                n = len(text) if tag == 270 else 1
-                packed = struct.pack("<Q", value) if not (tag == 270 and n <= 8) else text.ljust(8, b"\0")
-                out.write(struct.pack("<HHQ", tag, kind, n) + packed)
-            end = out.tell()
-            out.write(struct.pack("<Q", 0))
-            out.seek(link)
-            out.write(struct.pack("<Q", directory))
-            out.seek(0, 2)
-            link, count = end, count + 1
+                tags.insert(5, (270, 2, len(text), at + len(data) if len(text) > 8 else int.from_bytes(text, "little")))
+            here = at + len(data) + len(text)
+            out.write(directory + struct.pack("<Q", here))
+            out.write(data)
+            out.write(text)
+            directory = struct.pack("<Q" + "HHQQ" * len(tags), len(tags), *(v for tag in tags for v in tag))
+            at, count = here + len(directory) + 8, count + 1
+        out.write(directory + struct.pack("<Q", 0))
     return count
 
 
@@ -174,6 +178,8 @@ def read(path: str | Path) -> tuple[list[np.ndarray], str | None]:
 SEGMENT = "id int, path string, page int, offset long, n_bytes long, y0 int, x0 int, h int, w int, ny int, nx int, kind string, compression int, predictor int, bh int, bw int, tiled boolean"
 #: Bytes of strips or tiles that a task reads, about.
 TASK_BYTES = 1 << 25
+#: Of small strips or tiles, so many at most: each costs time of its own. And so many of them are sent on at once.
+TASK_SEGMENTS, BATCH_SEGMENTS = 1 << 14, 1 << 12
 
 
 def segments(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
@@ -183,9 +189,9 @@ def segments(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
         names = [c.split()[0] for c in SEGMENT.split(", ")]
         for batch in batches:
             for own, path in zip(batch.column("id").to_pylist(), batch.column("path").to_pylist()):
-                for number, p in enumerate(directories(path)[0]):
-                    rows = [(own, path, number, at, n, *p.place(k), p.height, p.width, p.kind, p.compression, p.predictor, *p.block, p.tiled) for k, (at, n) in enumerate(zip(p.offsets, p.sizes))]
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema)
+                rows = ((own, path, number, at, n, *p.place(k), p.height, p.width, p.kind, p.compression, p.predictor, *p.block, p.tiled) for number, p in enumerate(directories(path)[0]) for k, (at, n) in enumerate(zip(p.offsets, p.sizes)))
+                while part := list(islice(rows, BATCH_SEGMENTS)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part), schema)], names)
 
     kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
     schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in SEGMENT.split(", ")])
@@ -193,22 +199,25 @@ def segments(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
 
 
 def _spread(spark: SparkSession, paths: dict[int, str], make, schema: str) -> DataFrame:
-    """``make`` (segment, its part of the plane) of every segment, in tasks of about TASK_BYTES whatever file they lie in."""
+    """``make`` of lists of (segment, its part of the plane), in tasks of about TASK_BYTES or TASK_SEGMENTS whatever file they lie in."""
     rows = segments(spark, paths)
     folder = shared_folder(spark, "segments")
     rows.write.parquet(folder)
     rows = spark.read.parquet(folder)
-    total = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    rows = rows.repartition(max(1, -(-total // TASK_BYTES)), "path", "page", "offset").sortWithinPartitions("path", "offset")
+    total, n = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.count(F.lit(1))).first()
+    rows = rows.repartition(max(1, -(-total // TASK_BYTES), -(-n // TASK_SEGMENTS)), "path", "page", "offset").sortWithinPartitions("path", "offset")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, f = None, None
-        for batch in batches:
-            for r in batch.to_pylist():
-                if r["path"] != at:
-                    at, f = r["path"], files.opened(r["path"])
-                f.seek(r["offset"])
-                yield make(r, decoded(f.read(r["n_bytes"]), r["kind"], r["compression"], r["predictor"], (r["bh"], r["bw"]), (r["h"], r["w"]), r["tiled"]))
+        def parts():
+            at, f = None, None
+            for batch in batches:
+                for r in rows_of(batch):
+                    if r["path"] != at:
+                        at, f = r["path"], files.opened(r["path"])
+                    f.seek(r["offset"])
+                    yield r, decoded(f.read(r["n_bytes"]), r["kind"], r["compression"], r["predictor"], (r["bh"], r["bw"]), (r["h"], r["w"]), r["tiled"])
+
+        return gathered(parts(), lambda part: part[1].nbytes, make)
 
     return rows.mapInArrow(work, schema)
 
@@ -244,24 +253,34 @@ def tile_path(root: str, setup: int) -> str:
 
 
 def write_tiles(planes: DataFrame, root: str, sizes: dict[int, tuple[int, int, int]], voxel_um: dict[int, tuple] | None = None, compression: str | None = "zstd") -> None:
-    """Writes chunk rows of a whole plane each as a file per setup, by one task, which holds a plane at a time."""
+    """Writes chunk rows of a whole plane each as a file per setup. Planes are packed where they are made; a file is written by one
+    task of its own, which holds a page at a time."""
+    if compression not in COMPRESSION:
+        raise ValueError(f"compression {compression!r} is none of {tuple(COMPRESSION)}")
     um = voxel_um or {}
+    two = np.dtype("<u2")
+
+    def pack(r: dict) -> dict:
+        return r | {"data": packed(np.frombuffer(r["data"], two).reshape(r["dy"], r["dx"]), compression)}
 
     def sink(rows) -> None:
         for setup, own in groupby(rows, key=lambda r: r["setup"]):
-            write_tile(tile_path(root, setup), (np.frombuffer(r["data"], "<u2").reshape(r["dy"], r["dx"]) for r in own), sizes[setup], um.get(setup), compression)
+            write_packed(tile_path(root, setup), (((r["dy"], r["dx"]), two, r["data"]) for r in own), compression, ome_xml(sizes[setup], um.get(setup)))
 
-    planes.repartition(len(sizes), "setup").sortWithinPartitions("setup", "z0").foreachPartition(sink)
+    ready = planes.mapInArrow(lambda batches: mapped(batches, pack), CHUNK).select("setup", "z0", "dy", "dx", "data")
+    number = F.array_position(F.lit(sorted(sizes)), F.col("setup")).cast("int") - 1
+    ready.repartitionById(max(1, len(sizes)), number).sortWithinPartitions("setup", "z0").foreachPartition(sink)
 
 
 def tile_planes(spark: SparkSession, root: str, setups: list[int]) -> DataFrame:
     """Rows of ``model.CHUNK``, one for each strip or tile of a plane, of the tiles that ``write_tiles`` wrote."""
 
-    def chunk(r: dict, part: np.ndarray) -> pa.RecordBatch:
-        values = [r["id"], 0, r["page"], r["y0"], r["x0"], 1, *part.shape]
-        return pa.RecordBatch.from_arrays([*(pa.array([v], pa.int32()) for v in values), pa.array([np.ascontiguousarray(part).astype("<u2").tobytes()], pa.binary())], ["setup", "level", "z0", "y0", "x0", "dz", "dy", "dx", "data"])
+    def chunks(parts: list[tuple[dict, np.ndarray]]) -> pa.RecordBatch:
+        values = zip(*((r["id"], 0, r["page"], r["y0"], r["x0"], 1, *part.shape) for r, part in parts))
+        data = [np.ascontiguousarray(part).astype("<u2").tobytes() for _, part in parts]
+        return pa.RecordBatch.from_arrays([*(pa.array(v, pa.int32()) for v in values), pa.array(data, pa.binary())], ["setup", "level", "z0", "y0", "x0", "dz", "dy", "dx", "data"])
 
-    return _spread(spark, {s: tile_path(root, s) for s in setups}, chunk, CHUNK)
+    return _spread(spark, {s: tile_path(root, s) for s in setups}, chunks, CHUNK)
 
 
 def camera_planes(spark: SparkSession, paths: dict[int, str], value: str, frame: tuple[int, int] | None = None) -> DataFrame:
@@ -270,15 +289,17 @@ def camera_planes(spark: SparkSession, paths: dict[int, str], value: str, frame:
     Given the frame, planes stored the other way round are turned, and any other size is refused.
     """
 
-    def pixels(r: dict, part: np.ndarray) -> pa.RecordBatch:
-        y, x = np.indices(part.shape, np.int32).reshape(2, -1)
-        y, x = y + np.int32(r["y0"]), x + np.int32(r["x0"])
-        if frame and (r["ny"], r["nx"]) != frame:
-            if (r["nx"], r["ny"]) != frame:
-                raise ValueError(f"{r['path']} is {(r['ny'], r['nx'])}, not {frame}")
-            y, x = x, y
-        numbers = (np.full(y.size, n, np.int32) for n in (r["id"], r["page"]))
-        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in (*numbers, y, x)), pa.array(part.astype(np.float32).ravel())], ["camera", "plane", "y", "x", value])
+    def pixels(parts: list[tuple[dict, np.ndarray]]) -> pa.RecordBatch:
+        columns = []
+        for r, part in parts:
+            y, x = np.indices(part.shape, np.int32).reshape(2, -1)
+            y, x = y + np.int32(r["y0"]), x + np.int32(r["x0"])
+            if frame and (r["ny"], r["nx"]) != frame:
+                if (r["nx"], r["ny"]) != frame:
+                    raise ValueError(f"{r['path']} is {(r['ny'], r['nx'])}, not {frame}")
+                y, x = x, y
+            columns.append((*(np.full(y.size, n, np.int32) for n in (r["id"], r["page"])), y, x, part.astype(np.float32).ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*columns)], ["camera", "plane", "y", "x", value])
 
     return _spread(spark, paths, pixels, f"camera int, plane int, y int, x int, {value} float")
 

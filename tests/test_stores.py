@@ -1,9 +1,11 @@
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from evenfield.model import CHUNK
 from evenfield.sources import codecs, files, stores, tiff
 
 Z, Y, X = 20, 17, 23
@@ -169,6 +171,53 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
     assert index.agg(F.sum("n_bytes")).first()[0] == 2 * Z * Y * X
 
 
+def test_small_segments_are_dealt_and_sent_many_at_a_time(spark, tmp_path, monkeypatch):
+    """Planes of a few bytes go to tasks by their number too, and a task sends on a batch of many."""
+    monkeypatch.setattr(tiff, "TASK_SEGMENTS", 30)
+    planes = np.arange(200 * 6, dtype=np.uint16).reshape(200, 2, 3)
+    tiff.write_tile(tmp_path / "s3-t0.ome.tif", list(planes), planes.shape)
+    rows = tiff.tile_planes(spark, str(tmp_path), [3])
+    assert rows.rdd.getNumPartitions() == 7
+    sent = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([len(b)])], ["n"]) for b in batches), "n long").toPandas()["n"]
+    assert sent.sum() == 200 and len(sent) <= 7
+    found = stores.to_voxels(rows).toPandas()
+    assert (planes[found["z"], found["y"], found["x"]] == found["v"]).all() and len(found) == planes.size
+
+
+def test_tiles_of_packed_planes_are_as_written_by_one(spark, tmp_path):
+    """Planes come packed and in any order; files are those that ``write_tile`` makes, whatever the setups' numbers are."""
+    cube, sizes = volume(), {s: (Z, Y, X) for s in (0, 3, 17, 40)}
+    rows = [(s, 0, z, 0, 0, 1, Y, X, bytearray(cube[z].astype("<u2").tobytes())) for s in sizes for z in reversed(range(Z))]
+    tiff.write_tiles(spark.createDataFrame(rows, CHUNK), str(tmp_path / "out"), sizes, {3: (0.4, 0.2, 0.1)}, "deflate")
+    for s in sizes:
+        tiff.write_tile(tmp_path / "one.tif", list(cube), (Z, Y, X), {3: (0.4, 0.2, 0.1)}.get(s), "deflate")
+        assert (tmp_path / f"out/s{s}-t0.ome.tif").read_bytes() == (tmp_path / "one.tif").read_bytes()
+
+
+def test_a_file_is_written_without_looking_back(tmp_path, monkeypatch):
+    """Its bytes go out in order, so that a page costs no seek; a short description lies in its tag."""
+
+    class Forward(list):
+        def write(self, data):
+            self.append(bytes(data))
+
+    from contextlib import contextmanager
+
+    out = Forward()
+
+    @contextmanager
+    def whole(path):
+        yield out
+
+    planes = list(volume())
+    with monkeypatch.context() as m:
+        m.setattr(files, "whole", whole)
+        assert tiff.write("nowhere", planes, "zstd", "short") == Z
+    (tmp_path / "f.tif").write_bytes(b"".join(out))
+    found, text = tiff.read(tmp_path / "f.tif")
+    assert text == "short" and all((a == b).all() for a, b in zip(found, planes))
+
+
 def test_a_plane_in_tiles_is_turned_to_the_frame(spark, tmp_path):
     plane = np.arange(20 * 37, dtype=np.float32).reshape(20, 37)
     foreign_tiff(tmp_path / "p.tif", [plane.T], tile=(16, 16))
