@@ -15,7 +15,7 @@ from .embedding_whitening import op12_embedding_whitening
 from .lm_score import score_texts
 from .quality import op6_quality_rules
 from .secrets import op3_secret_scan
-from .substring_dedup import op11_substring_dedup
+from .substring_dedup import digests
 
 WORD = r"[^\x20\x09-\x0D]+"
 # a document's row number stands for it, as two rows may share a doc_id
@@ -117,7 +117,7 @@ def base9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def base11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op11_substring_dedup(spark, sf_dir).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return digests(read_table(spark, sf_dir, "documents"), longest=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def base12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,10 +91,11 @@ def _ints(column: pa.Array) -> list[np.ndarray]:
 class SubstringDedup:
     """The repeated windows of one table."""
 
-    def __init__(self, docs: DataFrame, least: int = LEAST):
+    def __init__(self, docs: DataFrame, least: int = LEAST, longest: bool = True):
+        """Without ``longest`` the levels beyond ``least`` are left out: nothing that goes depends on them."""
         if least < 2 or least % 2:
             raise ValueError("the least number of words must be even, two or more")
-        self.docs, self.spark, self.least = docs, docs.sparkSession, least
+        self.docs, self.spark, self.least, self.longest = docs, docs.sparkSession, least, longest
         self.folder = f"{shared_folder(self.spark)}/repeats-{uuid.uuid4().hex}"
 
     def _kept(self, rows: DataFrame, name: str) -> DataFrame:
@@ -175,7 +176,8 @@ class SubstringDedup:
 
     def settled(self, counted: DataFrame, length: int) -> DataFrame:
         """(rank, repeated, later, at, ka, kb): places whose window is repeated, those of them that aren't its first, and the
-        candidates of twice the length."""
+        candidates of twice the length, none without ``self.longest``."""
+        go_on = self.longest
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -185,7 +187,7 @@ class SubstringDedup:
                     at, ka, kb = at[again], ka[again].view(np.uint64), kb[again].view(np.uint64)
                     later = at[~np.isin(at, told[told >= 0])]
                     second = np.searchsorted(at, at + length)
-                    both = np.flatnonzero(second < len(at))
+                    both = np.flatnonzero((second < len(at)) & go_on)
                     both = both[at[second[both]] == at[both] + length]
                     second = second[both]
                     out = [at, later, at[both], _pair(ka[both], ka[second], 3).view(np.int64), _pair(kb[both], kb[second], 4).view(np.int64)]
@@ -196,7 +198,7 @@ class SubstringDedup:
 
     def spans(self) -> DataFrame:
         """(doc_id, d1, d2, copies, later, longest) of each first document: places of windows that are there earlier, and the
-        longest length, of ``least`` doubled again and again, at which it holds a window that is there elsewhere."""
+        longest length, of ``least`` doubled again and again, at which it holds a window that is there elsewhere; 0 without ``self.longest``."""
         firsts = self._kept(self.firsts(), "firsts")
         rows = self._kept(self.anchors(), "anchors")
         self.repeated_rows = not rows.groupBy(*_KEY).count().filter("count > 1").isEmpty()
@@ -220,6 +222,8 @@ class SubstringDedup:
             read = f"settled-{length}"
             if later is None:
                 later = self._kept(done.filter(F.size("later") > 0).select("rank", "later"), "later")
+            if not self.longest:
+                return firsts.join(later, "rank", "left").select(*_KEY, "copies", "later", F.lit(0).cast("long").alias("longest"))
             longest.append(self._kept(done.filter(F.size("repeated") > 0).select("rank", F.lit(length).cast("long").alias("length")), f"held-{length}"))
             state = done.select("rank", "at", "ka", "kb").filter(F.size("at") > 0)
             if state.isEmpty():
@@ -234,7 +238,7 @@ class SubstringDedup:
     # ---------------------------------------------------------------- result
 
     def result(self) -> DataFrame:
-        """row (all columns of the table), n_words, n_removed, spans ((first word, end) of what went), kept_text, longest_repeat of every row."""
+        """row (all columns of the table), n_words, n_removed, spans ((first word, end) of what went), kept_text, longest_repeat (not without ``self.longest``) of every row."""
         least = self.least
         fates = self.spans().select(F.col("doc_id").alias("id"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), "copies", "later", "longest")
         same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2"))
@@ -263,7 +267,8 @@ class SubstringDedup:
 
         kind = self.docs.schema.simpleString()
         found = map_batches(rows.select("row", "own_text", "copies", "later", "longest"), work, f"row {kind}, n_words long, n_removed long, spans array<struct<first:int,end:int>>, kept_text string, longest_repeat long")
-        return self._first_of_repeated_rows(found) if self.repeated_rows else found
+        found = self._first_of_repeated_rows(found) if self.repeated_rows else found
+        return found if self.longest else found.drop("longest_repeat")
 
     def _first_of_repeated_rows(self, found: DataFrame) -> DataFrame:
         """Rows that repeat doc_id and text: one of them stays, the others are its copies."""
@@ -319,10 +324,15 @@ def _told(batch: pa.RecordBatch, first: int, end: int, block: WordBlock, gone: n
 
 def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` with texts that have lost the words of repeated windows; the other columns stay."""
-    found = SubstringDedup(docs, least).result()
+    found = SubstringDedup(docs, least, longest=False).result()
     return found.select(*((F.col("kept_text") if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
+def digests(docs: DataFrame, longest: bool = True) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256, n_spans of every row, and longest_repeat unless it isn't wanted."""
+    found = SubstringDedup(docs.select("doc_id", "text"), longest=longest).result()
+    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), *["longest_repeat"] * longest, F.size("spans").cast("long").alias("n_spans"))
+
+
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = SubstringDedup(read_table(spark, sf_dir, "documents").select("doc_id", "text")).result()
-    return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "longest_repeat", F.size("spans").cast("long").alias("n_spans"))
+    return digests(read_table(spark, sf_dir, "documents"))

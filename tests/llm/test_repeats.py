@@ -1,6 +1,7 @@
 """Removal of repeated passages against brute force, and on null, empty, repeated and clashing input."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -65,6 +66,17 @@ def test_against_brute_force(spark, seed, least, vocabulary):
     assert found(spark, rows, least) == brute(rows, least)
 
 
+@pytest.mark.parametrize("seed,vocabulary", [(5, 1000), (6, 1)])
+def test_what_goes_needs_no_longer_level(spark, seed, vocabulary):
+    """Without the longest repeat the levels beyond the least are neither counted nor made, and everything else is the same."""
+    rows = made(seed, vocabulary=vocabulary)
+    dedup = SubstringDedup(spark.createDataFrame(rows, SCHEMA).repartition(3), 20, longest=False)
+    got = dedup.result().select("row.doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert sorted((repr(r[0]), *r[1:]) for r in got) == [r[:4] for r in brute(rows, 20)]
+    assert {n for n in os.listdir(dedup.folder.removeprefix("file:")) if n[-1].isdigit()} == {"settled-20"}
+    assert spark.read.parquet(f"{dedup.folder}/settled-20").agg(F.sum(F.size("at"))).first()[0] == 0
+
+
 def test_rows_that_repeat_id_and_text(spark):
     text = " ".join(f"w{k}" for k in range(50))
     rows = [(7, text)] * 4 + [(9, text), (7, "short one"), (7, "short one"), (None, "short one")]
