@@ -61,21 +61,45 @@ def _row_sums(x: np.ndarray) -> np.ndarray:
     return np.matmul(x.reshape(-1, x.shape[-1]), np.ones(x.shape[-1], np.float32)).reshape(x.shape[:-1])
 
 
-def _attend(m: dict[str, np.ndarray], ids: np.ndarray, first: int = 0):
-    """The embeddings, queries, keys and values, what each position from ``first`` on attends to how much, and the mix of it."""
-    b, w = ids.shape
-    d = m["embed"].shape[1]
-    x = np.take(m["embed"], ids.ravel(), axis=0, out=_buffer("x", b * w, d), mode="clip")
-    x.reshape(b, w, d)[:] += m["place"][:w]
-    qkv = np.matmul(x, m["qkv"], out=_buffer("qkv", b * w, 3 * d)).reshape(b, w, 3 * d)
-    q, k, v = qkv[:, first:, :d], qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
+def _attention(q: np.ndarray, k: np.ndarray, first: int = 0) -> np.ndarray:
+    """How much each position from ``first`` on (a row of scaled ``q``) attends to each of its window."""
+    b, w, _ = k.shape
     s = np.matmul(q, k.transpose(0, 2, 1), out=_buffer("s", b, w - first, w))
-    s *= np.float32(d**-0.5)
     np.clip(s, -30, 30, out=s)
     np.exp(s, out=s)
     s *= np.tril(np.ones((w, w), np.float32))[first:]  # no position sees a later one
     s /= _row_sums(s)[:, :, None]
-    return x, q, k, v, s, np.matmul(s, v, out=_buffer("mixed", b, w - first, d))
+    return s
+
+
+def _attend(m: dict[str, np.ndarray], ids: np.ndarray):
+    """The embeddings, scaled queries, keys and values, what each position attends to how much, and the mix of it."""
+    b, w = ids.shape
+    d = m["embed"].shape[1]
+    x = np.take(m["embed"], ids.ravel(), axis=0, out=_buffer("x", b * w, d), mode="clip")
+    x.reshape(b, w, d)[:] += m["place"][:w]
+    scaled = m["qkv"].copy()
+    scaled[:, :d] *= np.float32(d**-0.5)
+    qkv = np.matmul(x, scaled, out=_buffer("qkv", b * w, 3 * d)).reshape(b, w, 3 * d)
+    q, k, v = qkv[:, :, :d], qkv[:, :, d : 2 * d], qkv[:, :, 2 * d :]
+    s = _attention(q, k)
+    return x, q, k, v, s, np.matmul(s, v, out=_buffer("mixed", b, w, d))
+
+
+def prepared(m: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """A model that is only asked: what each input and each place adds to a position's query, key, value (through ``out``) and
+    own state, so that these are looked up and not multiplied anew for every position."""
+    d = m["embed"].shape[1]
+    q, k, v = (m["qkv"][:, n * d : (n + 1) * d].astype(np.float64) for n in range(3))
+    each = np.concatenate([q * d**-0.5, k, v @ m["out"], np.eye(d)], axis=1)
+    return m | {"by_input": (m["embed"] @ each).astype(np.float32), "by_place": (m["place"] @ each).astype(np.float32)}
+
+
+def _with_ones(name: str, n: int, d: int) -> np.ndarray:
+    """n rows of d places to be filled and a one, by which biases are a matrix's last row."""
+    out = _buffer(name, n, d + 1)
+    out[:, d] = 1
+    return out
 
 
 def _shares(logits: np.ndarray) -> np.ndarray:
@@ -86,36 +110,37 @@ def _shares(logits: np.ndarray) -> np.ndarray:
 
 
 def _outputs(m: dict[str, np.ndarray], state: np.ndarray, targets: np.ndarray):
-    """The two softmaxes before division, their sums, the order by group and the groups' bounds; rows of the second are in that order."""
+    """The two softmaxes of states (with ones) before division, their sums, the order by group and the groups' bounds; rows of the second are in that order."""
     groups = m["top"].shape[1]
-    top = np.matmul(state, m["top"], out=_buffer("top", len(state), groups))
-    top += m["top_bias"]
+    top = np.matmul(state, np.vstack([m["top"], m["top_bias"]]), out=_buffer("top", len(state), groups))
     top_sum = _shares(top)
     group = (targets // GROUP).astype(np.uint8 if groups <= 256 else np.int32)
     order = np.argsort(group, kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(groups + 1))
+    bounds = np.searchsorted(group[order], np.arange(groups + 1)).tolist()
     own = np.take(state, order, axis=0, out=_buffer("own", *state.shape), mode="clip")
-    sub = _buffer("sub", len(state), GROUP)
+    sub, within = _buffer("sub", len(state), GROUP), np.concatenate([m["sub"], m["sub_bias"][:, None]], axis=1)
     for g in range(groups):
         a, b = bounds[g], bounds[g + 1]
         if b > a:
-            np.matmul(own[a:b], m["sub"][g], out=sub[a:b])
-            sub[a:b] += m["sub_bias"][g]
+            np.matmul(own[a:b], within[g], out=sub[a:b])
     return top, top_sum, sub, _shares(sub), own, order, bounds
 
 
 def log_probabilities(m: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray, first: int) -> np.ndarray:
-    """log P(target class) at the positions from ``first`` on of each window."""
+    """log P(target class) at the positions from ``first`` on of each window; of a ``prepared`` model, or one to be prepared."""
+    m = m if "by_input" in m else prepared(m)
     b, w = ids.shape
     d = m["embed"].shape[1]
-    x, _, _, _, _, mixed = _attend(m, ids, first)
-    state = np.matmul(mixed.reshape(-1, d), m["out"], out=_buffer("state", b * (w - first), d))
-    state.reshape(b, w - first, d)[:] += x.reshape(b, w, d)[:, first:]
+    x = np.take(m["by_input"], ids.ravel(), axis=0, out=_buffer("fed", b * w, 4 * d), mode="clip").reshape(b, w, 4 * d)
+    x += m["by_place"][:w]
+    s = _attention(x[:, first:, :d], x[:, :, d : 2 * d], first)
+    state = _with_ones("state", b * (w - first), d)
+    np.add(np.matmul(s, x[:, :, 2 * d : 3 * d], out=_buffer("mixed", b, w - first, d)), x[:, first:, 3 * d :], out=state.reshape(b, w - first, d + 1)[:, :, :d])
     at = targets[:, first:].ravel()
     top, top_sum, sub, sub_sum, _, order, _ = _outputs(m, state, at)
     rows = np.arange(len(at))
-    found = np.log(top[rows, at // GROUP] / top_sum)
-    found[order] += np.log(sub[rows, at[order] % GROUP] / sub_sum)
+    found = np.log(np.take(top.ravel(), rows * top.shape[1] + at // GROUP) / top_sum)
+    found[order] += np.log(np.take(sub.ravel(), rows * GROUP + at[order] % GROUP) / sub_sum)
     return found.reshape(b, -1)
 
 
@@ -125,25 +150,26 @@ def gradients(m: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray, co
     b, w = ids.shape
     d = x.shape[1]
     flat_mixed = mixed.reshape(-1, d)
-    state = np.matmul(flat_mixed, m["out"], out=_buffer("state", b * w, d))
-    state += x
+    state = _with_ones("state", b * w, d)
+    np.add(np.matmul(flat_mixed, m["out"], out=_buffer("through", b * w, d)), x, out=state[:, :d])
     at, weight = targets.ravel(), counted.ravel().astype(np.float32) / np.float32(max(1, counted.sum()))
     top, top_sum, sub, sub_sum, own, order, bounds = _outputs(m, state, at)
-    rows, place, group, weight_in_order = np.arange(len(at)), at[order] % GROUP, at // GROUP, weight[order]
+    rows, weight_in_order = np.arange(len(at)), weight[order]
+    of_top, of_sub = rows * top.shape[1] + at // GROUP, rows * GROUP + at[order] % GROUP  # each position's own place in the softmaxes
     loss = 0.0
     if with_loss:
-        loss = -float((np.log(np.maximum(top[rows, group] / top_sum, 1e-20)) * weight).sum() + (np.log(np.maximum(sub[rows, place] / sub_sum, 1e-20)) * weight_in_order).sum())
+        loss = -float((np.log(np.maximum(top.ravel()[of_top] / top_sum, 1e-20)) * weight).sum() + (np.log(np.maximum(sub.ravel()[of_sub] / sub_sum, 1e-20)) * weight_in_order).sum())
     top *= (weight / top_sum)[:, None]
-    top[rows, group] -= weight
+    top.reshape(-1)[of_top] -= weight
     sub *= (weight_in_order / sub_sum)[:, None]
-    sub[rows, place] -= weight_in_order
-    g = {"top": state.T @ top, "top_bias": np.ones(len(top), np.float32) @ top, "sub": np.zeros_like(m["sub"]), "sub_bias": np.zeros_like(m["sub_bias"])}
+    sub.reshape(-1)[of_sub] -= weight_in_order
+    g_top, g_sub = state.T @ top, np.zeros((len(m["sub"]), d + 1, GROUP), np.float32)
+    g = {"top": g_top[:d], "top_bias": g_top[d], "sub": g_sub[:, :d], "sub_bias": g_sub[:, d]}
     d_own = _buffer("d_own", b * w, d)
     for n in range(len(bounds) - 1):
         lo, hi = bounds[n], bounds[n + 1]
         if hi > lo:
-            np.matmul(own[lo:hi].T, sub[lo:hi], out=g["sub"][n])
-            sub[lo:hi].sum(axis=0, out=g["sub_bias"][n])
+            np.matmul(own[lo:hi].T, sub[lo:hi], out=g_sub[n])
             np.matmul(sub[lo:hi], m["sub"][n].T, out=d_own[lo:hi])
     d_state = top @ m["top"].T
     back = np.empty_like(order)
@@ -156,8 +182,8 @@ def gradients(m: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray, co
     np.matmul(s.transpose(0, 2, 1), d_mixed, out=d_qkv[:, :, 2 * d :])
     d_s -= np.einsum("bij,bij->bi", d_mixed, mixed)[:, :, None]  # what the division of s by its sums takes back
     d_s *= s
-    d_s *= np.float32(d**-0.5)
     np.matmul(d_s, k, out=d_qkv[:, :, :d])
+    d_qkv[:, :, :d] *= np.float32(d**-0.5)
     np.matmul(d_s.transpose(0, 2, 1), q, out=d_qkv[:, :, d : 2 * d])
     d_qkv = d_qkv.reshape(-1, 3 * d)
     g["qkv"] = x.T @ d_qkv

@@ -213,7 +213,8 @@ class Pairs:
         bucket, of = classes.before[before].astype(np.int64), classes.of[ids]
         share = 10.0 ** classes.share[ids]
         wanted = (bucket * len(classes.of) + ids).astype(np.int32)
-        at = np.minimum(np.searchsorted(self.key, wanted), max(0, len(self.key) - 1))
+        order, at = np.argsort(wanted), np.empty(len(wanted), np.int64)  # neighbours are found in memory that the one before has fetched
+        at[order] = np.minimum(np.searchsorted(self.key, wanted[order]), max(0, len(self.key) - 1))
         n = np.where(self.key[at] == wanted, self.n[at], 0) if len(self.key) else 0
         return np.log10((n + prior * share) / (self.total[bucket, of] + prior))
 
@@ -364,6 +365,7 @@ def score_documents(table: DataFrame, model: dict[str, np.ndarray], classes: Cla
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, c, following, logs, known = held.value
+        m = attention.prepared(m)
         steps = np.arange(w)
         for batch in batches:
             sizes = np.array([len(x) for x in batch.column("ids").to_pylist()], np.int64)

@@ -645,6 +645,28 @@ def test_probabilities_sum_to_one_and_see_no_later_id():
     assert np.array_equal(attention.log_probabilities(model, ids, at, 0)[:, :8].copy(), attention.log_probabilities(model, later, at, 0)[:, :8])
 
 
+def test_a_prepared_model_is_the_same_model():
+    """Looked-up sums against the model written out for one position, in double precision."""
+    from evenfield.llm import attention
+
+    rng = np.random.default_rng(3)
+    model = {k: x + rng.standard_normal(x.shape).astype(np.float32) * np.float32(0.3) for k, x in attention.initial(30, 32, 8, 12).items()}
+    ids, at = rng.integers(0, 30, (4, 12)), rng.integers(0, 32, (4, 12))
+    ready = attention.prepared(model)
+    m = {k: x.astype(float) for k, x in model.items()}
+    for first in (0, 6):
+        found = attention.log_probabilities(ready, ids, at, first).copy()
+        for b in range(4):
+            x = m["embed"][ids[b]] + m["place"]
+            q, k, v = np.split(x @ m["qkv"], 3, axis=1)
+            for t in range(first, 12):
+                e = np.exp(k[: t + 1] @ q[t] * 8**-0.5)
+                state = x[t] + e / e.sum() @ v[: t + 1] @ m["out"]
+                top, sub = state @ m["top"] + m["top_bias"], state @ m["sub"][at[b, t] // 16] + m["sub_bias"][at[b, t] // 16]
+                expected = top[at[b, t] // 16] - np.log(np.exp(top).sum()) + sub[at[b, t] % 16] - np.log(np.exp(sub).sum())
+                assert abs(found[b, t - first] - expected) < 1e-4
+
+
 def test_every_id_is_scored_once():
     from evenfield.llm import attention
 
