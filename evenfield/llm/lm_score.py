@@ -56,7 +56,6 @@ class LmParams:
     window: int = 24
     stride: int = 12
     piece_windows: int = 64
-    batch_windows: int = 256
     shard_windows: int = 100_000  # windows a replica learns from
     sums: int = 16
     batch: int = 256
@@ -73,15 +72,87 @@ def _encoder(params: LmParams):
     import public_tokenizers
     import tiktoken
 
-    global _encoding
+    global _encoding, _id_bytes
     if _encoding is None:
         with open(vocabulary_paths(params.vocabulary)[1], "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        _id_bytes = np.zeros(params.size, np.int64)
+        _id_bytes[list(ranks.values())] = [len(x) for x in ranks]
         _encoding = tiktoken.Encoding("lm", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _encoding
 
 
-_encoding = None
+_encoding = _id_bytes = None  # and how many bytes each id stands for
+
+
+def odd_spaces(data: np.ndarray) -> np.ndarray:
+    """Flags the first bytes of characters that are white space to the vocabulary's pattern but part words here nowhere."""
+    out = np.zeros(len(data), bool)
+    at = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    next_two = np.append(data, np.zeros(2, np.uint8))
+    a, b, c = data[at], next_two[at + 1], next_two[at + 2]
+    odd = (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) & (c == 0x80) | (a == 0xE3) & (b == 0x80) & (c == 0x80)
+    odd |= (a == 0xE2) & ((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F))
+    out[at[odd]] = True
+    return out
+
+
+class WordIds:
+    """The ids of blocks of texts. A word that one space parts from the word before is cut from the text by the vocabulary's
+    pattern together with that space, whatever else stands there: no match goes on from a word into white space, if the text holds
+    none but that which parts words (a text that does is encoded whole).
+    So listed words are encoded when they are first met, by themselves, and looked up from then on; what is left of a text
+    when they are taken out is encoded as it stands, and the ids are put in order by the bytes at which they begin."""
+
+    def __init__(self, params: LmParams, listed: int):
+        self.encode = _encoder(params).encode_to_numpy
+        self.begin, self.length = np.zeros(listed, np.int64), np.full(listed, -1, np.int64)
+        self.ids, self.held = np.empty(1 << 16, "<u2"), 0
+
+    def _learn(self, block: WordBlock, numbers: np.ndarray, at: np.ndarray) -> None:
+        """Encodes words (their numbers in the list, and where in the block one lies) after a space."""
+        for number, k in zip(numbers.tolist(), at.tolist()):
+            found = self.encode(" " + block.data[block.starts[k] : block.ends[k]].tobytes().decode())
+            if self.held + len(found) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty(len(self.ids) + len(found), "<u2")])
+            self.ids[self.held : self.held + len(found)] = found
+            self.begin[number], self.length[number] = self.held, len(found)
+            self.held += len(found)
+
+    def of(self, block: WordBlock, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the block's texts and each text's bounds in them; ``number`` is each word's in the list, -1 if it isn't there."""
+        data, starts, ends = block.data, block.starts, block.ends
+        even = block.per_text(odd_spaces(data)) == 0
+        near = np.flatnonzero((number >= 0) & even[block.text_of] & (starts - 2 >= block.offsets[block.text_of]))
+        near = near[(data[starts[near] - 1] == 0x20) & block.in_word[starts[near] - 2]]
+        number = number[near]
+        new = np.flatnonzero(self.length[number] < 0)
+        if len(new):
+            numbers, first = np.unique(number[new], return_index=True)
+            self._learn(block, numbers, near[new[first]])
+        length, place = self.length[number], starts[near] - 1  # a word's ids begin at its space
+        step = np.zeros(len(data) + 1, np.int8)
+        step[place] += 1
+        step[ends[near]] -= 1
+        kept = np.flatnonzero(np.cumsum(step[:-1], dtype=np.int8) == 0)
+        rest, cuts = data[kept].tobytes(), np.searchsorted(kept, block.offsets).tolist()
+        parts = [self.encode(rest[a:b].decode()) for a, b in zip(cuts[:-1], cuts[1:])]
+        text_ends = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+        words_before = np.searchsorted(near, block.word_offsets)
+        many = np.concatenate([[0], np.cumsum(length)])
+        bounds = text_ends + many[words_before]
+        own = np.concatenate(parts) if parts else np.empty(0, "<u2")
+        if not len(near):
+            return own.astype("<u2"), bounds
+        size = _id_bytes[own]
+        began = kept[np.cumsum(size) - size] if len(own) else np.empty(0, np.int64)  # the byte at which each of these ids begins
+        out = np.empty(bounds[-1], "<u2")
+        out[np.arange(len(own)) + many[np.searchsorted(place, began)]] = own
+        inner = np.arange(many[-1]) - np.repeat(many[:-1], length)
+        out[np.repeat(np.searchsorted(began, place) + many[:-1], length) + inner] = self.ids[np.repeat(self.begin[number], length) + inner]
+        return out, bounds
+
+
 SCHEMA = "kind byte, row long, doc_id long, held boolean, n_words int, ids binary, frequent binary, key long, n long"
 
 
@@ -120,7 +191,8 @@ def read_texts(docs: DataFrame, listed: np.ndarray, params: LmParams, with_ids:
     end = params.size
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, words = _encoder(params).encode_to_numpy if with_ids else lambda _: np.empty(0, "<u2"), held_list.value
+        words = held_list.value
+        encoder = WordIds(params, len(words)) if with_ids else None
         slots, padded = slot_table(words)
         row = TaskContext.get().partitionId() << 33
         id_counts, word_counts = np.zeros(end + 1, np.int64), np.zeros(len(words), np.int64)
@@ -136,17 +208,14 @@ def read_texts(docs: DataFrame, listed: np.ndarray, params: LmParams, with_ids:
                 place = slots[block.hashes >> SLOT_SHIFT]
                 is_listed = (place >= 0) & (padded[place] == block.hashes)
                 word_counts += np.bincount(place[is_listed & teaches[block.text_of]], minlength=len(words))
-                lowered = block.data.tobytes()
-                ids, listed_in = [], []
-                where = np.concatenate([[0], np.cumsum(is_listed)])[block.word_offsets]
+                where = np.concatenate([[0], np.cumsum(is_listed)])[block.word_offsets].tolist()
                 own = place[is_listed].astype("<u2")
-                for k in range(m):
-                    found = encode(lowered[offsets[k] : offsets[k + 1]].decode()).astype("<u2")
-                    if teaches[k]:
-                        np.add.at(id_counts, found, 1)
-                        id_counts[end] += 1
-                    ids.append(found.tobytes())
-                    listed_in.append(own[where[k] : where[k + 1]].tobytes())
+                listed_in = [own[i:j].tobytes() for i, j in zip(where[:-1], where[1:])]
+                found, bounds = encoder.of(block, np.where(is_listed, place, -1)) if encoder else (np.empty(0, "<u2"), np.zeros(m + 1, np.int64))
+                id_counts += np.bincount(found[np.repeat(teaches, np.diff(bounds))], minlength=end + 1)
+                id_counts[end] += int(teaches.sum()) if encoder else 0
+                bounds = bounds.tolist()
+                ids = [found[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:])]
                 yield _batch(0, m, row=rows, doc_id=batch.column("doc_id").slice(lo, m), held=held, n_words=block.n_words.astype(np.int32), ids=pa.array(ids, pa.binary()), frequent=pa.array(listed_in, pa.binary()))
                 rare = ~is_listed
                 if rare.any():
@@ -247,8 +316,13 @@ def input_count(params: LmParams) -> int:
     return params.inputs + params.classes + 1  # frequent ids, classes of the others, the start of a text
 
 
-def _windows(ids: list[bytes], params: LmParams, classes: Classes):
-    """Flat inputs and targets of the texts, and the (text, begin, length) of their windows."""
+#: Windows that scoring takes at a time; no score depends on it.
+SCORED_WINDOWS = 1024
+
+
+def _laid_out(ids: list[bytes], params: LmParams, classes: Classes):
+    """Flat inputs and targets of the texts, and their bounds; then each position's place where every text has room for its
+    windows, which begin at multiples of ``stride``, and each text's first place and the end of all."""
     lengths = np.array([len(x) // 2 + 1 for x in ids], np.int64)
     bounds = np.concatenate([[0], np.cumsum(lengths)])
     targets = np.full(bounds[-1], params.size, np.int64)
@@ -258,8 +332,29 @@ def _windows(ids: list[bytes], params: LmParams, classes: Classes):
     inputs = np.empty(bounds[-1], np.int64)
     inputs[1:] = classes.input[targets[:-1]]
     inputs[bounds[:-1]] = input_count(params) - 1
-    text, begin = attention.windows(lengths, params.window, params.stride)
-    return inputs, targets, bounds, text, begin, lengths
+    stride, window = params.stride, params.window
+    room = np.maximum(0, -(-(lengths - window) // stride)) * stride + window
+    room = -(-room // stride) * stride
+    first = np.concatenate([[0], np.cumsum(room)])
+    return inputs, targets, bounds, np.arange(bounds[-1]) + np.repeat(first[:-1] - bounds[:-1], lengths), first
+
+
+def class_scores(model: dict[str, np.ndarray], inputs: np.ndarray, of: np.ndarray, place: np.ndarray, first: np.ndarray, params: LmParams) -> np.ndarray:
+    """Natural log of P(class | context) at each position (see ``_laid_out``): windows follow each other ``stride`` apart, and each
+    gives its last ``stride`` positions; what comes before these in a text is a shorter window of its own."""
+    w, stride, opens = params.window, params.stride, params.window - params.stride
+    fed, wanted = np.zeros(first[-1], np.int64), np.zeros(first[-1], np.int64)
+    fed[place], wanted[place] = inputs, of
+    found = np.zeros(first[-1], np.float32)
+    windows = (first[-1] - w) // stride + 1
+    for lo in range(0, windows, SCORED_WINDOWS):
+        n = min(SCORED_WINDOWS, windows - lo)
+        part = slice(lo * stride, (lo + n - 1) * stride + w)
+        found[part.start + opens : part.stop] = attention.sliding_log_probabilities(model, fed[part], wanted[part], w, stride).ravel()
+    for lo in range(0, (len(first) - 1) if opens else 0, SCORED_WINDOWS):
+        at = first[:-1][lo : lo + SCORED_WINDOWS, None] + np.arange(opens)
+        found[at] = attention.log_probabilities(model, fed[at], wanted[at], 0)
+    return found[place]
 
 
 def training_pieces(table: DataFrame, params: LmParams) -> tuple[DataFrame, int]:
@@ -361,37 +456,26 @@ def base_documents(table: DataFrame, word_counts: np.ndarray) -> DataFrame:
 
 def score_documents(table: DataFrame, model: dict[str, np.ndarray], classes: Classes, pairs: Pairs, word_counts: np.ndarray, params: LmParams) -> DataFrame:
     """row, doc_id, held, n_words, listed_sum, listed_known, score of each document."""
-    held, w, first = table.sparkSession.sparkContext.broadcast((model, classes, pairs, np.log10(word_counts + 0.5), word_counts > 0)), params.window, params.window - params.stride
+    held = table.sparkSession.sparkContext.broadcast((model, classes, pairs, np.log10(word_counts + 0.5), word_counts > 0))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, c, following, logs, known = held.value
         m = attention.prepared(m)
-        steps = np.arange(w)
         for batch in batches:
             sizes = np.array([len(x) for x in batch.column("ids").to_pylist()], np.int64)
             groups = np.cumsum(sizes) // (1 << 19)
             edges = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1], [True]]))
             for a, b in zip(edges[:-1], edges[1:]):
                 part = batch.slice(a, b - a)
-                inputs, targets, bounds, text, begin, lengths = _windows(part.column("ids").to_pylist(), params, c)
+                inputs, targets, bounds, place, laid = _laid_out(part.column("ids").to_pylist(), params, c)
                 of = c.of[targets]
                 before = np.empty_like(targets)
                 before[1:] = targets[:-1]  # a text's first position follows an end, its own text's or the one before
                 before[bounds[:-1]] = params.size
-                within = np.zeros(len(targets))
+                within = class_scores(m, inputs, of, place, laid, params) / np.log(10)
                 many = np.flatnonzero(of >= params.single)  # the other classes hold one id
-                within[many] = following.log_share(before[many], targets[many], c, params.pair_prior)
+                within[many] += following.log_share(before[many], targets[many], c, params.pair_prior)
                 total = np.add.reduceat(within, bounds[:-1])
-                for opens in (True, False):  # a text's first window counts from its first position
-                    chosen, skip = np.flatnonzero((begin == 0) == opens), 0 if opens else first
-                    for lo in range(0, len(chosen), params.batch_windows):
-                        own = chosen[lo : lo + params.batch_windows]
-                        t, place = text[own], begin[own][:, None] + steps
-                        real = place < lengths[t][:, None]
-                        where = bounds[t][:, None] + np.where(real, place, 0)
-                        found = attention.log_probabilities(m, inputs[where], of[where], skip)
-                        found = np.where(real[:, skip:], found, 0).sum(axis=1, dtype=np.float64)
-                        total += np.bincount(t, found, minlength=len(total)) / np.log(10)
                 sums, knowns = _listed_sums(part, logs, known)
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held"), part.column("n_words"), sums, knowns, pa.array(total)], ["row", "doc_id", "held", "n_words", "listed_sum", "listed_known", "score"])
 

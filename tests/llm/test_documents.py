@@ -771,6 +771,54 @@ def test_base_columns_need_no_model(spark, monkeypatch):
     assert sorted(map(tuple, lm_score.score_texts(frame(spark, rows), params, with_model=False).select(columns).collect())) == whole
 
 
+def test_listed_words_are_encoded_once_and_ids_are_those_of_whole_texts():
+    import pyarrow as pa
+
+    from evenfield.llm.common import WordBlock, text_blocks
+
+    rng = random.Random(8)
+    pieces = ["the", "don't", "it's", "x1y22", "...", "'s", "é", "naïve", "数", "a\u00a0b", "\u00a0", "\u2003", "\u3000c", "\u1680", "\x85", "“quote”", "\x1c", "-", "12345", "A\u2028B", "_a_"]
+    seps = [" "] * 8 + ["  ", "\n", "\n ", " \n", "\t", "\r\n", "\n\n", "   ", "\x0b"]
+    texts = ["", " ", "a", " a", "the the", None] + ["".join(rng.choice(pieces[:9] + pieces[15:] if k % 2 else pieces) + rng.choice(seps) for _ in range(rng.randint(0, 60))) for k in range(300)]
+    params = lm_score.LmParams()
+    blocks = [WordBlock(data, offsets, lower=True) for _, _, data, offsets in text_blocks(pa.array(texts), most=2000)]
+    listed = np.unique(np.concatenate([b.hashes for b in blocks]))[::2]
+    encode, words = lm_score._encoder(params).encode_to_numpy, lm_score.WordIds(params, len(listed))
+    for b in blocks:
+        at = np.minimum(np.searchsorted(listed, b.hashes), len(listed) - 1)
+        found, bounds = words.of(b, np.where(listed[at] == b.hashes, at, -1))
+        for k in range(b.n_texts):
+            assert found[bounds[k] : bounds[k + 1]].tolist() == encode(b.data[b.offsets[k] : b.offsets[k + 1]].tobytes().decode()).tolist()
+    block = WordBlock(*next(text_blocks(pa.array(["hello wonderful world " * 500])))[2:], lower=True)
+    sent, words = [], lm_score.WordIds(params, 3)
+    words.encode = lambda text: (sent.append(len(text)), encode(text))[1]
+    number = np.unique(block.hashes, return_inverse=True)[1]
+    assert words.of(block, number)[0].tolist() == encode("hello wonderful world " * 500).tolist()
+    assert sum(sent) < 60  # each word by itself, the first one and the space at the end; 11 000 characters before
+
+
+@pytest.mark.parametrize("stride", [4, 6, 8, 12])
+def test_windows_that_share_lookups_give_each_windows_own_scores(monkeypatch, stride):
+    from evenfield.llm import attention
+
+    rng = np.random.default_rng(5)
+    params = lm_score.LmParams(size=400, single=20, classes=37, inputs=60, before=30, width=8, window=12, stride=stride)
+    monkeypatch.setattr(lm_score, "SCORED_WINDOWS", 7)
+    texts = [rng.integers(0, 400, n).astype("<u2").tobytes() for n in (0, 1, 5, 11, 12, 13, 18, 40, 77, 0)]
+    classes = lm_score.make_classes(rng.random(401) * 50, params)
+    model = attention.prepared({k: x * (5 if k != "sub_bias" else 1) for k, x in attention.initial(lm_score.input_count(params), params.classes, 8, 12).items()})
+    inputs, targets, bounds, place, first = lm_score._laid_out(texts, params, classes)
+    looked, take = [], np.take
+    monkeypatch.setattr(attention.np, "take", lambda a, at, *rest, **more: (looked.append(np.size(at)) if a is model["value_embed"] else None, take(a, at, *rest, **more))[1])
+    found = lm_score.class_scores(model, inputs, classes.of[targets], place, first, params)
+    assert sum(looked) < 2 * first[-1] + 12 * len(looked)
+    lengths = np.diff(bounds)
+    for t, b in zip(*attention.windows(lengths, 12, stride)):
+        skip, n = (12 - stride if b else 0), min(12, lengths[t] - b)
+        at = bounds[t] + b + np.arange(n)
+        assert np.allclose(found[at][skip:], attention.log_probabilities(model, inputs[at][None], classes.of[targets[at]][None], 0)[0, skip:], atol=1e-4)
+
+
 def test_classes_share_out_all_probability():
     counts = np.random.default_rng(0).integers(0, 1000, 500).astype(float)
     params = lm_score.LmParams(single=20, classes=32, inputs=100)
